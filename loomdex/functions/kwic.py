@@ -27,32 +27,62 @@ def light_stem(word: Column) -> Column:
     return F.regexp_replace(fold_case(word), ENDING, "$1")
 
 
-def find(text: Column, word: Column) -> Column:
+def text_words(text: Column) -> Column:
+    """array<struct<start,token,folded,stem>> of the words of a text."""
+    return F.transform(spans(text, WORD, F.length), lambda s: F.struct(
+        s["start"].alias("start"), s["token"].alias("token"),
+        fold_case(s["token"]).alias("folded"), light_stem(s["token"]).alias("stem"),
+    ))
+
+
+def direct_hit(folded_text: Column, word: Column) -> Column:
+    at = F.instr(folded_text, fold_case(word)) - 1
+    return F.struct(at.cast("int").alias("at"), F.when(at >= 0, word).otherwise("").alias("matched"))
+
+
+def find(folded_text: Column, found_tokens: Column, word: Column) -> Column:
     """struct<at, matched>: character offset (-1 when absent) and the matched word."""
-    direct = F.instr(fold_case(text), fold_case(word)) - 1
 
     def by_stem(stem: Column) -> Column:
         hit = F.get(F.filter(
-            spans(text, WORD, F.length),
-            lambda s: (light_stem(s["token"]) == stem)
-            | F.startswith(fold_case(s["token"]), stem),
+            found_tokens, lambda s: (s["stem"] == stem) | F.startswith(s["folded"], stem)
         ), F.lit(0))
         return let(hit, lambda h: F.struct(
             F.coalesce(h["start"], F.lit(-1)).cast("int").alias("at"),
             F.coalesce(h["token"], F.lit("")).alias("matched"),
         ))
 
-    return let(direct, lambda d: F.when(
-        d >= 0, F.struct(d.cast("int").alias("at"), word.alias("matched"))
-    ).otherwise(let(light_stem(word), by_stem)))
+    return let(direct_hit(folded_text, word), lambda d: F.when(d["at"] >= 0, d).otherwise(
+        let(light_stem(word), by_stem)
+    ))
+
+
+def find_each(text: Column, found_words: Column) -> Column:
+    """array<struct<word,at,matched>> for every query word; the text is tokenized once."""
+    return let(fold_case(text), lambda low: let(text_words(text), lambda tokens: F.transform(
+        found_words, lambda w: let(find(low, tokens, w), lambda f: F.struct(
+            w.alias("word"), f["at"].alias("at"), f["matched"].alias("matched")
+        ))
+    )))
 
 
 def first_found(text: Column, found_words: Column) -> Column:
-    """Location of the first query word that occurs at all; later words are not looked up."""
+    """Location of the first query word that occurs at all.
+
+    The text is tokenized only when the first word is not found as it is.
+    """
     none = F.struct(F.lit(-1).alias("at"), F.lit("").alias("matched"))
-    return F.aggregate(
-        found_words, none, lambda acc, w: F.when(acc["at"] >= 0, acc).otherwise(find(text, w))
-    )
+
+    def search(low: Column) -> Column:
+        first = F.get(found_words, F.lit(0))
+        by_order = let(text_words(text), lambda tokens: F.aggregate(
+            found_words, none, lambda acc, w: F.when(acc["at"] >= 0, acc).otherwise(find(low, tokens, w))
+        ))
+        return F.when(F.size(found_words) == 0, none).when(
+            F.instr(low, first) > 0, direct_hit(low, first)
+        ).otherwise(by_order)
+
+    return let(fold_case(text), search)
 
 
 def excerpt(text: Column, found_words: Column, reach: int = REACH) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loomdex.functions.analysis import analyzed_spans, is_query_stop
-from loomdex.functions.arrays import let, longest_within
+from loomdex.functions.arrays import let, longest_within, running_sum
 from loomdex.functions.text import (
     fold_case, html_escape, is_boilerplate_line, strip_combining, trim_space, truncate, words,
 )
@@ -75,9 +75,12 @@ def candidates(text: Column, query: Column, stop: list[str] | None = None) -> Co
 
         def of_word(f: Column, kept_at: Column, w: Column, word_no: Column) -> Column:
             k = F.length(w)
-            hits = F.filter(
-                F.sequence(F.lit(0), F.length(f) - k), lambda i: F.substring(f, i + 1, k) == w
-            )
+            # A zero-width split cuts in front of every occurrence, overlapping ones included.
+            cuts = F.split(f, F.concat(F.lit(r"(?=\Q"), F.replace(w, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)")))
+            starts = let(cuts, lambda c: F.transform(
+                running_sum(F.transform(c, lambda p: F.length(p))), lambda e, j: e - F.length(F.get(c, j))
+            ))
+            hits = F.filter(starts, lambda i: (i > 0) | F.startswith(f, w))
             placed = F.transform(hits, lambda i: F.struct(
                 i.alias("i"),
                 original(kept_at, i).cast("int").alias("start"),
@@ -108,11 +111,15 @@ def candidates(text: Column, query: Column, stop: list[str] | None = None) -> Co
 
 def best_candidate(found: Column) -> Column:
     """Highest score, earliest on ties; words after the first good enough one are not tried."""
+    return let(found, _best)
+
+
+def _best(found: Column) -> Column:
     enough = F.array_min(F.transform(
         F.filter(found, lambda c: c["score"] >= ENOUGH), lambda c: c["word_no"]
     ))
     ordered = F.transform(
-        F.filter(found, lambda c: enough.isNull() | (c["word_no"] <= enough)),
+        let(enough, lambda e: F.filter(found, lambda c: e.isNull() | (c["word_no"] <= e))),
         lambda c: F.struct(
             c["score"].alias("score"),
             (-c["word_no"]).alias("neg_word"),

@@ -1,7 +1,8 @@
 """Russian Snowball stemmer (published algorithm) as anchored regular expressions.
 
-Region rules become prefixes: RV starts after the first vowel, R2 after the second
-vowel-consonant pair. A lazy prefix makes the longest ending of a class win.
+A word is cut after its first vowel; endings are looked for in the rest (RV). The leftmost match of
+an anchored alternation is the longest ending of its class. R2 starts after the second
+vowel-consonant pair of the word.
 """
 
 from __future__ import annotations
@@ -9,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomdex.functions.arrays import let
+
 _V = "[аеиоуыэюя]"
 _C = "[^аеиоуыэюя]"
-_RV = f"{_C}*{_V}.*?"
-_AFTER_A = f"{_C}*{_V}.*?[ая]"
-_R2 = f"{_C}*{_V}+{_C}{_C}*{_V}+{_C}.*?"
+FIRST_VOWEL = f"^{_C}*{_V}"
+R2 = f"^{_C}*{_V}+{_C}{_C}*{_V}+{_C}"
 
 # Endings of the published algorithm.
 _GERUND_AFTER_A = "вшись|вши|в"
@@ -31,46 +33,84 @@ _NOUN = (
     "иями|ями|ами|ией|иям|ием|иях|ев|ов|ие|ье|еи|ии|ей|ой|ий|ям|ем|ам|ом|ах|ях|ию|ью|ия|ья|а|е|и|й|о|у|ы|ь|ю|я"
 )
 
-# (pattern, number of kept groups); unmatched groups are empty in the replacement.
-GERUND = rf"^(?:({_AFTER_A})(?:{_GERUND_AFTER_A})|({_RV})(?:{_GERUND}))\z"
-REFLEXIVE = rf"^({_RV})(?:ся|сь)\z"
-INFLECTION = (
-    rf"^(?:({_AFTER_A})(?:{_PARTICIPLE_AFTER_A})(?:{_ADJECTIVE})"
-    rf"|({_RV})(?:{_PARTICIPLE})(?:{_ADJECTIVE})"
-    rf"|({_RV})(?:{_ADJECTIVE}))\z"
-)
-VERB = rf"^(?:({_AFTER_A})(?:{_VERB_AFTER_A})|({_RV})(?:{_VERB}))\z"
-NOUN = rf"^({_RV})(?:{_NOUN})\z"
-FINAL_I = rf"^({_RV})и\z"
-DERIVED = rf"^({_R2})(?:ость|ост)\z"
-SOFT = rf"^({_RV})ь\z"
-SUPERLATIVE = rf"^({_RV})(?:ейше|ейш)\z"
-DOUBLE_N = rf"^({_RV}н)н\z"
+GERUND = rf"(?:(?<=[ая])(?:{_GERUND_AFTER_A})|{_GERUND})\z"
+REFLEXIVE = r"(?:ся|сь)\z"
+ADJECTIVAL = rf"(?:(?<=[ая])(?:{_PARTICIPLE_AFTER_A})|{_PARTICIPLE})?(?:{_ADJECTIVE})\z"
+VERB = rf"(?:(?<=[ая])(?:{_VERB_AFTER_A})|{_VERB})\z"
+NOUN = rf"(?:{_NOUN})\z"
+DERIVED = r"ость?\z"
+SUPERLATIVE = r"ейше?\z"
 
 
-def stem_ru(token: Column) -> Column:
-    """Stem of a lower-case token; tokens without Cyrillic letters pass unchanged."""
+def _last(c: Column, n: int = 1) -> Column:
+    return F.right(c, F.lit(n))
+
+
+def _cut(c: Column, pattern: str) -> Column:
+    return F.regexp_replace(c, pattern, "")
+
+
+def _first_change(c: Column, *steps) -> Column:
+    """Result of the first step that changes c, else of the last step."""
+    if len(steps) == 1:
+        return steps[0](c)
+    return let(steps[0](c), lambda r: F.when(r != c, r).otherwise(_first_change(c, *steps[1:])))
+
+
+def _inflection(rest: Column) -> Column:
+    """Step 1: gerund, else reflexive and then adjective, verb or noun ending."""
+
+    def gerund(c: Column) -> Column:
+        return F.when(_last(c).isin("в", "и", "ь"), _cut(c, GERUND)).otherwise(c)
+
+    def others(c: Column) -> Column:
+        plain = F.when(_last(c, 2).isin("ся", "сь"), _cut(c, REFLEXIVE)).otherwise(c)
+        return let(plain, lambda p: _first_change(
+            p, lambda x: _cut(x, ADJECTIVAL), lambda x: _cut(x, VERB), lambda x: _cut(x, NOUN)
+        ))
 
-    def cut(c: Column, pattern: str, groups: int = 1) -> Column:
-        return F.regexp_replace(c, pattern, "".join(f"${g + 1}" for g in range(groups)))
+    return _first_change(rest, gerund, others)
 
-    def inflected(c: Column) -> Column:
-        return (
-            F.when(c.rlike(INFLECTION), cut(c, INFLECTION, 3))
-            .when(c.rlike(VERB), cut(c, VERB, 2))
-            .otherwise(cut(c, NOUN))
-        )
 
-    plain = F.translate(token, "ё", "е")
-    step1 = F.when(plain.rlike(GERUND), cut(plain, GERUND, 2)).otherwise(
-        F.get(F.transform(F.array(cut(plain, REFLEXIVE)), inflected), F.lit(0))
+def _derivation(start: Column, rest: Column) -> Column:
+    """Step 3: derivational ending inside R2."""
+
+    def cut(r2: Column) -> Column:
+        kept = F.length(_cut(F.concat(start, rest), DERIVED))
+        return F.when((r2 > 0) & (kept >= r2), F.substring(rest, F.lit(1), kept - F.length(start))).otherwise(rest)
+
+    word = F.concat(start, rest)
+    return F.when(
+        _last(rest, 3).isin("ост", "сть"), let(F.length(F.regexp_extract(word, R2, 0)), cut)
+    ).otherwise(rest)
+
+
+def _tidy(rest: Column) -> Column:
+    """Step 4: soft sign, or superlative and doubled н."""
+
+    def single_n(c: Column) -> Column:
+        return F.when(_last(c, 2) == "нн", F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(c)
+
+    return (
+        F.when(_last(rest) == "ь", F.substring(rest, F.lit(1), F.length(rest) - 1))
+        .when(_last(rest, 3).isin("ейш", "йше"), let(_cut(rest, SUPERLATIVE), single_n))
+        .otherwise(single_n(rest))
     )
 
-    def tidy(c: Column) -> Column:
-        return F.when(F.endswith(c, F.lit("ь")), cut(c, SOFT)).otherwise(
-            cut(cut(c, SUPERLATIVE), DOUBLE_N)
-        )
 
-    derived = cut(cut(step1, FINAL_I), DERIVED)
-    stem = F.get(F.transform(F.array(derived), tidy), F.lit(0))
-    return F.when(token.rlike("[а-яё]"), stem).otherwise(token)
+def stem_ru(token: Column) -> Column:
+    """Stem of a lower-case token; tokens without Cyrillic letters pass unchanged."""
+
+    def drop_i(c: Column) -> Column:
+        return F.when(_last(c) == "и", F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(c)
+
+    def of_word(word: Column) -> Column:
+        def of_rest(start: Column) -> Column:
+            rest = F.substring(word, F.length(start) + 1, F.length(word))
+            stripped = let(_inflection(rest), drop_i)
+            short = let(stripped, lambda r: let(_derivation(start, r), _tidy))
+            return F.when(start == "", word).otherwise(F.concat(start, short))
+
+        return let(F.regexp_extract(word, FIRST_VOWEL, 0), of_rest)
+
+    return F.when(token.rlike("[а-яё]"), let(F.translate(token, "ё", "е"), of_word)).otherwise(token)

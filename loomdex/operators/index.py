@@ -67,9 +67,9 @@ def postings(
     """
     rows = field_tokens(docs, fields or field_columns()).select(
         "doc_key", "field", F.size("tokens").cast("bigint").alias("n_tokens"),
-        F.explode("tokens").alias("token"),
+        # Stemming inside the generator runs once per token, whatever is filtered on later.
+        F.explode(F.transform("tokens", stem_ru)).alias("term"),
     )
-    rows = rows.select("doc_key", "field", "n_tokens", stem_ru(F.col("token")).alias("term"))
     if vocabulary is not None:
         rows = rows.join(vocabulary, "term", "left_semi")
     return rows.groupBy("doc_key", "field", "n_tokens", "term").agg(F.count("*").alias("tf"))
@@ -92,8 +92,12 @@ def located_postings(docs: DataFrame, fields: Mapping[str, Column] | None = None
 
 
 def document_frequencies(posting_rows: DataFrame) -> DataFrame:
-    """(field, term, df); counts are combined before the shuffle, so frequent terms stay small."""
-    return posting_rows.groupBy("field", "term").agg(F.count("*").alias("df"))
+    """(field, term, df); counts are combined before the shuffle, so frequent terms stay small.
+
+    Reading `tf` keeps the input plan equal to the one that is scored: Spark computes it once.
+    """
+    present = F.when(F.col("tf") > 0, 1).otherwise(0)
+    return posting_rows.groupBy("field", "term").agg(F.sum(present).alias("df"))
 
 
 def known_urls(urls: DataFrame, index_docs: DataFrame) -> DataFrame:

@@ -126,7 +126,8 @@ def matches(
     terms = query_terms(queries, stop)
     post, frequencies = lookup(index, terms, small)
     weights = term_weights(terms, frequencies, index.n_docs)
-    return match(post.filter(F.col("field").isin(*fields)), weights, small)
+    found = match(post, weights, small)
+    return found if set(fields) == set(FIELDS) else found.filter(F.col("field").isin(*fields))
 
 
 def scores(index: Index, queries: DataFrame, stop: list[str] | None = None) -> DataFrame:

@@ -45,16 +45,16 @@ def probe_keys(term: Column, k: int = FUZZINESS) -> Column:
     """All pieces of `term` that a vocabulary term within k edits could share with it."""
     n = F.length(term)
 
+    def shifted(size: Column, i: int) -> Column:
+        first = F.floor(size * i / (k + 1)).cast("int")
+        width = F.floor(size * (i + 1) / (k + 1)).cast("int") - first
+        lo, hi = F.greatest(F.lit(0), first - k), F.least(n - width, first + k)
+        return F.when(hi >= lo, F.transform(F.sequence(lo, hi), lambda p: F.struct(
+            size.cast("int").alias("len"), F.lit(i).alias("no"), F.substring(term, p + 1, width).alias("piece")
+        )))
+
     def of_length(size: Column) -> Column:
-        per_piece = []
-        for i in range(k + 1):
-            first = F.floor(size * i / (k + 1)).cast("int")
-            width = F.floor(size * (i + 1) / (k + 1)).cast("int") - first
-            lo, hi = F.greatest(F.lit(0), first - k), F.least(n - width, first + k)
-            per_piece.append(F.when(hi >= lo, F.transform(F.sequence(lo, hi), lambda p, width=width, i=i: F.struct(
-                size.cast("int").alias("len"), F.lit(i).alias("no"), F.substring(term, p + 1, width).alias("piece")
-            ))))
-        return F.flatten(F.filter(F.array(*per_piece), lambda a: a.isNotNull()))
+        return F.flatten(F.filter(F.array(*[shifted(size, i) for i in range(k + 1)]), lambda a: a.isNotNull()))
 
     sizes = F.sequence(F.greatest(F.lit(1), n - k), n + k)
     return F.array_distinct(F.flatten(F.transform(sizes, of_length)))
