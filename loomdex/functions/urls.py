@@ -120,7 +120,7 @@ def fold_dots(path: Column) -> Column:
 
     folded = F.array_join(F.aggregate(F.split(path, "/"), empty, step), "/")
     closing = path.rlike(r"/\.\.?\z")
-    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|\z)"), F.when(closing, F.concat(folded, F.lit("/"))).otherwise(folded)).otherwise(path)
+    return F.when(closing, F.concat(folded, F.lit("/"))).otherwise(folded)
 
 
 def resolve(base: Column, href: Column) -> Column:
@@ -130,14 +130,19 @@ def resolve(base: Column, href: Column) -> Column:
     scheme = F.regexp_extract(base, r"(?i)^(https?:)", 1)
     base_path = F.regexp_extract(base, r"(?i)^https?://[^/?#]*([^?#]*)", 1)
     folder = F.when(base_path == "", F.lit("/")).otherwise(F.regexp_extract(base_path, r"^(.*/)", 1))
-    ref_path = F.regexp_extract(ref, r"^([^?]*)", 1)
-    ref_query = F.substring(ref, F.length(ref_path) + 1, F.length(ref))
-    return (
-        F.when(F.startswith(trim_space(href), F.lit("#")), "")
-        .when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), ref)
+    joined = (
+        F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), ref)
         .when(F.startswith(ref, F.lit("//")), F.concat(scheme, ref))
-        .when(F.startswith(ref, F.lit("/")), F.concat(origin, fold_dots(ref_path), ref_query))
+        .when(F.startswith(ref, F.lit("/")), F.concat(origin, ref))
         .when(ref == "", F.regexp_replace(base, r"#.*\z", ""))
         .when(F.startswith(ref, F.lit("?")), F.concat(origin, base_path, ref))
-        .otherwise(F.concat(origin, fold_dots(F.concat(folder, ref_path)), ref_query))
+        .otherwise(F.concat(origin, folder, ref))
     )
+
+    def folded(u: Column) -> Column:
+        site = F.regexp_extract(u, r"(?i)^(https?://[^/?#]*)", 1)
+        path = F.regexp_extract(u, r"(?i)^https?://[^/?#]*([^?#]*)", 1)
+        query = F.substring(u, F.length(site) + F.length(path) + 1, F.length(u))
+        return F.when(path.rlike(r"/\.\.?(?:/|\z)"), F.concat(site, fold_dots(path), query)).otherwise(u)
+
+    return F.when(F.startswith(trim_space(href), F.lit("#")), "").otherwise(let(joined, folded))
