@@ -101,6 +101,15 @@ def scrub(x: str) -> str:
     return x
 
 
+# The checking engine counts edits in bytes; the accented letters of the tables become one byte each.
+ACCENTED = "éèêçäöüßóíñÉÈÊÇÄÖÜÓÍÑ"
+ONE_BYTE = "".join(f"chr({n}) || " for n in [*range(1, 9), *range(14, 27)])[:-4]
+
+
+def edits(a: str, b: str) -> str:
+    return f"levenshtein(translate({a}, {q(ACCENTED)}, {ONE_BYTE}), translate({b}, {q(ACCENTED)}, {ONE_BYTE}))"
+
+
 # --- inputs --------------------------------------------------------------------------------
 
 VARIANTS = (
@@ -573,9 +582,9 @@ mw as (select query_id, {meaningful('q')} as ws from {asked}),
 qtok as (select query_id, unnest(regexp_extract_all({fold("array_to_string(ws, ' ')")}, {q(TOKEN)})) as token from mw),
 qvoc as (select distinct token from qtok where token not in {inlist(vocab.RUSSIAN_STOP)}), {stems_sql('qvoc', 'qstems')},
 known_terms as (select distinct term from post),
-near as (select a.term, b.term as similar from (select distinct stem as term from qstems) a join known_terms b
-  on length(b.term) between length(a.term) - 2 and length(a.term) + 2 where levenshtein(a.term, b.term) <= 2),
-qexp as (select query_id, similar as term from qtok join qstems using (token) join near on stem = near.term),
+near as (select a.term, b.term as sim from (select distinct stem as term from qstems) a join known_terms b
+  on length(b.term) between length(a.term) - 2 and length(a.term) + 2 where {edits('a.term', 'b.term')} <= 2),
+qexp as (select query_id, sim as term from qtok join qstems using (token) join near on stem = near.term),
 qterms as (select query_id, term, count(*) as reps, sum(count(*)) over (partition by query_id) as n_terms from qexp group by query_id, term),
 {weights_sql(['all'])},
 top as (select query_id, doc_key, score, rank from (select *, row_number() over (partition by query_id order by score desc, doc_key) as rank from scored) where rank <= 3),
@@ -583,7 +592,7 @@ dw as (select distinct query_id, word from (select query_id, unnest({words(fold(
   where length(word) > 2 and word not in {inlist(vocab.QUERY_STOP)}),
 qw as (select distinct query_id, unnest(ws) as word from mw),
 missing as (select query_id, word from qw where not exists (select 1 from dw where dw.query_id = qw.query_id and dw.word = qw.word)),
-pairs as (select m.query_id, m.word, d.word as correction, levenshtein(m.word, d.word) as dist from missing m join dw d
+pairs as (select m.query_id, m.word, d.word as correction, {edits('m.word', 'd.word')} as dist from missing m join dw d
   on m.query_id = d.query_id and abs(length(m.word) - length(d.word)) <= 3),
 fixes as (select query_id, word, correction, dist::bigint as dist from pairs where dist <= 3
   qualify row_number() over (partition by query_id, word order by dist, correction) = 1),
@@ -597,7 +606,7 @@ ORACLE["suggest_words"] = f"with {MISSPELT} select query_id, array_to_string({me
 ORACLE["suggest_distance"] = f"""
 with w as (select lang, doc_id, unnest(x) as a, generate_subscripts(x, 1) as i from (select lang, doc_id, {words('text')} as x from documents)),
 p as (select lang, a, lead(a) over (partition by doc_id order by i) as b from w)
-select lang, least(levenshtein(a, b), 4)::bigint as dist, count(*) as n from p where b is not null group by all"""
+select lang, least({edits('a', 'b')}, 4)::bigint as dist, count(*) as n from p where b is not null group by all"""
 _SUGGEST = f"with {corpus()}, {MISSPELT}, {suggest_sql('asked')}"
 ORACLE["suggest_fuzzy_docs"] = f"{_SUGGEST} select query_id, doc_key, rank, round(score, 6) as score from top"
 ORACLE["suggest_vocab"] = f"{_SUGGEST} select query_id, word from dw"
@@ -639,9 +648,9 @@ best as (select c.query_id, c.doc_key, t, s, e, score from cands c left join lim
 
 def window_sql(source: str) -> str:
     """CTEs from source(query_id, doc_key, t, at) to win(..., ws, we)."""
-    back = "list_max(list_filter(range(0, least(at, 150) + 1), lambda k: strlen(substr(t, at - k + 1, k)) <= 150))"
+    back = "list_max(list_filter(range(0, least(at0, 150) + 1), lambda k: strlen(substr(t, at0 - k + 1, k)) <= 150))"
     return f"""
-w1 as (select *, at - length(regexp_extract(substr(t, at - {back} + 1, {back}), '([^.!?\\n]*)\\z', 1)) as s0 from {source}),
+w1 as (select *, at0 - length(regexp_extract(substr(t, at0 - {back} + 1, {back}), '([^.!?\\n]*)\\z', 1)) as s0 from {source}),
 w2 as (select * exclude (s0), s0 + length(regexp_extract(substr(t, s0 + 1), '^[ \\t\\n\\r]*', 0)) as ws from w1),
 w3 as (select *, {bytes_cut('substr(t, ws + 1)', 250)} as cut from w2),
 w4 as (select *, regexp_extract(cut, '(?s)^(.*) [^ ]*\\z', 1) as blank from w3),
@@ -653,7 +662,7 @@ _columns = "query_id, doc_key"
 ORACLE["snippet_candidates"] = f'with {CANDIDATES} select {_columns}, word_no, occurrence, s as start, e as "end", score from cands'
 ORACLE["snippet_best"] = f'with {BEST} select {_columns}, s as start, e as "end", score from best'
 ORACLE["snippet_window"] = f"""
-with {BEST}, anchors as (select query_id, doc_key, t, s as at from best), {window_sql('anchors')}
+with {BEST}, anchors as (select query_id, doc_key, t, s as at0 from best), {window_sql('anchors')}
 select {_columns}, ws::bigint as start, we as "end" from win"""
 
 
@@ -676,7 +685,7 @@ found as (select query_id, doc_key, s, e from (select query_id, doc_key from hit
 rng as (select *, false as chosen from found union all select query_id, doc_key, s, e, true from best b
   where exists (select 1 from found f where f.query_id = b.query_id and f.doc_key = b.doc_key)
   and not exists (select 1 from found f where f.query_id = b.query_id and f.doc_key = b.doc_key and f.s = b.s and f.e = b.e)),
-anchors as (select h.query_id, h.doc_key, t, coalesce(any_value(b.s), min(f.s)) as at from hits h join found f using (query_id, doc_key)
+anchors as (select h.query_id, h.doc_key, t, coalesce(any_value(b.s), min(f.s)) as at0 from hits h join found f using (query_id, doc_key)
   left join (select query_id, doc_key, s from best) b using (query_id, doc_key) group by all),
 {window_sql('anchors')},
 clipped as (select query_id, doc_key, t, ws, we, chosen, s as s0, e as e0, greatest(s, ws) as s, least(e, we) as e from rng join win using (query_id, doc_key) where e > ws and s < we),
@@ -731,26 +740,26 @@ ORACLE["kwic_words"] = f"with {KWIC_DOCS} select doc_id, array_to_string({kwic_w
 ORACLE["light_stem"] = f"with {CYR_VOCABULARY} select token, {light('token')} as stem from voc"
 KWIC_FOUND = f"""{KWIC_DOCS},
 kw as (select doc_id, t, unnest(ws) as word, (generate_subscripts(ws, 1) - 1)::bigint as word_no from (select doc_id, t, {kwic_words('q')} as ws from asked)),
-direct as (select doc_id, word, word_no, instr({fold('t')}, word) - 1 as at from kw),
+direct as (select doc_id, word, word_no, instr({fold('t')}, word) - 1 as at0 from kw),
 {spans_sql('asked', 'doc_id', 't', 'sp', 'length', '(?i)[а-яёa-z]+')},
 ktok as (select doc_id, s, piece, {fold('piece')} as low, {light('piece')} as stem from sp),
-lost as (select doc_id, word, word_no, {light('word')} as ws from direct where at < 0),
-by_stem as (select l.doc_id, l.word_no, min(k.s) as at, arg_min(k.piece, k.s) as matched from lost l join ktok k
+lost as (select doc_id, word, word_no, {light('word')} as ws from direct where at0 < 0),
+by_stem as (select l.doc_id, l.word_no, min(k.s) as at0, arg_min(k.piece, k.s) as matched from lost l join ktok k
   on l.doc_id = k.doc_id and (k.stem = l.ws or starts_with(k.low, l.ws)) group by all),
-found as (select d.doc_id, d.word_no, d.word, (case when d.at >= 0 then d.at else coalesce(b.at, -1) end)::bigint as at,
-  case when d.at >= 0 then d.word else coalesce(matched, '') end as matched
+found as (select d.doc_id, d.word_no, d.word, (case when d.at0 >= 0 then d.at0 else coalesce(b.at0, -1) end)::bigint as at0,
+  case when d.at0 >= 0 then d.word else coalesce(matched, '') end as matched
   from direct d left join by_stem b on d.doc_id = b.doc_id and d.word_no = b.word_no)"""
 EXCERPTS = f"""{KWIC_FOUND},
-firsts as (select doc_id, at, matched from found where at >= 0 qualify row_number() over (partition by doc_id order by word_no) = 1),
-edges as (select doc_id, t, q, at, at + length(matched) as stop, greatest(0, at - 150) as a0, least(length(t), at + length(matched) + 150) as b0
+firsts as (select doc_id, at0, matched from found where at0 >= 0 qualify row_number() over (partition by doc_id order by word_no) = 1),
+edges as (select doc_id, t, q, at0, at0 + length(matched) as stop, greatest(0, at0 - 150) as a0, least(length(t), at0 + length(matched) + 150) as b0
   from asked join firsts using (doc_id)),
-gaps as (select *, instr(substr(t, a0 + 1, at - a0), ' ') as gap, substr(t, stop + 2, b0 - stop) as behind from edges),
+gaps as (select *, instr(substr(t, a0 + 1, at0 - a0), ' ') as gap, substr(t, stop + 2, b0 - stop) as behind from edges),
 cuts as (select *, case when a0 > 0 and gap > 0 then a0 + gap else a0 end as a,
   case when b0 < length(t) and contains(behind, ' ') then stop + 1 + length(regexp_extract(behind, '(?s)^(.*) [^ ]*\\z', 1)) else b0 end as b from gaps),
 excerpts as (select x.doc_id, x.q, case when c.doc_id is null then case when length(x.t) > 200 then left(x.t, 200) || '...' else x.t end
   else case when a > 0 then '...' else '' end || substr(c.t, a + 1, b - a) || case when b < length(c.t) then '...' else '' end end as excerpt
   from asked x left join cuts c on x.doc_id = c.doc_id)"""
-ORACLE["kwic_find"] = f"with {KWIC_FOUND} select doc_id, word_no, word, at, matched from found"
+ORACLE["kwic_find"] = f'with {KWIC_FOUND} select doc_id, word_no, word, at0 as "at", matched from found'
 ORACLE["kwic_snippet"] = f"with {EXCERPTS} select doc_id, excerpt from excerpts"
 _pattern = f"'(?i)(?:' || array_to_string(list_transform({kwic_words('q')}, lambda w: {light('w')}), '|') || ')[а-яёa-z]*'"
 ORACLE["kwic_highlight"] = f"""
