@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomdex.functions.analysis import analyzed_spans, is_query_stop
+from loomdex.functions.analysis import is_index_stop, is_query_stop, token_spans
 from loomdex.functions.arrays import let, longest_within, running_sum
+from loomdex.functions.stemmer import stem_ru
 from loomdex.functions.text import (
     fold_case, html_escape, is_boilerplate_line, strip_combining, trim_space, truncate, words,
 )
@@ -197,10 +198,18 @@ def mark(text: Column, ranges: Column, win: Column, stop: list[str] | None = Non
 
 def term_ranges(text: Column, terms: Column) -> Column:
     """Character ranges of the tokens whose index term is one of `terms`."""
+
+    def is_match(token: Column) -> Column:
+        # A stem is a prefix of its token, so most tokens are ruled out before any stemming.
+        plain = F.translate(token, "ё", "е")
+        return (
+            F.exists(terms, lambda t: F.startswith(plain, t))
+            & ~is_index_stop(token)
+            & F.array_contains(terms, stem_ru(token))
+        )
+
     return F.transform(
-        F.filter(
-            analyzed_spans(text, F.length), lambda s: F.array_contains(terms, s["term"])
-        ),
+        F.filter(token_spans(text, F.length), lambda s: is_match(s["token"])),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")),
     )
 

@@ -39,6 +39,10 @@ ADJECTIVAL = rf"(?:(?<=[ая])(?:{_PARTICIPLE_AFTER_A})|{_PARTICIPLE})?(?:{_ADJE
 VERB = rf"(?:(?<=[ая])(?:{_VERB_AFTER_A})|{_VERB})\z"
 NOUN = rf"(?:{_NOUN})\z"
 DERIVED = r"ость?\z"
+# Last letters of the endings: a cheap test before the expression is tried.
+ADJECTIVE_TAILS = sorted({e[-2:] for e in _ADJECTIVE.split("|")})
+VERB_TAILS = sorted({e[-1] for e in (_VERB_AFTER_A + "|" + _VERB).split("|")})
+NOUN_TAILS = sorted({e[-1] for e in _NOUN.split("|")})
 SUPERLATIVE = r"ейше?\z"
 
 
@@ -66,7 +70,10 @@ def _inflection(rest: Column) -> Column:
     def others(c: Column) -> Column:
         plain = F.when(_last(c, 2).isin("ся", "сь"), _cut(c, REFLEXIVE)).otherwise(c)
         return let(plain, lambda p: _first_change(
-            p, lambda x: _cut(x, ADJECTIVAL), lambda x: _cut(x, VERB), lambda x: _cut(x, NOUN)
+            p,
+            lambda x: F.when(_last(x, 2).isin(ADJECTIVE_TAILS), _cut(x, ADJECTIVAL)).otherwise(x),
+            lambda x: F.when(_last(x).isin(VERB_TAILS), _cut(x, VERB)).otherwise(x),
+            lambda x: F.when(_last(x).isin(NOUN_TAILS), _cut(x, NOUN)).otherwise(x),
         ))
 
     return _first_change(rest, gerund, others)

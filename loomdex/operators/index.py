@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomdex.functions.analysis import analyzed_spans, index_tokens
+from loomdex.functions.arrays import let
 from loomdex.functions.stemmer import stem_ru
 
 FIELDS = ("title", "content")
@@ -55,24 +56,40 @@ def field_lengths(docs: DataFrame, fields: Mapping[str, Column] | None = None) -
     return per_field.select("doc_key", "field", F.size("tokens").cast("bigint").alias("n_tokens"))
 
 
+def term_counts(tokens: Column) -> Column:
+    """array<struct<term,tf>> of one text: stems are sorted and runs of equal ones measured.
+
+    Counting inside the row needs no shuffle, which grouping by document and term would.
+    """
+
+    def runs(terms: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(terms) - 1),
+            lambda i: (i == 0) | (F.get(terms, i) != F.get(terms, i - 1)),
+        )
+        return let(starts, lambda at: F.transform(at, lambda first, j: F.struct(
+            F.get(terms, first).alias("term"),
+            (F.coalesce(F.get(at, j + 1), F.size(terms)) - first).cast("bigint").alias("tf"),
+        )))
+
+    return F.when(F.size(tokens) > 0, let(F.sort_array(F.transform(tokens, stem_ru)), runs))
+
+
 def postings(
     docs: DataFrame,
     fields: Mapping[str, Column] | None = None,
     vocabulary: DataFrame | None = None,
 ) -> DataFrame:
-    """(doc_key, field, term, tf, n_tokens).
+    """(doc_key, field, term, tf, n_tokens), without a shuffle.
 
-    With `vocabulary(term)` only those terms are kept, before anything is shuffled. Documents
-    partitioned by `doc_key` need no further shuffle for the counts.
+    With `vocabulary(term)` only those terms are kept.
     """
     rows = field_tokens(docs, fields or field_columns()).select(
         "doc_key", "field", F.size("tokens").cast("bigint").alias("n_tokens"),
-        # Stemming inside the generator runs once per token, whatever is filtered on later.
-        F.explode(F.transform("tokens", stem_ru)).alias("term"),
+        F.explode(term_counts(F.col("tokens"))).alias("p"),
     )
-    if vocabulary is not None:
-        rows = rows.join(vocabulary, "term", "left_semi")
-    return rows.groupBy("doc_key", "field", "n_tokens", "term").agg(F.count("*").alias("tf"))
+    rows = rows.select("doc_key", "field", "n_tokens", "p.term", "p.tf")
+    return rows if vocabulary is None else rows.join(vocabulary, "term", "left_semi")
 
 
 def located_postings(docs: DataFrame, fields: Mapping[str, Column] | None = None) -> DataFrame:
@@ -94,9 +111,10 @@ def located_postings(docs: DataFrame, fields: Mapping[str, Column] | None = None
 def document_frequencies(posting_rows: DataFrame) -> DataFrame:
     """(field, term, df); counts are combined before the shuffle, so frequent terms stay small.
 
-    Reading `tf` keeps the input plan equal to the one that is scored: Spark computes it once.
+    Reading `tf` and `n_tokens` keeps the input plan equal to the one that is scored, so that Spark
+    computes the shuffled postings once for both.
     """
-    present = F.when(F.col("tf") > 0, 1).otherwise(0)
+    present = F.when((F.col("tf") > 0) & (F.col("n_tokens") > 0), 1).otherwise(0)
     return posting_rows.groupBy("field", "term").agg(F.sum(present).alias("df"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomdex.operators import search
 from loomdex.operators.suggest import suggest
+from loomdex.session import cut_lineage
 from loomdex.sources.store import Index
 
 
@@ -19,7 +20,8 @@ def respond(index: Index, queries: DataFrame, stop: list[str] | None = None) ->
 
     Suggestions are computed only for queries whose page is empty.
     """
-    scored = search.scores(index, queries, stop)
+    # Pages, totals and the unanswered queries all read the scores: computed once, then kept.
+    scored = cut_lineage(search.scores(index, queries, stop))
     rows = search.results(index, queries, scored, stop)
     hit = F.struct(
         "rank", F.lit(0).alias("id"), _blank_to_null("url").alias("url"), "title",
@@ -29,11 +31,16 @@ def respond(index: Index, queries: DataFrame, stop: list[str] | None = None) ->
     # A page holds at most 50 hits, so the list per query is small.
     listed = rows.groupBy("query_id").agg(F.array_sort(F.collect_list(hit)).alias("hits"))
     listed = listed.withColumn("results", F.transform("hits", lambda h: h.dropFields("rank")))
-    answered = queries.join(listed.drop("hits"), "query_id", "left").join(
+    listed = cut_lineage(listed.drop("hits"))
+    answered = queries.join(listed, "query_id", "left").join(
         search.totals(scored).select("query_id", "total"), "query_id", "left"
     )
     unanswered = queries.join(listed.select("query_id"), "query_id", "left_anti")
-    hints = suggest(index, unanswered.filter("q <> ''"), stop)
+    unanswered = unanswered.filter("q <> ''")
+    if unanswered.isEmpty():
+        hints = unanswered.select("query_id", F.lit("").alias("suggestion"))
+    else:
+        hints = suggest(index, unanswered, stop)
     total = F.coalesce("total", F.lit(0).cast("bigint"))
     none = F.slice("results", 1, 0)
     return answered.join(hints, "query_id", "left").select(

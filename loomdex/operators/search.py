@@ -46,13 +46,14 @@ def query_terms(queries: DataFrame, stop: list[str] | None = None) -> DataFrame:
 def term_weights(
     terms: DataFrame, frequencies: DataFrame, n_docs: Column, fields=FIELDS
 ) -> DataFrame:
-    """(query_id, field, term, reps, n_terms, idf, query_norm) for every query term and field."""
+    """(query_id, field, term, reps, n_terms, weight) for every query term and field."""
     wanted = terms.withColumn("field", F.explode(F.array(*[F.lit(f) for f in fields])))
     idf = 1 + F.log(n_docs / (F.coalesce(F.col("df"), F.lit(0)) + 1.0))
     weighted = wanted.join(frequencies, ["field", "term"], "left").withColumn("idf", idf)
     # One query's terms fit in a row of the query table, so this window is small.
     norm = 1 / F.sqrt(F.sum(F.col("reps") * F.col("idf") * F.col("idf")).over(Window.partitionBy("query_id")))
-    return weighted.withColumn("query_norm", norm).drop("df")
+    weight = F.col("reps") * F.col("idf") * F.col("idf") * norm
+    return weighted.select("query_id", "field", "term", "reps", "n_terms", weight.alias("weight"))
 
 
 def match(post: DataFrame, weights: DataFrame, small: bool) -> DataFrame:
@@ -61,6 +62,8 @@ def match(post: DataFrame, weights: DataFrame, small: bool) -> DataFrame:
     Small query tables are broadcast. Otherwise both sides are shuffled with a salt, so a term
     found in a third of all documents is spread over several tasks.
     """
+    density = F.sqrt("tf") / F.sqrt("n_tokens")
+    post = post.select("doc_key", "field", "term", density.alias("density"))
     if small:
         return post.join(F.broadcast(weights), ["field", "term"])
     copies = weights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(HOT_SPLITS - 1))))
@@ -69,9 +72,7 @@ def match(post: DataFrame, weights: DataFrame, small: bool) -> DataFrame:
 
 def field_scores(matches: DataFrame) -> DataFrame:
     """(query_id, doc_key, field, matched, score) before combining fields."""
-    part = (
-        F.col("reps") * F.sqrt("tf") / F.sqrt("n_tokens") * F.col("idf") * F.col("idf") * F.col("query_norm")
-    )
+    part = F.col("weight") * F.col("density")
     return matches.groupBy("query_id", "doc_key", "field", "n_terms").agg(
         F.sum("reps").alias("matched"), F.sum(part).alias("raw")
     ).select(
@@ -82,9 +83,7 @@ def field_scores(matches: DataFrame) -> DataFrame:
 
 def combined_scores(matches: DataFrame, fields=FIELDS) -> DataFrame:
     """(query_id, doc_key, score): at least one field matches, field scores are summed."""
-    part = (
-        F.col("reps") * F.sqrt("tf") / F.sqrt("n_tokens") * F.col("idf") * F.col("idf") * F.col("query_norm")
-    )
+    part = F.col("weight") * F.col("density")
     sums = []
     for f in fields:
         here = F.col("field") == f
@@ -108,10 +107,13 @@ def lookup(index: Index, terms: DataFrame, small: bool, fields=None, names=FIELD
     wanted = terms.select("term").distinct()
     stored = index.post_all if names == ("all",) else index.post
     if stored is None:
+        # Only postings of query terms are shuffled, by document: every later step of the scoring
+        # groups by document and needs no further shuffle.
         post = postings(index.docs, fields, F.broadcast(wanted) if small else wanted)
+        post = post.repartition("doc_key")
         return post, document_frequencies(post)
     # The bucket column lets the scan skip buckets without a wanted term.
-    keyed = wanted.withColumn("term_bucket", term_bucket(F.col("term")))
+    keyed = wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.buckets))
     keyed = F.broadcast(keyed) if small else keyed
     post = stored.join(keyed, ["term_bucket", "term"], "left_semi")
     frequencies = index.term_df.filter(F.col("field").isin(*names))

@@ -9,7 +9,7 @@ from loomdex.functions.analysis import analyze, is_query_stop
 from loomdex.functions.text import fold_case, words
 from loomdex.operators.index import everything
 from loomdex.operators.search import combined_scores, lookup, match, ranked, term_weights
-from loomdex.session import fits_broadcast
+from loomdex.session import cut_lineage, fits_broadcast
 from loomdex.sources.store import Index
 
 FUZZINESS = 2
@@ -42,13 +42,18 @@ def segment_keys(term: Column, k: int = FUZZINESS) -> Column:
 
 
 def probe_keys(term: Column, k: int = FUZZINESS) -> Column:
-    """All pieces of `term` that a vocabulary term within k edits could share with it."""
+    """All pieces of `term` that a vocabulary term within k edits could share with it.
+
+    With a piece moved by x and lengths differing by d, the text before it takes |x| edits and the
+    text after it |d - x|, so only shifts with |x| + |d - x| <= k are tried.
+    """
     n = F.length(term)
 
     def shifted(size: Column, i: int) -> Column:
         first = F.floor(size * i / (k + 1)).cast("int")
         width = F.floor(size * (i + 1) / (k + 1)).cast("int") - first
-        lo, hi = F.greatest(F.lit(0), first - k), F.least(n - width, first + k)
+        lo = F.greatest(F.lit(0), first + F.ceil((n - size - k) / 2).cast("int"))
+        hi = F.least(n - width, first + F.floor((n - size + k) / 2).cast("int"))
         return F.when(hi >= lo, F.transform(F.sequence(lo, hi), lambda p: F.struct(
             size.cast("int").alias("len"), F.lit(i).alias("no"), F.substring(term, p + 1, width).alias("piece")
         )))
@@ -96,12 +101,13 @@ def fuzzy_terms(index: Index, queries: DataFrame, small: bool, stop: list[str] |
 def fuzzy_documents(index: Index, queries: DataFrame, stop: list[str] | None = None) -> DataFrame:
     """(query_id, doc_key, score, rank): the three best documents for the fuzzy query."""
     small = fits_broadcast(queries, "q")
-    expanded = fuzzy_terms(index, queries, small, stop)
-    # The expansion grows with the vocabulary, so its own size decides how it is joined.
+    # The expansion grows with the vocabulary, so its own size decides how it is joined. It is used
+    # four times below and small next to the postings, so it is kept.
+    expanded = cut_lineage(fuzzy_terms(index, queries, small, stop))
     small = small and fits_broadcast(expanded, "term")
     post, frequencies = lookup(index, expanded, small, fields=everything(), names=FIELD)
     weights = term_weights(expanded, frequencies, index.n_docs, FIELD)
-    return ranked(combined_scores(match(post, weights, small), FIELD), TOP_DOCS)
+    return cut_lineage(ranked(combined_scores(match(post, weights, small), FIELD), TOP_DOCS))
 
 
 def document_words(docs: DataFrame, stop: list[str] | None = None) -> Column:

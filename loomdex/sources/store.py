@@ -11,7 +11,6 @@ from loomdex.operators.index import (
     document_frequencies, everything, field_columns, latest, postings, salt,
 )
 
-TERM_BUCKETS = 64
 DOCUMENT_COLUMNS = ("doc_key", "url", "title", "content", "file_path", "file_type", "content_hash")
 
 
@@ -23,13 +22,14 @@ class Index:
     post: DataFrame | None = None
     post_all: DataFrame | None = None
     term_df: DataFrame | None = None
+    buckets: int = 1
 
     @property
     def n_docs(self) -> Column:
         return self.docs.agg(F.count("*")).scalar()
 
 
-def term_bucket(term: Column, buckets: int = TERM_BUCKETS) -> Column:
+def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
@@ -42,20 +42,21 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", f"{path}/segments").parquet(f"{path}/segments/segment=*")
 
 
-def write_index(docs: DataFrame, path: str) -> str:
+def write_index(docs: DataFrame, path: str, buckets: int = 16) -> str:
     """Build a new version from the last write of every key and record it; returns its folder.
 
     Postings are laid out by term bucket. The extra salt spreads a bucket over several writers,
-    so one very frequent term does not end up in a single task.
+    so one very frequent term does not end up in a single task. `buckets` should give files of some
+    hundred megabytes: 16 suits a small corpus, thousands a very large one.
     """
     spark = docs.sparkSession
-    version = latest_version(spark, path) + 1
+    version = latest_version(spark, path)[0] + 1
     home = f"{path}/v={version}"
     current = latest(docs).select(*DOCUMENT_COLUMNS)
     current.write.mode("overwrite").parquet(f"{home}/documents")
     stored = spark.read.parquet(f"{home}/documents")
     fields = field_columns() | everything()
-    rows = postings(stored, fields).withColumn("term_bucket", term_bucket(F.col("term")))
+    rows = postings(stored, fields).withColumn("term_bucket", term_bucket(F.col("term"), buckets))
     (
         rows.repartition("term_bucket", salt())
         .sortWithinPartitions("term_bucket", "field", "term")
@@ -63,22 +64,24 @@ def write_index(docs: DataFrame, path: str) -> str:
     )
     written = spark.read.parquet(f"{home}/postings")
     document_frequencies(written).write.mode("overwrite").parquet(f"{home}/term_stats")
-    spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(f"{path}/versions")
+    record = spark.range(1).select(F.lit(version).alias("version"), F.lit(buckets).alias("buckets"))
+    record.write.mode("append").parquet(f"{path}/versions")
     return home
 
 
-def latest_version(spark: SparkSession, path: str) -> int:
-    """Highest recorded version, 0 when nothing was written yet."""
+def latest_version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Highest recorded version and its bucket count, version 0 when nothing was written yet."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions")
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(folder):
-        return 0
-    return spark.read.parquet(f"{path}/versions").agg(F.max("version")).first()[0] or 0
+        return 0, 1
+    newest = spark.read.parquet(f"{path}/versions").agg(F.max(F.struct("version", "buckets")).alias("v"))
+    return tuple(newest.first().v)
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
     """Current version, or an empty index where none was written."""
-    version = latest_version(spark, path)
+    version, buckets = latest_version(spark, path)
     if version == 0:
         text = ", ".join(f"{c} string" for c in DOCUMENT_COLUMNS)
         return Index(docs=spark.createDataFrame([], text))
@@ -89,4 +92,5 @@ def open_index(spark: SparkSession, path: str) -> Index:
         post=rows.filter(F.col("field").isin("title", "content")),
         post_all=rows.filter("field = 'all'"),
         term_df=spark.read.parquet(f"{home}/term_stats"),
+        buckets=buckets,
     )
