@@ -38,7 +38,7 @@ def read_text_table(spark: SparkSession, folder: str, name: str, key: str) -> Da
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Uploaded files as (path, length, content)."""
+    """Uploaded files as (path, length, content). The file reader itself leaves out empty files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "length", "content")
 
