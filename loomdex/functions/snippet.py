@@ -23,7 +23,6 @@ WORD_CUT_BYTES = 120
 ENOUGH = 300
 BLANKS = r"[ \t\n\r]"
 CANDIDATES = "array<struct<score:int,word_no:int,occurrence:int,start:int,end:int>>"
-RANGES = "array<struct<start:int,end:int>>"
 
 
 def after(text: Column, chars: Column) -> Column:
@@ -41,14 +40,17 @@ def candidate_words(query: Column, stop: list[str] | None = None) -> Column:
 
 
 def candidate_score(text: Column, start: Column, end: Column) -> Column:
-    lead, rest = before(text, start), after(text, end)
-    # The next line counts only when its break is 1..99 bytes away, so 100 characters suffice.
-    next_line = F.regexp_extract(F.substring(rest, 1, 100), r"^([^\n]+)\n", 1)
+    # The next line counts only when its break is 1..99 bytes away, so 100 characters suffice. They
+    # also hold the next visible character, unless all of them are blank.
+    lead, near = before(text, start), F.substring(text, end + 1, F.lit(100))
+    next_line = F.regexp_extract(near, r"^([^\n]+)\n", 1)
+    opener = r"^[\t-\r\x{85}\p{Z}]*[(—–\-]"
+    followed = F.when(trim_space(near) != "", near.rlike(opener)).otherwise(after(text, end).rlike(opener))
     prev_line = F.regexp_extract(lead, r"\n([^\n]*)\z", 1)
     return (
         F.when(F.substring(text, start + 1, F.lit(1)).rlike(r"^\p{Lu}"), 100).otherwise(0)
         + F.when(start == 0, 30).when(lead.rlike(rf"(?:^|[.!?]){BLANKS}*\z"), 50).otherwise(0)
-        + F.when(rest.rlike(r"^[\t-\r\x{85}\p{Z}]*[(—–\-]"), 200).otherwise(0)
+        + F.when(followed, 200).otherwise(0)
         - F.when(
             (F.octet_length(next_line) < 100) & is_boilerplate_line(trim_space(next_line)), 150
         ).otherwise(0)
@@ -199,34 +201,41 @@ def mark(text: Column, ranges: Column, win: Column, stop: list[str] | None = Non
 def term_ranges(text: Column, terms: Column) -> Column:
     """Character ranges of the tokens whose index term is one of `terms`."""
 
-    def is_match(token: Column) -> Column:
-        # A stem is a prefix of its token, so most tokens are ruled out before any stemming.
-        plain = F.translate(token, "ё", "е")
+    def is_match(heads: Column, token: Column) -> Column:
+        # A stem is a prefix of its token: the first letters rule out most tokens before stemming.
+        plain = F.translate(F.left(token, F.lit(2)), "ё", "е")
         return (
-            F.exists(terms, lambda t: F.startswith(plain, t))
+            (F.array_contains(heads, plain) | F.array_contains(heads, F.left(plain, F.lit(1))))
             & ~is_index_stop(token)
             & F.array_contains(terms, stem_ru(token))
         )
 
-    return F.transform(
-        F.filter(token_spans(text, F.length), lambda s: is_match(s["token"])),
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")),
-    )
+    def ranges(heads: Column) -> Column:
+        return F.transform(
+            F.filter(token_spans(text, F.length), lambda s: is_match(heads, s["token"])),
+            lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")),
+        )
 
+    return let(F.transform(terms, lambda t: F.left(t, F.lit(2))), ranges)
 
-def all_ranges(found: Column, best: Column) -> Column:
-    """Token ranges plus the chosen occurrence, ordered by start, longer first."""
-    extra = F.when(best.isNotNull(), F.array(
-        F.struct(best["start"].alias("start"), best["end"].alias("end"))
-    )).otherwise(F.expr(f"cast(array() as {RANGES})"))
-    keyed = F.transform(
-        F.array_union(found, extra),
-        lambda r: F.struct(r["start"].alias("start"), (-r["end"]).alias("neg_end")),
-    )
-    return F.transform(
-        F.array_sort(keyed),
-        lambda r: F.struct(r["start"].alias("start"), (-r["neg_end"]).alias("end")),
-    )
+
+def window_ranges(found: Column, best: Column, win: Column) -> Column:
+    """Ranges inside the window plus the chosen occurrence, ordered by start, longer first."""
+    inside = F.filter(found, lambda r: (r["end"] > win["start"]) & (r["start"] < win["end"]))
+
+    def with_best(shown: Column) -> Column:
+        known = F.exists(shown, lambda r: (r["start"] == best["start"]) & (r["end"] == best["end"]))
+        extra = F.array(F.struct(best["start"].alias("start"), best["end"].alias("end")))
+        joined = F.when(best.isNull() | known, shown).otherwise(F.concat(shown, extra))
+        keyed = F.transform(
+            joined, lambda r: F.struct(r["start"].alias("start"), (-r["end"]).alias("neg_end"))
+        )
+        return F.transform(
+            F.array_sort(keyed),
+            lambda r: F.struct(r["start"].alias("start"), (-r["neg_end"]).alias("end")),
+        )
+
+    return let(inside, with_best)
 
 
 def snippet(text: Column, query: Column, terms: Column, stop: list[str] | None = None) -> Column:
@@ -236,10 +245,11 @@ def snippet(text: Column, query: Column, terms: Column, stop: list[str] | None =
         best = best_candidate(candidates(text, query, stop))
 
         def render(b: Column) -> Column:
-            return let(all_ranges(found, b), lambda ranges: let(
-                window(text, F.coalesce(b["start"], F.get(ranges, F.lit(0))["start"])),
-                lambda w: mark(text, ranges, w, stop),
-            ))
+            anchor = F.coalesce(b["start"], F.get(found, F.lit(0))["start"])
+            return let(
+                let(anchor, lambda at: window(text, at)),
+                lambda w: let(window_ranges(found, b, w), lambda ranges: mark(text, ranges, w, stop)),
+            )
 
         return F.when(F.size(found) == 0, truncate(text)).otherwise(let(best, render))
 
