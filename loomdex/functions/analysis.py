@@ -11,7 +11,8 @@ from loomdex.functions.stemmer import stem_ru
 from loomdex.functions.text import fold_case, words
 
 # Letters, marks, digits and underscore; a single inner apostrophe, dot, colon or middle dot joins.
-TOKEN = r"[\p{L}\p{M}\p{N}_]+(?:['’.:·][\p{L}\p{M}\p{N}_]+)*"
+# The possessive loop matches very long joined runs without recursion.
+TOKEN = r"[\p{L}\p{M}\p{N}_]++(?:['’.:·][\p{L}\p{M}\p{N}_]++)*+"
 
 
 def tokens(text: Column) -> Column:

@@ -9,7 +9,8 @@ from loomdex.functions import vocab
 from loomdex.functions.arrays import any_of, let, pieces, running_sum
 from loomdex.functions.text import normalize_ws, trim_space, wiki_scrub
 
-TAG = r"</?[a-zA-Z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+# Quoted attribute values may hold `>`; a tag with an odd quote ends at the next `>`.
+TAG = r"</?[a-zA-Z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</?[a-zA-Z][^>]*>"
 _ATTRIBUTES = "(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 MARKUP = TAG + r"|<[!?/][^>]*>"
 P_OPEN = rf"(?i)<p(?:\s{_ATTRIBUTES})?>"

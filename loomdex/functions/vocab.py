@@ -105,13 +105,13 @@ DROPPED_TAGS = ["nav", "header", "footer", "aside"]
 DROPPED_CLASSES = ["sidebar", "menu", "reference", "mw-editsection"]
 DROPPED_TABLE_CLASS = "infobox"
 
-# Crawl configuration defaults.
+# Crawl configuration defaults; the agent name is our own.
 CONFIG_DEFAULTS = {
     "max_pages": 100,
     "max_depth": 4,
     "delay_ms": 500,
     "parallelism": 5,
-    "user_agent": "GoSearchEngine/1.0",
+    "user_agent": "loomdex/1.0",
 }
 
 # Upload limits and placeholder texts.

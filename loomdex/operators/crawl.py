@@ -86,5 +86,6 @@ def crawl(
 ) -> DataFrame:
     """(url, depth) of the pages a crawl of the page table visits."""
     kept = safe_links(link_rows(pages), host_ips, allowed)
-    targets = kept.groupBy(F.col("src").alias("url")).agg(F.collect_set("dst").alias("links"))
+    # Every round joins the links again, so they are extracted from the pages only once.
+    targets = cut_lineage(kept.groupBy(F.col("src").alias("url")).agg(F.collect_set("dst").alias("links")))
     return reach(seeds, targets, max_depth)

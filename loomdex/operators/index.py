@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +33,11 @@ def latest(documents: DataFrame, key: str = "doc_key", order: str = "seq") -> Da
     )
 
 
+def document_count(documents: DataFrame) -> DataFrame:
+    """Number of documents after upserts: distinct keys, counted without moving any text."""
+    return documents.agg(F.count_distinct("doc_key").alias("n_docs"))
+
+
 def field_columns(fields=FIELDS) -> dict[str, Column]:
     return {f: F.col(f) for f in fields}
 
@@ -56,23 +61,40 @@ def field_lengths(docs: DataFrame, fields: Mapping[str, Column] | None = None) -
     return per_field.select("doc_key", "field", F.size("tokens").cast("bigint").alias("n_tokens"))
 
 
-def term_counts(tokens: Column) -> Column:
-    """array<struct<term,tf>> of one text: stems are sorted and runs of equal ones measured.
+def runs(items: Column, key: Callable[[Column], Column], build: Callable[..., Column]) -> Column:
+    """build(sorted items, first index, length) for every run of equal keys in a sorted, non-empty array.
 
     Counting inside the row needs no shuffle, which grouping by document and term would.
     """
 
-    def runs(terms: Column) -> Column:
+    def of_sorted(sorted_items: Column) -> Column:
         starts = F.filter(
-            F.sequence(F.lit(0), F.size(terms) - 1),
-            lambda i: (i == 0) | (F.get(terms, i) != F.get(terms, i - 1)),
+            F.sequence(F.lit(0), F.size(sorted_items) - 1),
+            lambda i: (i == 0) | (key(F.get(sorted_items, i)) != key(F.get(sorted_items, i - 1))),
         )
-        return let(starts, lambda at: F.transform(at, lambda first, j: F.struct(
-            F.get(terms, first).alias("term"),
-            (F.coalesce(F.get(at, j + 1), F.size(terms)) - first).cast("bigint").alias("tf"),
+        return let(starts, lambda at: F.transform(at, lambda first, j: build(
+            sorted_items, first, F.coalesce(F.get(at, j + 1), F.size(sorted_items)) - first
         )))
 
-    return F.when(F.size(tokens) > 0, let(F.sort_array(F.transform(tokens, stem_ru)), runs))
+    return F.when(F.size(items) > 0, let(F.sort_array(items), of_sorted))
+
+
+def term_counts(tokens: Column) -> Column:
+    """array<struct<term,tf>> of one text."""
+    return runs(F.transform(tokens, stem_ru), lambda t: t, lambda terms, first, n: F.struct(
+        F.get(terms, first).alias("term"), n.cast("bigint").alias("tf")
+    ))
+
+
+def term_locations(text: Column) -> Column:
+    """array<struct<term,tf,locs>> of one text, locations in text order."""
+    ordered = F.transform(analyzed_spans(text), lambda s: F.struct(
+        s["term"].alias("term"), F.struct(s["pos"].alias("pos"), s["start"].alias("start"), s["end"].alias("end")).alias("loc")
+    ))
+    return runs(ordered, lambda s: s["term"], lambda items, first, n: F.struct(
+        F.get(items, first)["term"].alias("term"), n.cast("bigint").alias("tf"),
+        F.transform(F.slice(items, first + 1, n), lambda s: s["loc"]).alias("locs"),
+    ))
 
 
 def postings(
@@ -93,18 +115,14 @@ def postings(
 
 
 def located_postings(docs: DataFrame, fields: Mapping[str, Column] | None = None) -> DataFrame:
-    """Postings with the position and byte offsets of every occurrence, in text order."""
+    """(doc_key, field, term, tf, locs): postings with position and byte offsets, without a shuffle."""
     parts = [
-        F.struct(F.lit(name).alias("field"), analyzed_spans(text).alias("spans"))
+        F.struct(F.lit(name).alias("field"), term_locations(text).alias("terms"))
         for name, text in (fields or field_columns()).items()
     ]
-    occurrences = (
-        docs.select("doc_key", F.explode(F.array(*parts)).alias("f"))
-        .select("doc_key", "f.field", F.explode("f.spans").alias("s"))
-        .select("doc_key", "field", "s.term", F.struct("s.pos", "s.start", "s.end").alias("loc"))
-    )
-    return occurrences.groupBy("doc_key", "field", "term").agg(
-        F.count("*").alias("tf"), F.array_sort(F.collect_list("loc")).alias("locs")
+    per_field = docs.select("doc_key", F.explode(F.array(*parts)).alias("f"))
+    return per_field.select("doc_key", "f.field", F.explode("f.terms").alias("p")).select(
+        "doc_key", "field", "p.term", "p.tf", "p.locs"
     )
 
 

@@ -351,8 +351,7 @@ def field_len(spark, sf):
 
 @query
 def doc_count(spark, sf):
-    current = ix.latest(inputs.documents(spark, sf).select(F.col("source").alias("doc_key"), F.col("doc_id").alias("seq")))
-    return current.agg(F.count("*").alias("n_docs"))
+    return ix.document_count(read_table(spark, sf, "documents").select(F.col("source").alias("doc_key")))
 
 
 @query

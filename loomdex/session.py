@@ -8,9 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A query side is broadcast only while it stays under both limits.
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+# A side is broadcast only while it stays under both limits. A row costs about a hundred bytes in
+# memory, and query text turns into some terms per dozen bytes, so either limit means about 100 MB.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 8 * 1024 * 1024
 
 _local_dirs: dict[str, str] = {}
 

@@ -3,6 +3,7 @@
 import random
 import unicodedata
 
+import regex
 from pyspark.sql import functions as F
 
 from loomdex.functions import snippet, vocab
@@ -99,12 +100,8 @@ def expected(text, query, token_ranges, stop):
 
 
 def token_ranges(text, terms):
-    import regex
-
-    from loomdex.functions.analysis import TOKEN
-
     found = []
-    for m in regex.finditer(TOKEN, text):
+    for m in regex.finditer(r"[\p{L}\p{M}\p{N}_]+", text):
         if m.group().lower() in terms:
             found.append((len(text[:m.start()].encode()), len(text[:m.end()].encode())))
     return found
