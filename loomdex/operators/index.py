@@ -72,11 +72,12 @@ def runs(items: Column, key: Callable[[Column], Column], build: Callable[..., Co
             F.sequence(F.lit(0), F.size(sorted_items) - 1),
             lambda i: (i == 0) | (key(F.get(sorted_items, i)) != key(F.get(sorted_items, i - 1))),
         )
-        return let(starts, lambda at: F.transform(at, lambda first, j: build(
+        found = let(starts, lambda at: F.transform(at, lambda first, j: build(
             sorted_items, first, F.coalesce(F.get(at, j + 1), F.size(sorted_items)) - first
         )))
+        return F.when(F.size(sorted_items) > 0, found)
 
-    return F.when(F.size(items) > 0, let(F.sort_array(items), of_sorted))
+    return let(F.sort_array(items), of_sorted)
 
 
 def term_counts(tokens: Column) -> Column:
@@ -120,8 +121,10 @@ def located_postings(docs: DataFrame, fields: Mapping[str, Column] | None = None
         F.struct(F.lit(name).alias("field"), term_locations(text).alias("terms"))
         for name, text in (fields or field_columns()).items()
     ]
-    per_field = docs.select("doc_key", F.explode(F.array(*parts)).alias("f"))
-    return per_field.select("doc_key", "f.field", F.explode("f.terms").alias("p")).select(
+    # The arrays become columns of their own before they are exploded: a struct around them would be
+    # copied into every exploded row.
+    per_field = docs.select("doc_key", F.explode(F.array(*parts)).alias("f")).select("doc_key", "f.*")
+    return per_field.select("doc_key", "field", F.explode("terms").alias("p")).select(
         "doc_key", "field", "p.term", "p.tf", "p.locs"
     )
 
