@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomdex.functions.analysis import analyze, clean_query
 from loomdex.functions.snippet import snippet
 from loomdex.functions.text import title_key
-from loomdex.operators.index import FIELDS, HOT_SPLITS, document_frequencies, postings, salt
+from loomdex.operators.index import FIELDS, HOT_SPLITS, document_frequencies, postings, salt, term_heads
 from loomdex.session import BROADCAST_ROWS, fits_broadcast
 from loomdex.sources.store import Index, term_bucket
 
@@ -109,7 +109,8 @@ def lookup(index: Index, terms: DataFrame, small: bool, fields=None, names=FIELD
     if stored is None:
         # Only postings of query terms are shuffled, by document: every later step of the scoring
         # groups by document and needs no further shuffle.
-        post = postings(index.docs, fields, F.broadcast(wanted) if small else wanted)
+        heads = term_heads(wanted) if small else None
+        post = postings(index.docs, fields, F.broadcast(wanted) if small else wanted, heads)
         post = post.repartition("doc_key")
         return post, document_frequencies(post)
     # The bucket column lets the scan skip buckets without a wanted term.
