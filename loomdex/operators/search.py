@@ -9,11 +9,14 @@ from loomdex.functions.analysis import analyze, clean_query
 from loomdex.functions.snippet import snippet
 from loomdex.functions.text import title_key
 from loomdex.operators.index import FIELDS, HOT_SPLITS, document_frequencies, postings, salt, term_heads
-from loomdex.session import BROADCAST_ROWS, fits_broadcast
+from loomdex.session import BROADCAST_ROWS, cut_lineage, fits_broadcast
 from loomdex.sources.store import Index, term_bucket
 
 DEFAULT_SIZE = 10
 MAX_SIZE = 50
+# Rank cuts up to this depth also run before the shuffle; deeper pages are found by score bands.
+SHALLOW = 1000
+BANDS = 1000
 
 
 def page_number(text: Column) -> Column:
@@ -165,11 +168,39 @@ def ranked(scored: DataFrame, depth: int) -> DataFrame:
 def pages(scored: DataFrame, queries: DataFrame) -> DataFrame:
     """Hits on the requested page of every query: queries(query_id, q, page, size)."""
     depth = queries.agg(F.max(F.col("page") * F.col("size"))).first()[0] or 0
+    asked = queries.select("query_id", "page", "size")
+    if depth > SHALLOW:
+        return deep_pages(scored, asked)
     first = (F.col("page") - 1) * F.col("size")
-    hits = ranked(scored, depth).join(queries.select("query_id", "page", "size"), "query_id")
+    hits = ranked(scored, depth).join(asked, "query_id")
     return hits.filter((F.col("rank") > first) & (F.col("rank") <= first + F.col("size")))
 
 
+def deep_pages(scored: DataFrame, asked: DataFrame) -> DataFrame:
+    """Pages far down the ranking, without sorting all hits of a query in one task.
+
+    Hits are counted per score band; only the bands that a page touches are sorted.
+    """
+    scored = cut_lineage(scored)
+    best = totals(scored).select("query_id", "max_score")
+    depth_in_range = F.when(F.col("max_score") > 0, 1 - F.col("score") / F.col("max_score")).otherwise(0)
+    banded = scored.join(best, "query_id").select(
+        "query_id", "doc_key", "score", F.floor(depth_in_range * BANDS).alias("band")
+    )
+    earlier = Window.partitionBy("query_id").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    counts = banded.groupBy("query_id", "band").agg(F.count("*").alias("n"))
+    counts = counts.withColumn("above", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    first = (F.col("page") - 1) * F.col("size")
+    touched = counts.join(asked, "query_id").filter(
+        (F.col("above") < first + F.col("size")) & (F.col("above") + F.col("n") > first)
+    )
+    order = Window.partitionBy("query_id", "band").orderBy(F.col("score").desc(), F.col("doc_key"))
+    rank = (F.col("above") + F.row_number().over(order)).cast("bigint")
+    hits = banded.join(touched, ["query_id", "band"]).withColumn("rank", rank)
+    kept = hits.filter((F.col("rank") > first) & (F.col("rank") <= first + F.col("size")))
+    return kept.select("query_id", "doc_key", "score", "rank", "page", "size")
+
+
 def with_documents(hits: DataFrame, docs: DataFrame, queries: DataFrame) -> DataFrame:
     """Stored fields of page hits. Page hits number at most queries x size."""
     bound = queries.agg(F.sum("size")).first()[0] or 0

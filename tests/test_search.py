@@ -129,6 +129,16 @@ def test_pages_are_disjoint_and_complete(data):
     assert [expected[1, k] for k in seen] == [expected[k] for k in mine]
 
 
+def test_deep_pages_equal_shallow_ones(data):
+    docs, queries, _ = data
+    scored = cut_lineage(search.scores(Index(docs), queries))
+    for page, size in ((1, 7), (2, 7), (3, 50)):
+        asked = queries.withColumn("page", F.lit(page).cast("bigint")).withColumn("size", F.lit(size).cast("bigint"))
+        shallow = search.pages(scored, asked).select("query_id", "doc_key", "rank", "page", "size").collect()
+        deep = search.deep_pages(scored, asked.drop("q")).select("query_id", "doc_key", "rank", "page", "size").collect()
+        assert sorted(deep) == sorted(shallow)
+
+
 def test_response(data):
     docs, queries, expected = data
     rows = {r.query_id: json.loads(r.response) for r in response.to_json(response.respond(Index(docs), queries)).collect()}
