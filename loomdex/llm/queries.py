@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import langid, packing, url_filter
+from loomdex.llm import langid, packing, simhash, url_filter
 from loomdex.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op2_simhash_pigeonhole(spark, sf):
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query
 def op5_cross_parsing_language(spark, sf):
     docs = table(spark, sf, "documents")
