@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import langid, packing, simhash, url_filter
+from loomdex.llm import langid, packing, permutation_index, simhash, url_filter
 from loomdex.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,12 @@ def op2_simhash_pigeonhole(spark, sf):
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op3_permutation_index(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return permutation_index.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 @query
 def op5_cross_parsing_language(spark, sf):
     docs = table(spark, sf, "documents")
