@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import langid, packing, permutation_index, simhash, url_filter
+from loomdex.llm import html_text, langid, packing, permutation_index, simhash, toxicity, url_filter
 from loomdex.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,12 @@ def op3_permutation_index(spark, sf):
     return permutation_index.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
 
 
+@query
+def op4_text_to_tag_ratio(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op5_cross_parsing_language(spark, sf):
     docs = table(spark, sf, "documents")
@@ -52,6 +58,15 @@ def op5_cross_parsing_language(spark, sf):
     return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op6_counterfactual_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf, "labels")))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @query
 def op7_bloom_url_filter(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
