@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import html_text, langid, packing, permutation_index, simhash, toxicity, url_filter
+from loomdex.llm import decontaminate, html_text, langid, packing, permutation_index, simhash, toxicity, url_filter
 from loomdex.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_spaced_seed_overlap(spark, sf):
+    found = decontaminate.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_windows", F.array_join(F.col("item_ids").cast("array<string>"), ",").alias("item_ids"))
+
+
 @query
 def op2_simhash_pigeonhole(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"))

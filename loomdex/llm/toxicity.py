@@ -28,9 +28,9 @@ from loomdex.llm.common import held_out, keep
 #: Bound of the training sample, per label.
 SAMPLE_PER_LABEL = 3000
 #: A feature needs so many samples, and a difference of so many standard deviations.
-LEAST_SAMPLES = 8
+LEAST_SAMPLES = 15
 LEAST_Z = 6.0
-RIDGE = 1e-6
+RIDGE = 1e-5
 COUNTERFACTUAL = 1.0
 STEPS = 2500
 BEGINNINGS = (4, 5)

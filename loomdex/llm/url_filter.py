@@ -16,9 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORDS = 8
-BITS_PER_KEY = 16
-MAX_BLOCKS = 1 << 17
+from loomdex.llm import bloom
 
 #: (host, path, verdict): fits the host and its subdomains where the path starts alike; the longest wins.
 Rule = tuple[str, str, str]
@@ -61,29 +59,13 @@ def rule_verdict(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
     return name, verdict
 
 
-def _bit(key: Column, word: int) -> Column:
-    place = F.shiftrightunsigned(F.xxhash64(key, F.lit(1)), 6 * word).bitwiseAND(F.lit(63)).cast("int")
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
-
-
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks))
-
-
-def bloom_blocks(listed: DataFrame, key: str, blocks: int) -> DataFrame:
-    """One row per non-empty block: its number and eight words."""
-    return listed.groupBy(_block(F.col(key), blocks).alias("bloom_block")).agg(
-        *(F.bit_or(_bit(F.col(key), i)).alias(f"bloom_{i}") for i in range(WORDS))
-    )
-
-
-def judge(df: DataFrame, listed: DataFrame, rules: Sequence[Rule], url: str = "url", max_blocks: int = MAX_BLOCKS) -> DataFrame:
+def judge(df: DataFrame, listed: DataFrame, rules: Sequence[Rule], url: str = "url", max_blocks: int = bloom.MAX_BLOCKS) -> DataFrame:
     """Adds host, path, rule, verdict and, for urls no rule fits, what the filter said (`bloom_hit`).
 
     `listed` has one column of canonical URLs.
     """
     listed = listed.toDF("listed_url").filter("listed_url is not null").distinct()
-    blocks = min(max_blocks, max(1, -(-listed.count() * BITS_PER_KEY // (64 * WORDS))))
+    size = bloom.blocks_for(listed.count(), max_blocks)
     host, path = host_of(F.col(url)), path_of(F.col(url))
     rule, says = rule_verdict(F.col("host"), F.col("path"), rules)
     known = df.drop("host", "path", "rule", "verdict", "bloom_hit").withColumns({"host": host, "path": path})
@@ -91,14 +73,7 @@ def judge(df: DataFrame, listed: DataFrame, rules: Sequence[Rule], url: str = "u
 
     ruled = known.filter("_says is not null").select("*", F.lit(None).cast("boolean").alias("bloom_hit"), F.col("_says").alias("verdict"))
     open_ = known.filter("_says is null").withColumn("_key", F.when(F.col("host") != "", canonical_url(F.col(url))))
-    # The filter's table is at most max_blocks rows of nine numbers.
-    tested = open_.withColumn("bloom_block", _block(F.col("_key"), blocks)).join(
-        F.broadcast(bloom_blocks(listed, "listed_url", blocks)), "bloom_block", "left"
-    )
-    passes = F.col("_key").isNotNull()
-    for i in range(WORDS):
-        passes &= F.col(f"bloom_{i}").bitwiseAND(_bit(F.col("_key"), i)) != 0
-    tested = tested.withColumn("bloom_hit", F.coalesce(passes, F.lit(False))).drop("bloom_block", *(f"bloom_{i}" for i in range(WORDS)))
+    tested = bloom.test(open_, bloom.build(listed, "listed_url", size), {"bloom_hit": "_key"}, size)
 
     clear = tested.filter("not bloom_hit").withColumn("verdict", F.lit("allow"))
     exact = tested.filter("bloom_hit").join(listed, F.col("_key") == F.col("listed_url"), "left").withColumn(
