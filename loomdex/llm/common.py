@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +29,3 @@ def partitions_for(spark: SparkSession, rows: int, per_partition: int) -> int:
     least = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(least, -(-rows // per_partition))
 
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))

@@ -6,7 +6,8 @@ documents, first in a Bloom filter of bounded size, then by an exact join; each
 whole window around it, which may differ in at most `max_substitutions` tokens. Items shorter than a
 window, but of `least_tokens` at least, are matched as a whole without substitutions.
 
-All of it is column expressions: the tokens of a window are columns of a row, and no text is shuffled.
+All of it is column expressions: the tokens of a window, as 64-bit hashes, are columns of a row, and no
+text is shuffled.
 
 Windows of the benchmark are grouped first, so repeated items and shared passages cost one window; a
 window stands for the smallest item_id that holds it.
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomdex.llm import bloom
-from loomdex.llm.common import any_of, keep
+from loomdex.llm.common import keep
 
 SPAN = 13
 #: 1: the token counts, 0: it is ignored.
@@ -46,10 +47,10 @@ def _t(i: int) -> Column:
 
 def windows(df: DataFrame, text: str, span: int = SPAN) -> DataFrame:
     """A row per token: its place and the `span` tokens from it on (null past the end)."""
-    rows = df.withColumn("_tokens", tokens_of(F.col(text))).drop(text).filter(F.size("_tokens") > 0)
+    rows = df.withColumn("_tokens", F.transform(tokens_of(F.col(text)), lambda t: F.xxhash64(t))).drop(text)
     size = F.size("_tokens")
     shifted = [F.slice("_tokens", i + 1, size).alias(f"t{i}") for i in range(span)]
-    zipped = F.arrays_zip(F.sequence(F.lit(0), size - 1).alias("place"), *shifted)
+    zipped = F.arrays_zip(F.slice(F.sequence(F.lit(1), size + 1), F.lit(1), size).alias("place"), *shifted)
     return rows.select(*[c for c in rows.columns if c != "_tokens"], F.inline(zipped).alias("place", *(f"t{i}" for i in range(span))))
 
 
@@ -75,7 +76,7 @@ def overlaps(
         benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text", F.size(tokens_of(F.col("text"))).alias("n")), "text", span
     )
     # Whole windows, and the first window of an item too short for one; n: tokens that must be there.
-    own = items.filter((F.col("n") >= span) & _t(span - 1).isNotNull() | (F.col("n") < span) & (F.col("n") >= least_tokens) & (F.col("place") == 0))
+    own = items.filter((F.col("n") >= span) & _t(span - 1).isNotNull() | (F.col("n") < span) & (F.col("n") >= least_tokens) & (F.col("place") == 1))
     own = keep(own.groupBy(*cells).agg(F.min("item_id").alias("item_id"), F.min(F.least("n", F.lit(span))).alias("n")))
     lengths = sorted(r.n for r in own.filter(F.col("n") < span).select("n").distinct().collect())  # fewer than span
     hashes = seeds(lengths, masks)
@@ -86,11 +87,8 @@ def overlaps(
     filter_ = bloom.build(keyed, "seed", size)
 
     rows = windows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"), "text", span)
-    rows = rows.withColumns({f"h{i}": h for i, h in enumerate(hashes)})
-    rows = bloom.test(rows, filter_, {f"f{i}": f"h{i}" for i in range(len(hashes))}, size)
-    rows = rows.filter(any_of([F.col(f"f{i}") for i in range(len(hashes))]))
-    hit = F.explode(F.array_compact(F.array(*(F.when(F.col(f"f{i}"), F.col(f"h{i}")) for i in range(len(hashes))))))
-    hits = rows.select("doc_id", "text_hash", "place", *cells, hit.alias("seed")).join(keyed, "seed")
+    rows = rows.select("doc_id", "text_hash", "place", *cells, F.explode(F.array(*hashes)).alias("seed"))
+    hits = bloom.test(rows, filter_, "maybe", "seed", size).filter("maybe").join(keyed, "seed")
 
     differ = reduce(
         lambda a, b: a + b,

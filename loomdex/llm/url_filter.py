@@ -1,9 +1,9 @@
 """URL filter: host and path rules, then a list of canonical URLs behind a blocked Bloom filter.
 
-The filter is a table of blocks of eight 64-bit words; a listed URL sets one bit in each word of its
+The filter is a table of blocks of four 64-bit words; a listed URL sets one bit in each word of its
 block. URLs that miss a bit are certainly unlisted. Those that pass go to an exact join on the canonical
 URL, which removes the false positives. The filter is broadcast: its size has a fixed upper bound
-(`max_blocks` times 64 bytes), beyond which only the share of false positives grows.
+(`max_blocks` blocks of 32 bytes), beyond which only the share of false positives grows.
 
 Defined cases: a null url, or one without `://`, has an empty host and path, fits no rule and is allowed;
 repeated urls are judged alike; an empty list blocks nothing; other columns are kept as they are.
@@ -73,7 +73,8 @@ def judge(df: DataFrame, listed: DataFrame, rules: Sequence[Rule], url: str = "u
 
     ruled = known.filter("_says is not null").select("*", F.lit(None).cast("boolean").alias("bloom_hit"), F.col("_says").alias("verdict"))
     open_ = known.filter("_says is null").withColumn("_key", F.when(F.col("host") != "", canonical_url(F.col(url))))
-    tested = bloom.test(open_, bloom.build(listed, "listed_url", size), {"bloom_hit": "_key"}, size)
+    table = bloom.build(listed.select(F.xxhash64("listed_url").alias("hash")), "hash", size)
+    tested = bloom.test(open_.withColumn("_hash", F.when(F.col("_key").isNotNull(), F.xxhash64("_key"))), table, "bloom_hit", "_hash", size)
 
     clear = tested.filter("not bloom_hit").withColumn("verdict", F.lit("allow"))
     exact = tested.filter("bloom_hit").join(listed, F.col("_key") == F.col("listed_url"), "left").withColumn(
