@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.session import cut_lineage
+from loomdex.session import cut_lineage, fresh_dir
 
 HELD_OUT_FOLDS = 5
 
@@ -29,3 +29,10 @@ def partitions_for(spark: SparkSession, rows: int, per_partition: int) -> int:
     least = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(least, -(-rows // per_partition))
 
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Rows written as a table in the shared folder and read again: `keep` for rows that hold texts, as it compresses them."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import decontaminate, html_text, langid, line_runs, packing, permutation_index, simhash, toxicity, url_filter
+from loomdex.llm import decontaminate, html_text, langid, line_runs, packing, permutation_index, repeated_bytes, simhash, toxicity, url_filter
 from loomdex.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,11 @@ def op8_repeated_line_runs(spark, sf):
     return done.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op9_repeated_bytes(spark, sf):
+    return repeated_bytes.remove_repeated(table(spark, sf, "documents"))
+
+
 @query
 def op10_best_fit_packing(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
