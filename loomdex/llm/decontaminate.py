@@ -37,8 +37,7 @@ LEAST_TOKENS = 8
 
 def tokens_of(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
-    words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
 def _t(i: int) -> Column:
