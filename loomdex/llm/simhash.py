@@ -69,14 +69,15 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number."""
+    """(doc_id, text_hash, fp): the fingerprint as a signed 64-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([simhash(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
+            found = np.array([simhash(t.as_py(), shingle) for t in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found)], ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return texts.mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def fingerprint_text(fp: Column) -> Column:
@@ -272,10 +273,20 @@ def links(distinct: DataFrame, distance: int = MAX_DISTANCE, partitions: int = P
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = MAX_DISTANCE, partitions: int = PARTITIONS) -> DataFrame:
-    """(doc_id, fp, component_id): every row's fingerprint and the smallest doc_id that its chain of links reaches."""
+    """(doc_id, text_hash, fp, component_id, root): every row's fingerprint and the smallest doc_id that its chain of links reaches."""
     rows = keep(fingerprints(docs, shingle))
     distinct = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = connected_components(links(distinct, distance, partitions))
     grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(grouped.select("fp", "root").join(ids, "root"), "fp").select("doc_id", "fp", "component_id")
+    return rows.join(grouped.select("fp", "root").join(ids, "root"), "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
+
+
+def unique_documents(docs: DataFrame, **options) -> DataFrame:
+    """One row of each group of near-duplicates, with all columns: the one of the smallest doc_id (null if there is no other)."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("kept")
+    kept = near_duplicates(docs, **options).groupBy("root").agg(least).select("kept.*")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    # Rows that agree in doc_id and text are one document.
+    return docs.join(kept, same).dropDuplicates(["_id", "_hash"]).select(docs.columns)
