@@ -71,7 +71,7 @@ class SuffixAutomaton:
         for symbol, state in self.next[0].items():
             root[symbol] = (base + state) * symbols * 2 + 1
         table = np.tile(root, (len(self.next), 1))
-        for state, moves in enumerate(self.next):
+        for state, moves in enumerate(self.next[1:], 1):  # at the root, any symbol begins a phrase
             for symbol, to in moves.items():
                 table[state, symbol] = (base + to) * symbols * 2
         return table.reshape(-1)
@@ -139,7 +139,7 @@ class Model:
             steps[: sizes[which], place] = stretches[which]
         active = np.searchsorted(-sizes[order], -np.arange(len(steps)), side="left")
         state = np.repeat(np.array(self.roots, np.int32)[:, None], len(order), axis=1)
-        found = np.ones((len(self.langs), len(order)), np.int32)
+        found = np.zeros((len(self.langs), len(order)), np.int32)
         for step, n in zip(steps, active):
             code = self.table[state[:, :n] + step[:n]]
             found[:, :n] += code & 1

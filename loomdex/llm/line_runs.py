@@ -132,7 +132,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .filter("first is not null and last is not null")
     )
     start = F.struct(*_KEY, "pos")
-    intervals = named.groupBy("m", "first", "last").agg(F.min(start).alias("original"), F.count("*").alias("n")).filter("n > 1")
+    intervals = keep(named.groupBy("m", "first", "last").agg(F.min(start).alias("original"), F.count("*").alias("n")).filter("n > 1"))
     later = named.join(intervals, ["m", "first", "last"]).filter(start != F.col("original"))
 
     # Overlapping and adjoining runs become one stretch.

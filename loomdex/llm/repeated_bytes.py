@@ -11,8 +11,9 @@ with the longest common prefixes of neighbours. A window that reaches o bytes to
 and only if its anchor shares an interval of prefixes of length - o bytes in one order and one of o
 bytes in the other with another anchor; the intervals are read off both arrays for every o.
 
-A gram so common that its suffixes would overfill a bucket is split over several by a salt. Across such
-boundaries the windows that found no equal in their own bucket are compared by a 128-bit digest.
+A gram too common for one bucket is compared across buckets instead, by counting 128-bit digests: its
+windows are taken in runs of neighbouring reaches; a run whose common part occurs once is done, one whose
+joint extent occurs twice is repeated as a whole, and only of the others single windows are counted.
 
 Equal texts are handled once: their bytes are all repeated if there are `length` of them.
 
@@ -37,8 +38,10 @@ from loomdex.llm.common import keep, partitions_for, store
 
 LENGTH = 400
 GRAM = 64
-#: Suffixes sorted together; a gram with more is salted.
+#: Suffixes sorted together; a gram with more is compared by digests.
 BLOCK = 20_000
+#: Runs of reaches that the windows of a common gram are taken in.
+RUNS = 8
 #: Bytes of a text hashed at a time.
 STRETCH = 1 << 20
 _PLACE_BITS = 21
@@ -148,10 +151,10 @@ def multikey_sort(rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.n
     return order, common
 
 
-def repeated_reaches(left: pa.Array, right: pa.Array, length: int, gram: int, detail: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_reaches(left: pa.Array, right: pa.Array, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """For each anchor the least and greatest reach to the left of a repeated window (greatest -1: none).
 
-    `left` holds the bytes before the anchors, reversed. For the anchors in `detail`, also which reaches are repeated.
+    `left` holds the bytes before the anchors, reversed.
     """
     total, most = len(left), length - gram
     sides = [(*padded(right, -(-length // 8) * 8),), (*padded(left, -(-most // 8) * 8),)]
@@ -163,7 +166,6 @@ def repeated_reaches(left: pa.Array, right: pa.Array, length: int, gram: int, de
         nearest.append(best)
     low, high = np.maximum(0, length - nearest[0]), np.minimum(most, nearest[1])
     least, greatest = np.full(total, most + 1), np.full(total, -1)
-    shown = np.zeros((len(detail), most + 1), bool)
     interval = [np.empty(total, np.int64), np.empty(total, np.int64)]
     for reach in range(most + 1):
         some = np.flatnonzero((low <= reach) & (reach <= high))
@@ -179,11 +181,7 @@ def repeated_reaches(left: pa.Array, right: pa.Array, length: int, gram: int, de
         hit = some[twice]
         least[hit] = np.minimum(least[hit], reach)
         greatest[hit] = reach
-        if len(detail):
-            flag = np.zeros(total, bool)
-            flag[hit] = True
-            shown[:, reach] = flag[detail]
-    return least, greatest, shown
+    return least, greatest
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -211,80 +209,127 @@ def candidate_texts(docs: DataFrame, length: int, gram: int) -> DataFrame:
     found = long.select("k1", "k2", "d", "body").mapInArrow(find, "k1 bigint, k2 bigint, d bigint, place array<bigint>, gram array<bigint>")
     texts = keep(found.groupBy(*_KEY).agg(F.min("d").alias("d"), F.any_value("place").alias("place"), F.any_value("gram").alias("gram")))
     suffixes = texts.select(*_KEY, "d", F.inline(F.arrays_zip("place", "gram")))
-    shared = suffixes.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = keep(suffixes.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"))  # so that the join can split a common gram
     where = suffixes.join(shared, "gram").groupBy(*_KEY, "d").agg(F.collect_list(F.struct("place", "n")).alias("anchors"))
     return store(long.select(*_KEY, "d", "body").join(where, [*_KEY, "d"]).select(*_KEY, "body", "anchors"), "candidate-texts")
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK) -> DataFrame:
     """(k1, k2, first, end): stretches of repeated bytes; those of one text may overlap. `texts`: see candidate_texts."""
+    texts = texts.withColumns({
+        "few": F.filter("anchors", lambda a: a["n"] <= block)["place"], "many": F.filter("anchors", lambda a: a["n"] > block)["place"]
+    })
+    return sorted_spans(texts, length, gram, block).unionByName(counted_spans(texts.filter(F.size("many") > 0), length, gram))
+
+
+def sorted_spans(texts: DataFrame, length: int, gram: int, block: int) -> DataFrame:
+    """Spans at the anchors in `few`, by sorted buckets of suffixes."""
     most = length - gram
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k1, k2, body, where in zip(*(batch.column(i) for i in range(4))):
-                body = body.as_py()
-                rows = sorted((w["place"], w["n"]) for w in where.as_py())
-                salts = [(hash((k1.as_py(), p)) % -(-n // block) if n > block else 0) for p, n in rows]
+            for k1, k2, body, places in zip(*(batch.column(i) for i in range(4))):
+                body, places = body.as_py(), places.as_py()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([k1.as_py()] * len(rows), pa.int64()), pa.array([k2.as_py()] * len(rows), pa.int64()),
-                        pa.array([p for p, _ in rows], pa.int64()), pa.array(salts, pa.int64()), pa.array([n > block for _, n in rows]),
-                        pa.array([body[max(0, p - most):p][::-1] for p, _ in rows], pa.binary()),
-                        pa.array([body[p:p + length] for p, _ in rows], pa.binary()),
+                        pa.array([k1.as_py()] * len(places), pa.int64()), pa.array([k2.as_py()] * len(places), pa.int64()),
+                        pa.array(places, pa.int64()), pa.array([body[max(0, p - most):p][::-1] for p in places], pa.binary()),
+                        pa.array([body[p:p + length] for p in places], pa.binary()),
                     ],
-                    ["k1", "k2", "place", "salt", "split", "left", "right"],
+                    ["k1", "k2", "place", "left", "right"],
                 )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def bucket(rows: pa.Table) -> pa.RecordBatch:
             rows = rows.combine_chunks()
             k1, k2, place = (rows.column(i).to_numpy() for i in range(3))
-            left, right = (rows.column(i).combine_chunks() for i in (5, 6))
-            split = np.flatnonzero(rows.column(4).to_numpy(zero_copy_only=False))
-            least, greatest, shown = repeated_reaches(left, right, length, gram, split)
+            least, greatest = repeated_reaches(*(rows.column(i).combine_chunks() for i in (3, 4)), length, gram)
             hit = np.flatnonzero(greatest >= 0)
-            out = [k1[hit], k2[hit], place[hit] - greatest[hit], place[hit] - least[hit] + length]
-            alone: list[tuple[int, int, int, bytes]] = []
-            for row, own in zip(split.tolist(), shown):
-                before, after = left[row].as_py()[::-1], right[row].as_py()
-                for reach in range(max(0, length - len(after)), len(before) + 1):
-                    if not own[reach]:
-                        window = before[len(before) - reach:] + after[:length - reach]
-                        alone.append((k1[row], k2[row], place[row] - reach, hashlib.blake2b(window, digest_size=16).digest()))
-            columns = list(zip(*alone)) or [[], [], [], []]
-            return pa.RecordBatch.from_arrays(
-                [
-                    *(pa.array(np.concatenate([a, np.array(b, np.int64)]), pa.int64()) for a, b in zip(out[:3], columns)),
-                    pa.array(np.concatenate([out[3], np.array(columns[2], np.int64) + length]), pa.int64()),
-                    pa.array([None] * len(hit) + list(columns[3]), pa.binary()),
-                ],
-                ["k1", "k2", "first", "end", "window"],
-            )
+            spans = (k1[hit], k2[hit], place[hit] - greatest[hit], place[hit] - least[hit] + length)
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in spans], ["k1", "k2", "first", "end"])
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
             if sum(b.num_rows for b in held) >= block:
                 rows = pa.Table.from_batches(held).combine_chunks()
-                lead = pa.compute.binary_slice(rows.column(6), 0, gram).combine_chunks()
-                last = np.asarray(pa.compute.equal(lead, lead[-1]))
-                done = int(np.argmax(last))  # the last gram may go on
+                lead = pa.compute.binary_slice(rows.column(4), 0, gram).combine_chunks()
+                done = int(np.argmax(np.asarray(pa.compute.equal(lead, lead[-1]))))  # the last gram may go on
                 if done:
                     yield bucket(rows.slice(0, done))
                     held = rows.slice(done).to_batches()
         if held and sum(b.num_rows for b in held):
             yield bucket(pa.Table.from_batches(held))
 
-    suffixes = texts.mapInArrow(cut, "k1 bigint, k2 bigint, place bigint, salt bigint, split boolean, left binary, right binary")
-    total = texts.agg(F.sum(F.size("anchors"))).first()[0] or 0
+    total = texts.agg(F.sum(F.size("few"))).first()[0] or 0
     lead = F.substring("right", 1, gram)
-    buckets = suffixes.repartitionByRange(partitions_for(texts.sparkSession, total, block), lead, "salt").sortWithinPartitions(lead, "salt")
-    found = keep(buckets.mapInArrow(compare, "k1 bigint, k2 bigint, first bigint, end bigint, window binary"))
-    spans = found.filter("window is null").drop("window")
-    alone = found.filter("window is not null")
-    twice = alone.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
-    return spans.unionByName(alone.join(twice, "window").drop("window"))
+    suffixes = texts.select(*_KEY, "body", "few").mapInArrow(cut, "k1 bigint, k2 bigint, place bigint, left binary, right binary")
+    buckets = suffixes.repartitionByRange(partitions_for(texts.sparkSession, total, block), lead).sortWithinPartitions(lead)
+    return buckets.mapInArrow(compare, "k1 bigint, k2 bigint, first bigint, end bigint")
+
+
+def counted_spans(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Spans at the anchors in `many`, by counts of digests.
+
+    Every window of a run of reaches holds the run's core, so a core that occurs once rules the run out. If
+    the hull, all windows of the run together, occurs twice, all of them do. Of each group of equal hulls
+    one goes on beside those without an equal, to be compared window by window.
+    """
+    import xxhash
+
+    digest = xxhash.xxh3_128_digest
+    bounds = np.linspace(0, length - gram + 1, RUNS + 1).astype(int).tolist()
+    runs = [(a, b - 1) for a, b in zip(bounds, bounds[1:]) if b > a]
+    place = "k1 bigint, k2 bigint, place bigint, run int"
+
+    def batch_of(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    def post_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k1, k2, body, places in zip(*(c.to_pylist() for c in batch.columns)):
+                rows = []
+                for p in places:
+                    for run, (near, far) in enumerate(runs):
+                        if max(near, p + length - len(body)) <= min(far, p):  # some window of the run lies in the text
+                            whole = p >= far and p + length - near <= len(body)
+                            hull = digest(body[p - far:p + length - near]) if whole else None
+                            rows.append((k1, k2, p, run, digest(body[p - near:p + length - far]), hull))
+                yield batch_of(rows, ["k1", "k2", "place", "run", "core", "hull"], [*[pa.int64()] * 3, pa.int32(), pa.binary(), pa.binary()])
+
+    def post_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k1, k2, body, asked in zip(*(c.to_pylist() for c in batch.columns)):
+                rows = []
+                for p, run in ((a["place"], a["run"]) for a in asked):
+                    near, far = runs[run]
+                    for reach in range(max(near, p + length - len(body)), min(far, p) + 1):
+                        rows.append((k1, k2, p - reach, digest(body[p - reach:p - reach + length])))
+                yield batch_of(rows, ["k1", "k2", "first", "window"], [*[pa.int64()] * 3, pa.binary()])
+
+    posted = keep(texts.select(*_KEY, "body", "many").mapInArrow(post_runs, f"{place}, core binary, hull binary"))
+    cores = keep(posted.groupBy("core").agg(F.count("*").alias("cores")).filter("cores > 1"))
+    # By run: the same place of a text can be the hull of two anchors' different runs, which is no repetition.
+    hulls = posted.filter("hull is not null").groupBy("run", "hull").agg(
+        F.count("*").alias("hulls"), F.min(F.struct(*_KEY, "place")).alias("one")
+    )
+    hulls = keep(hulls.filter("hulls > 1"))
+    open_ = keep(posted.join(cores, "core").select(*_KEY, "place", "run", "hull"))
+    equal = open_.filter("hull is not null").join(hulls, ["run", "hull"], "left")
+    whole = equal.filter("hulls > 1")
+    near = F.get(F.array(*(F.lit(a) for a, _ in runs)), F.col("run"))
+    far = F.get(F.array(*(F.lit(b) for _, b in runs)), F.col("run"))
+    spans = whole.select(*_KEY, (F.col("place") - far).alias("first"), (F.col("place") - near + length).alias("end"))
+
+    single = equal.filter(F.col("hulls").isNull() | (F.struct(*_KEY, "place") == F.col("one")))
+    asked = single.select(*_KEY, "place", "run").unionByName(open_.filter("hull is null").select(*_KEY, "place", "run"))
+    asked = asked.groupBy(*_KEY).agg(F.collect_list(F.struct("place", "run")).alias("asked"))
+    windows = texts.select(*_KEY, "body").join(asked, _KEY).mapInArrow(post_windows, "k1 bigint, k2 bigint, first bigint, window binary")
+    windows = keep(windows.distinct())  # a window of two anchors' runs is one window
+    twice = keep(windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window"))
+    single_spans = windows.join(twice, "window").select(*_KEY, "first", (F.col("first") + length).alias("end"))
+    return spans.unionByName(single_spans)
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:

@@ -227,7 +227,7 @@ def bucket_forest(runs: np.ndarray, fps: np.ndarray, distance: int) -> np.ndarra
 
 
 def links(distinct: DataFrame, distance: int = MAX_DISTANCE, partitions: int = PARTITIONS, block: int = BLOCK) -> DataFrame:
-    """Links (u, v) between different fingerprints within the distance: enough of them to connect all that are connected."""
+    """Pairs (u, v) of fingerprints that chains of links within a bucket connect; together they connect all that is connected."""
     groups = correlated_partitions(distinct, partitions)
     allocator = Allocator(groups, value_counts(distinct, groups), distance)
     width = max(map(len, groups))
