@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomdex.llm.common import held_out, keep
@@ -85,26 +85,28 @@ def _counterfactuals(words: set[str]) -> list[tuple[str, str]]:
     return [(t, g[(i + 1) % len(g)]) for g in IDENTITY_TERMS for i, t in enumerate(g) if t in words]
 
 
-def fit(samples: list[tuple[set[str], int]], share: float) -> Model:
-    """`share`: label 1's part of all labelled rows."""
+def choose(sample: DataFrame, positives: int, negatives: int) -> list[str]:
+    """Features that occur clearly more often with label 1. `sample`: (label, words), the different words of each text."""
+    word = F.col("word")
+    beginnings = [F.when(F.char_length(word) > n, F.concat(F.left(word, F.lit(n)), F.lit("*"))) for n in BEGINNINGS]
+    rows = sample.withColumn("text", F.monotonically_increasing_id()).select("label", "text", F.explode("words").alias("word"))
+    rows = rows.select("label", "text", F.explode(F.array_compact(F.array(word, *beginnings))).alias("feature")).distinct()
+    counts = rows.groupBy("feature").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n"))
+    overall = (F.col("p") + F.col("n")) / (positives + negatives)
+    spread = F.sqrt(F.greatest(F.lit(1e-12), overall * (1 - overall)) * (1 / positives + 1 / negatives))
+    clear = F.col("p") / positives - F.col("n") / negatives >= LEAST_Z * spread
+    return sorted(r.feature for r in counts.filter((F.col("p") + F.col("n") >= LEAST_SAMPLES) & clear).select("feature").collect())
+
+
+def fit(samples: list[tuple[set[str], int]], chosen: list[str], share: float) -> Model:
+    """Weights of the chosen features. `share`: label 1's part of all labelled rows, all there is to say without both labels."""
     labels = np.array([y for _, y in samples], float)
     positives = labels.sum()
     negatives = len(labels) - positives
-    prior = float(np.log(np.clip(share, 1e-6, 1 - 1e-6) / (1 - np.clip(share, 1e-6, 1 - 1e-6))))
     if not positives or not negatives:
-        return Model({}, prior)
+        odds = np.clip(share, 1e-6, 1 - 1e-6)
+        return Model({}, float(np.log(odds / (1 - odds))))
     seen = [Counter(f for w in words for f in features_of(w)) for words, _ in samples]
-    with_, without = Counter(), Counter()
-    for counts, y in zip(seen, labels):
-        (with_ if y else without).update(counts.keys())
-    chosen = []
-    for feature in with_.keys() | without.keys():
-        p, n = with_[feature], without[feature]
-        if p + n >= LEAST_SAMPLES:
-            overall = (p + n) / len(labels)
-            spread = np.sqrt(max(1e-12, overall * (1 - overall) * (1 / positives + 1 / negatives)))
-            if p / positives - n / negatives >= LEAST_Z * spread:
-                chosen.append(feature)
     column = {f: i for i, f in enumerate(sorted(chosen))}
 
     def sparse(rows: list[dict[str, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,33 +142,44 @@ def fit(samples: list[tuple[set[str], int]], share: float) -> Model:
     return Model({f: float(weight[i]) for f, i in column.items()}, float(intercept))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> tuple[list[tuple[set[str], int]], float]:
-    """At most `per_label` labelled texts of each label, chosen by hash of the id, and label 1's share of all labels."""
+def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> tuple[DataFrame, float]:
+    """(label, words) of at most `per_label` labelled texts of each label, chosen by hash of the id, and label 1's share of all labels."""
     known = keep(
-        labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-        .filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+        labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
+        .filter("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     )
-    totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    totals = {r.label: r["count"] for r in known.groupBy("label").count().collect()}  # two rows
     share = totals.get(1, 0) / sum(totals.values()) if totals else 0.5
+    few = [known.filter(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for y in (0, 1)]
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("text is not null")
-    samples: list[tuple[set[str], int]] = []
-    for label in totals:
-        few = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
-        found = texts.join(F.broadcast(few), "doc_id").select("text").distinct()  # at most per_label ids
-        rows = found.orderBy(F.xxhash64("text")).limit(per_label).mapInArrow(_words, "words array<string>").collect()
-        samples += [(set(r.words), label) for r in rows]
-    return samples, share
+    found = texts.join(F.broadcast(few[0].unionByName(few[1])), "doc_id")  # at most two times per_label ids
+    copies = Window.partitionBy("label").orderBy(F.xxhash64("text"))
+    found = found.select("label", "text").distinct().withColumn("nth", F.row_number().over(copies)).filter(F.col("nth") <= per_label)
 
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [sorted(words_of(t.as_py())) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.string()))], ["label", "words"])
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [sorted(words_of(t.as_py())) for t in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["words"])
+    return keep(found.select("label", "text").mapInArrow(words, "label int, words array<string>")), share
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Model from the labels of documents that are not held out."""
-    return fit(*training_sample(docs, labels.filter(~held_out(F.col("doc_id")))))
+    sample, share = training_sample(docs, labels.filter(~held_out(F.col("doc_id"))))
+    sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
+    if len(sizes) < 2:
+        return fit([], [], share)
+    chosen = choose(sample, sizes[1], sizes[0])
+    wanted = frozenset(chosen) | {t for group in IDENTITY_TERMS for t in group}
+
+    def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [[w for w in row if not wanted.isdisjoint(features_of(w))] for row in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.list_(pa.string()))], ["label", "words"])
+
+    rows = sample.mapInArrow(telling, "label int, words array<string>").collect()  # the bounded sample, a few words a text
+    return fit(sorted(((set(r.words), r.label) for r in rows), key=lambda r: (r[1], sorted(r[0]))), chosen, share)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -24,10 +24,17 @@ def logit(model, text):
     return model.intercept + sum(map(model.word_weight, toxicity.words_of(text)))
 
 
-def test_learns_insults_and_not_group_mentions(monkeypatch):
-    fair = toxicity.fit(samples(), 0.33)
+def trained(spark):
+    rows = samples()
+    sample = spark.createDataFrame([(y, sorted(w)) for w, y in rows], "label int, words array<string>")
+    positives = sum(y for _, y in rows)
+    return toxicity.fit(rows, toxicity.choose(sample, positives, len(rows) - positives), 0.33)
+
+
+def test_learns_insults_and_not_group_mentions(spark, monkeypatch):
+    fair = trained(spark)
     monkeypatch.setattr(toxicity, "COUNTERFACTUAL", 0.0)
-    unfair = toxicity.fit(samples(), 0.33)
+    unfair = trained(spark)
     neutral = "the muslims of the town met"
     assert logit(fair, "you vile person") > 0 and logit(fair, "such NASTY words") > 0 and logit(fair, "plain words") < 0
     assert logit(fair, neutral) < 0
@@ -35,13 +42,13 @@ def test_learns_insults_and_not_group_mentions(monkeypatch):
     assert changed[0] < 0.2 * changed[1]
 
 
-def test_words_never_speak_for_a_text():
-    assert min(toxicity.fit(samples(), 0.33).weights.values()) >= 0
+def test_words_never_speak_for_a_text(spark):
+    assert min(trained(spark).weights.values()) >= 0
 
 
 def test_one_label_or_none():
-    assert toxicity.fit([], 0.5).intercept == 0 and toxicity.fit([], 0.5).weights == {}
-    assert logit(toxicity.fit([({"a"}, 0)] * 20, 0.0), "a") < -5
+    assert toxicity.fit([], [], 0.5) == toxicity.Model({}, 0.0)
+    assert logit(toxicity.fit([({"a"}, 0)] * 20, [], 0.0), "a") < -5
 
 
 def test_long_texts_are_whole(monkeypatch):
