@@ -63,18 +63,55 @@ def host_allowed(h: Column, allowed: Column) -> Column:
     )
 
 
-def is_public_ip(ip: Column) -> Column:
-    """False for loopback, private, link-local, multicast, unspecified and reserved ranges."""
-    text = F.lower(ip)
-    v4 = F.regexp_extract(text, r"^(?:::ffff:)?(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})\z", 1)
-    v4_closed = v4.rlike(
-        r"^(?:0|10|127|22[4-9]|2[3-9]\d)\.|^169\.254\.|^192\.168\.|^172\.(?:1[6-9]|2\d|3[01])\."
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
+
+
+def _v4_is_public(octets: Column) -> Column:
+    a, b = F.get(octets, F.lit(0)), F.get(octets, F.lit(1))
+    closed = (
+        a.isin(0, 10, 127) | (a >= 224) | ((a == 169) & (b == 254)) | ((a == 192) & (b == 168)) | ((a == 172) & b.between(16, 31))
     )
-    v6_closed = text.rlike(r"^(?:f[cdf]|fe[89ab])[0-9a-f]*:") | text.rlike(r"^(?:0{0,4}:)+0{0,3}[01]?\z")
-    is_v6 = text.rlike(r"^[0-9a-f:.]*:[0-9a-f:.]*\z")
-    return F.coalesce(
-        F.when(v4 != "", ~v4_closed).when(is_v6, ~v6_closed).otherwise(F.lit(False)), F.lit(False)
+    return ~closed
+
+
+def _v6_groups(text: Column) -> Column:
+    """The eight 16-bit groups of an IPv6 address in any spelling, or null if it does not parse."""
+    tail = F.transform(F.split(F.regexp_extract(text, rf"({_V4})\z", 1), r"\."), lambda o: F.lpad(F.hex(o.try_cast("int")), 2, "0"))
+    as_hex = F.concat(F.get(tail, F.lit(0)), F.get(tail, F.lit(1)), F.lit(":"), F.get(tail, F.lit(2)), F.get(tail, F.lit(3)))
+    plain = F.when(text.rlike(rf":{_V4}\z"), F.concat(F.regexp_replace(text, rf"{_V4}\z", ""), as_hex)).otherwise(text)
+
+    def groups(part: Column) -> Column:
+        return F.when(part == "", F.array().cast("array<string>")).otherwise(F.split(part, ":"))
+
+    def expand(halves: Column) -> Column:
+        left, right = groups(F.get(halves, F.lit(0))), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
+        missing = 8 - F.size(left) - F.size(right)
+        fits = F.when(F.size(halves) == 1, missing == 0).otherwise((F.size(halves) == 2) & (missing > 0))
+        full = F.concat(left, F.array_repeat(F.lit("0"), missing), right)
+        return F.when(fits & F.forall(full, lambda g: g.rlike(r"^[0-9a-fA-F]{1,4}\z")), full)
+
+    return F.transform(let(F.split(plain, "::"), expand), lambda g: F.conv(g, 16, 10).cast("int"))
+
+
+def _v6_is_public(groups: Column) -> Column:
+    def g(i: int) -> Column:
+        return F.get(groups, F.lit(i))
+
+    zeros = F.forall(F.slice(groups, 1, 5), lambda x: x == 0)
+    mapped = F.array(*(part for i in (6, 7) for part in (F.shiftright(g(i), 8), g(i).bitwiseAND(F.lit(255)))))
+    nowhere_or_here = zeros & (g(5) == 0) & (g(6) == 0) & (g(7) <= 1)
+    closed = (
+        nowhere_or_here | g(0).between(0xFC00, 0xFDFF) | g(0).between(0xFE80, 0xFEBF) | (g(0) >= 0xFF00)
     )
+    return F.when(zeros & (g(5) == 0xFFFF), _v4_is_public(mapped)).otherwise(~closed)
+
+
+def is_public_ip(ip: Column) -> Column:
+    """False for loopback, private, link-local, multicast, unspecified and reserved ranges, and for what is no address."""
+    v4 = F.transform(F.split(ip, r"\."), lambda o: o.try_cast("int"))
+    v6 = let(_v6_groups(ip), lambda g: F.when(g.isNotNull(), _v6_is_public(g)))
+    return F.coalesce(F.when(ip.rlike(rf"^{_V4}\z"), _v4_is_public(v4)).when(F.contains(ip, F.lit(":")), v6), F.lit(False))
 
 
 def reject_reason(u: Column, allowed: Column, resolved: Column, all_public: Column) -> Column:

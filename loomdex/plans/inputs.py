@@ -53,6 +53,17 @@ IP_VARIANTS = [
     "'ff02::' || cast(k % 100 as varchar(20))",
     "'2001:db8::' || cast(k % 100 as varchar(20))",
     "'::' || cast(k % 3 as varchar(20))",
+    "cast(k % 400 as varchar(20)) || '.1.1.1'",
+    "'0' || cast(k % 10 as varchar(20)) || '.1.1.1'",
+    "'::ffff:7f00:' || cast(k % 9 as varchar(20))",
+    "'0:0:0:0:0:FFFF:' || cast(k % 256 as varchar(20)) || '.0.0.1'",
+    "'2001:db8:' || cast(k % 9 as varchar(20)) || '::1'",
+    "'fc::' || cast(k % 9 as varchar(20))",
+    "'feb' || cast(k % 9 as varchar(20)) || '::1'",
+    "'1:2:3:4:5:6:7:' || cast(k % 9 as varchar(20)) || case when k % 2 = 0 then ':8' else '' end",
+    "'1::2::' || cast(k % 9 as varchar(20))",
+    "'abc:' || cast(k % 9 as varchar(20))",
+    "'12345::' || cast(k % 9 as varchar(20))",
     "'host' || cast(k as varchar(20))",
 ]
 HREF_VARIANTS = ['href="/', 'href="../', "href='./", "href=//cdn.example.org/", 'href="?p=', 'href="#', 'href="https://x.example.org/a/../']

@@ -8,13 +8,21 @@ from __future__ import annotations
 
 from loomdex.functions import stemmer as st
 from loomdex.functions import vocab
-from loomdex.functions.html import PARAGRAPH_END
-from loomdex.functions.urls import BAD_ESCAPE, CONTROL, HOST_PORT, MEDIA
 from loomdex.plans import inputs, queries
 
 ORACLE: dict[str, str] = {}
 
 WS = r"[\t-\r\x{85}\p{Z}]"
+# The twins have patterns of their own, so that a fault in the engine's shows.
+BAD_ESCAPE = r"%(?:$|[^0-9a-fA-F]|[0-9a-fA-F](?:$|[^0-9a-fA-F]))"
+CONTROL = r"[[:cntrl:]]"
+HOST_PORT = r"""^(?:\[[^][]*\]|[^][<> ":]*)(?::\d*)?$"""
+MEDIA = r"[.](?:" + "|".join(vocab.MEDIA_EXTENSIONS) + r")(?:[?]|$)"
+BLOCKS = (
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul"
+).split()
+BLOCK_TAG = r"</?(?:" + "|".join(BLOCKS) + r")(?:\s[^>]*|/)?>"
 TOKEN = r"[\p{L}\p{M}\p{N}_]+(?:['’.:·][\p{L}\p{M}\p{N}_]+)*"
 
 
@@ -193,20 +201,23 @@ with {VARIANTS}, {SAFE_HOSTS},
 v as (select page_id, variant, url, {host(trim('url'))} as h from variants)
 select page_id, variant, {reason('url', f"(page_id % 2 = 0 or {allowed('h', ['example.net'])})")} as reason
 from v left join safe_hosts on h = host"""
+_OPEN_V4 = "({0} not in (0, 10, 127) and {0} < 224)"
+# What the ranges say about each address form of the inputs, in the same order.
+IP_TRUTH = [
+    _OPEN_V4.format("k % 256"), "k % 64 not between 16 and 31", "160 + k % 16 <> 168", "250 + k % 6 <> 254", "true",
+    _OPEN_V4.format("k % 256"), "false", "false", "false", "true", "k % 3 = 2",
+    _OPEN_V4.format("k % 400"), "false", "false", _OPEN_V4.format("k % 256"), "true", "true", "false", "k % 2 = 1",
+    "false", "false", "false", "false",
+]
+assert len(IP_TRUTH) == len(inputs.IP_VARIANTS)
 ORACLE["ip_public"] = f"""
-with ips as (select c_custkey, unnest([{', '.join(inputs.IP_VARIANTS)}]) as ip from (select c_custkey, c_custkey as k from customer)),
-o as (select *, {ext('ip', r'^(?:::ffff:)?(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})$')} as v4 from ips),
-p as (select *, try_cast(split_part(v4, '.', 1) as int) as a, try_cast(split_part(v4, '.', 2) as int) as b from o)
-select c_custkey, ip, case
-  when v4 <> '' then not (a in (0, 10, 127) or a >= 224 or (a = 169 and b = 254) or (a = 192 and b = 168) or (a = 172 and b between 16 and 31))
-  when contains(ip, ':') then not (starts_with(ip, 'fe8') or starts_with(ip, 'fc') or starts_with(ip, 'fd') or starts_with(ip, 'ff') or ip in ('::', '::0', '::1'))
-  else false end as is_public
-from p"""
+select k as c_custkey, unnest([{', '.join(inputs.IP_VARIANTS)}]) as ip, unnest([{', '.join(IP_TRUTH)}]) as is_public
+from (select c_custkey as k from customer)"""
 ORACLE["sitemap_seed"] = f"""
 with {VARIANTS} select page_id, variant, lower({ext('url', '^([A-Za-z]+):')}) || '://' || {ext('url', '^[A-Za-z]+://([^/?#]*)')} || '/sitemap.xml' as sitemap
 from variants where {valid('url')} and {host('url')} <> ''"""
 ORACLE["sitemap_locs"] = f"""
-with {VARIANTS} select page_id, {decode('url')} as loc from variants where variant < 9 and {valid(decode('url'))} and not {has('lower(url)', MEDIA)}"""
+with {VARIANTS} select page_id, {decode('url')} as loc from variants where {valid(decode('url'))} and not {has('lower(url)', MEDIA)}"""
 ORACLE["skip_indexed"] = f"with {KNOWN} select page_id, url from pages where url not in (select doc_key from known)"
 ORACLE["is_url_indexed"] = f"with {KNOWN} select page_id, url from pages where url in (select doc_key from known)"
 ORACLE["max_pages"] = f"select url, 1 + page_id % 4 as depth from pages order by depth, url limit {queries.PAGE_CAP}"
@@ -285,7 +296,7 @@ def strip_html(h: str) -> str:
 
 def page_text(source: str, out: str, key: str = "page_id") -> str:
     """CTEs from `source(key, stripped)` to `out(key, paragraphs, content)`."""
-    para = trim(decode(rep(ext("piece", rf"(?is)^(.*?)(?:{PARAGRAPH_END[5:]}|\z)"), r"<[^>]*>")))
+    para = trim(decode(rep(ext("piece", rf"(?is)^(.*?)(?:{BLOCK_TAG}|\z)"), r"<[^>]*>")))
     body = decode(rep(ext("stripped", r"(?is)<body[^>]*>(.*)"), r"<[^>]*>"))
     return f"""
 {out}_p as (select {key}, i, {para} as t from (

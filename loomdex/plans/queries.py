@@ -53,7 +53,7 @@ def upload_validate(spark, sf):
 def sitemap_locs(spark, sf):
     entry = "'<url><loc>' || {0} || '</loc><lastmod>2020</lastmod></url>'"
     xml = "'<urlset xmlns=\"http://www.sitemaps.org/schemas/sitemap/0.9\">' || " + " || ".join(
-        entry.format(v) for v in inputs.URL_VARIANTS[:9]
+        entry.format(v) for v in inputs.URL_VARIANTS
     ) + " || '<!-- ' || url || ' --></urlset>'"
     files = read_table(spark, sf, "pages").selectExpr("page_id", f"{xml} as xml")
     return files.select("page_id", F.explode(readers.sitemap_locations(F.col("xml"))).alias("loc"))

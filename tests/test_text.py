@@ -94,6 +94,8 @@ def test_urls(spark):
         "8.8.8.8": True, "10.1.1.1": False, "172.31.0.1": False, "172.32.0.1": True, "192.168.0.1": False, "127.0.0.1": False,
         "169.254.1.1": False, "0.1.2.3": False, "224.0.0.1": False, "100.64.0.1": True, "::1": False, "::": False,
         "fe80::1": False, "fd00::1": False, "2001:4860::8888": True, "::ffff:10.0.0.1": False, "nonsense": False,
+        "300.1.1.1": False, "999.0.0.1": False, "abc:": False, "::ffff:7f00:1": False, "0:0:0:0:0:ffff:10.0.0.1": False, "fc::1": True,
+        "": False, "1.2.3": False, "01.2.3.4": False, "::ffff:808:808": True, "1::2::3": False, "FE80::A": False, "::1.2.3.4": True, "1:2:3:4:5:6:7:8": True,
     }
     assert column(spark, list(ips), urls.is_public_ip) == list(ips.values())
     normal = {" HTTP://A.b/c#x ": "http://A.b/c", "http://a/?q#": "http://a/?q"}
