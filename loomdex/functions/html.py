@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loomdex.functions import vocab
-from loomdex.functions.arrays import any_of, let, pieces, running_sum
-from loomdex.functions.text import normalize_ws, trim_space, wiki_scrub
+from loomdex.functions.arrays import any_of, let, pieces
+from loomdex.functions.text import ASCII_SPACE, normalize_ws, trim_space, wiki_scrub
 
 # Quoted attribute values may hold `>`; a tag with an odd quote ends at the next `>`.
 TAG = r"</?[a-zA-Z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</?[a-zA-Z][^>]*>"
@@ -23,22 +25,8 @@ PARAGRAPH_END = (
     r"figure|footer|form|h[1-6]|header|hgroup|hr|html|li|main|menu|nav|ol|pre|section|summary|table|tbody|td|tfoot|"
     r"th|thead|tr|ul)(?:\s[^>]*|/)?>"
 )
-# Named entities.
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®",
-    "trade": "™", "middot": "·", "bull": "•", "hellip": "…", "ndash": "–", "mdash": "—", "laquo": "«",
-    "raquo": "»", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "bdquo": "„", "sbquo": "‚",
-    "times": "×", "divide": "÷", "plusmn": "±", "deg": "°", "sect": "§", "para": "¶", "euro": "€",
-    "pound": "£", "yen": "¥", "cent": "¢", "iexcl": "¡", "iquest": "¿", "shy": "­", "ensp": " ",
-    "emsp": " ", "thinsp": " ", "zwnj": "‌", "zwj": "‍", "larr": "←", "rarr": "→",
-    "uarr": "↑", "darr": "↓", "minus": "−", "frac12": "½", "frac14": "¼", "sup2": "²", "sup3": "³",
-    "agrave": "à", "aacute": "á", "acirc": "â", "atilde": "ã", "auml": "ä", "aring": "å", "aelig": "æ",
-    "ccedil": "ç", "egrave": "è", "eacute": "é", "ecirc": "ê", "euml": "ë", "igrave": "ì", "iacute": "í",
-    "icirc": "î", "iuml": "ï", "ntilde": "ñ", "ograve": "ò", "oacute": "ó", "ocirc": "ô", "otilde": "õ",
-    "ouml": "ö", "oslash": "ø", "ugrave": "ù", "uacute": "ú", "ucirc": "û", "uuml": "ü", "szlig": "ß",
-    "Agrave": "À", "Aacute": "Á", "Acirc": "Â", "Auml": "Ä", "Ccedil": "Ç", "Egrave": "È", "Eacute": "É",
-    "Ecirc": "Ê", "Ntilde": "Ñ", "Oacute": "Ó", "Ouml": "Ö", "Uacute": "Ú", "Uuml": "Ü",
-}
+# Named references of HTML5, as the standard library lists them: with their semicolon, or without where that is allowed.
+ENTITIES = html5
 ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?"
 
 
@@ -60,7 +48,7 @@ def decode_entities(c: Column) -> Column:
             scalar, F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
         ).otherwise(F.lit("\ufffd"))
         return F.when(F.startswith(name, F.lit("#")), numeric).otherwise(
-            F.coalesce(F.try_element_at(table, name), ref)
+            F.coalesce(F.try_element_at(table, F.substring(ref, 2, 64)), ref)
         )
 
     decoded = F.array_join(
@@ -88,23 +76,6 @@ def _is_dropped(tag: Column, name: Column) -> Column:
 def drop_elements(html: Column) -> Column:
     """Remove unwanted elements with everything inside, nested same-name elements included."""
 
-    def extent(names: Column, i: Column) -> Column:
-        """Last piece index of the element opened at piece i."""
-        name = F.get(names, i)
-        closing = F.concat(F.lit("/"), name)
-        depth = running_sum(
-            F.transform(
-                F.slice(names, i + 1, F.size(names)),
-                lambda n: F.when(n == name, 1).when(n == closing, -1).otherwise(0),
-            )
-        )
-        closed_at = F.array_position(depth, 0).cast("int")
-        return (
-            F.when(name.isin(VOID_TAGS), i)
-            .when(closed_at > 0, i + closed_at - 1)
-            .otherwise(F.size(names) - 1)
-        )
-
     def cut(parts: Column) -> Column:
         names = F.transform(
             parts,
@@ -113,35 +84,55 @@ def drop_elements(html: Column) -> Column:
             ).otherwise(F.lit("")),
         )
         # A cheap text test runs first: most tags can be ruled out without looking at classes.
-        opened = let(
-            names,
-            lambda ns: F.transform(
-                F.filter(
-                    F.transform(parts, lambda p, i: F.when(
-                        (i % 2 == 1)
-                        & ~F.startswith(F.get(ns, i), F.lit("/"))
-                        & (F.get(ns, i).isin(vocab.DROPPED_TAGS) | p.rlike(r"(?i)\sclass\b")),
-                        F.when(_is_dropped(p, F.get(ns, i)), i),
-                    )),
-                    lambda i: i.isNotNull(),
-                ),
-                lambda i: F.struct(i.alias("first"), extent(ns, i).alias("last")),
-            ),
-        )
-        return let(
-            opened,
-            lambda cuts: F.array_join(
-                F.filter(
-                    parts,
-                    lambda p, k: ~F.exists(cuts, lambda x: (k >= x["first"]) & (k <= x["last"])),
-                ),
-                "",
-            ),
-        )
+        opens = let(names, lambda ns: F.transform(
+            parts,
+            lambda p, i: F.when(
+                (i % 2 == 1)
+                & ~F.startswith(F.get(ns, i), F.lit("/"))
+                & (F.get(ns, i).isin(vocab.DROPPED_TAGS) | p.rlike(r"(?i)\sclass\b")),
+                _is_dropped(p, F.get(ns, i)),
+            ).otherwise(F.lit(False)),
+        ))
+        return let(names, lambda ns: let(opens, lambda os: let(_dropped_pieces(ns, os), lambda cuts: _without(parts, cuts))))
 
     return let(pieces(html, TAG), cut)
 
 
+def _dropped_pieces(names: Column, opens: Column) -> Column:
+    """array<struct<first,last>>: piece ranges of the outermost dropped elements, in one pass over the tags."""
+    none = F.expr("cast(array() as array<struct<first:int,last:int>>)")
+    start = F.struct(F.lit("").alias("name"), F.lit(0).alias("depth"), F.lit(0).alias("first"), none.alias("cuts"))
+
+    def state(name, depth, first, cuts) -> Column:
+        return F.struct(name.alias("name"), depth.alias("depth"), first.alias("first"), cuts.alias("cuts"))
+
+    def ended(acc: Column, first: Column, last: Column) -> Column:
+        piece = F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"))
+        return state(F.lit(""), F.lit(0), F.lit(0), F.concat(acc["cuts"], F.array(piece)))
+
+    def step(acc: Column, i: Column) -> Column:
+        name = F.get(names, i)
+        depth = acc["depth"] + F.when(name == acc["name"], 1).when(name == F.concat(F.lit("/"), acc["name"]), -1).otherwise(0)
+        inside = F.when(depth == 0, ended(acc, acc["first"], i)).otherwise(state(acc["name"], depth, acc["first"], acc["cuts"]))
+        outside = F.when(~F.get(opens, i), acc).when(name.isin(VOID_TAGS), ended(acc, i, i)).otherwise(
+            state(name, F.lit(1), i, acc["cuts"])
+        )
+        return F.when(acc["name"] == "", outside).otherwise(inside)
+
+    tags = F.when(F.size(names) > 1, F.sequence(F.lit(1), F.size(names) - 2, F.lit(2))).otherwise(F.expr("cast(array() as array<int>)"))
+    return F.aggregate(
+        tags, start, step,
+        lambda acc: F.when(acc["name"] == "", acc["cuts"]).otherwise(ended(acc, acc["first"], F.size(names) - 1)["cuts"]),
+    )
+
+
+def _without(parts: Column, cuts: Column) -> Column:
+    """The pieces between the cuts, as one text."""
+    starts = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda c: c["last"] + 1))
+    ends = F.concat(F.transform(cuts, lambda c: c["first"]), F.array(F.size(parts)))
+    return F.array_join(F.flatten(F.zip_with(starts, ends, lambda s, e: F.slice(parts, s + 1, e - s))), "")
+
+
 def strip_unwanted(html: Column) -> Column:
     return drop_elements(F.regexp_replace(html, HIDDEN, ""))
 
@@ -151,22 +142,49 @@ def text_of(fragment: Column) -> Column:
     return decode_entities(F.regexp_replace(fragment, MARKUP, ""))
 
 
-def paragraph_text(stripped: Column) -> Column:
-    """Trimmed text of every paragraph, each followed by one blank."""
+def paragraphs(stripped: Column) -> Column:
+    """Trimmed texts of all paragraphs that have any."""
     after_p = F.split(stripped, P_OPEN)
     bodies = F.transform(
         F.slice(after_p, F.lit(2), F.greatest(F.size(after_p) - 1, F.lit(1))),
         lambda s: trim_space(text_of(F.get(F.split(s, PARAGRAPH_END, 2), F.lit(0)))),
     )
-    return F.array_join(
-        F.transform(F.filter(bodies, lambda t: t != ""), lambda t: F.concat(t, F.lit(" "))), ""
-    )
+    return F.filter(bodies, lambda t: t != "")
 
 
-def body_text(stripped: Column) -> Column:
+def paragraph_text(stripped: Column) -> Column:
+    """Trimmed text of every paragraph, each followed by one blank."""
+    return F.array_join(F.transform(paragraphs(stripped), lambda t: F.concat(t, F.lit(" "))), "")
+
+
+def _body(stripped: Column) -> Column:
     without_head = F.regexp_replace(stripped, r"(?is)<head\b.*?</head\s*>|<title\b.*?</title\s*>", "")
     inner = F.get(F.split(without_head, BODY_OPEN, 2), F.lit(1))
-    return text_of(F.coalesce(inner, without_head))
+    return F.coalesce(inner, without_head)
+
+
+def body_text(stripped: Column) -> Column:
+    return text_of(_body(stripped))
+
+
+def body_lines(stripped: Column) -> Column:
+    """The body's texts between block tags."""
+    one_line = F.regexp_replace(_body(stripped), f"{ASCII_SPACE}+", " ")
+    blocks = F.split(F.regexp_replace(one_line, PARAGRAPH_END, "\n"), "\n")
+    return F.filter(F.transform(blocks, lambda b: normalize_ws(text_of(b))), lambda t: t != "")
+
+
+def page_lines(html: Column) -> Column:
+    """Text of a page with a line per block: its paragraphs, or the body where they hold too little."""
+
+    def of(stripped: Column) -> Column:
+        long = F.aggregate(paragraphs(stripped), F.lit(0), lambda n, t: n + F.octet_length(t) + 1)
+        lines = F.when(long < vocab.MIN_PARAGRAPH_BYTES, body_lines(stripped)).otherwise(
+            F.transform(paragraphs(stripped), normalize_ws)
+        )
+        return F.array_join(lines, "\n")
+
+    return let(strip_unwanted(html), of)
 
 
 def visible_text(stripped: Column) -> Column:

@@ -8,18 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomdex.functions.analysis import analyzed_spans, index_tokens
-from loomdex.functions.arrays import any_of, let
+from loomdex.functions.arrays import let
 from loomdex.functions.stemmer import stem_ru
 
 FIELDS = ("title", "content")
 HOT_SPLITS = 16
-HEAD = 3
-
-
-def doc_key(url: Column, doc_id: Column) -> Column:
-    return F.when(F.coalesce(url, F.lit("")) != "", url).otherwise(
-        F.concat(F.lit("doc_"), doc_id.cast("string"))
-    )
 
 
 def latest(documents: DataFrame, key: str = "doc_key", order: str = "seq") -> DataFrame:
@@ -99,34 +92,15 @@ def term_locations(text: Column) -> Column:
     ))
 
 
-def term_heads(terms: DataFrame, limit: int = 2000) -> list[str] | None:
-    """Distinct first three letters of the terms, or None when there are more than `limit`."""
-    rows = terms.select(F.left("term", F.lit(HEAD)).alias("head")).distinct().limit(limit + 1).collect()
-    return [r.head for r in rows] if len(rows) <= limit else None
-
-
-def may_match(token: Column, heads: list[str]) -> Column:
-    """Whether the index term of a token can start with one of `heads`: a stem is a prefix of its token."""
-    start = F.translate(F.left(token, F.lit(HEAD)), "ё", "е")
-    by_length = {n: [h for h in heads if len(h) == n] for n in range(1, HEAD + 1)}
-    return any_of([F.left(start, F.lit(n)).isin(group) for n, group in by_length.items() if group] or [F.lit(False)])
-
-
 def postings(
     docs: DataFrame,
     fields: Mapping[str, Column] | None = None,
     vocabulary: DataFrame | None = None,
-    heads: list[str] | None = None,
 ) -> DataFrame:
-    """(doc_key, field, term, tf, n_tokens), without a shuffle.
-
-    With `vocabulary(term)` only those terms are kept. `heads` are the first letters of its terms:
-    other tokens are dropped inside the row, before stemming and counting.
-    """
-    wanted = F.col("tokens") if heads is None else F.filter("tokens", lambda t: may_match(t, heads))
+    """(doc_key, field, term, tf, n_tokens), without a shuffle. With `vocabulary(term)` only those terms are kept."""
     rows = field_tokens(docs, fields or field_columns()).select(
         "doc_key", "field", F.size("tokens").cast("bigint").alias("n_tokens"),
-        F.explode(term_counts(wanted)).alias("p"),
+        F.explode(term_counts(F.col("tokens"))).alias("p"),
     )
     rows = rows.select("doc_key", "field", "n_tokens", "p.term", "p.tf")
     return rows if vocabulary is None else rows.join(vocabulary, "term", "left_semi")

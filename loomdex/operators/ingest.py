@@ -14,17 +14,20 @@ from loomdex.operators.index import unknown_urls
 
 
 def page_content(source: Column) -> Column:
-    return strip_combining(strip_boilerplate(html.html_to_text(source)))
+    """Page text by blocks. Boilerplate goes up to the end of its line, so line ends must still be there."""
+    return strip_combining(strip_boilerplate(html.page_lines(source)))
 
 
 def documents_of(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Documents of the pages worth keeping.
 
-    Known and service pages are dropped on their URL alone, before any HTML is read.
+    Known and service pages are dropped on their URL alone, before any HTML is read. The generator keeps
+    the length test above it, so that a page is cleaned once, and after the join.
     """
     kept = pages if known is None else unknown_urls(pages, known)
     kept = kept.filter(~is_service(F.col("url")))
-    read = kept.select("url", html.title(F.col("html")).alias("title"), page_content(F.col("html")).alias("content"))
+    read = F.struct(html.title(F.col("html")).alias("title"), page_content(F.col("html")).alias("content"))
+    read = kept.select("url", F.explode(F.array(read)).alias("page")).select("url", "page.*")
     return read.filter(long_enough(F.col("content"))).select(
         F.col("url").alias("doc_key"),
         "url", "title", "content",

@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from loomdex.functions.analysis import analyze, clean_query
 from loomdex.functions.snippet import snippet
-from loomdex.functions.text import title_key
-from loomdex.operators.index import FIELDS, HOT_SPLITS, document_frequencies, postings, salt, term_heads
-from loomdex.session import BROADCAST_ROWS, cut_lineage, fits_broadcast
-from loomdex.sources.store import Index, term_bucket
+from loomdex.functions.text import safe_string, title_key
+from loomdex.operators.index import FIELDS, HOT_SPLITS, document_frequencies, postings, salt
+from loomdex.session import cut_lineage, fits_broadcast
+from loomdex.sources.store import Index, stored_documents, term_bucket
 
 DEFAULT_SIZE = 10
 MAX_SIZE = 50
 # Rank cuts up to this depth also run before the shuffle; deeper pages are found by score bands.
 SHALLOW = 1000
 BANDS = 1000
+# Page hits that are broadcast to the stored documents; a row holds a key and a few numbers.
+HITS_IN_MEMORY = 100_000
 
 
 def page_number(text: Column) -> Column:
@@ -53,7 +55,7 @@ def term_weights(
     wanted = terms.withColumn("field", F.explode(F.array(*[F.lit(f) for f in fields])))
     idf = 1 + F.log(n_docs / (F.coalesce(F.col("df"), F.lit(0)) + 1.0))
     weighted = wanted.join(frequencies, ["field", "term"], "left").withColumn("idf", idf)
-    # One query's terms fit in a row of the query table, so this window is small.
+    # A query's terms, fuzzy ones included, are few beside its postings.
     norm = 1 / F.sqrt(F.sum(F.col("reps") * F.col("idf") * F.col("idf")).over(Window.partitionBy("query_id")))
     weight = F.col("reps") * F.col("idf") * F.col("idf") * norm
     return weighted.select("query_id", "field", "term", "reps", "n_terms", weight.alias("weight"))
@@ -112,8 +114,7 @@ def lookup(index: Index, terms: DataFrame, small: bool, fields=None, names=FIELD
     if stored is None:
         # Only postings of query terms are shuffled, by document: every later step of the scoring
         # groups by document and needs no further shuffle.
-        heads = term_heads(wanted) if small else None
-        post = postings(index.docs, fields, F.broadcast(wanted) if small else wanted, heads)
+        post = postings(index.docs, fields, F.broadcast(wanted) if small else wanted)
         post = post.repartition("doc_key")
         return post, document_frequencies(post)
     # The bucket column lets the scan skip buckets without a wanted term.
@@ -167,13 +168,17 @@ def ranked(scored: DataFrame, depth: int) -> DataFrame:
 
 def pages(scored: DataFrame, queries: DataFrame) -> DataFrame:
     """Hits on the requested page of every query: queries(query_id, q, page, size)."""
-    depth = queries.agg(F.max(F.col("page") * F.col("size"))).first()[0] or 0
+    last = F.col("page") * F.col("size")
     asked = queries.select("query_id", "page", "size")
-    if depth > SHALLOW:
-        return deep_pages(scored, asked)
+    deep = asked.filter(last > SHALLOW)
+    shallow = asked.filter(last <= SHALLOW)
     first = (F.col("page") - 1) * F.col("size")
-    hits = ranked(scored, depth).join(asked, "query_id")
-    return hits.filter((F.col("rank") > first) & (F.col("rank") <= first + F.col("size")))
+    hits = ranked(scored, SHALLOW).join(shallow, "query_id")
+    hits = hits.filter((F.col("rank") > first) & (F.col("rank") <= first + F.col("size")))
+    if deep.isEmpty():
+        return hits
+    far = deep_pages(scored.join(deep.select("query_id"), "query_id", "left_semi"), deep)
+    return hits.unionByName(far.select(hits.columns))
 
 
 def deep_pages(scored: DataFrame, asked: DataFrame) -> DataFrame:
@@ -201,11 +206,10 @@ def deep_pages(scored: DataFrame, asked: DataFrame) -> DataFrame:
     return kept.select("query_id", "doc_key", "score", "rank", "page", "size")
 
 
-def with_documents(hits: DataFrame, docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """Stored fields of page hits. Page hits number at most queries x size."""
+def with_documents(hits: DataFrame, index: Index, queries: DataFrame) -> DataFrame:
+    """Stored fields of page hits. Page hits number at most queries x size; the stored documents of other buckets are not read."""
     bound = queries.agg(F.sum("size")).first()[0] or 0
-    side = F.broadcast(hits) if bound <= BROADCAST_ROWS else hits
-    return docs.join(side, "doc_key")
+    return stored_documents(index, hits, small=bound <= HITS_IN_MEMORY)
 
 
 def one_per_title(hits: DataFrame) -> DataFrame:
@@ -220,12 +224,12 @@ def results(
 ) -> DataFrame:
     """Result rows of every requested page, with snippet and relevance tier."""
     scored = scores(index, queries, stop) if scored is None else scored
-    found = with_documents(pages(scored, queries), index.docs, queries)
+    found = with_documents(pages(scored, queries), index, queries)
     kept = one_per_title(found).join(totals(scored), "query_id")
     cleaned = queries.select("query_id", clean_query(F.col("q"), stop).alias("cleaned"))
     cleaned = cleaned.withColumn("terms", analyze(F.col("cleaned")))
     return kept.join(cleaned, "query_id").select(
-        "query_id", "rank", "doc_key", "url", "title", "file_path", "file_type", "score", "total",
+        "query_id", "rank", "doc_key", *(safe_string(F.col(c)).alias(c) for c in ("url", "title", "file_path", "file_type")), "score", "total",
         snippet(F.col("content"), F.col("cleaned"), F.col("terms"), stop).alias("snippet"),
         relevance(F.col("score"), F.col("max_score")).alias("relevance"),
     )

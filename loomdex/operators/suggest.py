@@ -10,7 +10,7 @@ from loomdex.functions.text import fold_case, words
 from loomdex.operators.index import everything
 from loomdex.operators.search import combined_scores, lookup, match, ranked, term_weights
 from loomdex.session import cut_lineage, fits_broadcast
-from loomdex.sources.store import Index
+from loomdex.sources.store import Index, stored_documents
 
 FUZZINESS = 2
 TOP_DOCS = 3
@@ -67,7 +67,9 @@ def probe_keys(term: Column, k: int = FUZZINESS) -> Column:
 
 def similar_terms(terms: DataFrame, vocabulary: DataFrame, small: bool, k: int = FUZZINESS) -> DataFrame:
     """(term, similar) pairs within k edits, joined on shared pieces instead of all pairs."""
+    # A term gives many probes, so it is their table whose size is checked.
     probes = terms.select("term", F.explode(probe_keys(F.col("term"), k)).alias("key"))
+    small = small and fits_broadcast(probes, "term")
     known = vocabulary.select(
         F.col("term").alias("similar"), F.explode(segment_keys(F.col("term"), k)).alias("key")
     )
@@ -118,10 +120,11 @@ def document_words(docs: DataFrame, stop: list[str] | None = None) -> Column:
     )
 
 
-def fuzzy_vocabulary(top: DataFrame, docs: DataFrame, stop: list[str] | None = None) -> DataFrame:
+def fuzzy_vocabulary(top: DataFrame, index: Index, stop: list[str] | None = None) -> DataFrame:
     """(query_id, doc_key, words): words of the three documents, one row per document."""
-    chosen = docs.join(top.select("query_id", "doc_key"), "doc_key")
-    return chosen.select("query_id", "doc_key", document_words(docs, stop).alias("words"))
+    wanted = top.select("query_id", "doc_key")
+    chosen = stored_documents(index, wanted, small=fits_broadcast(wanted, "doc_key"))
+    return chosen.select("query_id", "doc_key", document_words(chosen, stop).alias("words"))
 
 
 def nearest(word: Column, candidates: Column) -> Column:
@@ -176,5 +179,5 @@ def rebuilt(queries: DataFrame, found: DataFrame) -> DataFrame:
 
 def suggest(index: Index, queries: DataFrame, stop: list[str] | None = None) -> DataFrame:
     top = fuzzy_documents(index, queries, stop)
-    doc_words = fuzzy_vocabulary(top, index.docs, stop)
+    doc_words = fuzzy_vocabulary(top, index, stop)
     return rebuilt(queries, corrections(queries, doc_words, stop))

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from loomdex.functions import vocab
 from loomdex.functions.text import words
+from loomdex.session import fresh_dir
 from loomdex.sources.readers import read_table, read_text_table
-from loomdex.sources.store import Index
+from loomdex.sources.store import Index, open_index, write_index
 
 # Latin to Cyrillic, chosen so that common word ends become Russian endings.
 LATIN = "abcdefghijklmnopqrstuvwxyzéèêçäöüóáíñABCDEFGHIJKLMNOPQRSTUVWXYZÉÈÊÇÄÖÜÓÁÍÑ"
@@ -126,8 +127,18 @@ def corpus(spark: SparkSession, sf: str, cyrillic: bool = False) -> DataFrame:
     )
 
 
+_stored: dict[tuple[str, str, bool], str] = {}
+
+
 def index(spark: SparkSession, sf: str, cyrillic: bool = False) -> Index:
-    return Index(docs=corpus(spark, sf, cyrillic))
+    """Stored index of the corpus, built once for an application."""
+    key = spark.sparkContext.applicationId, sf, cyrillic
+    if key not in _stored:
+        home = fresh_dir(spark, "index")
+        docs = corpus(spark, sf, cyrillic).selectExpr("*", "'' as content_hash", "cast(0 as bigint) as seq")
+        write_index(docs, home)
+        _stored[key] = home
+    return open_index(spark, _stored[key])
 
 
 def queries(spark: SparkSession, sf: str, cyrillic: bool = False) -> DataFrame:

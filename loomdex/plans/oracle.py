@@ -255,6 +255,7 @@ with {CONFIGS} select page_id, {cfg_list('seed_urls')}, {cfg_list('allowed_hosts
 case when broken then '' else coalesce(nullif(json_extract_string(j, '$.user_agent'), ''), {q(vocab.CONFIG_DEFAULTS['user_agent'])}) end as user_agent,
 coalesce(cast(json_extract_string(j, '$.auto_start') as boolean), false) as auto_start
 from cfg"""
+ORACLE["safe_string"] = f"with {CONFIGS} select page_id, coalesce(config, '') as config from configs"
 ORACLE["seed_list"] = f"""
 with {CONFIGS}, s as (select page_id, case when page_id % 3 = 0 then [] else [{normal('url')}] end
   || coalesce(cast(json_extract(j, '$.seed_urls') as varchar[]), []) as seeds from cfg)
@@ -298,12 +299,18 @@ def page_text(source: str, out: str, key: str = "page_id") -> str:
     """CTEs from `source(key, stripped)` to `out(key, paragraphs, content)`."""
     para = trim(decode(rep(ext("piece", rf"(?is)^(.*?)(?:{BLOCK_TAG}|\z)"), r"<[^>]*>")))
     body = decode(rep(ext("stripped", r"(?is)<body[^>]*>(.*)"), r"<[^>]*>"))
+    inner = rep(ext("stripped", r"(?is)<body[^>]*>(.*)"), r"[\t\n\f\r ]+", " ")
+    by_block = f"string_split({rep(inner, '(?i)' + BLOCK_TAG, chr(10))}, chr(10))"
+    one = strip_ws(decode(rep("b", "<[^>]*>")))
+    body_lines = f"array_to_string(list_filter(list_transform({by_block}, lambda b: {one}), lambda b: b <> ''), chr(10))"
     return f"""
 {out}_p as (select {key}, i, {para} as t from (
   select {key}, unnest(p) as piece, generate_subscripts(p, 1) as i from (
     select {key}, string_split_regex(stripped, '(?i)<p(?:\\s[^>]*)?>') as p from {source})) where i > 1),
-{out}_j as (select {key}, string_agg(t || ' ', '' order by i) as t from {out}_p where t <> '' group by {key}),
+{out}_j as (select {key}, string_agg(t || ' ', '' order by i) as t, string_agg({strip_ws('t')}, chr(10) order by i) as lines
+  from {out}_p where t <> '' group by {key}),
 {out} as (select s.{key}, coalesce(t, '') as paragraphs,
+  case when strlen(coalesce(t, '')) < {vocab.MIN_PARAGRAPH_BYTES} then {body_lines} else lines end as lines,
   {strip_ws(scrub(f"case when strlen(coalesce(t, '')) < {vocab.MIN_PARAGRAPH_BYTES} then {body} else t end"))} as content
   from {source} s left join {out}_j j on s.{key} = j.{key})"""
 
@@ -337,7 +344,7 @@ def ingest_sql(source: str, known: str) -> str:
     return f"""
 strp as (select url, {strip_html('html')} as stripped from {source}),
 {page_text('strp', 'pt', 'url')},
-raw as (select url, content as t from pt),
+raw as (select url, lines as t from pt),
 {boilerplate_steps('raw', 'url', 'bp')},
 done as (select s.url, {TITLE} as title, {rep('b.t', chr(92) + 'p{Mn}')} as content from {source} s join bp b on s.url = b.url
   where not {any_in('url_decode(s.url)', vocab.SERVICE_MARKS)} {known})

@@ -269,6 +269,11 @@ def content_hash(spark, sf):
     return inputs.documents(spark, sf).select("doc_id", text.content_hash(F.col("text")).alias("content_hash"))
 
 
+@query
+def safe_string(spark, sf):
+    return inputs.configs(spark, sf).select("page_id", text.safe_string(F.col("config")).alias("config"))
+
+
 @query
 def min_bytes(spark, sf):
     docs = inputs.documents(spark, sf).filter(text.long_enough(F.col("text")))
@@ -428,7 +433,7 @@ def _requests(spark, sf):
 @query
 def search_page(spark, sf):
     index, asked = inputs.index(spark, sf), inputs.queries(spark, sf)
-    found = search.with_documents(search.pages(search.scores(index, asked), asked), index.docs, asked)
+    found = search.with_documents(search.pages(search.scores(index, asked), asked), index, asked)
     return found.select("query_id", "rank", "url", "title", F.round("score", 6).alias("score"))
 
 
@@ -441,7 +446,7 @@ def batch_search(spark, sf):
 @query
 def title_dedupe(spark, sf):
     index, asked = inputs.index(spark, sf), _requests(spark, sf)
-    found = search.with_documents(search.pages(search.scores(index, asked), asked), index.docs, asked)
+    found = search.with_documents(search.pages(search.scores(index, asked), asked), index, asked)
     return search.one_per_title(found).select("query_id", "rank", "title_key")
 
 
@@ -462,7 +467,7 @@ def search_response(spark, sf):
 def _page_hits(spark, sf):
     """Page hits of the Cyrillic corpus with content, cleaned query and index terms."""
     index, asked = inputs.index(spark, sf, cyrillic=True), inputs.queries(spark, sf, cyrillic=True)
-    found = search.with_documents(search.pages(search.scores(index, asked), asked), index.docs, asked)
+    found = search.with_documents(search.pages(search.scores(index, asked), asked), index, asked)
     cleaned = asked.select("query_id", analysis.clean_query(F.col("q")).alias("cleaned"))
     cleaned = cleaned.withColumn("terms", analysis.analyze(F.col("cleaned")))
     return found.join(cleaned, "query_id").select("query_id", "doc_key", "content", "cleaned", "terms")
@@ -544,14 +549,14 @@ def suggest_fuzzy_docs(spark, sf):
 @query
 def suggest_vocab(spark, sf):
     index, _, top = _suggest_parts(spark, sf)
-    rows = suggest.fuzzy_vocabulary(top, index.docs)
+    rows = suggest.fuzzy_vocabulary(top, index)
     return rows.select("query_id", F.explode("words").alias("word")).distinct()
 
 
 @query
 def suggest_corrections(spark, sf):
     index, asked, top = _suggest_parts(spark, sf)
-    return suggest.corrections(asked, suggest.fuzzy_vocabulary(top, index.docs))
+    return suggest.corrections(asked, suggest.fuzzy_vocabulary(top, index))
 
 
 @query

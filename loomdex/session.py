@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,11 +18,11 @@ _local_dirs: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach. A temporary folder is used only in local mode."""
+    """Folder every executor can reach: spark.checkpoint.dir. Unset, a single-process session gets a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
@@ -42,19 +43,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, *text_columns: str) -> bool:
-    """Count rows and text bytes of a (query-sized) table; stop counting past the row limit."""
-    size = df.select(*text_columns).limit(BROADCAST_ROWS + 1)
+    """Whether rows and text bytes of a table stay below the limits; both are summed by task first."""
     total = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text_columns), F.lit(0))
-    rows, volume = size.agg(F.count("*"), F.sum(total.cast("bigint"))).first()
+    rows, volume = df.agg(F.count("*"), F.sum(total.cast("bigint"))).first()
     return rows <= BROADCAST_ROWS and (volume or 0) <= BROADCAST_BYTES
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core on inputs stored in fewer splits than there are cores.
+# A table read in fewer splits than this is at most a gigabyte at Spark's default split size.
+FEW_SPLITS = 8
+
 
-    Large inputs already have more splits than cores and are returned unshuffled.
-    """
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use every core on small inputs stored in a few splits; anything larger is returned unshuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= min(cores, FEW_SPLITS):
         return df
     return df.repartition(cores, *keys) if keys else df.repartition(cores)

@@ -11,10 +11,6 @@ from loomdex.functions.text import fold_case
 from loomdex.functions.urls import is_media, is_valid
 from loomdex.session import spread
 
-DOCUMENT_SCHEMA = (
-    "id bigint, url string, title string, content string, file_path string, file_type string, "
-    "content_hash string, seq bigint"
-)
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 CONFIG_SCHEMA = T.StructType([
     T.StructField("seed_urls", T.ArrayType(T.StringType())),
@@ -95,13 +91,10 @@ def stopword_rows(json_arrays: DataFrame, column: str) -> DataFrame:
     )
 
 
-def load_stopwords(spark: SparkSession, *paths: str, limit: int = 20_000) -> list[str]:
-    """Words of JSON array files as literals for the `stop` parameters (size-checked)."""
+def load_stopwords(spark: SparkSession, *paths: str) -> list[str]:
+    """All words of the given stop-word files, which are configuration; words of whole tables stay rows, see stopword_rows."""
     files = spark.read.text(list(paths), wholetext=True)
-    found = [r.word for r in stopword_rows(files, "value").limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} stop words")
-    return sorted(found)
+    return sorted(r.word for r in stopword_rows(files, "value").collect())
 
 
 def sitemap_locations(xml: Column) -> Column:

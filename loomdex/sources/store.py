@@ -22,17 +22,30 @@ class Index:
     post: DataFrame | None = None
     post_all: DataFrame | None = None
     term_df: DataFrame | None = None
+    stats: DataFrame | None = None
     buckets: int = 1
 
     @property
     def n_docs(self) -> Column:
-        return self.docs.agg(F.count("*")).scalar()
+        return self.docs.agg(F.count("*")).scalar() if self.stats is None else self.stats.select("n_docs").scalar()
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def stored_documents(index: Index, keys: DataFrame, small: bool) -> DataFrame:
+    """Stored fields of the documents named by `keys(doc_key, ...)`, with all columns of `keys`.
+
+    Stored documents lie in folders by key bucket, so a scan for some keys skips the other buckets.
+    """
+    if "doc_bucket" not in index.docs.columns:
+        return index.docs.join(F.broadcast(keys) if small else keys, "doc_key")
+    placed = keys.withColumn("doc_bucket", term_bucket(F.col("doc_key"), index.buckets))
+    found = index.docs.join(F.broadcast(placed) if small else placed, ["doc_bucket", "doc_key"])
+    return found.drop("doc_bucket")
+
+
 def append_segment(docs: DataFrame, path: str, segment: int) -> None:
     """Write one batch of documents; writing the same batch again replaces it."""
     docs.write.mode("overwrite").parquet(f"{path}/segments/segment={segment}")
@@ -45,16 +58,20 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
 def write_index(docs: DataFrame, path: str, buckets: int = 16) -> str:
     """Build a new version from the last write of every key and record it; returns its folder.
 
-    Postings are laid out by term bucket. The extra salt spreads a bucket over several writers,
+    Documents are laid out by key bucket, sorted by key. Postings are laid out by term bucket. The extra salt spreads a bucket over several writers,
     so one very frequent term does not end up in a single task. `buckets` should give files of some
     hundred megabytes: 16 suits a small corpus, thousands a very large one.
     """
     spark = docs.sparkSession
     version = latest_version(spark, path)[0] + 1
     home = f"{path}/v={version}"
-    current = latest(docs).select(*DOCUMENT_COLUMNS)
-    current.write.mode("overwrite").parquet(f"{home}/documents")
+    current = latest(docs).select(*DOCUMENT_COLUMNS, term_bucket(F.col("doc_key"), buckets).alias("doc_bucket"))
+    (
+        current.repartition("doc_bucket", salt()).sortWithinPartitions("doc_bucket", "doc_key")
+        .write.mode("overwrite").partitionBy("doc_bucket").parquet(f"{home}/documents")
+    )
     stored = spark.read.parquet(f"{home}/documents")
+    stored.agg(F.count("*").alias("n_docs")).write.mode("overwrite").parquet(f"{home}/stats")
     fields = field_columns() | everything()
     rows = postings(stored, fields).withColumn("term_bucket", term_bucket(F.col("term"), buckets))
     (
@@ -92,5 +109,6 @@ def open_index(spark: SparkSession, path: str) -> Index:
         post=rows.filter(F.col("field").isin("title", "content")),
         post_all=rows.filter("field = 'all'"),
         term_df=spark.read.parquet(f"{home}/term_stats"),
+        stats=spark.read.parquet(f"{home}/stats"),
         buckets=buckets,
     )

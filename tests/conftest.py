@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -16,6 +17,7 @@ SESSION = (
     .config("spark.ui.enabled", "false")
     .config("spark.ui.showConsoleProgress", "false")
     .config("spark.driver.memory", "8g")
+    .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="loomdex-tests-"))
     .config("spark.sql.session.timeZone", "UTC")
     .getOrCreate()
 )

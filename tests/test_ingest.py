@@ -114,3 +114,22 @@ def test_stream_equals_batch(spark):
     counts = fresh_dir(spark, "progress")
     streaming.start_progress(streaming.page_stream(spark, source, 1), counts, fresh_dir(spark, "checkpoint")).awaitTermination()
     assert {r.host: r.pages_found for r in streaming.current_progress(spark, counts).collect()} == {"a.org": 4, "b.org": 1}
+
+
+def test_boilerplate_costs_its_own_line_only(spark):
+    page = "<body><p>Jump to navigation</p><p>FIRST paragraph. It has two sentences.</p><p>Second para\n ends. " + "Third one. " * 30 + "</p></body>"
+    short = "<body><div>From Wikipedia, x.</div><div>One <b>two</b></div>three<ul><li>four</ul></body>"
+    pages = spark.createDataFrame([("http://a/1", page), ("http://a/2", short * 1)], "url string, html string")
+    got = ingest.documents_of(pages).collect()
+    assert [r.content for r in got] == ["FIRST paragraph. It has two sentences.\nSecond para ends. " + ("Third one. " * 30).strip()]
+    lines = pages.filter("url = 'http://a/2'").select(ingest.page_content(F.col("html")).alias("c")).first().c
+    assert lines == "One two\nthree\nfour"
+
+
+def test_pages_are_cleaned_once_and_after_the_known_ones_are_gone(spark):
+    pages = spark.createDataFrame([("http://a/1", "<p>x</p>")], "url string, html string")
+    known = spark.createDataFrame([("http://a/2",)], "doc_key string")
+    plan = ingest.documents_of(pages, known)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join LeftAnti")
+    assert "<script" in above and "Generate explode" in above
+    assert "<script" not in below
