@@ -39,6 +39,41 @@ def op1_spaced_seed_overlap(spark, sf):
     return found.select("doc_id", "n_windows", F.array_join(F.col("item_ids").cast("array<string>"), ",").alias("item_ids"))
 
 
+def _mask_key(number: int, window: str, places: list[int]) -> str:
+    return f"concat_ws(' ', '{number}', " + ", ".join(f"{window}[{i + 1}]" for i in places) + ")"
+
+
+def _spaced_seed_sql() -> str:
+    span = decontaminate.SPAN
+    keys = [_mask_key(m, "v", [i for i in range(span) if mask[i] == "1"]) for m, mask in enumerate(decontaminate.MASKS)]
+    tokens = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+    short = f"range({decontaminate.LEAST_TOKENS}, {span})"
+    return f"""
+with d as (select doc_id, {tokens} as t from documents),
+b as (select item_id, {tokens} as t from benchmark),
+item_windows as (
+  select v, {span} as n, min(item_id) as item_id from (
+    select item_id, t[p + 1:p + {span}] as v from (select item_id, t, unnest(range(len(t) - {span} + 1)) as p from b)) group by v
+  union all select t, len(t), min(item_id) from b where len(t) in (select unnest({short})) group by t),
+item_keys as (
+  select item_id, n, v, unnest(case when n = {span} then [{", ".join(keys)}] else [concat_ws(' ', -n, array_to_string(v, ' '))] end) as key
+  from item_windows),
+doc_keys as (
+  select doc_id, p, v, unnest([{", ".join(keys)}]) as key from (
+    select doc_id, p, t[p + 1:p + {span}] as v from (select doc_id, t, unnest(range(len(t) - {span} + 1)) as p from d))
+  union all select doc_id, p, v, concat_ws(' ', -len(v), array_to_string(v, ' ')) from (
+    select doc_id, p, t[p + 1:p + n] as v from (
+      select doc_id, t, n, unnest(range(len(t) - n + 1)) as p from d, (select distinct n from item_windows where n < {span})))),
+hits as (
+  select doc_id, p, item_id from doc_keys join item_keys i using (key)
+  where list_sum(list_transform(range(1, n + 1), lambda x: (doc_keys.v[x] <> i.v[x])::int)) <= case when n = {span} then {decontaminate.MAX_SUBSTITUTIONS} else 0 end)
+select doc_id, count(distinct p) as n_windows, array_to_string(list_sort(list(distinct item_id)), ',') as item_ids
+from hits group by doc_id"""
+
+
+ORACLE["op1_spaced_seed_overlap"] = _spaced_seed_sql()
+
+
 @query
 def op2_simhash_pigeonhole(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"))
@@ -117,6 +152,25 @@ def op8_repeated_line_runs(spark, sf):
     return done.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+# Every run of at most min_words lines, looked up as text; longer ones are unions of these.
+ORACLE["op8_repeated_line_runs"] = f"""
+with l as (select doc_id, string_split(text, chr(10)) as ls from documents),
+n as (
+  select doc_id, ls, list_transform(ls, lambda x: trim(translate(x, chr(9) || chr(13) || chr(12) || chr(11), '    '), ' ')) as t from l),
+w as (select *, list_transform(t, lambda x: greatest(1, len(list_filter(string_split(x, ' '), lambda y: y <> '')))) as words from n),
+starts as (select doc_id, t, words, unnest(range(len(t))) as i from w),
+runs as (select *, unnest(range(1, least({line_runs.MIN_WORDS}, len(t) - i) + 1)) as m from starts),
+counted as (
+  select doc_id, i, m, row_number() over (partition by m, array_to_string(t[i + 1:i + m], chr(10)) order by doc_id, i) as nth
+  from runs where list_sum(words[i + 1:i + m]) >= {line_runs.MIN_WORDS}),
+cut as (select distinct doc_id, unnest(range(i, i + m)) as i from counted where nth > 1),
+kept as (
+  select s.doc_id, string_agg(l.ls[s.i + 1], chr(10) order by s.i) filter (c.i is null) as text, count(c.i) as n_removed
+  from starts s join l on s.doc_id = l.doc_id left join cut c on s.doc_id = c.doc_id and s.i = c.i group by s.doc_id)
+select l.doc_id, len(ls) as n_lines, n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from l join kept on l.doc_id = kept.doc_id"""
+
+
 @query
 def op9_repeated_bytes(spark, sf):
     return repeated_bytes.remove_repeated(table(spark, sf, "documents"))
