@@ -622,9 +622,9 @@ hints as (select s.query_id, case when count(f.word) = 0 then '' else string_agg
 
 ORACLE["suggest_words"] = f"with {MISSPELT} select query_id, array_to_string({meaningful('q')}, ' ') as words from asked"
 ORACLE["suggest_distance"] = f"""
-with w as (select lang, doc_id, unnest(x) as a, generate_subscripts(x, 1) as i from (select lang, doc_id, {words('text')} as x from documents)),
-p as (select lang, a, lead(a) over (partition by doc_id order by i) as b from w)
-select lang, least({edits('a', 'b')}, 4)::bigint as dist, count(*) as n from p where b is not null group by all"""
+with w as (select doc_id, unnest(x) as a, generate_subscripts(x, 1) as i from (select doc_id, {words('text')} as x from documents)),
+p as (select doc_id, i, a, lead(a) over (partition by doc_id order by i) as b from w)
+select doc_id, i::bigint as pos, least({edits('a', 'b')}, 4)::bigint as dist from p where b is not null"""
 _SUGGEST = f"with {corpus()}, {MISSPELT}, {suggest_sql('asked')}"
 ORACLE["suggest_fuzzy_docs"] = f"{_SUGGEST} select query_id, doc_key, rank, round(score, 6) as score from top"
 ORACLE["suggest_vocab"] = f"{_SUGGEST} select query_id, word from dw"
@@ -756,18 +756,23 @@ def light(x: str) -> str:
 
 ORACLE["kwic_words"] = f"with {KWIC_DOCS} select doc_id, array_to_string({kwic_words('t')}, ' ') as words from asked"
 ORACLE["light_stem"] = f"with {CYR_VOCABULARY} select token, {light('token')} as stem from voc"
-KWIC_FOUND = f"""{KWIC_DOCS},
+def kwic_found(first_only: bool = False) -> str:
+    """CTEs to found(doc_id, word_no, word, at0, matched). `first_only`: words after the first one found directly are not looked up by stem."""
+    before = "and word_no < coalesce((select min(d.word_no) from direct d where d.doc_id = direct.doc_id and d.at0 >= 0), word_no + 1)" if first_only else ""
+    return f"""{KWIC_DOCS},
 kw as (select doc_id, t, unnest(ws) as word, (generate_subscripts(ws, 1) - 1)::bigint as word_no from (select doc_id, t, {kwic_words('q')} as ws from asked)),
 direct as (select doc_id, word, word_no, instr({fold('t')}, word) - 1 as at0 from kw),
 {spans_sql('asked', 'doc_id', 't', 'sp', 'length', '(?i)[а-яёa-z]+')},
 ktok as (select doc_id, s, piece, {fold('piece')} as low, {light('piece')} as stem from sp),
-lost as (select doc_id, word, word_no, {light('word')} as ws from direct where at0 < 0),
+lost as (select doc_id, word, word_no, {light('word')} as ws from direct where at0 < 0 {before}),
 by_stem as (select l.doc_id, l.word_no, min(k.s) as at0, arg_min(k.piece, k.s) as matched from lost l join ktok k
   on l.doc_id = k.doc_id and (k.stem = l.ws or starts_with(k.low, l.ws)) group by all),
 found as (select d.doc_id, d.word_no, d.word, (case when d.at0 >= 0 then d.at0 else coalesce(b.at0, -1) end)::bigint as at0,
   case when d.at0 >= 0 then d.word else coalesce(matched, '') end as matched
   from direct d left join by_stem b on d.doc_id = b.doc_id and d.word_no = b.word_no)"""
-EXCERPTS = f"""{KWIC_FOUND},
+
+
+EXCERPTS = f"""{kwic_found(first_only=True)},
 firsts as (select doc_id, at0, matched from found where at0 >= 0 qualify row_number() over (partition by doc_id order by word_no) = 1),
 edges as (select doc_id, t, q, at0, at0 + length(matched) as stop, greatest(0, at0 - 150) as a0, least(length(t), at0 + length(matched) + 150) as b0
   from asked join firsts using (doc_id)),
@@ -777,7 +782,7 @@ cuts as (select *, case when a0 > 0 and gap > 0 then a0 + gap else a0 end as a,
 excerpts as (select x.doc_id, x.q, case when c.doc_id is null then case when length(x.t) > 200 then left(x.t, 200) || '...' else x.t end
   else case when a > 0 then '...' else '' end || substr(c.t, a + 1, b - a) || case when b < length(c.t) then '...' else '' end end as excerpt
   from asked x left join cuts c on x.doc_id = c.doc_id)"""
-ORACLE["kwic_find"] = f'with {KWIC_FOUND} select doc_id, word_no, word, at0 as "at", matched from found'
+ORACLE["kwic_find"] = f'with {kwic_found()} select doc_id, word_no, word, at0 as "at", matched from found'
 ORACLE["kwic_snippet"] = f"with {EXCERPTS} select doc_id, excerpt from excerpts"
 _pattern = f"'(?i)(?:' || array_to_string(list_transform({kwic_words('q')}, lambda w: {light('w')}), '|') || ')[а-яёa-z]*'"
 ORACLE["kwic_highlight"] = f"""

@@ -524,15 +524,15 @@ def suggest_words(spark, sf):
 @query
 def suggest_distance(spark, sf):
     """Distances of neighbouring words, 4 standing for anything above three edits."""
-    pairs = inputs.documents(spark, sf).select("lang", text.words(F.col("text")).alias("w")).select(
-        "lang", F.explode(F.arrays_zip(
+    pairs = inputs.documents(spark, sf).select("doc_id", text.words(F.col("text")).alias("w")).select(
+        "doc_id", F.posexplode(F.arrays_zip(
             F.col("w").alias("a"), F.slice("w", F.lit(2), F.size("w")).alias("b")
-        )).alias("p"),
+        )).alias("pos", "p"),
     ).filter("p.b is not null")
     dist = F.levenshtein(F.col("p.a"), F.col("p.b"), 3)
-    return pairs.select("lang", F.when(dist < 0, 4).otherwise(dist).cast("bigint").alias("dist")).groupBy(
-        "lang", "dist"
-    ).agg(F.count("*").alias("n"))
+    return pairs.select(
+        "doc_id", (F.col("pos") + 1).cast("bigint").alias("pos"), F.when(dist < 0, 4).otherwise(dist).cast("bigint").alias("dist")
+    )
 
 
 def _suggest_parts(spark, sf):
