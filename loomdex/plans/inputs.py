@@ -224,6 +224,27 @@ def linked_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def site(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of five hosts, each with three more links in its HTML to pages chosen by arithmetic on its number."""
+    n = read_table(spark, sf, "pages").agg(F.count("*")).scalar()
+    targets = [F.pmod(F.col("page_id") * i + 7 * i * i + 1, n) for i in (1, 2, 3)]
+    anchors = F.concat(*(part for t in targets for part in (F.lit('<a href="'), site_url(t), F.lit('">next</a>'))))
+    html = F.replace(F.col("html"), F.lit("<article>"), F.concat(F.lit("<p>"), anchors, F.lit("</p><article>")))
+    return pages(spark, sf).select("page_id", site_url(F.col("page_id")).alias("url"), html.alias("html"))
+
+
+def site_url(number):
+    return F.concat(
+        F.lit("http://s"), F.pmod(number, F.lit(5)).cast("string"), F.lit(".example.org/p"), number.cast("string")
+    )
+
+
+def site_ips(spark: SparkSession, sf: str) -> DataFrame:
+    """(host, ip) of the five hosts; the last one is private."""
+    hosts = site(spark, sf).select(F.regexp_extract("url", "^http://([^/]*)", 1).alias("host")).distinct()
+    return hosts.select("host", F.when(F.startswith("host", F.lit("s4.")), "10.0.0.4").otherwise("93.184.1.1").alias("ip"))
+
+
 def page_graph(spark: SparkSession, sf: str) -> DataFrame:
     """(url, links): every page links to six pages chosen by arithmetic on its number."""
     numbered = read_table(spark, sf, "pages").select("page_id", F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("url"))

@@ -409,6 +409,24 @@ with edges as (select 'p' || page_id as src, 'p' || ((page_id * i + 7 * i * i +
 l1 as (select 'p' || page_id as url from pages where 'p' || page_id in {inlist(queries.SEEDS)}), v1 as (select url from l1), {_levels}
 {' union all '.join(f'select url, {d}::bigint as depth from l{d}' for d in range(1, queries.CRAWL_DEPTH + 1))}"""
 
+
+
+def _site_url(number: str) -> str:
+    return f"'http://s' || ({number}) % 5 || '.example.org/p' || ({number})"
+
+
+_next = " || ".join(f"""'<a href="' || {_site_url(f"(page_id * {i} + {7 * i * i + 1}) % (select count(*) from pages)")} || '">next</a>'""" for i in (1, 2, 3))
+SITE = f"""site as (select page_id, {_site_url('page_id')} as url, replace(html, '<article>', '<p>' || {_next} || '</p><article>') as html from pages),
+{links_sql('site')},
+edges as (select distinct url as src, link as dst from links where {valid('link')} and not {has('lower(link)', MEDIA)} and {host('link')} in (
+  select distinct regexp_extract(url, '^http://([^/]*)', 1) from site where not starts_with(url, 'http://s4.'))),
+l1 as (select url from site where page_id in (1, 2, 3)), v1 as (select url from l1), {_levels},
+reached as ({' union all '.join(f'select url, {d}::bigint as depth from l{d}' for d in range(1, queries.CRAWL_DEPTH + 1))})"""
+ORACLE["crawl_pages"] = f"with {SITE} select url, depth from reached"
+ORACLE["crawl_ingest"] = f"""
+with {SITE}, found as (select site.url, html from site join reached on site.url = reached.url order by depth, site.url limit {queries.PAGE_CAP}),
+{ingest_sql('found', '')} from done where strlen(content) >= {vocab.MIN_PAGE_BYTES}"""
+
 # --- text ----------------------------------------------------------------------------------
 
 ORACLE["wiki_scrub"] = (

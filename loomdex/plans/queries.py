@@ -204,6 +204,23 @@ def crawl_bfs(spark, sf):
     return crawl.reach(seeds, graph, CRAWL_DEPTH).select("url", big("depth"))
 
 
+def _crawled(spark, sf):
+    seeds = inputs.site(spark, sf).filter(F.col("page_id").isin(1, 2, 3)).select("url")
+    return crawl.crawl(seeds, inputs.site(spark, sf), inputs.site_ips(spark, sf), F.expr("cast(array() as array<string>)"), CRAWL_DEPTH)
+
+
+@query
+def crawl_pages(spark, sf):
+    return _crawled(spark, sf).select("url", big("depth"))
+
+
+@query
+def crawl_ingest(spark, sf):
+    """The whole chain: follow links, cap the pages, clean and filter them."""
+    found = ingest.capped(inputs.site(spark, sf).join(_crawled(spark, sf), "url"), PAGE_CAP)
+    return ingest.documents_of(found).select("url", "title", "content", "content_hash")
+
+
 @query
 def seed_list(spark, sf):
     configured = inputs.configs(spark, sf).select("page_id", "url", readers.parse_config(F.col("config")).alias("c"))
