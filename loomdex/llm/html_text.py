@@ -3,9 +3,12 @@
 The standard library's parser feeds a page's events to one pass that cuts it into lines at block-level
 tags, drops what is marked as something else (navigation, forms, scripts, adverts, comments), and counts
 each line's text characters and tags. The ratios are smoothed by a Gaussian; lines above the threshold
-(one standard deviation, as long as that leaves any) are the dense cluster. The smallest element that
-holds most of the dense text is the content region, and every line inside it is kept, short ones too;
-outside it, nothing. Runs of lines that are nothing but links are menus and go.
+(one standard deviation, as long as that leaves any) are dense. The smallest element that holds most of
+the dense text is the content region, and every line inside it is kept, short ones too. A region in an
+article or main element is widened to the whole of it, and other articles with dense text are kept as well.
+Elsewhere, dense text outside the region is kept too, up to the common ancestor: the elements that hold it,
+the lines between, and the lines that lie directly in the ancestor. Runs of lines that are nothing but
+links are menus and go.
 
 Defined cases: a null or empty page, or one without text, gives an empty text; unclosed and stray tags
 are tolerated; a page without any text outside marked parts is empty; equal pages give equal texts.
@@ -43,6 +46,8 @@ MARKS = frozenset(
 COMMENT_MARKS = frozenset("comment comments commentlist reply replies disqus discussion respond".split())
 #: Elements that can hold the content region.
 REGIONS = frozenset("article main section div td body html details blockquote".split())
+#: Elements that are content as a whole.
+WHOLE = frozenset(("article", "main"))
 SIGMA = 1.5
 MOST = 0.7
 #: So many lines in a row that are nothing but links make a menu.
@@ -57,6 +62,7 @@ class LineReader(HTMLParser):
         self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
         self.stack: list[tuple[str, int, str]] = []  # tag, region number or 0, why it is dropped
         self.dropping = self.regions = self.links = 0
+        self.wholes: set[int] = set()  # region numbers of articles and main elements
         self.path: tuple[int, ...] = ()
         self.parts: list[str] = []
         self.linked: list[int] = []
@@ -105,6 +111,8 @@ class LineReader(HTMLParser):
             self.regions += 1
             region = self.regions
             self.path = (*self.path, region)
+            if tag in WHOLE:
+                self.wholes.add(region)
         why = self._why(tag, attrs)
         self.stack.append((tag, region, why))
         self.dropping += bool(why)
@@ -151,18 +159,41 @@ def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(np.pad(ratios, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
-def content_region(lines: list[tuple[str, int, int, tuple[int, ...]]]) -> tuple[int, ...]:
-    """Path of the smallest region that holds most of the text in dense lines."""
+def content_lines(lines: list[tuple[str, int, int, tuple[int, ...]]], wholes: set[int]) -> list[bool]:
+    """Which lines are content; `wholes`: the regions that are never kept in part."""
     sizes = np.array([len(text) for text, _, _, _ in lines], float)
-    ratios = smooth(sizes / np.array([max(1, tags) for _, _, tags, _ in lines]))
-    dense = ratios >= min(ratios.std(), ratios.max())
+    paths = [path for _, _, _, path in lines]
+    own = sizes / np.array([max(1, tags) for _, _, tags, _ in lines])
+    ratios = smooth(own)
+    least = min(ratios.std(), ratios.max())
+    dense = ratios >= least
+    core = own >= least  # dense by itself, not by its neighbours
     held: dict[tuple[int, ...], float] = {}
-    for (_, _, _, path), size, is_dense in zip(lines, sizes, dense):
+    for path, size, is_dense in zip(paths, sizes, dense):
         if is_dense:
             for depth in range(len(path) + 1):
                 held[path[:depth]] = held.get(path[:depth], 0.0) + size
     most = MOST * sizes[dense].sum()
-    return max((path for path, size in held.items() if size >= most), key=len, default=())
+    region = max((path for path, size in held.items() if size >= most), key=len, default=())
+
+    outer = [next((r for r in path if r in wholes), 0) for path in paths]
+    if any(r in wholes for r in region):
+        found = {r for r, is_core in zip(outer, core) if is_core} | {next(r for r in region if r in wholes)}
+        return [r in found and r != 0 for r in outer]
+
+    above = region  # common ancestor of the region and all dense text
+    for path, is_core in zip(paths, core):
+        if is_core:
+            above = above[: next((i for i, (a, b) in enumerate(zip(above, path)) if a != b), min(len(above), len(path)))]
+    depth = len(above)
+    inside = [path[:depth] == above for path in paths]
+    places = [i for i, (x, y) in enumerate(zip(inside, dense | core)) if x and y]
+    first, last = (places[0], places[-1]) if places else (0, -1)
+    parts = {paths[i][: depth + 1] for i in places}
+    return [
+        path[: len(region)] == region or x and (first <= i <= last or len(path) == depth or path[: depth + 1] in parts)
+        for i, (path, x) in enumerate(zip(paths, inside))
+    ]
 
 
 def main_text(html: str | None) -> str:
@@ -182,8 +213,7 @@ def main_text(html: str | None) -> str:
     lines = [line for line, drop in zip(reader.lines, menu) if not drop]
     if not lines:
         return ""
-    region = content_region(lines)
-    return " ".join(text for text, _, _, path in lines if path[: len(region)] == region)
+    return " ".join(line[0] for line, kept in zip(lines, content_lines(lines, reader.wholes)) if kept)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

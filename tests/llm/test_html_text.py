@@ -36,6 +36,22 @@ def test_page_without_semantic_tags_keeps_its_densest_region():
     assert html_text.main_text(page) == f"Title {' '.join([LONG] * 6)} brief"
 
 
+UNEVEN = [("h1", "Head"), ("div class=lead", LONG), ("div class=body", "".join(f"<p>{LONG}</p>" for _ in range(12))), ("blockquote", LONG), ("p", "Short."), ("section", f"<p>{LONG}</p><p>end</p>")]
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_uneven_sections_are_whole(outer):
+    inner = "".join(f"<{tag}>{text}</{tag.split()[0]}>" for tag, text in UNEVEN)
+    page = f"<body><div><a>a</a> | <a>b</a></div><{outer}>{inner}</{outer}><div><span>x</span><span>y</span></div></body>"
+    got = html_text.main_text(page)
+    assert got == " ".join(["Head", *[LONG] * 14, "Short.", LONG, "end"])
+
+
+def test_every_article_with_dense_text_is_kept():
+    page = f"<body><article>{''.join(f'<p>{LONG}</p>' for _ in range(9))}</article><article><h2>Next</h2><div><p>{LONG}</p></div></article></body>"
+    assert html_text.main_text(page) == " ".join([*[LONG] * 9, "Next", LONG])
+
+
 def test_edge_rows(spark):
     big = "<article>" + "".join(f"<p>word {i}</p>" for i in range(20_000)) + "</article>"
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<script>x</script>"), (4, "u", big), (4, "u", big), (None, "u", "<p>x</p>"), (5, "u", "<" * 2000), (6, "u", "<div>" * 3000 + "deep")]
