@@ -11,11 +11,12 @@ the lines between, and the lines that lie directly in the ancestor. Runs of line
 links are menus and go.
 
 Defined cases: a null or empty page, or one without text, gives an empty text; unclosed and stray tags
-are tolerated; a page without any text outside marked parts is empty; equal pages give equal texts.
+are tolerated, and omitted end tags (p, li, dt, dd, option, table parts) are put where HTML puts them; a page without any text outside marked parts is empty; equal pages give equal texts.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -48,6 +49,26 @@ COMMENT_MARKS = frozenset("comment comments commentlist reply replies disqus dis
 REGIONS = frozenset("article main section div td body html details blockquote".split())
 #: Elements that are content as a whole.
 WHOLE = frozenset(("article", "main"))
+#: Elements that a start tag closes, and those it does not look beyond.
+_P_BOUNDS = frozenset("table td th caption button object applet template".split())
+_ITEM_BOUNDS = BLOCKS - frozenset("address div p li dt dd".split()) | frozenset("select button object applet template".split())
+_TABLE = frozenset(("table", "template"))
+SIBLINGS: dict[str, tuple[frozenset[str], frozenset[str]]] = {
+    "body": (frozenset(("head",)), frozenset()),
+    "li": (frozenset(("li",)), _ITEM_BOUNDS),
+    "dt": (frozenset(("dt", "dd")), _ITEM_BOUNDS),
+    "dd": (frozenset(("dt", "dd")), _ITEM_BOUNDS),
+    "option": (frozenset(("option",)), frozenset(("select", "datalist"))),
+    "optgroup": (frozenset(("option", "optgroup")), frozenset(("select", "datalist"))),
+    "td": (frozenset(("td", "th")), _TABLE | {"tr"}),
+    "th": (frozenset(("td", "th")), _TABLE | {"tr"}),
+    "tr": (frozenset(("tr", "td", "th")), _TABLE),
+    "tbody": (frozenset("tbody thead tfoot tr td th caption".split()), _TABLE),
+    "thead": (frozenset("tbody thead tfoot tr td th caption".split()), _TABLE),
+    "tfoot": (frozenset("tbody thead tfoot tr td th caption".split()), _TABLE),
+}
+#: Blocks that may stand inside a p as far as HTML's parser is concerned.
+_IN_P = frozenset("body caption legend tbody td tfoot th thead tr".split())
 SIGMA = 1.5
 MOST = 0.7
 #: So many lines in a row that are nothing but links make a menu.
@@ -61,6 +82,8 @@ class LineReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
         self.stack: list[tuple[str, int, str]] = []  # tag, region number or 0, why it is dropped
+        self.places: dict[str, list[int]] = {}  # by tag, where in the stack it is open
+        self.blocks: list[int] = []  # where in the stack a block is open
         self.dropping = self.regions = self.links = 0
         self.wholes: set[int] = set()  # region numbers of articles and main elements
         self.path: tuple[int, ...] = ()
@@ -94,11 +117,32 @@ class LineReader(HTMLParser):
             self.tags = 0
         self.parts, self.linked = [], []
 
+    def _innermost(self, tags: frozenset[str]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def _close_to(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            self._pop()
+
+    def _close_implied(self, tag: str) -> None:
+        """Closes what HTML lets authors leave open in front of a start tag."""
+        if self.places.get("p") and tag in BLOCKS and tag not in _IN_P:
+            open_p = self.places["p"][-1]
+            if open_p > self._innermost(_P_BOUNDS):
+                self._close_to(open_p)
+        if tag in SIBLINGS:
+            closed, bounds = SIBLINGS[tag]
+            bound = self._innermost(bounds)
+            found = [self.places[t] for t in closed if self.places.get(t) and self.places[t][-1] > bound]
+            if found:  # the outermost of them beyond the bound
+                self._close_to(min(places[bisect_right(places, bound)] for places in found))
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.end_line()
+        self._close_implied(tag)
         if tag in ("article", "main") and self.dropping and all(w not in ("comments", "footer") for _, _, w in self.stack):
-            while any(w for _, _, w in self.stack):  # an unclosed menu or advert does not swallow the article
+            while self.dropping:  # an unclosed menu or advert does not swallow the article
                 self._pop()
         if not self.dropping:
             self.tags += 1
@@ -114,12 +158,19 @@ class LineReader(HTMLParser):
             if tag in WHOLE:
                 self.wholes.add(region)
         why = self._why(tag, attrs)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCKS or tag == "html":
+            self.blocks.append(len(self.stack))
         self.stack.append((tag, region, why))
         self.dropping += bool(why)
         self.links += tag == "a"
 
     def _pop(self) -> str:
         tag, region, why = self.stack.pop()
+        if tag:
+            self.places[tag].pop()
+        if self.blocks and self.blocks[-1] == len(self.stack):
+            self.blocks.pop()
         self.dropping -= bool(why)
         self.links -= tag == "a"
         if region:
@@ -136,11 +187,18 @@ class LineReader(HTMLParser):
             self.end_line()
         if not self.dropping:
             self.tags += 1
-        for depth in range(len(self.stack) - 1, max(-1, len(self.stack) - 65), -1):
-            if self.stack[depth][0] == tag:
-                while len(self.stack) > depth:
-                    self._pop()
-                return
+        places = self.places.get(tag)
+        if not places:
+            return
+        depth = places[-1]
+        if self.blocks and depth < self.blocks[-1] and tag not in BLOCKS and tag != "html":
+            # An inline element ends, the blocks opened in it do not.
+            self.dropping -= bool(self.stack[depth][2])
+            self.links -= tag == "a"
+            places.pop()
+            self.stack[depth] = ("", 0, "")
+        else:
+            self._close_to(depth)
 
     def handle_data(self, data: str) -> None:
         if not self.dropping:

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from loomdex.llm import html_text
@@ -52,6 +54,38 @@ def test_every_article_with_dense_text_is_kept():
     assert html_text.main_text(page) == " ".join([*[LONG] * 9, "Next", LONG])
 
 
+@pytest.mark.parametrize("page", [
+    f"<body><nav><ul>{'<li>item ' * 100}</ul></nav><div><p>{LONG}</p></div></body>",
+    f"<body><form><select>{'<option>o' * 100}</select></form><div><p>{LONG}</p></div></body>",
+    f"<body><div><p>{LONG}<form><select>{'<option>o' * 100}</select></form><p></div></body>",
+    f"<body><nav>{'<b>' * 100}</nav><p>{LONG}</body>",
+    f"<head><title>t</title><body><p>{LONG}",
+    f"<body><nav><dl>{'<dt>a<dd>b' * 100}</dl></nav><nav><table>{'<tr><td>x<th>y' * 100}</table></nav><p>{LONG}</body>",
+])
+def test_omitted_end_tags_do_not_swallow_what_follows(page):
+    assert html_text.main_text(page) == LONG
+
+
+@pytest.mark.parametrize("open_tags", ["<p>x" * 100, "<b>x" * 100, "<ul>" + "<li>x" * 100])
+def test_an_article_ends_after_many_open_elements(open_tags):
+    reader = html_text.LineReader()
+    reader.feed(f"<body><article>{open_tags}</article>after</body>")
+    reader.close()
+    assert reader.lines[-1][0] == "after" and len(reader.lines[-1][3]) == 1 and reader.lines[0][3] != reader.lines[-1][3]
+
+
+def test_lists_and_cells_nest_and_inline_ends_leave_blocks_open():
+    assert html_text.main_text("<article><ul><li>a<ul><li>b<li>c</ul>d<li>e</ul><p>f</article>") == "a b c d e f"
+    assert html_text.main_text(f"<body><b><article><p>{LONG}</p></b><p>{LONG}</p></article></body>") == f"{LONG} {LONG}"
+
+
+def test_end_tags_take_linear_time():
+    page = "<i><div>" + "<b>" * 30_000 + "</i><i></u></i>" * 30_000 + f"<p>{LONG}"
+    started = time.perf_counter()
+    assert html_text.main_text(page) == LONG
+    assert time.perf_counter() - started < 10
+
+
 def test_edge_rows(spark):
     big = "<article>" + "".join(f"<p>word {i}</p>" for i in range(20_000)) + "</article>"
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<script>x</script>"), (4, "u", big), (4, "u", big), (None, "u", "<p>x</p>"), (5, "u", "<" * 2000), (6, "u", "<div>" * 3000 + "deep")]
