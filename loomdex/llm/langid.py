@@ -5,8 +5,8 @@ the longest stretch that also occurs in the sample; such stretches, taken one af
 phrases. The number of phrases, times the logarithm of the sample's length, per symbol, is the
 cross-entropy by Ziv and Merhav's parsing; the language with the least wins.
 
-Symbols are lower-case letters; everything between letters is one gap symbol. Letters unknown to every
-sample match nothing. Texts are cut into stretches of `STRETCH` symbols that are parsed side by side, so
+Symbols are lower-case letters, with a code for every letter of every sample; everything between letters is
+one gap symbol. Letters unknown to every sample match nothing. Texts are cut into stretches of `STRETCH` symbols that are parsed side by side, so
 one table lookup advances thousands of stretches in all languages; a phrase ends at a stretch's end.
 
 Defined cases: a null text or one without a letter is `und` with score 0, as is every text if no row is
@@ -38,7 +38,7 @@ UNKNOWN, GAP = 0, 1
 class SuffixAutomaton:
     """Transitions of the smallest automaton that accepts every substring of a text."""
 
-    def __init__(self, text: bytes) -> None:
+    def __init__(self, text: list[int]) -> None:
         self.next: list[dict[int, int]] = [{}]
         link, length, last = [-1], [0], 0
         for symbol in text:
@@ -65,46 +65,88 @@ class SuffixAutomaton:
                     link[reached] = link[new] = copy
             last = new
 
-    def parsing_table(self, symbols: int, base: int) -> np.ndarray:
-        """Flat table: 2 * (row start of the next state) + 1 if a new phrase begins with the symbol."""
-        root = np.full(symbols, base * symbols * 2 + 1, np.int64)
-        for symbol, state in self.next[0].items():
-            root[symbol] = (base + state) * symbols * 2 + 1
-        table = np.tile(root, (len(self.next), 1))
-        for state, moves in enumerate(self.next[1:], 1):  # at the root, any symbol begins a phrase
-            for symbol, to in moves.items():
-                table[state, symbol] = (base + to) * symbols * 2
-        return table.reshape(-1)
+
+class ParsingTable:
+    """Moves of several automata in one hash table with two places for each, so that its size goes by moves, not by letters.
+
+    A key is a state, numbered through all automata, and a symbol. At a root any symbol begins a phrase, so
+    roots have rows of their own.
+    """
+
+    def __init__(self, automata: list[SuffixAutomaton], symbols: int) -> None:
+        self.symbols = symbols
+        sizes = [len(a.next) for a in automata]
+        self.starts = np.cumsum([0, *sizes], dtype=np.int64)[:-1]
+        self.roots = np.repeat(self.starts[:, None], symbols, axis=1)
+        keys: list[int] = []
+        to: list[int] = []
+        for which, automaton in enumerate(automata):
+            start = int(self.starts[which])
+            for symbol, state in automaton.next[0].items():
+                self.roots[which, symbol] = start + state
+            for state, moves in enumerate(automaton.next[1:], start + 1):
+                keys.extend(state * symbols + symbol for symbol in moves)
+                to.extend(start + reached for reached in moves.values())
+        self.shift = np.uint64(64 - max(4, (3 * len(keys)).bit_length()))
+        self._place(np.array(keys, np.int64), np.array(to, np.int64))
+
+    def _slots(self, keys: np.ndarray, side: int) -> np.ndarray:
+        return (keys.astype(np.uint64) * self.factors[side] >> self.shift).astype(np.int64)
+
+    def _place(self, keys: np.ndarray, to: np.ndarray) -> None:
+        rng = np.random.default_rng(0)
+        while True:  # other factors where some keys find no place
+            self.factors = rng.integers(1 << 62, 1 << 63, 2).astype(np.uint64) | np.uint64(1)
+            places = np.stack([self._slots(keys, 0), self._slots(keys, 1)])
+            holder = np.full(1 << (64 - int(self.shift)), -1, np.int64)
+            side, waiting = np.zeros(len(keys), np.int64), np.arange(len(keys))
+            for _ in range(200):
+                if not len(waiting):
+                    break
+                wanted = places[side[waiting], waiting]
+                moved = np.unique(holder[wanted])
+                holder[wanted] = waiting  # one of them stays, the others and who was there go to their other place
+                waiting = np.concatenate([waiting[holder[wanted] != waiting], moved[moved >= 0]])
+                side[waiting] ^= 1
+            if not len(waiting):
+                break
+        held = holder >= 0
+        self.keys, self.to = np.full(len(holder), -1, np.int64), np.zeros(len(holder), np.int64)
+        self.keys[held], self.to[held] = keys[holder[held]], to[holder[held]]
+
+    def move(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, a row for each automaton, and where a new phrase begins with the symbol."""
+        keys = states * self.symbols + symbols
+        slots = self._slots(keys, 0)
+        found, begins = self.to[slots], self.keys[slots] != keys
+        which, place = np.nonzero(begins)
+        keys = keys[which, place]
+        slots = self._slots(keys, 1)
+        missing = self.keys[slots] != keys
+        found[which, place] = np.where(missing, self.roots[which, symbols[place]], self.to[slots])
+        begins[which, place] = missing
+        return found, begins
 
 
 class Model:
-    """Parsing tables of all languages, stacked; built once in a worker from the samples."""
+    """Parsing table of all languages; built once in a worker from the samples."""
 
     def __init__(self, samples: dict[str, list[str]]) -> None:
-        self.codes = np.full(0x110000, -1, np.int16)  # filled as code points turn up
+        self.codes = np.full(0x110000, -1, np.int32)  # filled as code points turn up
         self.letters: dict[str, int] = {}
-        texts = {}
         for lang in sorted(samples):
-            share = max(1, SAMPLE_SYMBOLS // max(1, len(samples[lang])))
-            for text in samples[lang]:
-                for letter in sorted({x for x in text.lower() if x.isalpha()}):
-                    if len(self.letters) < 250:
-                        self.letters.setdefault(letter, 2 + len(self.letters))
-            texts[lang] = samples[lang], share
+            for letter in sorted({x[:1] for text in samples[lang] for x in map(str.lower, text) if x[:1].isalpha()}):
+                self.letters.setdefault(letter, 2 + len(self.letters))
+        self.width = 2 + len(self.letters)
+        self.symbol_type = np.min_scalar_type(self.width - 1)
         parts = {}
-        for lang, (docs, share) in texts.items():
-            joined = np.concatenate([self.symbols(t)[:share] for t in docs] or [np.zeros(0, np.uint8)])
+        for lang, docs in samples.items():
+            share = max(1, SAMPLE_SYMBOLS // max(1, len(docs)))
+            joined = np.concatenate([self.symbols(t)[:share] for t in docs] or [np.zeros(0, self.symbol_type)])
             if (joined > GAP).any():
                 parts[lang] = joined
         self.langs = sorted(parts)
-        self.width = 2 + len(self.letters)
-        tables, self.roots, base = [], [], 0
-        for lang in self.langs:
-            automaton = SuffixAutomaton(parts[lang].tobytes())
-            tables.append(automaton.parsing_table(self.width, base))
-            self.roots.append(base * self.width)
-            base += len(automaton.next)
-        self.table = np.concatenate(tables).astype(np.int32) if tables else np.zeros(0, np.int32)
+        self.table = ParsingTable([SuffixAutomaton(parts[x].tolist()) for x in self.langs], self.width)
         self.log_size = np.array([math.log2(max(2, len(parts[x]))) for x in self.langs])
 
     def _code(self, point: int) -> int:
@@ -123,7 +165,7 @@ class Model:
         repeat = gap.copy()
         repeat[1:] &= gap[:-1]
         repeat[:1] = False
-        return codes[~repeat].astype(np.uint8)
+        return codes[~repeat].astype(self.symbol_type)
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Number of phrases of each text in each language."""
@@ -134,22 +176,21 @@ class Model:
         stretches = [t[i:i + STRETCH] for t in texts for i in range(0, len(t), STRETCH)]
         sizes = np.array([len(s) for s in stretches])
         order = np.argsort(-sizes, kind="stable")
-        steps = np.zeros((sizes[order[0]], len(order)), np.uint8)
+        steps = np.zeros((sizes[order[0]], len(order)), self.symbol_type)
         for place, which in enumerate(order):
             steps[: sizes[which], place] = stretches[which]
         active = np.searchsorted(-sizes[order], -np.arange(len(steps)), side="left")
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], len(order), axis=1)
+        state = np.repeat(self.table.starts[:, None], len(order), axis=1)
         found = np.zeros((len(self.langs), len(order)), np.int32)
         for step, n in zip(steps, active):
-            code = self.table[state[:, :n] + step[:n]]
-            found[:, :n] += code & 1
-            state[:, :n] = code >> 1
+            state[:, :n], begins = self.table.move(state[:, :n], step[:n])
+            found[:, :n] += begins
         for lang in range(len(self.langs)):
             counts[lang] = np.bincount(owner[order], found[lang], len(texts))
         return counts
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        coded = [self.symbols(t) if t else np.zeros(0, np.uint8) for t in texts]
+        coded = [self.symbols(t) if t else np.zeros(0, self.symbol_type) for t in texts]
         # A letter unknown to the samples is still a letter.
         known = np.array([bool((c != GAP).any()) for c in coded])
         coded = [c if k else c[:0] for c, k in zip(coded, known)]

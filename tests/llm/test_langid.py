@@ -1,3 +1,5 @@
+import random
+
 from loomdex.llm import langid
 from tests.llm.helpers import documents, words
 
@@ -30,6 +32,45 @@ def test_long_texts_are_whole(monkeypatch):
     assert model.judge(["ab" * 10 + "cd" * 3000])[0] == ["y"]
 
 
+SCRIPTS = {"en": (0x61, 26), "ja": (0x3041, 80), "ko": (0xAC00, 3000), "ru": (0x430, 32), "zh": (0x4E00, 3000)}
+
+
+def script_text(lang, seed, n=400):
+    first, size = SCRIPTS[lang]
+    rng = random.Random(f"{lang} {seed}")
+    return "".join(chr(first + min(rng.randrange(size), rng.randrange(size))) + " " * (rng.random() < 0.2) for _ in range(n))
+
+
+def test_every_letter_of_every_sample_has_a_code():
+    samples = {lang: [script_text(lang, i, 2000) for i in range(8)] for lang in SCRIPTS}
+    model = langid.Model(samples)
+    assert model.langs == sorted(SCRIPTS)
+    for texts in samples.values():
+        for text in texts:
+            assert (model.symbols(text) != langid.UNKNOWN).all()
+    assert len(model.letters) > 5000
+    for lang in SCRIPTS:
+        assert model.judge([script_text(lang, 100 + i, 60) for i in range(20)])[0] == [lang] * 20
+    got = model.phrases([model.symbols(script_text("ko", 7, 300))])[:, 0].tolist()
+    want = [plain_words(model.symbols(script_text("ko", 7, 300)), [model.symbols(t) for t in samples[x]]) for x in model.langs]
+    assert got == want
+
+
+def plain_words(text, sample) -> int:
+    """As plain_phrases, on lists of symbols; a code point per symbol."""
+    def as_text(x):
+        return "".join(chr(0x10000 + int(s)) for s in x)
+
+    joined, text, at, phrases = "".join(map(as_text, sample)), as_text(text), 0, 0
+    while at < len(text):
+        size = 0
+        while at + size < len(text) and text[at:at + size + 1] in joined:
+            size += 1
+        at += max(1, size)
+        phrases += 1
+    return phrases
+
+
 def corpus():
     rows = []
     for i in range(60):
