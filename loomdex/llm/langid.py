@@ -31,10 +31,30 @@ UNDETERMINED = "und"
 #: Bounds of the sample a language is learned from: documents, and symbols in all.
 SAMPLE_DOCS = 64
 SAMPLE_SYMBOLS = 32_768
+#: A text beyond its share of the sample is learned from so many pieces, spread evenly from its start to its end.
+PIECES = 8
 STRETCH = 512
 UNKNOWN, GAP = 0, 1
 
 
+def spread(symbols: np.ndarray, share: int) -> np.ndarray:
+    """A text's symbols, or `share` of them in pieces over its whole length."""
+    if len(symbols) <= share:
+        return symbols
+    pieces = min(PIECES, share)
+    sizes = [share * (i + 1) // pieces - share * i // pieces for i in range(pieces)]
+    free = len(symbols) - share  # shared out evenly between the pieces
+    starts = [share * i // pieces + free * i // max(1, pieces - 1) for i in range(pieces)]
+    return np.concatenate([symbols[start:start + size] for start, size in zip(starts, sizes)])
+
+
+def spread_text(text: Column, most: int = SAMPLE_SYMBOLS) -> Column:
+    """The same for a text's characters as a column, with blanks between the pieces."""
+    size, length = most // PIECES, F.char_length(text).cast("bigint")
+    pieces = [F.substr(text, (F.floor((length - size) * i / (PIECES - 1)) + 1).cast("int"), F.lit(size)) for i in range(PIECES)]
+    return F.when(length <= most, text).otherwise(F.concat_ws(" ", *pieces))
+
+
 class SuffixAutomaton:
     """Transitions of the smallest automaton that accepts every substring of a text."""
 
@@ -142,7 +162,7 @@ class Model:
         parts = {}
         for lang, docs in samples.items():
             share = max(1, SAMPLE_SYMBOLS // max(1, len(docs)))
-            joined = np.concatenate([self.symbols(t)[:share] for t in docs] or [np.zeros(0, self.symbol_type)])
+            joined = np.concatenate([spread(self.symbols(t), share) for t in docs] or [np.zeros(0, self.symbol_type)])
             if (joined > GAP).any():
                 parts[lang] = joined
         self.langs = sorted(parts)
@@ -208,19 +228,20 @@ class Model:
 def training_sample(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, list[str]]:
     """At most `sample_docs` different texts for each label, chosen by hash, so that copies and order have no part.
 
-    A count by label sets how small a hash must be to make the first cut; only what passes it is shuffled.
+    An estimate of the different texts by label sets how small a hash must be to make the first cut, so that about
+    32 times as many texts as are wanted pass it, however many copies they have; only what passes it is shuffled.
     """
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike(r"\p{L}"))
     labelled = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    totals = labelled.groupBy("lang").count()
-    share = F.least(F.lit(1.0), F.lit(32.0 * sample_docs) / F.col("count"))
+    totals = labelled.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts"))
+    share = F.least(F.lit(1.0), F.lit(32.0 * sample_docs) / F.col("texts"))
     cut = labelled.join(F.broadcast(totals), "lang").filter(  # a row per language
         F.pmod(F.col("h"), F.lit(1 << 30)) < share * float(1 << 30)
     )
     chosen = cut.select("lang", "h").distinct().withColumn(
         "nth", F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     ).filter(F.col("nth") <= sample_docs)
-    texts = cut.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min(F.left("text", F.lit(SAMPLE_SYMBOLS))).alias("text"))
+    texts = cut.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min(spread_text(F.col("text"))).alias("text"))
     out: dict[str, list[str]] = defaultdict(list)
     for row in sorted(texts.collect()):  # sample_docs rows a language
         out[row.lang].append(row.text)

@@ -113,3 +113,32 @@ def test_sample_is_bounded_and_leaves_copies_out(spark):
     docs = documents(spark, [(i, "same text here", "x") for i in range(200)] + [(1000 + i, " ".join(words(i, 9)), "x") for i in range(200)])
     sample = langid.training_sample(docs, sample_docs=10)["x"]
     assert len(sample) == len(set(sample)) == 10
+
+
+def test_copies_do_not_thin_out_the_sample(spark):
+    """A label of few texts and very many copies learns all of them."""
+    texts = [" ".join(words(i, 6)) for i in range(5)]
+    copies = spark.range(40_000).selectExpr("id as doc_id", "element_at(array(" + ", ".join(f"'{t}'" for t in texts) + "), cast(id % 5 as int) + 1) as text", "'x' as lang")
+    assert sorted(langid.training_sample(copies)["x"]) == sorted(texts)
+    many = spark.range(20_000).selectExpr("id as doc_id", "concat('text ', translate(cast(id as string), '0123456789', 'abcdefghij')) as text", "'y' as lang")
+    assert len(langid.training_sample(many)["y"]) == langid.SAMPLE_DOCS
+
+
+def test_samples_are_spread_over_the_whole_text(spark):
+    boilerplate = "all rights reserved by the same old house of letters "
+    other = {"x": "abcdefghijklm", "y": "nopqrstuvwxyz"}
+    rng = random.Random(1)
+
+    def own(lang, n):
+        return "".join(rng.choice(other[lang]) + " " * (rng.random() < 0.2) for _ in range(n))
+
+    rows = [(10 * i + k, boilerplate * 40 + own(lang, 6000), lang) for i in range(70) for k, lang in enumerate(other)]
+    model = langid.Model(langid.training_sample(documents(spark, rows)))
+    assert model.judge([own("x", 40) for _ in range(20)] + [own("y", 40) for _ in range(20)])[0] == ["x"] * 20 + ["y"] * 20
+    long = "".join(f"{part}" * 20_000 for part in "abcdefgh")
+    sample = langid.training_sample(documents(spark, [(1, long, "x"), (2, "short one", "x")]))["x"]
+    assert sorted(map(len, sample)) == [9, langid.SAMPLE_SYMBOLS + langid.PIECES - 1]
+    assert set("abcdefgh") <= set("".join(sample))
+    symbols = langid.np.arange(1000)
+    assert len(langid.spread(symbols, 100)) == 100 and langid.spread(symbols, 100)[[0, -1]].tolist() == [0, 999]
+    assert (langid.spread(symbols, 1000) == symbols).all() and len(langid.spread(symbols, 3)) == 3
