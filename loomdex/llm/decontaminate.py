@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced seeds.
 
 A window of `SPAN` tokens is hashed under each mask, which ignores some places, so two windows that differ
-only there share a seed. Seeds of the benchmark's windows are looked up among all windows of all
+only there share a seed. Every pair of places is ignored by one of the masks at least, so no window within
+two substitutions is missed; more than two (`max_substitutions`) need masks of their own. Seeds of the benchmark's windows are looked up among all windows of all
 documents, first in a Bloom filter of bounded size, then by an exact join; each hit is verified over the
 whole window around it, which may differ in at most `max_substitutions` tokens. Items shorter than a
 window, but of `least_tokens` at least, are matched as a whole without substitutions.
@@ -29,8 +30,17 @@ from loomdex.llm import bloom
 from loomdex.llm.common import keep
 
 SPAN = 13
-#: 1: the token counts, 0: it is ignored.
-MASKS = ("1101101011011", "1011011101101", "1110010110111")
+#: 1: the token counts, 0: it is ignored. Mask m ignores the places that are m, m + 1 or m + 3 modulo 7, the lines
+#: of the Fano plane, so that any two places are ignored together by some mask.
+MASKS = (
+    "0010111001011",
+    "1001011100101",
+    "1100101110010",
+    "1110010111001",
+    "0111001011100",
+    "1011100101110",
+    "0101110010111",
+)
 MAX_SUBSTITUTIONS = 2
 LEAST_TOKENS = 8
 

@@ -1,3 +1,6 @@
+import itertools
+import random
+
 from pyspark.sql import functions as F
 
 from loomdex.llm import decontaminate
@@ -42,6 +45,37 @@ def test_one_substitution_anywhere_in_a_passage_is_tolerated(spark):
     assert decontaminate.overlaps(documents(spark, docs), bench(spark, [(1, " ".join(item))])).count() == 24
 
 
+def test_any_two_substitutions_in_a_window_are_found(spark):
+    item = words(5, 13)
+    pairs = list(itertools.combinations(range(13), 2))
+    docs = []
+    for k, places in enumerate([*((i,) for i in range(13)), *pairs]):
+        docs.append((k, " ".join([*words(60, 5), *("other" if i in places else w for i, w in enumerate(item)), *words(61, 5)])))
+    docs.append((1000, " ".join("other" if i in (0, 6, 12) else w for i, w in enumerate(item))))
+    got = decontaminate.overlaps(documents(spark, docs), bench(spark, [(1, " ".join(item))])).collect()
+    assert sorted(r.doc_id for r in got) == list(range(13 + len(pairs)))
+
+
+def test_windows_match_brute_force_without_masks(spark):
+    items = [(i, " ".join(words(i, n))) for i, n in enumerate((13, 15, 20, 40))]
+    docs = []
+    for i in range(60):
+        rng, part = random.Random(i), items[i % 4][1].split()
+        part = [f"sub{k}" if rng.random() < 0.12 else w for k, w in enumerate(part)]
+        docs.append((i, " ".join([*words(200 + i, i % 9), *part, *words(300 + i, 7)])))
+    want = {}
+    for doc_id, text in docs:
+        tokens, places = text.split(), set()
+        for p, (_, item) in itertools.product(range(len(tokens) - 12), items):
+            other = item.split()
+            if any(sum(a != b for a, b in zip(tokens[p:p + 13], other[q:q + 13])) <= 2 for q in range(len(other) - 12)):
+                places.add(p)
+        if places:
+            want[doc_id] = len(places)
+    got = {r.doc_id: r.n_windows for r in decontaminate.overlaps(documents(spark, docs), bench(spark, items)).collect()}
+    assert got == want and 20 < len(got) < 60
+
+
 def test_punctuation_and_case_are_ignored_and_clean_documents_left(spark):
     item = words(6, 15)
     docs = [(1, "«" + ", ".join(w.upper() for w in item) + "!»"), (2, " ".join(words(7, 900))), (3, " ".join(item[:12]))]
