@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import decontaminate, html_text, langid, line_runs, packing, permutation_index, repeated_bytes, simhash, toxicity, url_filter
+from loomdex.llm import (
+    decontaminate, exact_dedup, html_text, langid, line_runs, merkle, packing, permutation_index, repeated_bytes, simhash, toxicity,
+    url_filter, whitening,
+)
 from loomdex.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,3 +183,90 @@ def op9_repeated_bytes(spark, sf):
 def op10_best_fit_packing(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return packing.pack(docs, word_bpe_path())
+
+
+@query
+def op11_qdwh_whitening(spark, sf):
+    return whitening.whitened_rows(table(spark, sf, "embeddings"))
+
+
+#: Columns of a leaf, and the share of documents whose leaf is falsified to see that their witness no longer holds.
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+FALSIFIED_ONE_IN = 7
+
+
+@query
+def op12_merkle_witnesses(spark, sf):
+    docs = table(spark, sf, "documents")
+    fields = {c: F.col(c) for c in LEAF_FIELDS}
+    falsified = fields | {"n_chars": F.col("n_chars") + 1}
+    chosen = F.crc32(F.col("doc_id").cast("string")) % FALSIFIED_ONE_IN == 0
+    leaf = merkle.leaf_of(*fields.values())
+    claimed = F.when(chosen & F.col("n_chars").isNotNull(), merkle.leaf_of(*falsified.values()))
+    leaves = docs.select("doc_id", "lang", leaf.alias("leaf"), claimed.alias("claimed"))
+    done = merkle.manifest(leaves, "lang", "doc_id", carried=["doc_id", "claimed"])
+    folded = merkle.folded(F.coalesce("claimed", "leaf"), F.col("witness"))
+    return done.select(
+        "doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("witness")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_LEAF_SQL = "sha256(" + " || ".join(
+    f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')" for c in LEAF_FIELDS
+) + ")"
+# CRC-32 of the digits of a number: a byte at a time, a bit at a time.
+_CRC_SQL = """xor(list_reduce(list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint),
+    lambda crc, b: list_reduce([0::bigint, 1, 2, 3, 4, 5, 6, 7],
+      lambda r, k: case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end, xor(crc, b)), 4294967295::bigint), 4294967295)"""
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """Levels of all trees; then, for each leaf, its way up as steps."""
+    return f"""
+{name}_nodes(grp, level, i, n, h) as (
+  select grp, 0, i, n, h from {leaves}
+  union all
+  select grp, level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' order by i)) from {name}_nodes where n > 1 group by grp, level, i // 2),
+{name}_steps as (
+  select l.grp, l.i, list(case when s.h is null then '' when s.i % 2 = 0 then '<' || s.h else '>' || s.h end order by p.level) as steps
+  from {leaves} l join {name}_nodes p on p.grp is not distinct from l.grp and p.n > 1 and p.i = l.i >> p.level
+  left join {name}_nodes s on s.grp is not distinct from l.grp and s.level = p.level and s.i = xor(p.i, 1)
+  group by l.grp, l.i)"""
+
+
+ORACLE["op12_merkle_witnesses"] = f"""
+with recursive claims as (
+  select doc_id, lang, {_LEAF_SQL} as leaf,
+    {_LEAF_SQL.replace("n_chars::varchar", f"(n_chars + ({_CRC_SQL} % {FALSIFIED_ONE_IN} = 0)::int)::varchar")} as claimed
+  from documents),
+leaves as (
+  select doc_id, claimed, coalesce('=' || lang, '') as grp, leaf as h, count(*) over (partition by lang) as n,
+    row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i
+  from claims),
+{_tree_sql("low", "leaves")},
+tops as (
+  select '' as grp, grp as of, h, count(*) over () as n, row_number() over (order by grp) - 1 as i from low_nodes where n = 1),
+{_tree_sql("top", "tops")},
+whole as (
+  select doc_id, leaves.h as leaf, claimed, t.h as subroot, (select h from top_nodes where n = 1) as root,
+    coalesce(l.steps, []) || coalesce(u.steps, []) as steps
+  from leaves join tops t on t.of = leaves.grp
+  left join low_steps l on l.grp = leaves.grp and l.i = leaves.i left join top_steps u on u.i = t.i),
+done as (
+  select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: substr(s, 2)), '')) as proof_sha256,
+    list_reduce(steps, lambda node, s: sha256(case when s[1] = '<' then substr(s, 2) || node else node || substr(s, 2) end), claimed) as folded_root
+  from whole)
+select *, folded_root = root as verified from done"""
+
+
+@query
+def op13_exact_dedup(spark, sf):
+    return exact_dedup.duplicates(table(spark, sf, "documents"))
+
+
+ORACLE["op13_exact_dedup"] = r"""
+with d as (select doc_id, coalesce(text, '') as text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm from documents),
+ranked as (
+  select *, row_number() over w as nth, first_value(doc_id) over w as keep_id, count(*) over (partition by norm) as group_size
+  from d window w as (partition by norm order by length(text) desc, doc_id nulls last))
+select doc_id, keep_id, group_size, nth = 1 as kept, sha256(norm) as text_sha256 from ranked"""
