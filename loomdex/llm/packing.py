@@ -15,7 +15,9 @@ once each; a null doc_id is carried; an empty table gives no pieces; other colum
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,37 +32,70 @@ from loomdex.llm.common import keep
 WINDOW = 4096
 END_ID = 2
 #: Items of one length that one task numbers; a commoner length is split by hash.
-RANK_BLOCK = 50_000
-#: Characters tokenized at a time, and remembered chunks of text; both only bound memory.
+RANK_BLOCK = 2_000
+#: Characters tokenized at a time, and pieces remembered; both only bound memory.
 STRETCH = 1 << 20
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+#: Lower-cased letters and digits that are plain: one lower case, and no composition with a neighbour.
+_LETTERS = "a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f\u0400-\u045f"
+_DIGITS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+#: How the tokenizer cuts plain text.
+PIECE = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_LETTERS}]+|[{_DIGITS}]|[^ \n\t{_LETTERS}{_DIGITS}]+")
+#: A chunk with a character that is not plain, or with the mark of a special token.
+_PLAIN = r"!-~\u00a1-\u012f\u0132-\u017f\u0400-\u045f"
+NOT_PLAIN = re.compile(rf"[^ \n\t{_PLAIN}]")
+HARD = re.compile(rf"([^ \n\t]*?(?:[^ \n\t{_PLAIN}]|<\|)[^ \n\t]*)")
+#: Byte-level vocabularies write a byte as itself where that is a visible Latin-1 character, others as the letters from 256 on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
-class ChunkTokenizer:
+class PieceTokenizer:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
-    The tokenizer's own pattern never matches across white space, so a text's ids are the ids of its
-    space-separated chunks in order; chunks recur, and their ids are remembered.
+    The tokenizer cuts a lower-cased text into pieces and merges within pieces only, and no piece crosses white
+    space. Stretches of plain characters are therefore cut here, by the same pattern, and only pieces not
+    seen before go through the merges. A white-space separated chunk with any other character, or with the mark of a special
+    token, goes through the whole tokenizer. Ids are remembered in two generations, the older of which is
+    dropped when the younger is full, so what is in use stays.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.merges = self.tokenizer.model
+        self.remembered = remembered
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _ids(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [token.id for token in self.merges.tokenize(piece)]).tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        pieces = PIECE.findall(text.lower())
+        different = set(pieces)
+        new = different.difference(self.known)
+        if new:
+            if len(self.known) + len(new) > self.remembered:
+                self.older, self.known, new = self.known, {}, different
+            for piece in new:
+                ids = self.older.get(piece)
+                self.known[piece] = self._ids(piece) if ids is None else ids
+        return b"".join(map(self.known.__getitem__, pieces))
+
+    def _whole(self, chunk: str) -> bytes:
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def _stretch(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").replace("\t", " ").split(" ")
-        new = list(set(chunks).difference(self.known))
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known = {"": b""}
-                new = list(set(chunks).difference(self.known))
-            for chunk, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self.known[chunk] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, chunks))
+        if "<|" not in text and not NOT_PLAIN.search(text):
+            return self._plain(text)
+        parts = HARD.split(text)  # plain and hard parts in turn
+        return b"".join(self._whole(x) if i % 2 else self._plain(x) for i, x in enumerate(parts))
 
     def encode(self, text: str) -> bytes:
         out, at = bytearray(), 0
@@ -72,7 +107,7 @@ class ChunkTokenizer:
         return bytes(out)
 
 
-_tokenizers: dict[str, ChunkTokenizer] = {}
+_tokenizers: dict[str, PieceTokenizer] = {}
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:
@@ -83,7 +118,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFr
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if tokenizer_path not in _tokenizers:  # kept by the worker process
-            _tokenizers[tokenizer_path] = ChunkTokenizer(tokenizer_path)
+            _tokenizers[tokenizer_path] = PieceTokenizer(tokenizer_path)
         tokenizer = _tokenizers[tokenizer_path]
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
@@ -184,7 +219,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFram
         [(n, -(-c // RANK_BLOCK)) for n, c in counts.items()], "length bigint, blocks bigint"
     )
     dealt = cut.join(F.broadcast(blocks), "length").withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", "start"), F.col("blocks"))
+        "block", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.col("blocks"))
     )
     sizes = dealt.groupBy("length", "block").count()
     before = sizes.select(

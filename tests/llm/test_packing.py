@@ -20,15 +20,32 @@ def tokenizer():
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="abÀéΣſ'st1, \t\n\u00a0\u0301<|>endoftext", max_size=60))
 def test_chunks_give_the_tokenizers_ids(text):
-    chunked = packing.ChunkTokenizer(word_bpe_path())
+    chunked = packing.PieceTokenizer(word_bpe_path(), remembered=3)
     assert np.frombuffer(chunked.encode(text), "<u4").tolist() == chunked.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+PLAIN = "".join(map(chr, [*range(0x20, 0x7F), *range(0xA0, 0x180), *range(0x400, 0x460)]))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=PLAIN, max_size=12) | st.text(max_size=6) | st.sampled_from(["it's", "'LL", "İ", "\x1c", "\u2028", "e\u0301"]), max_size=8))
+def test_plain_and_other_letters_give_the_tokenizers_ids(parts):
+    text = " ".join(parts)
+    cut = packing.PieceTokenizer(word_bpe_path())
+    assert np.frombuffer(cut.encode(text), "<u4").tolist() == cut.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_every_plain_letter_and_its_neighbours(tokenizer):
+    cut = packing.PieceTokenizer(word_bpe_path())
+    for c in PLAIN:
+        for text in (c, f"a{c}", f"{c}a", f"1{c}!", f"'{c}s", f"{c}{c}"):
+            assert np.frombuffer(cut.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_long_texts_are_cut_at_spaces_only(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "STRETCH", 50)
-    monkeypatch.setattr(packing, "REMEMBERED", 20)
     text = " ".join(words(3, 300)) + " <|endoftext|> it's"
-    got = np.frombuffer(packing.ChunkTokenizer(word_bpe_path()).encode(text), "<u4").tolist()
+    got = np.frombuffer(packing.PieceTokenizer(word_bpe_path(), remembered=20).encode(text), "<u4").tolist()
     assert got == tokenizer.encode(text, add_special_tokens=False).ids
 
 
