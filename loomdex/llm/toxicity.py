@@ -1,11 +1,15 @@
 """Toxicity scores from a counterfactually regularised logistic regression.
 
-Features are the different words of a text and the words' beginnings. Those that occur clearly more often
-with the label than without, in the training sample, are the model's; their weights are never negative, so
-that no clean passage hides an insult. Training minimises the
-log loss, a ridge penalty, and, for every sample that names a group of people, the squared change of its
-score when that group's term is swapped for another's, so that the mere mention of a group carries no
-weight. The sample is bounded per label, and both labels weigh alike.
+Features are the different words of a text and the words' beginnings. All that occur more often with the
+label than without, in the training sample, compete; the ridge on a feature's weight rises steeply as its
+evidence falls below what chance brings about among so many features, so little data means weak weights,
+not an empty model. Terms that name groups of people are always features. Weights are never negative, so
+that no clean passage hides an insult.
+
+Every sampled text is there twice, as it is and with a group's term put in, under the same label. Training
+minimises the log loss, the ridge, and, wherever a text names a group, of itself or by that insertion, the
+squared change of its score when the term is swapped for another of its kind, so that the mere mention
+of a group carries no weight. The sample is bounded per label; its labels weigh as among all labelled rows.
 
 Defined cases: a null or empty text has the score of a text without known words; without labels, or with
 one label only, every score is the share of label 1 (0.5 without labels); repeated rows score alike.
@@ -17,6 +21,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import cycle
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +32,17 @@ from loomdex.llm.common import held_out, keep
 
 #: Bound of the training sample, per label.
 SAMPLE_PER_LABEL = 3000
-#: A feature needs so many samples, and a difference of so many standard deviations.
-LEAST_SAMPLES = 15
-LEAST_Z = 6.0
+#: Features that compete, those with the most evidence first.
+FEATURES = 2000
+#: Ridge of a feature that chance explains with at most this probability, and the powers of ten it rises by
+#: when the evidence is half of that.
 RIDGE = 1e-5
+CHANCE = 0.01
+STIFFNESS = 8.0
+#: Scale of a group's term without evidence.
+UNPROVEN = 0.03
 COUNTERFACTUAL = 1.0
-STEPS = 2500
+STEPS = 1500
 BEGINNINGS = (4, 5)
 #: Characters looked at at a time, and words remembered with their weight; both only bound memory.
 STRETCH = 1 << 20
@@ -80,66 +90,105 @@ class Model:
         return sum(self.weights.get(f, 0.0) for f in features_of(word))
 
 
-def _counterfactuals(words: set[str]) -> list[tuple[str, str]]:
-    """(term, its replacement) for each identity term of a text: the next term of its group."""
-    return [(t, g[(i + 1) % len(g)]) for g in IDENTITY_TERMS for i, t in enumerate(g) if t in words]
+TERMS = tuple(t for group in IDENTITY_TERMS for t in group)
+_SWAP = {t: g[(i + 1) % len(g)] for g in IDENTITY_TERMS for i, t in enumerate(g)}
+
 
+def choose(sample: DataFrame, positives: int, negatives: int) -> dict[str, float]:
+    """The features with the most evidence for label 1, and the scale of each: 1 down to nearly 0 for what may be chance.
 
-def choose(sample: DataFrame, positives: int, negatives: int) -> list[str]:
-    """Features that occur clearly more often with label 1. `sample`: (label, words), the different words of each text."""
+    `sample`: (label, words), the different words of each text. The evidence of a feature in k texts is k times the
+    divergence of its share of label 1 from the share among all texts; the chance of as much is at most e to its negative.
+    """
     word = F.col("word")
     beginnings = [F.when(F.char_length(word) > n, F.concat(F.left(word, F.lit(n)), F.lit("*"))) for n in BEGINNINGS]
     rows = sample.withColumn("text", F.monotonically_increasing_id()).select("label", "text", F.explode("words").alias("word"))
     rows = rows.select("label", "text", F.explode(F.array_compact(F.array(word, *beginnings))).alias("feature")).distinct()
-    counts = rows.groupBy("feature").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n"))
-    overall = (F.col("p") + F.col("n")) / (positives + negatives)
-    spread = F.sqrt(F.greatest(F.lit(1e-12), overall * (1 - overall)) * (1 / positives + 1 / negatives))
-    clear = F.col("p") / positives - F.col("n") / negatives >= LEAST_Z * spread
-    return sorted(r.feature for r in counts.filter((F.col("p") + F.col("n") >= LEAST_SAMPLES) & clear).select("feature").collect())
-
-
-def fit(samples: list[tuple[set[str], int]], chosen: list[str], share: float) -> Model:
-    """Weights of the chosen features. `share`: label 1's part of all labelled rows, all there is to say without both labels."""
-    labels = np.array([y for _, y in samples], float)
-    positives = labels.sum()
-    negatives = len(labels) - positives
-    if not positives or not negatives:
-        odds = np.clip(share, 1e-6, 1 - 1e-6)
-        return Model({}, float(np.log(odds / (1 - odds))))
-    seen = [Counter(f for w in words for f in features_of(w)) for words, _ in samples]
-    column = {f: i for i, f in enumerate(sorted(chosen))}
-
-    def sparse(rows: list[dict[str, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        cells = [(r, column[f], v) for r, row in enumerate(rows) for f, v in row.items() if f in column]
+    counts = keep(rows.groupBy("feature").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n")))
+    usual = positives / (positives + negatives)
+    rate = F.col("p") / (F.col("p") + F.col("n"))
+    with_label = F.col("p") * F.log(rate / usual)
+    without = F.when(F.col("n") > 0, F.col("n") * F.log((1 - rate) / (1 - usual))).otherwise(0.0)
+    likely = counts.filter((F.col("p") > 0) & (rate > usual)).select("feature", (with_label + without).alias("evidence"))
+    best = likely.orderBy(F.desc("evidence"), "feature").limit(FEATURES).collect()
+    needed = np.log(max(1, counts.count()) / CHANCE)
+    return {r.feature: float(min(1.0, 10 ** (-STIFFNESS / 2 * (needed / r.evidence - 1)))) for r in best}
+
+
+class Problem:
+    """What training minimises. A weight is its feature's scale times a free number, and the ridge is on the free numbers."""
+
+    def __init__(self, samples: list[tuple[set[str], int]], chosen: dict[str, float], share: float) -> None:
+        self.labels = np.array([y for _, y in samples], float)
+        positives = self.labels.sum()
+        self.balance = np.where(
+            self.labels > 0, share * len(samples) / positives, (1 - share) * len(samples) / (len(samples) - positives)
+        )
+        scale = {f: UNPROVEN for t in TERMS for f in features_of(t)} | chosen
+        self.features = sorted(scale)
+        self.scale = np.array([scale[f] for f in self.features])
+        self.column = {f: i for i, f in enumerate(self.features)}
+        turns = {0: cycle(TERMS), 1: cycle(TERMS)}  # each label's texts take the terms in turn, so terms say nothing about labels
+        inserted = [next(turns[y]) for _, y in samples]
+        self.seen = self._sparse([Counter(f for w in words for f in features_of(w)) for words, _ in samples])
+        self.put_in = self._sparse([Counter(() if t in words else features_of(t)) for t, (words, _) in zip(inserted, samples)])
+        self.swaps = []
+        for t, (words, _) in zip(inserted, samples):
+            for term in {t, *words.intersection(_SWAP)}:
+                change = Counter(features_of(_SWAP[term]))
+                change.subtract(features_of(term))
+                self.swaps.append(change)
+        self.changes = self._sparse(self.swaps)
+
+    def _sparse(self, rows: list[Counter]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        cells = [(r, self.column[f], v * self.scale[self.column[f]]) for r, row in enumerate(rows) for f, v in row.items() if f in self.column]
         table = np.array(cells, float).reshape(-1, 3)
         return table[:, 0].astype(int), table[:, 1].astype(int), table[:, 2]
 
-    changes = []
-    for words, _ in samples:
-        for old, new in _counterfactuals(words):
-            change = Counter(features_of(new))
-            change.subtract(features_of(old))
-            changes.append(change)
-    row, col, value = sparse(seen)
-    c_row, c_col, c_value = sparse(changes)
-    weight, intercept = np.zeros(len(column)), 0.0
-    balance = np.where(labels > 0, len(labels) / (2 * positives), len(labels) / (2 * negatives))
-    moment, speed = np.zeros(len(column) + 1), np.zeros(len(column) + 1)
+    def loss(self, free: np.ndarray, intercept: float) -> tuple[float, np.ndarray]:
+        """Value and gradient, the intercept's last."""
+        n, width = len(self.labels), len(self.features)
+        row, col, value = self.seen
+        own = np.bincount(row, value * free[col], n) + intercept
+        x_row, x_col, x_value = self.put_in
+        total, slope, at_intercept = 0.0, 2 * RIDGE * free, 0.0
+        for logit in (own, own + np.bincount(x_row, x_value * free[x_col], n)):
+            error = self.balance * (1 / (1 + np.exp(-logit)) - self.labels) / (2 * n)
+            total += (self.balance * (np.logaddexp(0, logit) - self.labels * logit)).sum() / (2 * n)
+            slope = slope + np.bincount(col, value * error[row], width)
+            if logit is not own:
+                slope = slope + np.bincount(x_col, x_value * error[x_row], width)
+            at_intercept += error.sum()
+        c_row, c_col, c_value = self.changes
+        if len(self.swaps):
+            shift = np.bincount(c_row, c_value * free[c_col], len(self.swaps))
+            total += COUNTERFACTUAL * (shift**2).mean()
+            slope = slope + 2 * COUNTERFACTUAL * np.bincount(c_col, c_value * shift[c_row], width) / len(self.swaps)
+        return total + RIDGE * (free**2).sum(), np.append(slope, at_intercept)
+
+
+def _log_odds(share: float) -> float:
+    share = float(np.clip(share, 1e-6, 1 - 1e-6))
+    return float(np.log(share / (1 - share)))
+
+
+def fit(samples: list[tuple[set[str], int]], chosen: dict[str, float], share: float) -> Model:
+    """Weights of the chosen features and the group terms. `share`: label 1's part of all labelled rows, all there is to say without both labels."""
+    if len({y for _, y in samples}) < 2:
+        return Model({}, _log_odds(share))
+    problem = Problem(samples, chosen, share)
+    free, intercept = np.zeros(len(problem.features)), _log_odds(share)
+    moment, speed = np.zeros(len(free) + 1), np.zeros(len(free) + 1)
     for step in range(1, STEPS + 1):
-        logit = np.bincount(row, value * weight[col], len(labels)) + intercept
-        error = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels
-        error *= balance
-        slope = np.bincount(col, value * error[row], len(column)) / len(labels) + 2 * RIDGE * weight
-        if len(changes):  # penalty: the mean square of score(swapped) - score(original)
-            shift = np.bincount(c_row, c_value * weight[c_col], len(changes))
-            slope += 2 * COUNTERFACTUAL * np.bincount(c_col, c_value * shift[c_row], len(column)) / len(changes)
-        slope = np.append(slope, error.mean())
+        _, slope = problem.loss(free, intercept)
         moment = 0.9 * moment + 0.1 * slope
         speed = 0.999 * speed + 0.001 * slope**2
-        move = 0.1 * (moment / (1 - 0.9**step)) / (np.sqrt(speed / (1 - 0.999**step)) + 1e-8)
-        weight = np.maximum(0, weight - move[:-1])
+        rate = 0.1 * min(1.0, 2 * (1 - step / (STEPS + 1)))
+        move = rate * (moment / (1 - 0.9**step)) / (np.sqrt(speed / (1 - 0.999**step)) + 1e-8)
+        free = np.maximum(0, free - move[:-1])
         intercept -= move[-1]
-    return Model({f: float(weight[i]) for f, i in column.items()}, float(intercept))
+    weights = free * problem.scale
+    return Model({f: float(w) for f, w in zip(problem.features, weights) if w > 0}, float(intercept))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> tuple[DataFrame, float]:
@@ -171,7 +220,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     if len(sizes) < 2:
         return fit([], [], share)
     chosen = choose(sample, sizes[1], sizes[0])
-    wanted = frozenset(chosen) | {t for group in IDENTITY_TERMS for t in group}
+    wanted = frozenset(chosen) | frozenset(TERMS)
 
     def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
