@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -26,13 +27,25 @@ PARAGRAPH_END = (
     r"th|thead|tr|ul)(?:\s[^>]*|/)?>"
 )
 # Named references of HTML5, as the standard library lists them: with their semicolon, or without where that is allowed.
-ENTITIES = html5
+# All of them are one constant of the plan, in groups by their first two letters, as a map is searched from its start.
+_GROUPS: dict[str, dict[str, str]] = {}
+for _name, _text in html5.items():
+    _GROUPS.setdefault(_name[:2], {})[_name] = _text
+ENTITIES = json.dumps(_GROUPS)
+# Looked up before the others.
+USUAL = ("amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;")
+# Cuts are gathered in blocks, since a list is copied whenever it grows.
+CUT_BLOCK = 64
 ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?"
 
 
 def decode_entities(c: Column) -> Column:
     """Decode named and numeric references in one pass, so `&amp;lt;` stays `&lt;`."""
-    table = F.create_map(*[F.lit(x) for kv in ENTITIES.items() for x in kv])
+    usual = F.create_map(*[F.lit(x) for n in USUAL for x in (n, html5[n])])
+    table = F.from_json(F.lit(ENTITIES), "map<string,map<string,string>>")
+
+    def named(ref: Column) -> Column:
+        return F.coalesce(F.try_element_at(usual, ref), F.try_element_at(F.try_element_at(table, F.left(ref, F.lit(2))), ref))
 
     def code_point(name: Column) -> Column:
         digits = F.when(
@@ -48,7 +61,7 @@ def decode_entities(c: Column) -> Column:
             scalar, F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
         ).otherwise(F.lit("\ufffd"))
         return F.when(F.startswith(name, F.lit("#")), numeric).otherwise(
-            F.coalesce(F.try_element_at(table, F.substring(ref, 2, 64)), ref)
+            F.coalesce(named(F.substring(ref, 2, 64)), ref)
         )
 
     decoded = F.array_join(
@@ -101,28 +114,38 @@ def drop_elements(html: Column) -> Column:
 def _dropped_pieces(names: Column, opens: Column) -> Column:
     """array<struct<first,last>>: piece ranges of the outermost dropped elements, in one pass over the tags."""
     none = F.expr("cast(array() as array<struct<first:int,last:int>>)")
-    start = F.struct(F.lit("").alias("name"), F.lit(0).alias("depth"), F.lit(0).alias("first"), none.alias("cuts"))
+    no_blocks = F.expr("cast(array() as array<array<struct<first:int,last:int>>>)")
+
+    def state(name, depth, first, cuts, blocks) -> Column:
+        return F.struct(name.alias("name"), depth.alias("depth"), first.alias("first"), cuts.alias("cuts"), blocks.alias("blocks"))
 
-    def state(name, depth, first, cuts) -> Column:
-        return F.struct(name.alias("name"), depth.alias("depth"), first.alias("first"), cuts.alias("cuts"))
+    start = state(F.lit(""), F.lit(0), F.lit(0), none, no_blocks)
 
     def ended(acc: Column, first: Column, last: Column) -> Column:
         piece = F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"))
-        return state(F.lit(""), F.lit(0), F.lit(0), F.concat(acc["cuts"], F.array(piece)))
+        full = F.size(acc["cuts"]) >= CUT_BLOCK
+        cuts = F.when(full, F.array(piece)).otherwise(F.concat(acc["cuts"], F.array(piece)))
+        blocks = F.when(full, F.concat(acc["blocks"], F.array(acc["cuts"]))).otherwise(acc["blocks"])
+        return state(F.lit(""), F.lit(0), F.lit(0), cuts, blocks)
+
+    def all_cuts(acc: Column) -> Column:
+        return F.flatten(F.concat(acc["blocks"], F.array(acc["cuts"])))
 
     def step(acc: Column, i: Column) -> Column:
         name = F.get(names, i)
         depth = acc["depth"] + F.when(name == acc["name"], 1).when(name == F.concat(F.lit("/"), acc["name"]), -1).otherwise(0)
-        inside = F.when(depth == 0, ended(acc, acc["first"], i)).otherwise(state(acc["name"], depth, acc["first"], acc["cuts"]))
+        inside = F.when(depth == 0, ended(acc, acc["first"], i)).otherwise(
+            state(acc["name"], depth, acc["first"], acc["cuts"], acc["blocks"])
+        )
         outside = F.when(~F.get(opens, i), acc).when(name.isin(VOID_TAGS), ended(acc, i, i)).otherwise(
-            state(name, F.lit(1), i, acc["cuts"])
+            state(name, F.lit(1), i, acc["cuts"], acc["blocks"])
         )
         return F.when(acc["name"] == "", outside).otherwise(inside)
 
     tags = F.when(F.size(names) > 1, F.sequence(F.lit(1), F.size(names) - 2, F.lit(2))).otherwise(F.expr("cast(array() as array<int>)"))
     return F.aggregate(
         tags, start, step,
-        lambda acc: F.when(acc["name"] == "", acc["cuts"]).otherwise(ended(acc, acc["first"], F.size(names) - 1)["cuts"]),
+        lambda acc: F.when(acc["name"] == "", all_cuts(acc)).otherwise(all_cuts(ended(acc, acc["first"], F.size(names) - 1))),
     )
 
 

@@ -9,7 +9,7 @@ from loomdex.functions import html
 from loomdex.functions.text import (
     content_hash, long_enough, strip_boilerplate, strip_combining,
 )
-from loomdex.functions.urls import is_service
+from loomdex.functions.urls import is_service, resolve
 from loomdex.operators.index import unknown_urls
 
 
@@ -37,6 +37,28 @@ def documents_of(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
     )
 
 
+class PageReader:
+    """Links and document of a page, as columns that are built once and read many tables."""
+
+    def __init__(self) -> None:
+        self.read = F.struct(html.title(F.col("html")).alias("title"), page_content(F.col("html")).alias("content"))
+        self.links = F.transform(html.hrefs(F.col("html")), lambda h: resolve(F.col("url"), h))
+        self.wanted = ~F.col("known") & ~is_service(F.col("url"))
+
+    def rows(self, pages: DataFrame) -> DataFrame:
+        """(url, links, document) of pages(url, html, known): absolute link targets, and the document, null if not worth keeping.
+
+        The generator keeps the length test above it, so that a page is cleaned once.
+        """
+        page = F.explode(F.array(F.when(self.wanted, self.read))).alias("page")
+        document = F.struct(
+            F.col("url").alias("doc_key"), "url", "page.title", "page.content", F.lit("").alias("file_path"),
+            F.lit("web").alias("file_type"), content_hash(F.col("page.content")).alias("content_hash"),
+        )
+        found = pages.select("url", self.links.alias("links"), page)
+        return found.select("url", "links", F.when(long_enough(F.col("page.content")), document).alias("document"))
+
+
 def capped(pages: DataFrame, max_pages: int, order: tuple[str, ...] = ("depth", "url")) -> DataFrame:
     """At most `max_pages` pages, nearest to the seeds first."""
     return pages.orderBy(*order).limit(max_pages)

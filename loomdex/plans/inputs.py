@@ -245,6 +245,43 @@ def site_ips(spark: SparkSession, sf: str) -> DataFrame:
     return hosts.select("host", F.when(F.startswith("host", F.lit("s4.")), "10.0.0.4").otherwise("93.184.1.1").alias("ip"))
 
 
+def known_site_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_key): pages of the five hosts whose number has a good label."""
+    good = read_table(spark, sf, "labels").filter("quality = 1").select(F.col("doc_id").alias("page_id"))
+    return site(spark, sf).join(good, "page_id", "left_semi").select(F.col("url").alias("doc_key"))
+
+
+def sitemaps(spark: SparkSession, sf: str) -> DataFrame:
+    """(url, xml): sitemaps of four of the five hosts, each naming every sixteenth page and some targets to refuse.
+
+    The first host has an index of maps, which also names itself, another host's map, and a map that is not there.
+    """
+    listed = site(spark, sf).filter("page_id % 16 = 0").select(
+        F.regexp_extract("url", "^http://([^/]*)", 1).alias("host"), F.floor(F.col("page_id") / 512).cast("string").alias("map"), "url"
+    ).filter("host <> 's2.example.org'")
+    extra = "<url><loc>http://s0.example.org/photo.jpg</loc></url><url><loc>http://10.0.0.1/p1</loc></url><url><loc>http://s1.example.org/p6#top</loc></url><url><loc> http://s1.example.org/p11 </loc></url>"
+    name = F.when(F.col("host") == "s0.example.org", F.concat(F.lit("/map-"), "map", F.lit(".xml"))).otherwise("/sitemap.xml")
+    places = F.array_join(F.collect_list(F.concat(F.lit("<url><loc>"), "url", F.lit("</loc></url>"))), "")
+    maps = listed.groupBy(F.concat(F.lit("http://"), "host", name).alias("url")).agg(
+        F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">' + extra), places, F.lit("</urlset>")).alias("xml")
+    )
+    entry = F.concat(F.lit("<sitemap><loc>"), "url", F.lit("</loc></sitemap>"))
+    more = "".join(
+        f"<sitemap><loc>http://{u}</loc></sitemap>" for u in ("s0.example.org/sitemap.xml", "s3.example.org/sitemap.xml", "s0.example.org/gone.xml")
+    )
+    index = maps.filter("url like '%/map-%'").agg(
+        F.concat(F.lit("<sitemapindex>" + more), F.array_join(F.collect_list(entry), ""), F.lit("</sitemapindex>")).alias("xml")
+    )
+    return maps.unionByName(index.select(F.lit("http://s0.example.org/sitemap.xml").alias("url"), "xml"))
+
+
+#: Where the seeded crawl is asked to start: pages in several spellings, and targets that must be refused.
+ASKED_SEEDS = [
+    " http://s1.example.org/p1#top ", "HTTP://s2.example.org/p2", "http://s4.example.org/p4", "http://s3.example.org/p3", "http://localhost/p5",
+    "ftp://s1.example.org/p11", "http://s1.example.org/p%zz", "http://s0.example.org/paper.pdf", "http://s0.example.org/nowhere", "", "http://unknown.example.org/p1",
+]
+
+
 def page_graph(spark: SparkSession, sf: str) -> DataFrame:
     """(url, links): every page links to six pages chosen by arithmetic on its number."""
     numbered = read_table(spark, sf, "pages").select("page_id", F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("url"))

@@ -422,10 +422,25 @@ edges as (select distinct url as src, link as dst from links where {valid('link'
   select distinct regexp_extract(url, '^http://([^/]*)', 1) from site where not starts_with(url, 'http://s4.'))),
 l1 as (select url from site where page_id in (1, 2, 3)), v1 as (select url from l1), {_levels},
 reached as ({' union all '.join(f'select url, {d}::bigint as depth from l{d}' for d in range(1, queries.CRAWL_DEPTH + 1))})"""
-ORACLE["crawl_pages"] = f"with {SITE} select url, depth from reached"
+ORACLE["crawl_pages"] = f"with {SITE} select url, depth from reached where url in (select url from site)"
+# Pages are cleaned as they are visited; the cap counts those that are kept, level by level and by URL.
 ORACLE["crawl_ingest"] = f"""
-with {SITE}, found as (select site.url, html from site join reached on site.url = reached.url order by depth, site.url limit {queries.PAGE_CAP}),
-{ingest_sql('found', '')} from done where strlen(content) >= {vocab.MIN_PAGE_BYTES}"""
+with {SITE}, found as (select site.url, html, depth from site join reached on site.url = reached.url),
+{ingest_sql('found', '')}, depth from done join reached using (url) where strlen(content) >= {vocab.MIN_PAGE_BYTES}
+order by depth, url limit {queries.PAGE_CAP}"""
+# Entries: the two usable seeds, and every page that the maps of the hosts s0 and s1 name; s2 has no map, s3 is not allowed, s4 private.
+_open = "regexp_matches(link, '^http://s[012][.]example[.]org/')"
+ORACLE["crawl_seeded"] = f"""
+with {SITE}, entries as (
+  select url from site where url in ('http://s1.example.org/p1', 'http://s2.example.org/p2', 'http://s1.example.org/p6')
+    or page_id % 16 = 0 and regexp_matches(url, '^http://s[01][.]')),
+seeded as (select url, 1::bigint as depth from entries union all
+  select distinct link, 2 from links where url in (select url from entries) and link in (select url from site)
+    and {_open} and not {has('lower(link)', MEDIA)} and link not in (select url from entries)),
+found as (select site.url, html from site join seeded on site.url = seeded.url),
+{ingest_sql('found', '').rpartition('select url, title')[0].rstrip()}
+select url, depth, url in (select url from done where strlen(content) >= {vocab.MIN_PAGE_BYTES}
+  and url not in (select url from site where page_id in (select doc_id from labels where quality = 1))) as kept from seeded"""
 
 # --- text ----------------------------------------------------------------------------------
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,6 +25,7 @@ QUERIES: dict[str, Query] = {}
 CRAWL_DEPTH = 4
 PAGE_CAP = 100
 SEEDS = ("p0", "p1")
+SEEDED_HOSTS = ["s0.example.org", " S1.example.org", "s2.example.org", "s4.example.org", "localhost", ""]
 
 
 def query(fn: Query) -> Query:
@@ -204,21 +206,35 @@ def crawl_bfs(spark, sf):
     return crawl.reach(seeds, graph, CRAWL_DEPTH).select("url", big("depth"))
 
 
-def _crawled(spark, sf):
+def _crawled(spark, sf, max_pages=None):
     seeds = inputs.site(spark, sf).filter(F.col("page_id").isin(1, 2, 3)).select("url")
-    return crawl.crawl(seeds, inputs.site(spark, sf), inputs.site_ips(spark, sf), F.expr("cast(array() as array<string>)"), CRAWL_DEPTH)
+    anyone = F.expr("cast(array() as array<string>)")
+    return crawl.crawl(seeds, inputs.site(spark, sf), inputs.site_ips(spark, sf), anyone, CRAWL_DEPTH, max_pages)
 
 
 @query
 def crawl_pages(spark, sf):
-    return _crawled(spark, sf).select("url", big("depth"))
+    return _crawled(spark, sf).visited.select("url", big("depth"))
 
 
 @query
 def crawl_ingest(spark, sf):
-    """The whole chain: follow links, cap the pages, clean and filter them."""
-    found = ingest.capped(inputs.site(spark, sf).join(_crawled(spark, sf), "url"), PAGE_CAP)
-    return ingest.documents_of(found).select("url", "title", "content", "content_hash")
+    """The whole chain: follow links, clean and filter the pages, stop at the cap on kept ones."""
+    return _crawled(spark, sf, PAGE_CAP).documents.select("url", "title", "content", "content_hash", big("depth"))
+
+
+@query
+def crawl_seeded(spark, sf):
+    """A crawl from a request, a configuration and the sitemaps of their hosts, on four allowed hosts, one of them private."""
+    config = F.lit(json.dumps({"seed_urls": inputs.ASKED_SEEDS[1:], "allowed_hosts": SEEDED_HOSTS, "max_depth": 2}))
+    request = F.lit(inputs.ASKED_SEEDS[0])
+    listed = spark.range(1).select(F.explode(crawl.seed_list(request, readers.parse_config(config)["seed_urls"])).alias("url"))
+    done = crawl.crawl(
+        listed, inputs.site(spark, sf), inputs.site_ips(spark, sf), F.array(*map(F.lit, SEEDED_HOSTS)), 2,
+        sitemaps=inputs.sitemaps(spark, sf), known=inputs.known_site_pages(spark, sf),
+    )
+    kept = done.documents.select("url", F.lit(True).alias("kept"))
+    return done.visited.join(kept, "url", "left").select("url", big("depth"), F.coalesce("kept", F.lit(False)).alias("kept"))
 
 
 @query

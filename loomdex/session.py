@@ -42,6 +42,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Rows written as a table in the work folder and read again: `cut_lineage` for rows that hold texts."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(df: DataFrame, *text_columns: str) -> bool:
     """Whether rows and text bytes of a table stay below the limits; both are summed by task first."""
     total = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text_columns), F.lit(0))

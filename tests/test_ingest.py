@@ -43,11 +43,94 @@ def test_crawl_respects_depth_safety_and_cycles(spark):
     ips = spark.createDataFrame([("a.org", "8.8.8.8"), ("evil.org", "8.8.4.4"), ("evil.org", "10.0.0.1")], "host string, ip string")
     seeds = spark.createDataFrame([("http://a.org/1",)], "url string")
     anyone = F.expr("cast(array() as array<string>)")
-    got = {r.url: r.depth for r in crawl.crawl(seeds, pages, ips, anyone, 4).collect()}
+    got = {r.url: r.depth for r in crawl.crawl(seeds, pages, ips, anyone, 4).visited.collect()}
     # The service page is followed although it is never indexed.
     assert got == {"http://a.org/1": 1, "http://a.org/2": 2, "http://a.org/3?action=edit": 3, "http://a.org/4": 4}
 
 
+LONG = "<p>" + "some words of text " * 20 + "</p>"
+
+
+def site(spark, links):
+    """Pages http://a.org/<name> with their links; those whose name ends in - hold too little text to be kept."""
+    def source(name, targets):
+        return ("" if name.endswith("-") else LONG) + "".join(f'<a href="{t}">x</a>' for t in targets)
+
+    return spark.createDataFrame([(i, f"http://a.org/{n}", source(n, t)) for i, (n, t) in enumerate(links.items())], readers.PAGE_SCHEMA)
+
+
+def run_crawl(spark, links, seeds, **more):
+    ips = spark.createDataFrame(
+        [("a.org", "8.8.8.8"), ("b.org", "8.8.8.8"), ("evil.org", "8.8.4.4"), ("evil.org", "10.0.0.1"), ("lan.org", "10.0.0.1")], "host string, ip string"
+    )
+    listed = spark.createDataFrame([(s,) for s in seeds], "url string")
+    more = {"allowed": F.expr("cast(array() as array<string>)"), "max_depth": 4} | more
+    done = crawl.crawl(listed, site(spark, links), ips, **more)
+    visited = {r.url.rsplit("/", 1)[1]: r.depth for r in done.visited.collect()}
+    return visited, sorted(r.url.rsplit("/", 1)[1] for r in done.documents.collect())
+
+
+def reference_crawl(links, seeds, cap, max_depth):
+    """One page after another, the way a crawler does it."""
+    visited, kept, level = {}, [], sorted(seeds)
+    for depth in range(1, max_depth + 1):
+        following = set()
+        for name in level:
+            if len(kept) >= cap:
+                return visited, sorted(kept)
+            visited[name] = depth
+            if not name.endswith("-"):
+                kept.append(name)
+            if len(kept) < cap:
+                following |= set(links[name])
+        level = sorted(n for n in following if n in links and n not in visited)
+    return visited, sorted(kept)
+
+
+def test_cap_counts_kept_pages_only(spark):
+    links = {"a-": ["b", "c-"], "b": ["d", "e"], "c-": ["f", "g"], "d": ["h"], "e": [], "f": ["a-"], "g": [], "h": [], "i": []}
+    for cap in (0, 1, 3, 4, 100):
+        assert run_crawl(spark, links, ["http://a.org/a-"], max_pages=cap) == reference_crawl(links, ["a-"], cap, 4), cap
+
+
+def test_seeds_are_checked_and_absent_pages_are_not_returned(spark):
+    links = {"p1": ["gone", "p2"], "p2": [], "p3": []}
+    seeds = [" http://a.org/p1#x ", "http://localhost/p3", "http://lan.org/p3", "http://a.org/missing", "ftp://a.org/p3", "", None]
+    assert run_crawl(spark, links, seeds)[0] == {"p1": 1, "p2": 2}
+    assert run_crawl(spark, links, seeds, allowed=F.array(F.lit("b.org"))) == ({}, [])
+    assert run_crawl(spark, links, []) == ({}, [])
+
+
+def test_known_pages_are_followed_and_not_kept(spark):
+    known = spark.createDataFrame([("http://a.org/p1",), ("http://a.org/p9",), ("http://a.org/p1",)], "doc_key string")
+    assert run_crawl(spark, {"p1": ["p2"], "p2": []}, ["http://a.org/p1"], known=known) == ({"p1": 1, "p2": 2}, ["p2"])
+
+
+def test_sitemaps_enter_at_the_first_level(spark):
+    def urls_of(*targets):
+        return "<urlset>" + "".join(f"<url><loc>{t}</loc></url>" for t in targets) + "</urlset>"
+
+    def index_of(*targets):
+        return "<sitemapindex>" + "".join(f"<sitemap><loc>{t}</loc></sitemap>" for t in targets) + "</sitemapindex>"
+
+    sitemaps = spark.createDataFrame([
+        ("http://a.org/sitemap.xml", index_of("http://a.org/one.xml", "http://a.org/sitemap.xml", "http://lan.org/two.xml", "http://a.org/none.xml")),
+        ("http://a.org/one.xml", urls_of("http://a.org/p2", "http://a.org/p3#x", " http://a.org/p5", "http://a.org/p4.jpg", "http://lan.org/p5", "http://b.org/p6")),
+        ("http://lan.org/two.xml", urls_of("http://a.org/p7")), ("http://b.org/sitemap.xml", urls_of("http://a.org/p8")),
+    ], "url string, xml string")
+    links = {f"p{i}": [] for i in range(1, 9)} | {"p1": ["p2"], "p2": ["p8"], "p4.jpg": []}
+    assert run_crawl(spark, links, ["http://a.org/p1"], sitemaps=sitemaps)[0] == {"p1": 1, "p2": 1, "p3": 1, "p8": 2}
+    assert run_crawl(spark, links, [], sitemaps=sitemaps)[0] == {}
+
+
+def test_many_dropped_elements_in_linear_time(spark):
+    from loomdex.functions import html
+
+    parts = [f"<p>w{i}</p><nav>x</nav>" for i in range(4000)]
+    df = spark.createDataFrame([("".join(parts),)], "h string").select(html.drop_elements(F.col("h")).alias("h"))
+    assert df.first().h == "".join(f"<p>w{i}</p>" for i in range(4000))
+
+
 def test_uploads_from_files(spark, tmp_path):
     (tmp_path / "Page.html").write_bytes(page("<b>текст</b> " + "word " * 30).encode())
     (tmp_path / "scan.pdf").write_bytes(b"%PDF-1.4 x")
