@@ -56,6 +56,27 @@ def analyzed_spans(text: Column, measure=F.octet_length) -> Column:
     )
 
 
+def _bytes_and_chars(part: Column) -> Column:
+    """Both lengths in one number, so that one prefix sum gives both offsets."""
+    return F.shiftleft(F.octet_length(part).cast("bigint"), 32) + F.length(part)
+
+
+def located_terms(text: Column) -> Column:
+    """array<struct<term,pos,start,end,first,last>>: index terms with position, byte offsets and character offsets."""
+
+    def chars(packed: Column) -> Column:
+        return packed.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+
+    tokens_found = F.transform(spans(text, TOKEN, _bytes_and_chars, "bigint"), lambda s: F.struct(
+        s["pos"].alias("pos"), s["start"].alias("start"), s["end"].alias("end"), fold_case(s["token"]).alias("token")
+    ))
+    return F.transform(F.filter(tokens_found, lambda s: ~is_index_stop(s["token"])), lambda s: F.struct(
+        stem_ru(s["token"]).alias("term"), s["pos"].alias("pos"),
+        F.shiftright(s["start"], 32).cast("int").alias("start"), F.shiftright(s["end"], 32).cast("int").alias("end"),
+        chars(s["start"]).alias("first"), chars(s["end"]).alias("last"),
+    ))
+
+
 def is_query_stop(word: Column, stop: list[str] | None = None) -> Column:
     return fold_case(word).isin(vocab.QUERY_STOP if stop is None else stop)
 

@@ -50,13 +50,13 @@ def pieces(text: Column, pattern: str) -> Column:
     return F.split(F.regexp_replace(clean, pattern, f"{MARK}$0{MARK}"), MARK)
 
 
-def spans(text: Column, pattern: str, measure: Callable[[Column], Column]) -> Column:
-    """array<struct<pos,start,end,token>> of all matches; offsets in the unit of `measure`."""
+def spans(text: Column, pattern: str, measure: Callable[[Column], Column], unit: str = "int") -> Column:
+    """array<struct<pos,start,end,token>> of all matches; offsets in the unit of `measure`, as numbers of type `unit`."""
     parts_and_ends = let(
         pieces(text, pattern),
         lambda parts: F.struct(
             parts.alias("parts"),
-            running_sum(F.transform(parts, lambda p: measure(p).cast("int"))).alias("ends"),
+            running_sum(F.transform(parts, lambda p: measure(p).cast(unit))).alias("ends"),
         ),
     )
 
@@ -64,7 +64,7 @@ def spans(text: Column, pattern: str, measure: Callable[[Column], Column]) -> Co
         parts, ends = pe["parts"], pe["ends"]
         count = (F.size(parts) - 1) / 2
         return F.when(F.size(parts) < 2, F.expr(
-            "cast(array() as array<struct<pos:int,start:int,end:int,token:string>>)"
+            f"cast(array() as array<struct<pos:int,start:{unit},end:{unit},token:string>>)"
         )).otherwise(
             F.transform(
                 F.sequence(F.lit(1), count.cast("int")),

@@ -219,6 +219,16 @@ def term_ranges(text: Column, terms: Column) -> Column:
     return let(F.transform(terms, lambda t: F.left(t, F.lit(2))), ranges)
 
 
+def vector_ranges(vector: Column, terms: Column) -> Column:
+    """The same ranges from a stored term vector, in text order: no text is read."""
+    wanted = F.filter(vector, lambda t: F.array_contains(terms, t["term"]))
+    places = F.flatten(F.transform(wanted, lambda t: F.transform(t["locs"], lambda p: F.struct(
+        p["first"].alias("start"), p["last"].alias("end")
+    ))))
+    none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    return F.coalesce(F.array_sort(places), none)
+
+
 def window_ranges(found: Column, best: Column, win: Column) -> Column:
     """Ranges inside the window plus the chosen occurrence, ordered by start, longer first."""
     inside = F.filter(found, lambda r: (r["end"] > win["start"]) & (r["start"] < win["end"]))
@@ -238,8 +248,8 @@ def window_ranges(found: Column, best: Column, win: Column) -> Column:
     return let(inside, with_best)
 
 
-def snippet(text: Column, query: Column, terms: Column, stop: list[str] | None = None) -> Column:
-    """Snippet of a hit: `query` is the cleaned query, `terms` its index terms."""
+def snippet(text: Column, query: Column, places: Column, stop: list[str] | None = None) -> Column:
+    """Snippet of a hit: `query` is the cleaned query, `places` the ranges of its index terms in the text."""
 
     def with_ranges(found: Column) -> Column:
         best = best_candidate(candidates(text, query, stop))
@@ -253,4 +263,4 @@ def snippet(text: Column, query: Column, terms: Column, stop: list[str] | None =
 
         return F.when(F.size(found) == 0, truncate(text)).otherwise(let(best, render))
 
-    return F.when(text == "", "").otherwise(let(term_ranges(text, terms), with_ranges))
+    return F.when(text == "", "").otherwise(let(places, with_ranges))

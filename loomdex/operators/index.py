@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomdex.functions.analysis import analyzed_spans, index_tokens
+from loomdex.functions.analysis import analyzed_spans, index_tokens, located_terms
 from loomdex.functions.arrays import let
 from loomdex.functions.stemmer import stem_ru
 
@@ -92,6 +92,40 @@ def term_locations(text: Column) -> Column:
     ))
 
 
+def term_vector(text: Column) -> Column:
+    """array<struct<term,tf,locs>> of one text, sorted by term: what a search and its snippets need of the text."""
+    return runs(located_terms(text), lambda s: s["term"], lambda items, first, n: F.struct(
+        F.get(items, first)["term"].alias("term"), n.cast("bigint").alias("tf"),
+        F.transform(F.slice(items, first + 1, n), lambda s: s.dropFields("term")).alias("locs"),
+    ))
+
+
+def vector_postings(docs: DataFrame, *kept: str) -> DataFrame:
+    """Postings of title, content and both as one field from stored term vectors: no text is read, nothing is shuffled."""
+    empty = F.expr("cast(array() as array<struct<term:string,tf:bigint>>)")
+
+    def counts(field: str) -> Column:
+        vector = F.arrays_zip(F.col(f"{field}_terms.term").alias("term"), F.col(f"{field}_terms.tf").alias("tf"))
+        return F.coalesce(vector, empty)
+
+    def total(vector: Column) -> Column:
+        return F.aggregate(vector, F.lit(0).cast("bigint"), lambda n, t: n + t["tf"])
+
+    merged = runs(F.concat(*(F.col(f"{f}_counts") for f in FIELDS)), lambda t: t["term"], lambda items, first, n: F.struct(
+        F.get(items, first)["term"].alias("term"), total(F.slice(items, first + 1, n)).alias("tf")
+    ))
+    rows = docs.select("doc_key", *kept, *(counts(f).alias(f"{f}_counts") for f in FIELDS))
+    rows = rows.withColumn("all_counts", F.coalesce(merged, empty))
+    parts = [
+        F.struct(F.lit(f).alias("field"), total(F.col(f"{f}_counts")).alias("n_tokens"), F.col(f"{f}_counts").alias("counts"))
+        for f in (*FIELDS, "all")
+    ]
+    rows = rows.select("doc_key", *kept, F.explode(F.array(*parts)).alias("f")).select("doc_key", *kept, "f.*")
+    return rows.select("doc_key", *kept, "field", "n_tokens", F.explode("counts").alias("p")).select(
+        "doc_key", *kept, "field", "n_tokens", "p.term", "p.tf"
+    )
+
+
 def postings(
     docs: DataFrame,
     fields: Mapping[str, Column] | None = None,

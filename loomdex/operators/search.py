@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomdex.functions.analysis import analyze, clean_query
-from loomdex.functions.snippet import snippet
+from loomdex.functions.snippet import snippet, term_ranges, vector_ranges
 from loomdex.functions.text import safe_string, title_key
 from loomdex.operators.index import FIELDS, HOT_SPLITS, document_frequencies, postings, salt
 from loomdex.session import cut_lineage, fits_broadcast
-from loomdex.sources.store import Index, stored_documents, term_bucket
+from loomdex.sources.store import VECTOR_COLUMNS, Index, stored_documents, term_bucket
 
 DEFAULT_SIZE = 10
 MAX_SIZE = 50
@@ -89,6 +89,11 @@ def field_scores(matches: DataFrame) -> DataFrame:
 def combined_scores(matches: DataFrame, fields=FIELDS) -> DataFrame:
     """(query_id, doc_key, score): at least one field matches, field scores are summed."""
     part = F.col("weight") * F.col("density")
+    if len(fields) == 1:
+        only = matches.groupBy("query_id", "doc_key").agg(
+            F.sum(part).alias("raw"), F.sum("reps").alias("hits"), F.max("n_terms").alias("n_terms")
+        )
+        return only.select("query_id", "doc_key", F.round(F.col("raw") * F.col("hits") / F.col("n_terms"), 9).alias("score"))
     sums = []
     for f in fields:
         here = F.col("field") == f
@@ -120,7 +125,7 @@ def lookup(index: Index, terms: DataFrame, small: bool, fields=None, names=FIELD
     # The bucket column lets the scan skip buckets without a wanted term.
     keyed = wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.buckets))
     keyed = F.broadcast(keyed) if small else keyed
-    post = stored.join(keyed, ["term_bucket", "term"], "left_semi")
+    post = index.live(stored.join(keyed, ["term_bucket", "term"], "left_semi"))
     frequencies = index.term_df.filter(F.col("field").isin(*names))
     frequencies = frequencies.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
     return post, frequencies
@@ -206,10 +211,20 @@ def deep_pages(scored: DataFrame, asked: DataFrame) -> DataFrame:
     return kept.select("query_id", "doc_key", "score", "rank", "page", "size")
 
 
-def with_documents(hits: DataFrame, index: Index, queries: DataFrame) -> DataFrame:
+def with_documents(hits: DataFrame, index: Index, queries: DataFrame, vectors: bool = False) -> DataFrame:
     """Stored fields of page hits. Page hits number at most queries x size; the stored documents of other buckets are not read."""
     bound = queries.agg(F.sum("size")).first()[0] or 0
-    return stored_documents(index, hits, small=bound <= HITS_IN_MEMORY)
+    return stored_documents(index, hits, small=bound <= HITS_IN_MEMORY, vectors=vectors and index.stored is not None)
+
+
+def with_snippets(found: DataFrame, index: Index, stop: list[str] | None = None) -> DataFrame:
+    """Adds snippets to page hits(content, cleaned, terms): the matching places come from stored term vectors where there are some."""
+    places = F.col("ranges") if index.stored is not None else term_ranges(F.col("content"), F.col("terms"))
+    if index.stored is not None:
+        # A column of its own, so that the places are gathered once for all uses in the snippet.
+        gathered = F.explode(F.array(vector_ranges(F.col("content_terms"), F.col("terms"))))
+        found = found.select(*found.columns, gathered.alias("ranges")).drop(*VECTOR_COLUMNS)
+    return found.withColumn("snippet", snippet(F.col("content"), F.col("cleaned"), places, stop)).drop("ranges")
 
 
 def one_per_title(hits: DataFrame) -> DataFrame:
@@ -224,12 +239,12 @@ def results(
 ) -> DataFrame:
     """Result rows of every requested page, with snippet and relevance tier."""
     scored = scores(index, queries, stop) if scored is None else scored
-    found = with_documents(pages(scored, queries), index, queries)
+    found = with_documents(pages(scored, queries), index, queries, vectors=True)
     kept = one_per_title(found).join(totals(scored), "query_id")
     cleaned = queries.select("query_id", clean_query(F.col("q"), stop).alias("cleaned"))
     cleaned = cleaned.withColumn("terms", analyze(F.col("cleaned")))
-    return kept.join(cleaned, "query_id").select(
+    return with_snippets(kept.join(cleaned, "query_id"), index, stop).select(
         "query_id", "rank", "doc_key", *(safe_string(F.col(c)).alias(c) for c in ("url", "title", "file_path", "file_type")), "score", "total",
-        snippet(F.col("content"), F.col("cleaned"), F.col("terms"), stop).alias("snippet"),
+        "snippet",
         relevance(F.col("score"), F.col("max_score")).alias("relevance"),
     )

@@ -10,7 +10,7 @@ from loomdex.functions.text import fold_case, words
 from loomdex.operators.index import everything
 from loomdex.operators.search import combined_scores, lookup, match, ranked, term_weights
 from loomdex.session import cut_lineage, fits_broadcast
-from loomdex.sources.store import Index, stored_documents
+from loomdex.sources.store import Index, key_bucket, stored_documents
 
 FUZZINESS = 2
 TOP_DOCS = 3
@@ -78,6 +78,19 @@ def similar_terms(terms: DataFrame, vocabulary: DataFrame, small: bool, k: int =
     return near.select("term", "similar").distinct()
 
 
+def stored_similar_terms(terms: DataFrame, index: Index, small: bool, k: int = FUZZINESS) -> DataFrame:
+    """`similar_terms` over the stored pieces of an index: only the buckets of the probes' pieces are read."""
+    probes = terms.select("term", F.explode(probe_keys(F.col("term"), k)).alias("key"))
+    probes = probes.select("term", "key.*", key_bucket(F.col("key"), index.buckets).alias("key_bucket"))
+    small = small and fits_broadcast(probes, "term")
+    known = index.keys.select("key_bucket", "len", "no", "piece", F.col("term").alias("similar"))
+    pairs = known.join(F.broadcast(probes) if small else probes, ["key_bucket", "len", "no", "piece"])
+    near = pairs.filter(F.levenshtein(F.col("term"), F.col("similar"), k) >= 0).select("term", "similar").distinct()
+    if index.dead is None:
+        return near
+    return near.join(vocabulary(index).select(F.col("term").alias("similar")), "similar", "left_semi").select("term", "similar")
+
+
 def vocabulary(index: Index) -> DataFrame:
     """Distinct index terms of title and content."""
     if index.term_df is not None:
@@ -94,7 +107,8 @@ def fuzzy_terms(index: Index, queries: DataFrame, small: bool, stop: list[str] |
     asked = queries.select(
         "query_id", F.explode(analyze(F.array_join(meaningful_words(F.col("q"), stop), " "))).alias("term")
     )
-    near = similar_terms(asked.select("term").distinct(), vocabulary(index), small)
+    words_asked = asked.select("term").distinct()
+    near = similar_terms(words_asked, vocabulary(index), small) if index.keys is None else stored_similar_terms(words_asked, index, small)
     expanded = asked.join(near, "term").groupBy("query_id", "similar").agg(F.count("*").alias("reps"))
     all_reps = F.sum("reps").over(Window.partitionBy("query_id"))
     return expanded.select("query_id", F.col("similar").alias("term"), "reps", all_reps.alias("n_terms"))

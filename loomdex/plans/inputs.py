@@ -14,7 +14,7 @@ from loomdex.functions import vocab
 from loomdex.functions.text import words
 from loomdex.session import fresh_dir
 from loomdex.sources.readers import read_table, read_text_table
-from loomdex.sources.store import Index, open_index, write_index
+from loomdex.sources.store import Index, open_index, update_index, write_index
 
 # Latin to Cyrillic, chosen so that common word ends become Russian endings.
 LATIN = "abcdefghijklmnopqrstuvwxyzéèêçäöüóáíñABCDEFGHIJKLMNOPQRSTUVWXYZÉÈÊÇÄÖÜÓÁÍÑ"
@@ -141,6 +141,22 @@ def index(spark: SparkSession, sf: str, cyrillic: bool = False) -> Index:
     return open_index(spark, _stored[key])
 
 
+def updated_index(spark: SparkSession, sf: str) -> str:
+    """Folder of an index of an older state of the corpus, brought up to date in two steps."""
+    docs = corpus(spark, sf).selectExpr("*", "'' as content_hash", "cast(0 as bigint) as seq")
+    part = F.pmod(F.xxhash64("doc_key"), F.lit(300))
+    older = docs.filter(part != 0).withColumn(
+        "content", F.when(part == 1, F.concat(F.lit("older "), F.reverse("content"))).otherwise(F.col("content"))
+    )
+    gone = docs.filter(part == 2).withColumn("doc_key", F.concat("doc_key", F.lit("/gone")))
+    home = fresh_dir(spark, "updated")
+    write_index(older.unionByName(gone), home)
+    # The changed documents come first with a state between, then as they are, with the new ones.
+    update_index(older.filter(part == 1).withColumn("content", F.lit("between")), home)
+    update_index(docs.filter(part < 2), home, deleted=gone.select("doc_key"))
+    return home
+
+
 def queries(spark: SparkSession, sf: str, cyrillic: bool = False) -> DataFrame:
     """One query per benchmark item, its whole text; first page of ten."""
     q = to_cyrillic("text") if cyrillic else F.col("text")

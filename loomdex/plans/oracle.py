@@ -605,6 +605,7 @@ ORACLE["relevance_tier"] = f"with {search_sql()}, {TOTALS} select query_id, doc_
 ORACLE["hit_total"] = f"with {search_sql()}, {TOTALS} select query_id, total, ((total + 9) // 10)::bigint as total_pages from totals"
 ORACLE["search_page"] = f"""
 with {search_sql()}, {PAGES} select query_id, rank, doc_key as url, title, round(score, 6) as score from page_hits join corpus using (doc_key)"""
+ORACLE["index_update"] = ORACLE["search_page"]
 ORACLE["batch_search"] = f"""
 with {search_sql(asked=REQUESTS)}, {PAGES} select query_id, page, size, rank, doc_key, round(score, 6) as score from page_hits"""
 DEDUPE = (
@@ -769,6 +770,12 @@ select a.query_id, coalesce(total, 0)::bigint as total, page, size as "pageSize"
   (select count(*) from documents) as "indexedPages", coalesce(n_results, 0)::bigint as n_results, coalesce(hits, '') as hits, coalesce(suggestion, '') as suggestion
 from asked a left join totals t on a.query_id = t.query_id left join lists l on a.query_id = l.query_id left join fuzzy f on a.query_id = f.query_id"""
 
+_named = "'indexedPages,page,pageSize,results,' || case when coalesce(suggestion, '') = '' then '' else 'suggestion,' end || 'total,totalPages'"
+ORACLE["response_json"] = (
+    ORACLE["search_response"].replace("string_agg(doc_key", "string_agg('0|' || doc_key").replace(
+        "coalesce(suggestion, '') as suggestion", f"nullif(suggestion, '') as suggestion, {_named} as names")
+)
+
 # --- keyword in context --------------------------------------------------------------------
 
 KWIC_DOCS = (

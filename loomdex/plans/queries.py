@@ -16,7 +16,7 @@ from loomdex.plans import inputs
 from loomdex.session import fresh_dir
 from loomdex.sources import readers, uploads
 from loomdex.sources.readers import read_table
-from loomdex.sources.store import Index, read_segments
+from loomdex.sources.store import Index, open_index, read_segments
 from loomdex.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -470,6 +470,29 @@ def search_page(spark, sf):
     return found.select("query_id", "rank", "url", "title", F.round("score", 6).alias("score"))
 
 
+@query
+def index_update(spark, sf):
+    """Search an index of another state of the corpus after an update of one document in a hundred, changed, new and withdrawn."""
+    home = inputs.updated_index(spark, sf)
+    index, asked = open_index(spark, home), inputs.queries(spark, sf)
+    found = search.with_documents(search.pages(search.scores(index, asked), asked), index, asked)
+    return found.select("query_id", "rank", "url", "title", F.round("score", 6).alias("score"))
+
+
+@query
+def response_json(spark, sf):
+    """Responses as they are sent: one JSON text for a query."""
+    sent = response.to_json(response.respond(inputs.index(spark, sf), _requests(spark, sf)))
+    said = F.from_json("response", "total bigint, page bigint, pageSize bigint, totalPages bigint, indexedPages bigint, suggestion string")
+    listed = F.from_json("response", "results array<struct<id:bigint,url:string,title:string,filePath:string,fileType:string,relevance:string>>")
+    rows = sent.select("query_id", said.alias("said"), listed["results"].alias("hits"), F.json_object_keys("response").alias("names"))
+    return rows.select(
+        "query_id", "said.total", "said.page", "said.pageSize", "said.totalPages", "said.indexedPages", "said.suggestion", F.size("hits").cast("bigint").alias("n_results"),
+        F.array_join(F.array_sort("names"), ",").alias("names"),
+        F.array_join(F.transform("hits", lambda r: F.concat_ws("|", r["id"], r["url"], r["relevance"], r["title"], r["filePath"])), "\n").alias("hits"),
+    )
+
+
 @query
 def batch_search(spark, sf):
     hits = search.pages(_scored(spark, sf), _requests(spark, sf))
@@ -497,13 +520,14 @@ def search_response(spark, sf):
 # --- snippets ------------------------------------------------------------------------------
 
 
-def _page_hits(spark, sf):
+def _page_hits(spark, sf, vectors=False):
     """Page hits of the Cyrillic corpus with content, cleaned query and index terms."""
     index, asked = inputs.index(spark, sf, cyrillic=True), inputs.queries(spark, sf, cyrillic=True)
-    found = search.with_documents(search.pages(search.scores(index, asked), asked), index, asked)
+    found = search.with_documents(search.pages(search.scores(index, asked), asked), index, asked, vectors)
     cleaned = asked.select("query_id", analysis.clean_query(F.col("q")).alias("cleaned"))
     cleaned = cleaned.withColumn("terms", analysis.analyze(F.col("cleaned")))
-    return found.join(cleaned, "query_id").select("query_id", "doc_key", "content", "cleaned", "terms")
+    kept = ["content_terms"] if vectors else []
+    return found.join(cleaned, "query_id").select("query_id", "doc_key", "content", "cleaned", "terms", *kept)
 
 
 def _with_best(spark, sf):
@@ -540,9 +564,8 @@ def snippet_window(spark, sf):
 
 @query
 def highlight(spark, sf):
-    return _page_hits(spark, sf).select(
-        "query_id", "doc_key", snip.snippet(F.col("content"), F.col("cleaned"), F.col("terms")).alias("snippet")
-    )
+    hits = _page_hits(spark, sf, vectors=True)
+    return search.with_snippets(hits, inputs.index(spark, sf, cyrillic=True)).select("query_id", "doc_key", "snippet")
 
 
 # --- suggestions ---------------------------------------------------------------------------

@@ -1,4 +1,9 @@
-"""Stored index: ordinary Parquet tables under versioned folders, plus append-only segments."""
+"""Stored index: ordinary Parquet tables under versioned folders, plus append-only segments.
+
+A version holds generations. The first is a whole corpus; each further one holds the documents of an update, with
+their term vectors and postings, and the names of the rows it replaces (`dead`). Readers leave dead rows out;
+merging writes the live rows of all generations as the first of a new version, without analysing a text.
+"""
 
 from __future__ import annotations
 
@@ -7,16 +12,27 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.operators.index import (
-    document_frequencies, everything, field_columns, latest, postings, salt,
-)
+from loomdex.operators.index import FIELDS, document_frequencies, latest, salt, term_vector, vector_postings
+from loomdex.session import cut_lineage, fits_broadcast
 
 DOCUMENT_COLUMNS = ("doc_key", "url", "title", "content", "file_path", "file_type", "content_hash")
+VECTOR_COLUMNS = tuple(f"{f}_terms" for f in FIELDS)
+_VECTOR = "array<struct<term:string,tf:bigint,locs:array<struct<pos:int,start:int,end:int,first:int,last:int>>>>"
+# Tables are read by these, so that a table or a generation without rows is one.
+SCHEMAS = {
+    "documents": ", ".join([*(f"{c} string" for c in DOCUMENT_COLUMNS), *(f"{c} {_VECTOR}" for c in VECTOR_COLUMNS), "gen int", "doc_bucket int"]),
+    "postings": "doc_key string, field string, n_tokens bigint, term string, tf bigint, gen int, term_bucket int",
+    "fuzzy_keys": "term string, len int, no int, piece string, gen int, key_bucket int",
+}
 
 
 @dataclass
 class Index:
-    """What a search needs. `term_df` is None when frequencies come from the postings at hand."""
+    """What a search needs. `term_df` is None when frequencies come from the postings at hand.
+
+    Rows of a stored index carry the generation `gen` that wrote them; `dead(gen, doc_key)` names those replaced
+    since, None where there was no update. `docs` holds live rows only.
+    """
 
     docs: DataFrame
     post: DataFrame | None = None
@@ -24,26 +40,33 @@ class Index:
     term_df: DataFrame | None = None
     stats: DataFrame | None = None
     buckets: int = 1
+    stored: DataFrame | None = None
+    dead: DataFrame | None = None
+    keys: DataFrame | None = None
 
     @property
     def n_docs(self) -> Column:
         return self.docs.agg(F.count("*")).scalar() if self.stats is None else self.stats.select("n_docs").scalar()
 
+    def live(self, rows: DataFrame) -> DataFrame:
+        return rows if self.dead is None else rows.join(self.dead, ["gen", "doc_key"], "left_anti")
+
 
 def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def stored_documents(index: Index, keys: DataFrame, small: bool) -> DataFrame:
-    """Stored fields of the documents named by `keys(doc_key, ...)`, with all columns of `keys`.
+def stored_documents(index: Index, keys: DataFrame, small: bool, vectors: bool = False) -> DataFrame:
+    """Stored fields of the documents named by `keys(doc_key, ...)`, with all columns of `keys`; on request with term vectors.
 
     Stored documents lie in folders by key bucket, so a scan for some keys skips the other buckets.
     """
-    if "doc_bucket" not in index.docs.columns:
+    if index.stored is None:
         return index.docs.join(F.broadcast(keys) if small else keys, "doc_key")
+    wanted = ("gen", "doc_bucket", *DOCUMENT_COLUMNS, *(VECTOR_COLUMNS if vectors else ()))
     placed = keys.withColumn("doc_bucket", term_bucket(F.col("doc_key"), index.buckets))
-    found = index.docs.join(F.broadcast(placed) if small else placed, ["doc_bucket", "doc_key"])
-    return found.drop("doc_bucket")
+    found = index.stored.select(*wanted).join(F.broadcast(placed) if small else placed, ["doc_bucket", "doc_key"])
+    return index.live(found).drop("doc_bucket", "gen")
 
 
 def append_segment(docs: DataFrame, path: str, segment: int) -> None:
@@ -55,35 +78,130 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", f"{path}/segments").parquet(f"{path}/segments/segment=*")
 
 
+def _write_bucketed(
+    rows: DataFrame, path: str, bucket: str, order: tuple[str, ...], spread_by: str = "doc_key", analysed: tuple[Column, ...] = ()
+) -> None:
+    """One table laid out by bucket. A salt by `spread_by` spreads a bucket over several writers, so one very
+    frequent term does not end up in a single task. `analysed` columns are computed behind the shuffle, over all partitions.
+    """
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = rows.repartition(parts, bucket, salt(spread_by)).sortWithinPartitions(bucket, *order)
+    dealt.select("*", *analysed).write.mode("overwrite").partitionBy(bucket).parquet(path)
+
+
+def _write_documents(current: DataFrame, home: str, gen: int, buckets: int, analyse: bool) -> None:
+    """Documents with their term vectors, by key bucket, sorted by key."""
+    rows = current.select(
+        *DOCUMENT_COLUMNS, *(() if analyse else VECTOR_COLUMNS), term_bucket(F.col("doc_key"), buckets).alias("doc_bucket")
+    )
+    vectors = tuple(term_vector(F.col(f)).alias(f"{f}_terms") for f in FIELDS) if analyse else ()
+    _write_bucketed(rows, f"{home}/documents/gen={gen}", "doc_bucket", ("doc_key",), analysed=vectors)
+
+
+def _write_postings(home: str, gen: int, buckets: int, spark: SparkSession) -> DataFrame:
+    """Postings of a generation from its term vectors; returns its document frequencies."""
+    documents = _read(spark, home, "documents", gen)
+    rows = vector_postings(documents).withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+    _write_bucketed(rows, f"{home}/postings/gen={gen}", "term_bucket", ("field", "term"))
+    return document_frequencies(_read(spark, home, "postings", gen))
+
+
+def _read(spark: SparkSession, home: str, name: str, *gens: int) -> DataFrame:
+    reader = spark.read.schema(SCHEMAS[name]).option("basePath", f"{home}/{name}")
+    return reader.parquet(*(f"{home}/{name}/gen={g}" for g in gens))
+
+
+def _write_keys(terms: DataFrame, home: str, gen: int, buckets: int) -> None:
+    """Pieces of new vocabulary terms by which similar terms are found, by bucket of the piece."""
+    from loomdex.operators.suggest import segment_keys
+
+    rows = terms.select("term", F.explode(segment_keys(F.col("term"))).alias("key"))
+    rows = rows.select("term", "key.*", key_bucket(F.col("key"), buckets).alias("key_bucket"))
+    _write_bucketed(rows, f"{home}/fuzzy_keys/gen={gen}", "key_bucket", ("len", "no", "piece"), "term")
+
+
+def key_bucket(key: Column, buckets: int) -> Column:
+    return term_bucket(key["piece"], buckets)
+
+
+def _record(spark: SparkSession, path: str, table: str, **values: int) -> None:
+    spark.range(1).select(*(F.lit(v).alias(k) for k, v in values.items())).write.mode("append").parquet(f"{path}/{table}")
+
+
+def _first_generation(current: DataFrame, path: str, buckets: int, analyse: bool) -> str:
+    spark = current.sparkSession
+    version = latest_version(spark, path)[0] + 1
+    home = f"{path}/v={version}"
+    _write_documents(current, home, 0, buckets, analyse)
+    documents = _read(spark, home, "documents", 0)
+    documents.agg(F.count("*").alias("n_docs")).write.mode("overwrite").parquet(f"{home}/stats/gen=0")
+    _write_postings(home, 0, buckets, spark).write.mode("overwrite").parquet(f"{home}/term_stats/gen=0")
+    vocabulary = spark.read.parquet(f"{home}/term_stats/gen=0").filter("field = 'all'")
+    _write_keys(vocabulary, home, 0, buckets)
+    _record(spark, home, "generations", gen=0)
+    _record(spark, path, "versions", version=version, buckets=buckets)
+    return home
+
+
 def write_index(docs: DataFrame, path: str, buckets: int = 16) -> str:
     """Build a new version from the last write of every key and record it; returns its folder.
 
-    Documents are laid out by key bucket, sorted by key. Postings are laid out by term bucket. The extra salt spreads a bucket over several writers,
-    so one very frequent term does not end up in a single task. `buckets` should give files of some
-    hundred megabytes: 16 suits a small corpus, thousands a very large one.
+    `buckets` should give files of some hundred megabytes: 16 suits a small corpus, thousands a very large one.
+    """
+    return _first_generation(latest(docs), path, buckets, analyse=True)
+
+
+def update_index(docs: DataFrame, path: str, deleted: DataFrame | None = None) -> None:
+    """Write the documents given, and take out those of `deleted(doc_key)`, as a further generation.
+
+    Only the given documents are analysed. What their keys held before is found by key bucket; its stored term
+    vectors say how far each document frequency falls. An update that was not recorded is written anew.
     """
     spark = docs.sparkSession
-    version = latest_version(spark, path)[0] + 1
+    index = open_index(spark, path)
+    if index.stored is None:
+        write_index(docs, path)
+        return update_index(docs.limit(0), path, deleted) if deleted is not None else None
+    version, buckets = latest_version(spark, path)
     home = f"{path}/v={version}"
-    current = latest(docs).select(*DOCUMENT_COLUMNS, term_bucket(F.col("doc_key"), buckets).alias("doc_bucket"))
-    (
-        current.repartition("doc_bucket", salt()).sortWithinPartitions("doc_bucket", "doc_key")
-        .write.mode("overwrite").partitionBy("doc_bucket").parquet(f"{home}/documents")
-    )
-    stored = spark.read.parquet(f"{home}/documents")
-    stored.agg(F.count("*").alias("n_docs")).write.mode("overwrite").parquet(f"{home}/stats")
-    fields = field_columns() | everything()
-    rows = postings(stored, fields).withColumn("term_bucket", term_bucket(F.col("term"), buckets))
-    (
-        rows.repartition("term_bucket", salt())
-        .sortWithinPartitions("term_bucket", "field", "term")
-        .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{home}/postings")
-    )
-    written = spark.read.parquet(f"{home}/postings")
-    document_frequencies(written).write.mode("overwrite").parquet(f"{home}/term_stats")
-    record = spark.range(1).select(F.lit(version).alias("version"), F.lit(buckets).alias("buckets"))
-    record.write.mode("append").parquet(f"{path}/versions")
-    return home
+    gen = _generation(spark, home) + 1
+    current = latest(docs)
+    if deleted is not None:
+        current = current.join(deleted.select("doc_key"), "doc_key", "left_anti")
+    _write_documents(current, home, gen, buckets, analyse=True)
+    added = _write_postings(home, gen, buckets, spark)
+
+    written = _read(spark, home, "documents", gen).select("doc_key")
+    keys = written
+    keys = keys if deleted is None else keys.unionByName(deleted.select("doc_key")).distinct()
+    keys = cut_lineage(keys.withColumn("doc_bucket", term_bucket(F.col("doc_key"), buckets)))
+    small = fits_broadcast(keys, "doc_key")
+    before = index.stored.join(F.broadcast(keys) if small else keys, ["doc_bucket", "doc_key"], "left_semi")
+    before = index.live(before).select("gen", "doc_key", *VECTOR_COLUMNS)
+    before.select("gen", "doc_key").write.mode("overwrite").parquet(f"{home}/dead/at={gen}")
+    removed = document_frequencies(vector_postings(before)).select("field", "term", (-F.col("df")).alias("df"))
+
+    old = spark.read.parquet(f"{home}/term_stats/gen={gen - 1}")
+    changed = old.unionByName(added).unionByName(removed).groupBy("field", "term").agg(F.sum("df").alias("df"))
+    changed.filter("df > 0").write.mode("overwrite").parquet(f"{home}/term_stats/gen={gen}")
+    new = added.filter("field = 'all'").join(old.filter("field = 'all'"), "term", "left_anti")
+    _write_keys(new, home, gen, buckets)
+    replaced = spark.read.schema("gen int, doc_key string").parquet(f"{home}/dead/at={gen}")
+    n = index.n_docs + F.lit(written.count() - replaced.count())
+    spark.range(1).select(n.alias("n_docs")).write.mode("overwrite").parquet(f"{home}/stats/gen={gen}")
+    _record(spark, home, "generations", gen=gen)
+
+
+def merge_index(spark: SparkSession, path: str) -> str:
+    """Write the live documents of all generations as a new version; texts keep their term vectors."""
+    index = open_index(spark, path)
+    live = index.live(index.stored).select(*DOCUMENT_COLUMNS, *VECTOR_COLUMNS)
+    return _first_generation(live, path, index.buckets, analyse=False)
+
+
+def _generation(spark: SparkSession, home: str) -> int:
+    return spark.read.parquet(f"{home}/generations").agg(F.max("gen")).first()[0]
 
 
 def latest_version(spark: SparkSession, path: str) -> tuple[int, int]:
@@ -103,12 +221,17 @@ def open_index(spark: SparkSession, path: str) -> Index:
         text = ", ".join(f"{c} string" for c in DOCUMENT_COLUMNS)
         return Index(docs=spark.createDataFrame([], text))
     home = f"{path}/v={version}"
-    rows = spark.read.parquet(f"{home}/postings")
-    return Index(
-        docs=spark.read.parquet(f"{home}/documents"),
-        post=rows.filter(F.col("field").isin("title", "content")),
-        post_all=rows.filter("field = 'all'"),
-        term_df=spark.read.parquet(f"{home}/term_stats"),
-        stats=spark.read.parquet(f"{home}/stats"),
-        buckets=buckets,
+    gen = _generation(spark, home)
+
+    gens = range(gen + 1)  # a generation that was not recorded is not read
+    post, stored = _read(spark, home, "postings", *gens), _read(spark, home, "documents", *gens)
+    dead = None
+    if gen:
+        dead = spark.read.schema("gen int, doc_key string").parquet(*(f"{home}/dead/at={g}" for g in range(1, gen + 1)))
+    index = Index(
+        docs=stored, stored=stored, dead=dead, buckets=buckets, keys=_read(spark, home, "fuzzy_keys", *gens),
+        post=post.filter(F.col("field").isin(*FIELDS)), post_all=post.filter("field = 'all'"),
+        term_df=spark.read.parquet(f"{home}/term_stats/gen={gen}"), stats=spark.read.parquet(f"{home}/stats/gen={gen}"),
     )
+    index.docs = index.live(stored).select(*DOCUMENT_COLUMNS)
+    return index

@@ -13,7 +13,7 @@ from loomdex.operators import index as ix
 from loomdex.operators import response, search, suggest
 from loomdex.session import cut_lineage, fresh_dir, work_dir
 from loomdex.sources import store
-from loomdex.sources.store import Index, append_segment, open_index, read_segments, write_index
+from loomdex.sources.store import Index, append_segment, merge_index, open_index, read_segments, update_index, write_index
 
 WORDS = "дуб мост рок zug abc стол лампа окно свет тень".split()
 
@@ -105,6 +105,71 @@ def test_stored_index_gives_the_same_scores(spark, data):
     assert [r.doc_key for r in search.scores(index, asked).collect()] == ["k000"]
 
 
+def test_updates_equal_a_rebuild(spark, data):
+    docs, queries, expected = data
+    home = fresh_dir(spark, "updated")
+    old = docs.filter("seq < 55").withColumn("content", F.when(F.col("seq") % 9 == 0, F.lit("мост уникум")).otherwise(F.col("content")))
+    gone = docs.limit(3).withColumn("doc_key", F.concat(F.lit("gone"), "doc_key"))
+    write_index(old.unionByName(gone), home)
+    fixed = docs.filter("seq % 9 = 0 or seq >= 55")
+    update_index(fixed.filter("seq < 30").withColumn("content", F.lit("между уникум")).withColumn("seq", F.lit(-1).cast("bigint")), home)
+    update_index(fixed, home, deleted=gone.select("doc_key"))
+    home_of = f"{home}/v=1"
+    # Only what was handed over was analysed.
+    assert spark.read.parquet(f"{home_of}/documents/gen=2").count() == fixed.count() == 12
+    asked = spark.createDataFrame([(1, "Мостт zugg"), (2, "лаппа"), (3, "уникумм")], "query_id bigint, q string")
+    for _ in range(2):
+        index = open_index(spark, home)
+        assert index.docs.count() == 60 and as_dict(search.scores(index, queries)) == pytest.approx(expected)
+        rebuilt = fresh_dir(spark, "rebuilt")
+        write_index(docs, rebuilt)
+        fresh = open_index(spark, rebuilt)
+        assert sorted(index.term_df.collect()) == sorted(fresh.term_df.collect()) and spark.range(1).select(index.n_docs).first()[0] == 60
+        assert suggest.suggest(index, asked).orderBy("query_id").collect() == suggest.suggest(fresh, asked).orderBy("query_id").collect()
+        merge_index(spark, home)  # the second time round the merged version is read
+    assert open_index(spark, home).dead is None
+
+
+def test_deleting_everything_and_empty_updates(spark, data):
+    docs, queries, _ = data
+    home = fresh_dir(spark, "emptied")
+    write_index(docs, home)
+    update_index(docs.limit(0), home, deleted=docs.select("doc_key"))
+    index = open_index(spark, home)
+    assert index.docs.count() == 0 and search.scores(index, queries).count() == 0 and index.term_df.count() == 0
+    update_index(docs.limit(5), home)
+    assert open_index(spark, home).docs.count() == 5
+    empty = fresh_dir(spark, "empty")
+    write_index(docs.limit(0), empty)
+    assert search.scores(open_index(spark, empty), queries).count() == 0
+    update_index(docs.limit(2), empty)
+    assert open_index(spark, empty).docs.count() == 2
+
+
+def test_stored_vectors_give_the_places_in_the_text(spark):
+    from loomdex.functions import snippet
+
+    texts = ["Ёлки и мосты, мост — стеклянный мост.", "", "x", "нет её: столы стол's 3.14 é\u0301 мосту"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("terms", F.array(F.lit("мост"), F.lit("елк"), F.lit("стол"), F.lit("3.14")))
+    made = df.withColumn("v", ix.term_vector(F.col("t")))
+    for r in made.select("t", snippet.term_ranges(F.col("t"), F.col("terms")).alias("a"), snippet.vector_ranges(F.col("v"), F.col("terms")).alias("b"), "v").collect():
+        assert [tuple(x) for x in r.a] == [tuple(x) for x in r.b]
+        for term in r.v or []:
+            for p in term.locs:
+                assert r.t.encode()[p.start:p.end].decode() == r.t[p.first:p.last]
+
+
+def test_stored_pieces_find_the_same_terms(spark, data):
+    docs, _, _ = data
+    home = fresh_dir(spark, "index")
+    write_index(docs, home)
+    index = open_index(spark, home)
+    terms = spark.createDataFrame([("мост",), ("зуг",), ("окн",), ("zag",), ("a",)], "term string")
+    expected = sorted(suggest.similar_terms(terms, suggest.vocabulary(index), True).collect())
+    for small in (True, False):
+        assert sorted(suggest.stored_similar_terms(terms, index, small).collect()) == expected and expected
+
+
 def test_stored_suggestions_equal_direct_ones(spark, data):
     docs, _, _ = data
     home = fresh_dir(spark, "index")

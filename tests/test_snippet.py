@@ -13,7 +13,7 @@ from loomdex.functions.analysis import analyze, clean_query
 def snippets(spark, cases):
     df = spark.createDataFrame([(i, t, q) for i, (t, q) in enumerate(cases)], "i int, t string, q string").repartition(8)
     cleaned = df.withColumn("c", clean_query(F.col("q"))).withColumn("terms", analyze(F.col("c")))
-    rows = cleaned.select("i", snippet.snippet(F.col("t"), F.col("c"), F.col("terms")).alias("s")).collect()
+    rows = cleaned.select("i", snippet.snippet(F.col("t"), F.col("c"), snippet.term_ranges(F.col("t"), F.col("terms"))).alias("s")).collect()
     return [r.s for r in sorted(rows)]
 
 
@@ -85,5 +85,5 @@ def test_the_earliest_of_equal_candidates_wins(evaluate):
 
 def test_title_only_hit_is_truncated(evaluate):
     terms = F.array(F.lit("nowhere"))
-    assert evaluate(snippet.snippet(F.col("t"), F.lit("nowhere"), terms), t="a" * 251) == "a" * 250 + "..."
-    assert evaluate(snippet.snippet(F.col("t"), F.lit("x"), terms), t="") == ""
+    assert evaluate(snippet.snippet(F.col("t"), F.lit("nowhere"), snippet.term_ranges(F.col("t"), terms)), t="a" * 251) == "a" * 250 + "..."
+    assert evaluate(snippet.snippet(F.col("t"), F.lit("x"), snippet.term_ranges(F.col("t"), terms)), t="") == ""
