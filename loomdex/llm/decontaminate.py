@@ -5,16 +5,16 @@ only there share a seed. Every pair of places is ignored by one of the masks at
 two substitutions is missed; more than two (`max_substitutions`) need masks of their own. Seeds of the benchmark's windows are looked up among all windows of all
 documents, first in a Bloom filter of bounded size, then by an exact join; each hit is verified over the
 whole window around it, which may differ in at most `max_substitutions` tokens. Items shorter than a
-window, but of `least_tokens` at least, are matched as a whole without substitutions.
+window are matched as a whole without substitutions; those below `least_tokens`, which clean texts may hold by
+chance, match documents that consist of them alone. Letters of scripts without spaces are tokens one by one.
 
 All of it is column expressions: the tokens of a window, as 64-bit hashes, are columns of a row, and no
 text is shuffled.
 
-Windows of the benchmark are grouped first, so repeated items and shared passages cost one window; a
-window stands for the smallest item_id that holds it.
+Windows of the benchmark are grouped first, so repeated items and shared passages cost one window. Which items
+hold a window is a table of its own, joined to the verified windows only, so every item is named.
 
-Defined cases: null or empty texts have no tokens and match nothing; items below `least_tokens` match
-nothing; a null item_id is carried as null; rows that agree in doc_id and text are one document here and
+Defined cases: null or empty texts and items have no tokens and match nothing; a null item_id is carried as null; rows that agree in doc_id and text are one document here and
 share its verdict; a null doc_id is kept as such; an empty benchmark matches nothing; other columns are
 ignored by `overlaps` and kept by `remove`.
 """
@@ -45,9 +45,16 @@ MAX_SUBSTITUTIONS = 2
 LEAST_TOKENS = 8
 
 
+#: Scripts written without spaces.
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+_UNSPACED = "[" + "".join(rf"\p{{Is{x}}}" for x in UNSPACED) + "]"
+
+
 def tokens_of(text: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    """Lower-case runs of letters and digits; letters of scripts without spaces one by one."""
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    apart = F.when(lower.rlike(_UNSPACED), F.regexp_replace(lower, f"({_UNSPACED})", " $1 ")).otherwise(lower)
+    return F.array_remove(F.split(apart, r"[^\p{L}\p{N}]+"), "")
 
 
 def _t(i: int) -> Column:
@@ -63,14 +70,21 @@ def windows(df: DataFrame, text: str, span: int = SPAN) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c != "_tokens"], F.inline(zipped).alias("place", *(f"t{i}" for i in range(span))))
 
 
-def seeds(lengths: list[int], masks: tuple[str, ...] = MASKS) -> list[Column]:
-    """One hash per mask, null where the window is cut short, and one per length of the shorter items."""
+def seeds(lengths: list[int], masks: tuple[str, ...] = MASKS, least_tokens: int = LEAST_TOKENS) -> list[Column]:
+    """One hash per mask, null where the window is cut short, and one per length of the shorter items.
+
+    Below `least_tokens` it is null but for a text of just that many tokens.
+    """
     span = len(masks[0])
     spaced = [
         F.when(_t(span - 1).isNotNull(), F.xxhash64(F.lit(m), *(_t(i) for i in range(span) if mask[i] == "1")))
         for m, mask in enumerate(masks)
     ]
-    whole = [F.when(_t(n - 1).isNotNull(), F.xxhash64(F.lit(-n), *(_t(i) for i in range(n)))) for n in lengths]
+    whole = []
+    for n in lengths:
+        there = _t(n - 1).isNotNull()
+        alone = there if n >= least_tokens else there & (F.col("place") == 1) & _t(n).isNull()
+        whole.append(F.when(alone, F.xxhash64(F.lit(-n), *(_t(i) for i in range(n)))))
     return spaced + whole
 
 
@@ -85,13 +99,17 @@ def overlaps(
         benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text", F.size(tokens_of(F.col("text"))).alias("n")), "text", span
     )
     # Whole windows, and the first window of an item too short for one; n: tokens that must be there.
-    own = items.filter((F.col("n") >= span) & _t(span - 1).isNotNull() | (F.col("n") < span) & (F.col("n") >= least_tokens) & (F.col("place") == 1))
-    own = keep(own.groupBy(*cells).agg(F.min("item_id").alias("item_id"), F.min(F.least("n", F.lit(span))).alias("n")))
-    lengths = sorted(r.n for r in own.filter(F.col("n") < span).select("n").distinct().collect())  # fewer than span
-    hashes = seeds(lengths, masks)
+    own = items.filter((F.col("n") >= span) & _t(span - 1).isNotNull() | F.col("n").between(1, span - 1) & (F.col("place") == 1))
+    own = keep(own.withColumn("n", F.least("n", F.lit(span))).withColumns(
+        {"window": F.xxhash64(*cells), "window_too": F.xxhash64(F.lit(1), *cells)}
+    ))
+    members = own.select("window", "window_too", "item_id").distinct()
+    held = keep(own.groupBy(*cells, "window", "window_too").agg(F.min("n").alias("n"), F.min("place").alias("place")))
+    lengths = sorted(r.n for r in held.filter(F.col("n") < span).select("n").distinct().collect())  # fewer than span
+    hashes = seeds(lengths, masks, least_tokens)
     fits = [F.col("n") == span] * len(masks) + [F.col("n") == n for n in lengths]
-    keyed = own.withColumn("seed", F.explode(F.array_compact(F.array(*(F.when(f, h) for f, h in zip(fits, hashes))))))
-    keyed = keyed.select("seed", "item_id", "n", *(F.col(c).alias(f"b{i}") for i, c in enumerate(cells)))
+    keyed = held.withColumn("seed", F.explode(F.array_compact(F.array(*(F.when(f, h) for f, h in zip(fits, hashes))))))
+    keyed = keyed.select("seed", "window", "window_too", "n", *(F.col(c).alias(f"b{i}") for i, c in enumerate(cells)))
     size = bloom.blocks_for(keyed.count())
     filter_ = bloom.build(keyed, "seed", size)
 
@@ -104,8 +122,12 @@ def overlaps(
         [F.when((F.col("n") > i) & ~_t(i).eqNullSafe(F.col(f"b{i}")), 1).otherwise(0) for i in range(span)],
     )
     verified = hits.filter(differ <= F.when(F.col("n") == span, max_substitutions).otherwise(0))
-    return verified.groupBy("doc_id", "text_hash").agg(
-        F.count_distinct("place").alias("n_windows"), F.array_sort(F.collect_set("item_id")).alias("item_ids")
+    # A document may meet a window at many places: counted once for each place, named once.
+    by_window = verified.groupBy("doc_id", "text_hash", "window", "window_too").agg(F.collect_set("place").alias("places"))
+    named = by_window.join(members, ["window", "window_too"])
+    return named.groupBy("doc_id", "text_hash").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("bigint").alias("n_windows"),
+        F.array_sort(F.collect_set("item_id")).alias("item_ids"),
     )
 
 

@@ -10,6 +10,10 @@ Elsewhere, dense text outside the region is kept too, up to the common ancestor:
 the lines between, and the lines that lie directly in the ancestor. Runs of lines that are nothing but
 links are menus and go.
 
+Names of classes and ids mark something else only by a part of their own: `has-sidebar` and `notice-article` do
+not. Where a page without article or main text has most of its text in elements marked by such names, or in
+forms, these are wrappers: it is read again, and of them only the controls go.
+
 Defined cases: a null or empty page, or one without text, gives an empty text; unclosed and stray tags
 are tolerated, and omitted end tags (p, li, dt, dd, option, table parts) are put where HTML puts them; a page without any text outside marked parts is empty; equal pages give equal texts.
 """
@@ -44,6 +48,9 @@ MARKS = frozenset(
     "subscribe subscription signup login share sharing social related recommended recommendations widget pagination pager "
     "toolbar masthead topbar skip disclaimer copyright".split()
 )
+#: Parts of a name that say it is about the content, and those that say of the next part that it is not meant.
+CONTENT_PARTS = frozenset("article content main body post entry story text wrapper page container layout".split())
+NEGATIONS = frozenset("has no with without not non".split())
 COMMENT_MARKS = frozenset("comment comments commentlist reply replies disqus discussion respond".split())
 #: Elements that can hold the content region.
 REGIONS = frozenset("article main section div td body html details blockquote".split())
@@ -71,49 +78,67 @@ SIBLINGS: dict[str, tuple[frozenset[str], frozenset[str]]] = {
 _IN_P = frozenset("body caption legend tbody td tfoot th thead tr".split())
 SIGMA = 1.5
 MOST = 0.7
+#: Reasons that a wrapper of the whole article may give by mistake.
+SOFT = ("mark", "form")
 #: So many lines in a row that are nothing but links make a menu.
 MENU = 3
 
 
+def marked(name: str) -> str:
+    """Why a class or id name marks something else than content, empty if it does not."""
+    parts = "".join(c if c.isalpha() else " " for c in name.lower()).split()
+    if COMMENT_MARKS.intersection(parts):
+        return "comments"
+    if CONTENT_PARTS.intersection(parts):
+        return ""
+    return "mark" if any(p in MARKS and (not i or parts[i - 1] not in NEGATIONS) for i, p in enumerate(parts)) else ""
+
+
 class LineReader(HTMLParser):
-    """Lines of a page: text, characters, characters in links, tags, and the path of regions they lie in."""
+    """Lines of a page: text, characters in links, tags, and the number of the region they lie in.
+
+    Regions are numbered as they begin, 0 is the page; `parents` has the region around each. With `wrappers`,
+    names and forms drop nothing.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, wrappers: bool = False) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.wrappers = wrappers
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.parents = [0]
+        self.region = 0
+        self.soft = 0  # characters dropped for a name or a form alone
         self.stack: list[tuple[str, int, str]] = []  # tag, region number or 0, why it is dropped
         self.places: dict[str, list[int]] = {}  # by tag, where in the stack it is open
         self.blocks: list[int] = []  # where in the stack a block is open
-        self.dropping = self.regions = self.links = 0
+        self.dropping = self.hard = self.links = 0
         self.wholes: set[int] = set()  # region numbers of articles and main elements
-        self.path: tuple[int, ...] = ()
         self.parts: list[str] = []
         self.linked: list[int] = []
         self.tags = 0
 
-    @staticmethod
-    def _why(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    def _why(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
+        if tag == "form":
+            return "" if self.wrappers else "form"
         if tag in DROPPED:
             return tag
         if tag in ("html", "body", "article", "main"):
             return ""
         for name, value in attrs:
             if name == "hidden":
-                return "mark"
+                return "hidden"
             if value and name == "role" and value.strip().lower() in DROPPED_ROLES:
-                return "mark"
+                return "role"
             if value and name in ("class", "id"):
-                words = {w for w in "".join(c if c.isalpha() else " " for c in value.lower()).split()}
-                if words & COMMENT_MARKS:
-                    return "comments"
-                if words & MARKS:
-                    return "mark"
+                why = {marked(x) for x in value.split()} - ({"", "mark"} if self.wrappers else {""})
+                if why:
+                    return min(why)  # comments before a mark
         return ""
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, sum(self.linked), self.tags, self.path))
+            self.lines.append((text, sum(self.linked), self.tags, self.region))
             self.tags = 0
         self.parts, self.linked = [], []
 
@@ -152,9 +177,9 @@ class LineReader(HTMLParser):
             return
         region = 0
         if tag in REGIONS and not self.dropping:
-            self.regions += 1
-            region = self.regions
-            self.path = (*self.path, region)
+            region = len(self.parents)
+            self.parents.append(self.region)
+            self.region = region
             if tag in WHOLE:
                 self.wholes.add(region)
         why = self._why(tag, attrs)
@@ -163,6 +188,7 @@ class LineReader(HTMLParser):
             self.blocks.append(len(self.stack))
         self.stack.append((tag, region, why))
         self.dropping += bool(why)
+        self.hard += bool(why) and why not in SOFT
         self.links += tag == "a"
 
     def _pop(self) -> str:
@@ -172,9 +198,10 @@ class LineReader(HTMLParser):
         if self.blocks and self.blocks[-1] == len(self.stack):
             self.blocks.pop()
         self.dropping -= bool(why)
+        self.hard -= bool(why) and why not in SOFT
         self.links -= tag == "a"
         if region:
-            self.path = self.path[:-1]
+            self.region = self.parents[region]
         return tag
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -193,7 +220,9 @@ class LineReader(HTMLParser):
         depth = places[-1]
         if self.blocks and depth < self.blocks[-1] and tag not in BLOCKS and tag != "html":
             # An inline element ends, the blocks opened in it do not.
-            self.dropping -= bool(self.stack[depth][2])
+            why = self.stack[depth][2]
+            self.dropping -= bool(why)
+            self.hard -= bool(why) and why not in SOFT
             self.links -= tag == "a"
             places.pop()
             self.stack[depth] = ("", 0, "")
@@ -205,6 +234,8 @@ class LineReader(HTMLParser):
             self.parts.append(data)
             if self.links:
                 self.linked.append(sum(map(len, data.split())))
+        elif not self.hard and not self.links:
+            self.soft += sum(map(len, data.split()))
 
     def close(self) -> None:
         super().close()
@@ -217,47 +248,65 @@ def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(np.pad(ratios, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
-def content_lines(lines: list[tuple[str, int, int, tuple[int, ...]]], wholes: set[int]) -> list[bool]:
-    """Which lines are content; `wholes`: the regions that are never kept in part."""
+def content_lines(lines: list[tuple[str, int, int, int]], wholes: set[int], parents: list[int]) -> list[bool]:
+    """Which lines are content; `wholes`: the regions that are never kept in part; `parents`: the region around each."""
     sizes = np.array([len(text) for text, _, _, _ in lines], float)
-    paths = [path for _, _, _, path in lines]
+    regions = [r for _, _, _, r in lines]
     own = sizes / np.array([max(1, tags) for _, _, tags, _ in lines])
     ratios = smooth(own)
     least = min(ratios.std(), ratios.max())
     dense = ratios >= least
     core = own >= least  # dense by itself, not by its neighbours
-    held: dict[tuple[int, ...], float] = {}
-    for path, size, is_dense in zip(paths, sizes, dense):
-        if is_dense:
-            for depth in range(len(path) + 1):
-                held[path[:depth]] = held.get(path[:depth], 0.0) + size
+
+    # A region's number is above its parent's and below those of all that follow it, so a subtree is a range.
+    count = len(parents)
+    depth, top, last, held = [0] * count, [0] * count, list(range(count)), [0.0] * count
+    for r in range(1, count):
+        depth[r] = depth[parents[r]] + 1
+        top[r] = top[parents[r]] or (r if r in wholes else 0)
+    for r, size, is_dense in zip(regions, sizes, dense):
+        held[r] += size * is_dense
+    for r in range(count - 1, 0, -1):
+        held[parents[r]] += held[r]
+        last[parents[r]] = max(last[parents[r]], last[r])
     most = MOST * sizes[dense].sum()
-    region = max((path for path, size in held.items() if size >= most), key=len, default=())
+    region = max((r for r in range(count) if held[r] >= most), key=depth.__getitem__, default=0)
 
-    outer = [next((r for r in path if r in wholes), 0) for path in paths]
-    if any(r in wholes for r in region):
-        found = {r for r, is_core in zip(outer, core) if is_core} | {next(r for r in region if r in wholes)}
-        return [r in found and r != 0 for r in outer]
+    if top[region]:
+        found = {top[r] for r, is_core in zip(regions, core) if is_core} | {top[region]}
+        return [top[r] in found and top[r] != 0 for r in regions]
 
     above = region  # common ancestor of the region and all dense text
-    for path, is_core in zip(paths, core):
-        if is_core:
-            above = above[: next((i for i, (a, b) in enumerate(zip(above, path)) if a != b), min(len(above), len(path)))]
-    depth = len(above)
-    inside = [path[:depth] == above for path in paths]
+    for r, is_core in zip(regions, core):
+        while is_core and not above <= r <= last[above]:
+            above = parents[above]
+    children = [r for r in range(1, count) if parents[r] == above]
+
+    def part(r: int) -> int:
+        return children[bisect_right(children, r) - 1]
+
+    inside = [above <= r <= last[above] for r in regions]
     places = [i for i, (x, y) in enumerate(zip(inside, dense | core)) if x and y]
-    first, last = (places[0], places[-1]) if places else (0, -1)
-    parts = {paths[i][: depth + 1] for i in places}
+    first, final = (places[0], places[-1]) if places else (0, -1)
+    parts = {part(regions[i]) for i in places if regions[i] != above}
     return [
-        path[: len(region)] == region or x and (first <= i <= last or len(path) == depth or path[: depth + 1] in parts)
-        for i, (path, x) in enumerate(zip(paths, inside))
+        region <= r <= last[region] or x and (first <= i <= final or r == above or part(r) in parts)
+        for i, (r, x) in enumerate(zip(regions, inside))
     ]
 
 
-def main_text(html: str | None) -> str:
-    reader = LineReader()
-    reader.feed(html or "")
+def _read(html: str, wrappers: bool) -> LineReader:
+    reader = LineReader(wrappers)
+    reader.feed(html)
     reader.close()
+    return reader
+
+
+def main_text(html: str | None) -> str:
+    reader = _read(html or "", wrappers=False)
+    kept = sum(len(text) for text, _, _, _ in reader.lines)
+    if not reader.wholes and reader.soft > MOST * (reader.soft + kept):
+        reader = _read(html or "", wrappers=True)
     links = [linked >= 0.9 * len("".join(text.split())) and linked > 0 for text, linked, _, _ in reader.lines]
     menu = [False] * len(links)
     at = 0
@@ -271,7 +320,7 @@ def main_text(html: str | None) -> str:
     lines = [line for line, drop in zip(reader.lines, menu) if not drop]
     if not lines:
         return ""
-    return " ".join(line[0] for line, kept in zip(lines, content_lines(lines, reader.wholes)) if kept)
+    return " ".join(line[0] for line, kept in zip(lines, content_lines(lines, reader.wholes, reader.parents)) if kept)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -279,5 +279,21 @@ def learn(docs: DataFrame) -> dict[str, list[str]]:
     return training_sample(docs.filter(~held_out(F.col("doc_id"))))
 
 
-def is_accepted(lang_pred: Column) -> Column:
-    return lang_pred != UNDETERMINED
+#: A prediction that is not likelier right than wrong is no decision.
+LEAST_SCORE = 0.5
+
+
+def is_accepted(lang_pred: Column, score: Column, wanted: Sequence[str] | None = None, least_score: float = LEAST_SCORE) -> Column:
+    """Whether a document's language is known well enough, and one of those wanted (None: all that were learned)."""
+    known = (lang_pred != UNDETERMINED) & (score > least_score)
+    return known if wanted is None else known & lang_pred.isin(list(wanted))
+
+
+def in_wanted_languages(
+    docs: DataFrame, wanted: Sequence[str] | None = None, least_score: float = LEAST_SCORE
+) -> DataFrame:
+    """The documents accepted, with their columns; `lang` holds the language found. Learns from the labels of `docs`."""
+    judged = identify(docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs, learn(docs))
+    kept = judged.filter(is_accepted(F.col("lang_pred"), F.col("score"), wanted, least_score))
+    kept = kept.withColumn("lang", F.col("lang_pred")).drop("lang_pred", "score")
+    return kept.withColumnRenamed("_score", "score").select(docs.columns)

@@ -21,7 +21,7 @@ URL_RULES = (
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
     ("com", "/fr/", "allow"), ("com", "/de/", "block"),
 )
-#: Hosts whose pages make up the list of unwanted URLs.
+#: Hosts whose pages are on the list of unwanted URLs, besides those labelled toxic.
 UNWANTED_HOST = "spam|pills|casino|malware|phish"
 
 
@@ -47,17 +47,16 @@ def _mask_key(number: int, window: str, places: list[int]) -> str:
 
 
 def _spaced_seed_sql() -> str:
-    span = decontaminate.SPAN
+    span, least = decontaminate.SPAN, decontaminate.LEAST_TOKENS
     keys = [_mask_key(m, "v", [i for i in range(span) if mask[i] == "1"]) for m, mask in enumerate(decontaminate.MASKS)]
-    tokens = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
-    short = f"range({decontaminate.LEAST_TOKENS}, {span})"
+    scripts = "".join(rf"\p{{{x}}}" for x in decontaminate.UNSPACED)
+    tokens = rf"regexp_extract_all(regexp_replace(lower(text), '([{scripts}])', ' \1 ', 'g'), '[\p{{L}}\p{{N}}]+')"
     return f"""
 with d as (select doc_id, {tokens} as t from documents),
 b as (select item_id, {tokens} as t from benchmark),
 item_windows as (
-  select v, {span} as n, min(item_id) as item_id from (
-    select item_id, t[p + 1:p + {span}] as v from (select item_id, t, unnest(range(len(t) - {span} + 1)) as p from b)) group by v
-  union all select t, len(t), min(item_id) from b where len(t) in (select unnest({short})) group by t),
+  select distinct item_id, t[p + 1:p + {span}] as v, {span} as n from (select item_id, t, unnest(range(len(t) - {span} + 1)) as p from b)
+  union select item_id, t, len(t) from b where len(t) between 1 and {span - 1}),
 item_keys as (
   select item_id, n, v, unnest(case when n = {span} then [{", ".join(keys)}] else [concat_ws(' ', -n, array_to_string(v, ' '))] end) as key
   from item_windows),
@@ -66,7 +65,8 @@ doc_keys as (
     select doc_id, p, t[p + 1:p + {span}] as v from (select doc_id, t, unnest(range(len(t) - {span} + 1)) as p from d))
   union all select doc_id, p, v, concat_ws(' ', -len(v), array_to_string(v, ' ')) from (
     select doc_id, p, t[p + 1:p + n] as v from (
-      select doc_id, t, n, unnest(range(len(t) - n + 1)) as p from d, (select distinct n from item_windows where n < {span})))),
+      select doc_id, t, n, unnest(range(len(t) - n + 1)) as p from d, (select distinct n from item_windows where n < {span}))
+    where n >= {least} or n = len(t))),
 hits as (
   select doc_id, p, item_id from doc_keys join item_keys i using (key)
   where list_sum(list_transform(range(1, n + 1), lambda x: (doc_keys.v[x] <> i.v[x])::int)) <= case when n = {span} then {decontaminate.MAX_SUBSTITUTIONS} else 0 end)
@@ -114,11 +114,22 @@ def op6_counterfactual_toxicity(spark, sf):
 @query
 def op7_bloom_url_filter(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
-    unwanted = pages.filter(url_filter.host_of(F.col("url")).rlike(UNWANTED_HOST))
-    listed = unwanted.select(url_filter.canonical_url(F.col("url")).alias("listed_url"))
+    listed = _listed_urls(spark, sf).select(url_filter.canonical_url(F.col("listed")).alias("listed_url"))
     return url_filter.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def _listed_urls(spark, sf):
+    """(listed): a list of unwanted URLs as others spell them: of pages labelled toxic, and of hosts with a bad name."""
+    pages, labels = table(spark, sf, "pages"), table(spark, sf, "labels")
+    toxic = labels.filter("toxic = 1").select(F.col("doc_id").alias("page_id"))
+    unwanted = pages.join(toxic, "page_id", "left_semi").select("url").unionByName(
+        pages.filter(url_filter.host_of(F.col("url")).rlike(UNWANTED_HOST)).select("url")
+    )
+    key = url_filter.canonical_url(F.col("url"))
+    mark = F.when(F.contains(key, F.lit("?")), "&utm_source=list").otherwise("/?utm_source=list")
+    return unwanted.select(F.concat(F.lit("HTTP://WWW."), key, mark, F.lit("#listed")).alias("listed"))
+
+
 _REST = "coalesce(case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end, '')"
 _HOST = rf"translate(regexp_extract({_REST}, '^([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = rf"regexp_extract({_REST}, '^[^/?#]*([^?#]*)', 1, 's')"
@@ -144,7 +155,7 @@ with parsed as (
 )
 select page_id, host, path, rule,
   coalesce(says, case when host <> '' and key in
-    (select key from keyed where regexp_matches(host, '{UNWANTED_HOST}')) then 'block' else 'allow' end) as verdict
+    (select key from keyed where regexp_matches(host, '{UNWANTED_HOST}') or page_id in (select doc_id from labels where toxic = 1)) then 'block' else 'allow' end) as verdict
 from fitting where nth = 1
 """
 

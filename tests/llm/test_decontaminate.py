@@ -83,11 +83,33 @@ def test_punctuation_and_case_are_ignored_and_clean_documents_left(spark):
     assert [(r.doc_id, r.item_ids) for r in got] == [(1, [9])]
 
 
+def test_all_items_that_hold_a_window_are_named(spark):
+    passage, own = words(70, 15), words(71, 30)
+    items = [(1, " ".join(passage)), (2, " ".join(passage)), (3, " ".join(own[:9] + passage)), (4, " ".join(own)), (None, " ".join(passage))]
+    got = decontaminate.overlaps(documents(spark, [(1, " ".join(passage)), (2, " ".join(own))]), bench(spark, items)).collect()
+    assert {r.doc_id: (r.item_ids, r.n_windows) for r in got} == {1: ([1, 2, 3], 3), 2: ([4], 18)}
+
+
+def test_items_without_spaces(spark):
+    item = "今天天气很好我们一起去公园散步"
+    items = bench(spark, [(1, item), (2, "สวัสดีชาวโลกยินดีต้อนรับ")])
+    docs = [(1, "x" + item), (2, "他说" + item.replace("公", "花") + "吧"), (3, item[:8] + "很" + item[9:11]), (4, "ยินดี"), (5, "กสวัสดีชาวโลกยินดีต้อนรับ")]
+    got = decontaminate.overlaps(documents(spark, docs), items).collect()
+    assert {r.doc_id: r.item_ids for r in got} == {1: [1], 2: [1], 5: [2]}
+
+
+def test_very_short_items_match_whole_documents(spark):
+    items = bench(spark, [(1, "two words"), (2, "one"), (3, "!!")])
+    docs = [(1, "Two, words."), (2, "these two words"), (3, "one"), (4, "one two"), (5, ""), (6, "!!")]
+    got = decontaminate.overlaps(documents(spark, docs), items).collect()
+    assert {r.doc_id: (r.item_ids, r.n_windows) for r in got} == {1: ([1], 1), 3: ([2], 1)}
+
+
 def test_short_items_match_as_a_whole(spark):
     short, tiny = words(8, 9), words(9, 7)
     items = bench(spark, [(1, " ".join(short)), (2, " ".join(tiny)), (3, None), (4, "")])
-    docs = [(1, " ".join(["x", *short, "y"])), (2, " ".join(short)), (3, " ".join(short[:8])), (4, " ".join(tiny)), (5, " ".join([*short[:4], "z", *short[5:]]))]
-    assert sorted(r.doc_id for r in decontaminate.overlaps(documents(spark, docs), items).collect()) == [1, 2]
+    docs = [(1, " ".join(["x", *short, "y"])), (2, " ".join(short)), (3, " ".join(short[:8])), (4, " ".join(tiny)), (6, " ".join(["x", *tiny])), (5, " ".join([*short[:4], "z", *short[5:]]))]
+    assert sorted(r.doc_id for r in decontaminate.overlaps(documents(spark, docs), items).collect()) == [1, 2, 4]
 
 
 def test_edge_rows(spark):
@@ -96,7 +118,7 @@ def test_edge_rows(spark):
     df = documents(spark, docs, "1 as place", "2 as seed", "3 as t0")
     items = bench(spark, [(7, item), (3, item), (None, "a b c"), (8, item.upper())])
     got = decontaminate.overlaps(df, items).collect()
-    assert sorted((r.doc_id or 0, tuple(r.item_ids)) for r in got) == [(0, (3,)), (3, (3,)), (5, (3,))]
+    assert sorted((r.doc_id or 0, tuple(r.item_ids)) for r in got) == [(0, (3, 7, 8)), (3, (3, 7, 8)), (5, (3, 7, 8))]
     left = decontaminate.remove(df, items)
     assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [1, 2, 4]
     assert decontaminate.remove(df, items.filter(F.lit(False))).count() == len(docs)

@@ -1,6 +1,9 @@
 import time
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from loomdex.llm import html_text
 
@@ -71,7 +74,7 @@ def test_an_article_ends_after_many_open_elements(open_tags):
     reader = html_text.LineReader()
     reader.feed(f"<body><article>{open_tags}</article>after</body>")
     reader.close()
-    assert reader.lines[-1][0] == "after" and len(reader.lines[-1][3]) == 1 and reader.lines[0][3] != reader.lines[-1][3]
+    assert reader.lines[-1][0] == "after" and reader.parents[reader.lines[-1][3]] == 0 and reader.lines[0][3] != reader.lines[-1][3]
 
 
 def test_lists_and_cells_nest_and_inline_ends_leave_blocks_open():
@@ -96,3 +99,73 @@ def test_edge_rows(spark):
     assert texts[1] == texts[2] == texts[3] == "" and texts[None] == "x" and texts[6] == "deep"
     assert texts[4] == " ".join(f"word {i}" for i in range(20_000))
     assert got.count() == len(rows) and html_text.extract(df.limit(0)).count() == 0
+
+
+def slow_content_lines(lines, wholes, parents):
+    """The same choice over whole paths of regions, copied and compared as they are."""
+    def path(r):
+        return (*path(parents[r]), r) if r else ()
+
+    sizes = np.array([len(t) for t, _, _, _ in lines], float)
+    own = sizes / np.array([max(1, n) for _, _, n, _ in lines])
+    ratios = html_text.smooth(own)
+    least = min(ratios.std(), ratios.max())
+    dense, core = ratios >= least, own >= least
+    paths = [path(r) for _, _, _, r in lines]
+    every = {p[:i] for p in paths for i in range(len(p) + 1)}
+    held = {q: sum(s for p, s, d in zip(paths, sizes, dense) if d and p[: len(q)] == q) for q in every}
+    region = max((q for q in every if held[q] >= html_text.MOST * sizes[dense].sum()), key=len, default=())
+    outer = [next((r for r in p if r in wholes), 0) for p in paths]
+    if any(r in wholes for r in region):
+        found = {o for o, c in zip(outer, core) if c} | {next(r for r in region if r in wholes)}
+        return [o in found and o != 0 for o in outer]
+    above = region
+    while not all(p[: len(above)] == above for p, c in zip(paths, core) if c):
+        above = above[:-1]
+    n = len(above)
+    held_here = [i for i, p in enumerate(paths) if p[:n] == above and (dense[i] or core[i])]
+    parts = {paths[i][: n + 1] for i in held_here}
+    return [
+        p[: len(region)] == region
+        or p[:n] == above and (len(p) == n or p[: n + 1] in parts or bool(held_here) and held_here[0] <= i <= held_here[-1])
+        for i, p in enumerate(paths)
+    ]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["<div>", "</div>", "<section>", "</section>", "<article>", "</article>", "<p>", "<br>", "<b>x</b>", "few words ", LONG, "<main>", "</main>", "<td>"]), max_size=60))
+def test_content_is_chosen_as_over_whole_paths(parts):
+    reader = html_text._read("".join(parts), wrappers=False)
+    if reader.lines:
+        assert html_text.content_lines(reader.lines, reader.wholes, reader.parents) == slow_content_lines(reader.lines, reader.wholes, reader.parents)
+
+
+def test_text_at_every_level_takes_linear_time():
+    spent = []
+    for n in (2_000, 16_000):
+        began = time.process_time()
+        text = html_text.main_text("<div>word here " * n)
+        spent.append(time.process_time() - began)
+        assert text == " ".join(["word here"] * n)
+    assert spent[1] < 30 * max(spent[0], 0.02)
+
+
+BODY = "".join(f"<p>{LONG}</p>" for _ in range(5))
+ALL = " ".join([LONG] * 5)
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='content has-sidebar'>{BODY}</div></body>",
+    f"<body><div class='legal-notice-article'>{BODY}</div></body>",
+    f"<body><form id=aspnetForm action=/><input><select><option>pick one</option></select><div>{BODY}</div><button>Send</button></form></body>",
+    f"<body class=no-sidebar><div class='widget'><div class=sidebar></div>{BODY}</div></body>",
+    f"<body><nav><a>menu</a></nav><div id=share-page>{BODY}</div><div class=sidebar>A note at the side</div></body>",
+])
+def test_wrappers_with_a_marked_name_keep_the_article(page):
+    assert html_text.main_text(page) == ALL
+
+
+def test_marked_parts_beside_an_article_still_go():
+    note = f"<div class=cookie-notice>{BODY}</div><form>{BODY}</form>"
+    assert html_text.main_text(f"<body>{note}{ARTICLE}</body>") == WANT
+    assert html_text.main_text(f"<body><div>{BODY}</div><div class='notice'>{LONG}</div><div class=comments>{BODY}{BODY}{BODY}</div></body>") == ALL

@@ -82,3 +82,43 @@ def test_multikey_sort_orders_and_measures(strings):
     assert got == sorted(strings)
     for a, b, n in zip(got, got[1:], common[1:]):
         assert n == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def windows_hashed(bodies, length):
+    """Which starts of each body hold a `length`-byte string that starts elsewhere too; by two polynomial hashes modulo 2^64."""
+    flat = np.frombuffer(b"".join(bodies), np.uint8).astype(np.uint64) + np.uint64(1)
+    keys = []
+    for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+        inverse = pow(base, -1, 1 << 64)
+        steps = np.full(len(flat) + 1, base, np.uint64)
+        back = np.full(len(flat) + 1, inverse, np.uint64)
+        steps[0] = back[0] = 1
+        powers, unpowers = np.cumprod(steps), np.cumprod(back)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(flat * powers[:-1])])
+        at = np.arange(max(0, len(flat) - length + 1))
+        keys.append((sums[at + length] - sums[at]) * unpowers[at])
+    ends = np.cumsum([len(b) for b in bodies])
+    owner = np.searchsorted(ends, np.arange(len(keys[0])), side="right")
+    within = np.arange(len(keys[0])) + length <= ends[owner]
+    places = np.flatnonzero(within)
+    _, which, counts = np.unique(np.stack([keys[0][places], keys[1][places]], axis=1), axis=0, return_inverse=True, return_counts=True)
+    return ends, places[counts[which.ravel()] > 1]
+
+
+def test_whole_table_matches_brute_force(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = table.select("doc_id", "text").collect()
+    bodies = [(r.text or "").encode() for r in rows]
+    ends, repeated = windows_hashed(bodies, 400)
+    mark = np.zeros(ends[-1] + 1, np.int64)
+    np.add.at(mark, repeated, 1)
+    np.add.at(mark, repeated + 400, -1)
+    covered = np.cumsum(mark)[:-1] > 0
+    expected = Counter()
+    for r, body, end in zip(rows, bodies, ends):
+        hit = covered[end - len(body):end]
+        runs = int((hit & ~np.concatenate([[False], hit[:-1]])).sum())
+        kept = np.frombuffer(body, np.uint8)[~hit].tobytes()
+        expected[(r.doc_id, len(body), int(hit.sum()), runs, hashlib.sha256(kept).hexdigest())] += 1
+    got = result(rb.remove_repeated(table))
+    assert got == expected and sum(n for row, n in got.items() if row[2]) > 100
