@@ -19,10 +19,16 @@ from loomdex.llm.queries import word_bpe_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Languages that stay; None for all that the labels name.
+WANTED: tuple[str, ...] | None = None
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that could be determined; those without a letter go."""
-    judged = langid.identify(docs, langid.learn(docs))
-    return judged.filter(langid.is_accepted(F.col("lang_pred"))).select(docs.columns)
+    """Documents in a wanted language that could be told, with that language as `lang`.
+
+    Those without a letter go, and those whose best language is not likelier right than wrong.
+    """
+    return langid.in_wanted_languages(docs, WANTED)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +61,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack),
 ]
 
-#: Automata, fingerprints, suffix ranks and token merges have no SQL form; tests run brute-force twins.
+#: Automata, fingerprints, suffix ranks and token merges have no SQL form; a test runs the stages next to a plain version.
 ORACLE_SQL = None
 
 
