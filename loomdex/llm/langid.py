@@ -279,8 +279,8 @@ def learn(docs: DataFrame) -> dict[str, list[str]]:
     return training_sample(docs.filter(~held_out(F.col("doc_id"))))
 
 
-#: A prediction that is not likelier right than wrong is no decision.
-LEAST_SCORE = 0.5
+#: A prediction below this is no decision: another language is nearly as likely.
+LEAST_SCORE = 0.6
 
 
 def is_accepted(lang_pred: Column, score: Column, wanted: Sequence[str] | None = None, least_score: float = LEAST_SCORE) -> Column:
