@@ -26,7 +26,7 @@ WANTED: tuple[str, ...] | None = None
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a wanted language that could be told, with that language as `lang`.
 
-    Those without a letter go, and those whose best language is not likelier right than wrong.
+    Those without a letter go, and those of which another language is nearly as likely.
     """
     return langid.in_wanted_languages(docs, WANTED)
 
