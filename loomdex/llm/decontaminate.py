@@ -45,15 +45,19 @@ MAX_SUBSTITUTIONS = 2
 LEAST_TOKENS = 8
 
 
-#: Scripts written without spaces.
-UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
-_UNSPACED = "[" + "".join(rf"\p{{Is{x}}}" for x in UNSPACED) + "]"
+#: First and last letters of the blocks of scripts written without spaces: Thai and Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF),
+)
+_UNSPACED = "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in UNSPACED) + "]"
+#: One range to look for first: no text without such a letter holds any of the others.
+_FAR = rf"[^\x00-\x{{{UNSPACED[0][0] - 1:X}}}]"
 
 
 def tokens_of(text: Column) -> Column:
     """Lower-case runs of letters and digits; letters of scripts without spaces one by one."""
     lower = F.lower(F.coalesce(text, F.lit("")))
-    apart = F.when(lower.rlike(_UNSPACED), F.regexp_replace(lower, f"({_UNSPACED})", " $1 ")).otherwise(lower)
+    apart = F.when(lower.rlike(_FAR), F.regexp_replace(lower, f"({_UNSPACED})", " $1 ")).otherwise(lower)
     return F.array_remove(F.split(apart, r"[^\p{L}\p{N}]+"), "")
 
 

@@ -49,7 +49,7 @@ def _mask_key(number: int, window: str, places: list[int]) -> str:
 def _spaced_seed_sql() -> str:
     span, least = decontaminate.SPAN, decontaminate.LEAST_TOKENS
     keys = [_mask_key(m, "v", [i for i in range(span) if mask[i] == "1"]) for m, mask in enumerate(decontaminate.MASKS)]
-    scripts = "".join(rf"\p{{{x}}}" for x in decontaminate.UNSPACED)
+    scripts = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in decontaminate.UNSPACED)
     tokens = rf"regexp_extract_all(regexp_replace(lower(text), '([{scripts}])', ' \1 ', 'g'), '[\p{{L}}\p{{N}}]+')"
     return f"""
 with d as (select doc_id, {tokens} as t from documents),
