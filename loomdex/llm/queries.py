@@ -11,7 +11,7 @@ from loomdex.llm import (
     decontaminate, exact_dedup, html_text, langid, line_runs, merkle, packing, permutation_index, repeated_bytes, simhash, toxicity,
     url_filter, whitening,
 )
-from loomdex.llm.common import held_out, table
+from loomdex.llm.common import held_out, keep, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,17 +114,15 @@ def op6_counterfactual_toxicity(spark, sf):
 @query
 def op7_bloom_url_filter(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
-    listed = _listed_urls(spark, sf).select(url_filter.canonical_url(F.col("listed")).alias("listed_url"))
+    listed = keep(_listed_urls(spark, sf).select(url_filter.canonical_url(F.col("listed")).alias("listed_url")))  # read three times
     return url_filter.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def _listed_urls(spark, sf):
     """(listed): a list of unwanted URLs as others spell them: of pages labelled toxic, and of hosts with a bad name."""
-    pages, labels = table(spark, sf, "pages"), table(spark, sf, "labels")
-    toxic = labels.filter("toxic = 1").select(F.col("doc_id").alias("page_id"))
-    unwanted = pages.join(toxic, "page_id", "left_semi").select("url").unionByName(
-        pages.filter(url_filter.host_of(F.col("url")).rlike(UNWANTED_HOST)).select("url")
-    )
+    toxic = table(spark, sf, "labels").filter("toxic = 1").select(F.col("doc_id").alias("page_id"), F.lit(True).alias("toxic")).distinct()
+    marked = table(spark, sf, "pages").select("page_id", "url").join(toxic, "page_id", "left")
+    unwanted = marked.filter(F.col("toxic") | url_filter.host_of(F.col("url")).rlike(UNWANTED_HOST))
     key = url_filter.canonical_url(F.col("url"))
     mark = F.when(F.contains(key, F.lit("?")), "&utm_source=list").otherwise("/?utm_source=list")
     return unwanted.select(F.concat(F.lit("HTTP://WWW."), key, mark, F.lit("#listed")).alias("listed"))
