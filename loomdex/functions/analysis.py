@@ -10,9 +10,24 @@ from loomdex.functions.arrays import spans
 from loomdex.functions.stemmer import stem_ru
 from loomdex.functions.text import fold_case, words
 
-# Letters, marks, digits and underscore; a single inner apostrophe, dot, colon or middle dot joins.
-# The possessive loop matches very long joined runs without recursion.
-TOKEN = r"[\p{L}\p{M}\p{N}_]++(?:['’.:·][\p{L}\p{M}\p{N}_]++)*+"
+# Word rules for scripts written with and without blanks, after the published Unicode text segmentation.
+# Ranges whose letters do not form words by adjacency: Thai and Lao, Myanmar, Khmer, kana, ideographs.
+UNSPACED = (
+    r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{30FF}\x{31F0}-\x{31FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{20000}-\x{3FFFF}"
+)
+KATAKANA = r"\x{30A1}-\x{30FA}\x{30FC}-\x{30FF}\x{31F0}-\x{31FF}\x{FF66}-\x{FF9F}"
+LETTER = rf"[\p{{L}}\p{{M}}&&[^{UNSPACED}]]"
+# A soft hyphen or a joiner stays inside the word it is in.
+LETTERS = rf"{LETTER}[\p{{L}}\p{{M}}\x{{AD}}\x{{200C}}\x{{200D}}&&[^{UNSPACED}]]*+"
+# One of these between two letters, or between two digits, does not end the word.
+BETWEEN_LETTERS = "['’‘.:·․‧﹒﹕＇．：]"
+BETWEEN_DIGITS = "[,;'’‘.․،٬﹐﹒﹔＇，．；]"
+# The loops are possessive: very long runs are matched without recursion.
+WORD = rf"(?:{LETTERS}(?:{BETWEEN_LETTERS}{LETTERS})*+|\p{{N}}++(?:{BETWEEN_DIGITS}\p{{N}}++)*+|\p{{Pc}}++)++"
+KATAKANA_RUN = rf"[{KATAKANA}][{KATAKANA}\x{{3099}}\x{{309A}}]*+"
+SINGLE = rf"[\p{{L}}&&[{UNSPACED}]]\p{{M}}*+"
+TOKEN = rf"{WORD}|{KATAKANA_RUN}|{SINGLE}"
 
 
 def tokens(text: Column) -> Column:

@@ -83,6 +83,10 @@ REMNANTS = [
     " У этого термина существуют и другие значения, см. ", " Запрос «x» перенаправляется сюда, см. ",
     " См. также y. Эта статья о z. ",
 ]
+# Letters to scripts without blanks, digits and the marks that may stand inside a word.
+SMALL_LATIN = "abcdefghijklmnopqrstuvwxyz"
+MIXED = "あb中1e文グh3ーl한カn語o,’r.กี:;ญ々"
+
 TAILS = [". ", "\n", " "]
 # Two of three letters of a word stay, so most words are misspelt.
 MISSPELL_PATTERN = r"(\p{L}{2})\p{L}(\p{L}{2})"
@@ -109,6 +113,14 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
     return read_text_table(spark, sf, "pages", "page_id")
 
 
+def mixed_scripts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose words mix scripts with and without blanks, numbers with commas and inner marks."""
+    tail = "' ' || cast(doc_id as string) || ',' || cast(octet_length(text) as string) || ';5.x 12:30 v1.2 ' || source"
+    return documents(spark, sf).select(
+        "doc_id", F.concat(F.translate(F.col("text"), SMALL_LATIN, MIXED), F.expr(tail)).alias("text")
+    )
+
+
 def to_cyrillic(column: str):
     return F.translate(F.col(column), LATIN, CYRILLIC)
 

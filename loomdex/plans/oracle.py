@@ -23,7 +23,20 @@ BLOCKS = (
     "header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul"
 ).split()
 BLOCK_TAG = r"</?(?:" + "|".join(BLOCKS) + r")(?:\s[^>]*|/)?>"
-TOKEN = r"[\p{L}\p{M}\p{N}_]+(?:['’.:·][\p{L}\p{M}\p{N}_]+)*"
+# Words by code points: letters and marks outside the scripts written without blanks, numbers with inner
+# commas, katakana runs, and every other letter of those scripts alone.
+ALONE = "฀-໿က-႟ក-៿々-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
+KANA = "ァ-ヺー-ヿㇰ-ㇿｦ-ﾟ"
+SPELT = rf"(?:[^\P{{L}}{ALONE}]|[^\P{{M}}{ALONE}])"
+SPELT_RUN = rf"{SPELT}(?:{SPELT}|[\x{{AD}}\x{{200C}}\x{{200D}}])*"
+ALONE_LETTER = r"(?:" + "|".join(rf"[{r}]" for r in (
+    "\u0e01-\u0e30\u0e32\u0e33\u0e40-\u0e46", "\u3005\u3006\u3031-\u3035\u303b\u303c", "\u3041-\u3096\u309d-\u309f", "\u3400-\u4dbf\u4e00-\u9fff",
+    "\U00020000-\U0002a6df",
+)) + ")"
+TOKEN = (
+    rf"(?:{SPELT_RUN}(?:['’‘.:·․‧﹒﹕＇．：]{SPELT_RUN})*|\p{{N}}+(?:[,;'’‘.․،٬﹐﹒﹔＇，．；]\p{{N}}+)*|\p{{Pc}}+)+"
+    rf"|[{KANA}][{KANA}\x{{3099}}\x{{309A}}]*|{ALONE_LETTER}\p{{M}}*"
+)
 
 
 def q(s: str) -> str:
@@ -502,12 +515,19 @@ def stems_sql(source: str, out: str = "stems") -> str:
   union all select token, token from {source} where not regexp_matches(token, '[а-яё]'))"""
 
 
+def mixed_scripts() -> str:
+    return f"translate(text, {q(inputs.SMALL_LATIN)}, {q(inputs.MIXED)}) || ' ' || doc_id || ',' || strlen(text) || ';5.x 12:30 v1.2 ' || source"
+
+
 def token_rows(source: str, key: str, text: str) -> str:
     return f"select {key}, unnest(regexp_extract_all({fold(text)}, {q(TOKEN)})) as token from {source}"
 
 
 ORACLE["tokenize"] = f"""
 with {spans_sql('documents', 'doc_id', 'text', 'sp')} select doc_id, pos, s as start, e as "end", {fold('piece')} as token from sp"""
+ORACLE["word_rules"] = f"""
+with mixed as (select doc_id, {mixed_scripts()} as text from documents), {spans_sql('mixed', 'doc_id', 'text', 'sp')}
+select doc_id, pos, s as start, e as "end", {fold('piece')} as token from sp"""
 ORACLE["stop_filter"] = f"""
 select doc_id, array_to_string(list_filter({words(cyr('text'))}, lambda w: {not_query_stop('w')}), ' ') as cyrillic,
   array_to_string(list_filter({words('text')}, lambda w: {not_query_stop('w')}), ' ') as latin from documents"""

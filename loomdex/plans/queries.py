@@ -337,6 +337,12 @@ def tokenize(spark, sf):
     return rows.select("doc_id", *[F.col(f"s.{c}").cast("bigint").alias(c) for c in ("pos", "start", "end")], "s.token")
 
 
+@query
+def word_rules(spark, sf):
+    rows = inputs.mixed_scripts(spark, sf).select("doc_id", F.explode(analysis.token_spans(F.col("text"))).alias("s"))
+    return rows.select("doc_id", *[F.col(f"s.{c}").cast("bigint").alias(c) for c in ("pos", "start", "end")], "s.token")
+
+
 @query
 def stop_filter(spark, sf):
     words = F.filter(text.words(inputs.to_cyrillic("text")), lambda w: ~analysis.is_query_stop(w))

@@ -29,6 +29,27 @@ def test_token_offsets_are_bytes(evaluate):
     assert evaluate(analysis.token_spans(T), t=" ,. ") == []
 
 
+@pytest.mark.parametrize("given, expected", [
+    ("3,14 1;2 12:30 5. 1,a", ["3,14", "1;2", "12", "30", "5", "1", "a"]),
+    ("v1.2 a.b a.1 1.a a_b.c a_.b _", ["v1.2", "a.b", "a", "1", "1", "a", "a_b.c", "a_", "b", "_"]),
+    ("中文字 二〇〇一 3个", ["中", "文", "字", "二", "〇〇", "一", "3", "个"]),
+    ("カタカナー ひらが データ2", ["カタカナー", "ひ", "ら", "が", "データ", "2"]),
+    ("한국어 ไทย กี่", ["한국어", "ไ", "ท", "ย", "กี่"]),
+    ("сло\u00adво a\u200db \u00ad x", ["сло\u00adво", "a\u200db", "x"]),
+    ("it's ’tis o’clock' l··l й", ["it's", "tis", "o’clock", "l", "l", "й"]),
+    ("😀 — ，。", []),
+])
+def test_word_rules(evaluate, given, expected):
+    assert evaluate(analysis.tokens(T), t=given) == expected
+    spans = evaluate(analysis.token_spans(T), t=given)
+    assert [given.encode()[s.start:s.end].decode().lower() for s in spans] == expected
+
+
+def test_long_words_are_matched_without_recursion(evaluate):
+    for unit in ("a.", "1,", "a1", "中", "a\u0301_"):
+        assert sum(len(t) for t in evaluate(analysis.tokens(T), t=unit * 200_000)) >= 200_000
+
+
 def test_stemmer(spark):
     # Pairs from the published vocabulary of the algorithm.
     pairs = {
