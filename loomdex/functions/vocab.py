@@ -120,3 +120,7 @@ PDF_ERROR_TEXT = "PDF read error"
 EMPTY_TITLE = "document"
 MIN_PAGE_BYTES = 200
 MIN_PARAGRAPH_BYTES = 100
+
+# Progress messages of a crawl.
+CRAWL_STARTED = "Краулинг запущен..."
+CRAWL_FINISHED = "Краулинг завершён. Проиндексировано: %d страниц."

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from loomdex.functions import vocab
 from loomdex.functions.text import words
+from loomdex.functions.urls import host
 from loomdex.session import fresh_dir
 from loomdex.sources.readers import read_table, read_text_table
 from loomdex.sources.store import Index, open_index, update_index, write_index
@@ -321,6 +322,18 @@ def page_graph(spark: SparkSession, sf: str) -> DataFrame:
     return numbered.select("url", F.array(*targets).alias("links"))
 
 
+def crawl_events(spark: SparkSession, sf: str) -> DataFrame:
+    """(host, crawl, kind): every page is kept by its host's first crawl, a third also by a second one; some crawls finish."""
+    events = (
+        "array(named_struct('crawl', 1L, 'kind', 'start'), named_struct('crawl', 1L, 'kind', 'page'), named_struct('crawl', 1L, 'kind', "
+        "if(page_id % 50 = 1, 'finish', 'start')), named_struct('crawl', if(page_id % 4 = 1, 2L, 1L), 'kind', 'start'), "
+        "named_struct('crawl', 2L, 'kind', if(page_id % 3 = 0, 'page', 'none')), named_struct('crawl', if(page_id % 3 = 0, 2L, 1L), "
+        "'kind', if(page_id % 40 = 0, 'finish', 'start')))"
+    )
+    rows = read_table(spark, sf, "pages").select("page_id", host(F.col("url")).alias("host"))
+    return rows.select("host", F.explode(F.expr(events)).alias("e")).select("host", "e.*").filter("kind <> 'none'")
+
+
 def uploads(spark: SparkSession, sf: str) -> DataFrame:
     """(path, length, content): page sources as uploaded files of many kinds."""
     name = pick(["Doc.html", "Scan.PDF", "scan.pdf", "Old.HTM", "notes.txt", "a\tb.html", ".htm", "plain", "x.pdf"], "page_id")

@@ -235,6 +235,15 @@ ORACLE["skip_indexed"] = f"with {KNOWN} select page_id, url from pages where url
 ORACLE["is_url_indexed"] = f"with {KNOWN} select page_id, url from pages where url in (select doc_key from known)"
 ORACLE["max_pages"] = f"select url, 1 + page_id % 4 as depth from pages order by depth, url limit {queries.PAGE_CAP}"
 ORACLE["crawl_progress"] = f"select {host('url')} as host, count(*) as pages_found from pages group by 1"
+ORACLE["crawl_status"] = f"""
+with p as (select page_id, {host('url')} as host from pages),
+second as (select host, count(*) filter (where page_id % 3 = 0) as n, bool_or(page_id % 120 = 0) as done from p
+  where page_id % 4 = 1 or page_id % 3 = 0 group by host),
+first as (select host, count(*) as n, bool_or(page_id % 50 = 1 or (page_id % 40 = 0 and page_id % 3 <> 0)) as done from p group by host),
+newest as (select f.host, case when s.host is null then 1 else 2 end::bigint as crawl, case when s.host is null then f.n else s.n end as n,
+  case when s.host is null then f.done else s.done end as done from first f left join second s on f.host = s.host)
+select host, crawl, not done as running, n as pages_found,
+  case when done then {q(vocab.CRAWL_FINISHED.split('%d')[0])} || n || {q(vocab.CRAWL_FINISHED.split('%d')[1])} else {q(vocab.CRAWL_STARTED)} end as message from newest"""
 
 # --- configuration, stop words, upserts, uploads -------------------------------------------
 

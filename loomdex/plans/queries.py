@@ -106,6 +106,15 @@ def crawl_progress(spark, sf):
     return streaming.current_progress(spark, target)
 
 
+@query
+def crawl_status(spark, sf):
+    source, target = fresh_dir(spark, "events"), fresh_dir(spark, "status")
+    inputs.crawl_events(spark, sf).write.parquet(source)
+    events = streaming.event_stream(spark, source)
+    streaming.start_crawl_status(events, target, fresh_dir(spark, "checkpoint")).awaitTermination()
+    return streaming.current_crawl_status(spark, target)
+
+
 # --- URL predicates ------------------------------------------------------------------------
 
 

@@ -199,6 +199,27 @@ def test_stream_equals_batch(spark):
     assert {r.host: r.pages_found for r in streaming.current_progress(spark, counts).collect()} == {"a.org": 4, "b.org": 1}
 
 
+def test_crawl_status_starts_again_with_a_new_crawl(spark, tmp_path):
+    source, target, checkpoint = str(tmp_path / "events"), fresh_dir(spark, "status"), fresh_dir(spark, "checkpoint")
+
+    def send(*events):
+        spark.createDataFrame(events, streaming.EVENT_SCHEMA).write.mode("append").parquet(source)
+        streaming.start_crawl_status(streaming.event_stream(spark, source, 1), target, checkpoint).awaitTermination()
+        rows = streaming.current_crawl_status(spark, target).collect()
+        return {r.host: (r.crawl, r.running, r.pages_found, r.message) for r in rows}
+
+    started, finished = vocab.CRAWL_STARTED, vocab.CRAWL_FINISHED
+    got = send(("a", 1, "start"), ("a", 1, "page"), ("b", 7, "page"), ("a", 1, "page"), (None, 1, "start"), ("c", None, "page"))
+    assert got == {"a": (1, True, 2, started), "b": (7, True, 1, started), None: (1, True, 0, started)}
+    assert send(("a", 1, "page"), ("a", 1, "finish"))["a"] == (1, False, 3, finished % 3)
+    assert send(("a", 2, "start"))["a"] == (2, True, 0, started)
+    assert send(("a", 1, "page"), ("a", 2, "page"), ("a", 3, None))["a"] == (3, True, 0, started)
+    batch = streaming.newest_crawls(streaming.crawl_states(spark.read.schema(streaming.EVENT_SCHEMA).parquet(source)))
+    assert sorted(map(str, batch.collect())) == sorted(map(str, streaming.current_crawl_status(spark, target).collect()))
+    nothing = spark.createDataFrame([], streaming.EVENT_SCHEMA)
+    assert streaming.newest_crawls(streaming.crawl_states(nothing)).count() == 0
+
+
 def test_boilerplate_costs_its_own_line_only(spark):
     page = "<body><p>Jump to navigation</p><p>FIRST paragraph. It has two sentences.</p><p>Second para\n ends. " + "Third one. " * 30 + "</p></body>"
     short = "<body><div>From Wikipedia, x.</div><div>One <b>two</b></div>three<ul><li>four</ul></body>"
