@@ -16,6 +16,7 @@ from loomdex.functions.urls import host
 from loomdex.session import fresh_dir
 from loomdex.sources.readers import read_table, read_text_table
 from loomdex.sources.store import Index, open_index, update_index, write_index
+from loomdex.sources.uploads import write_files
 
 # Latin to Cyrillic, chosen so that common word ends become Russian endings.
 LATIN = "abcdefghijklmnopqrstuvwxyzéèêçäöüóáíñABCDEFGHIJKLMNOPQRSTUVWXYZÉÈÊÇÄÖÜÓÁÍÑ"
@@ -349,6 +350,20 @@ def uploads(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+FILE_NAMES = ["Doc.html", "Scan.PDF", "scan.pdf", "Old.HTM", "notes.txt", "a b.html", ".htm", "plain", "x.pdf"]
+
+
+def upload_folder(spark: SparkSession, sf: str) -> str:
+    """A folder of real files, one for each page, some of them empty."""
+    folder = fresh_dir(spark, "in")
+    body = "case when page_id % 17 = 3 then '' when page_id % 9 in (1, 2) then '%PDF-1.7\\n' || html else html end"
+    rows = pages(spark, sf).selectExpr(
+        f"'/' || cast(page_id as string) || '/' || {pick(FILE_NAMES, 'page_id')} as path", f"cast({body} as binary) as content"
+    )
+    write_files(rows, folder).write.parquet(fresh_dir(spark, "written"))
+    return folder
+
+
 def configs(spark: SparkSession, sf: str) -> DataFrame:
     """(page_id, config): one crawl configuration per page; some are broken, some missing."""
     p = "cast(page_id % {0} as string)"

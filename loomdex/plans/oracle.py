@@ -304,6 +304,21 @@ select path,
   case e when '.htm' then 'html' when '' then 'txt' else substr(e, 2) end as file_type,
   '/files/' || sha256(body) || e as file_path
 from g"""
+ORACLE["upload_files"] = f"""
+with f as (select page_id, {pick(inputs.FILE_NAMES, "page_id")} as name,
+  case when page_id % 17 = 3 then '' when page_id % 9 in (1, 2) then '%PDF-1.7' || chr(10) || html else html end as body from pages),
+g as (select *, '/' || page_id || '/' || name as path, lower({ext('name', r'([.][^.]*)$')}) as e, lower(body) as low from f),
+h as (select path, body, case when starts_with(name, '.') then 'hidden file name' when e not in ('.pdf', '.html', '.htm') then 'unsupported file type' when body = '' then 'invalid file size'
+       when e = '.pdf' and not starts_with(body, '%PDF-') then 'invalid PDF file'
+       when e <> '.pdf' and not (contains(low, '<html') or contains(low, '<body') or contains(low, '<p')) then 'invalid HTML file'
+       else '' end as error,
+  case when name = '.htm' then 'document' when e <> '' and ends_with(name, e) then {ext('name', r'^(.*)[.][^.]*$')} else name end as title,
+  case e when '.htm' then 'html' when '' then 'txt' else substr(e, 2) end as file_type,
+  case when not starts_with(name, '.') then '/files/' || sha256(body) || e end as file_path from g)
+select path, error, title, file_type, file_path,
+  case when count(*) filter (where error = '') over w > 0 then sha256(body) end as copy_sha256,
+  nullif(count(*) filter (where error = '') over w, 0) as documents
+from h window w as (partition by file_path)"""
 
 # --- HTML ----------------------------------------------------------------------------------
 

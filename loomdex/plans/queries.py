@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -51,6 +52,24 @@ def upload_validate(spark, sf):
     return uploads.validate(inputs.uploads(spark, sf))
 
 
+@query
+def upload_files(spark, sf):
+    """Files from a folder through the stream: verdicts, hashes of the stored copies read back, documents."""
+    folder, target, kept = inputs.upload_folder(spark, sf), fresh_dir(spark, "uploads"), fresh_dir(spark, "stored")
+    uploads.start_uploads(uploads.upload_stream(spark, folder), target, kept, fresh_dir(spark, "checkpoint")).awaitTermination()
+
+    def below(home: str, path: str):
+        return F.substring(uploads.file_key(F.col(path)), len(re.sub(r"^[A-Za-z][A-Za-z0-9+.\-]*:/*(?=/)", "", home)) + 1, 1 << 20)
+
+    folders = spark.createDataFrame([(folder,)], "folder string")
+    verdicts = uploads.verdicts(spark, target, uploads.listing(folders))
+    copies = readers.read_files(spark, kept).select(below(kept, "path").alias("file_path"), F.sha2("content", 256).alias("copy_sha256"))
+    docs = read_segments(spark, f"{target}/segments").groupBy("file_path").agg(F.count("*").alias("documents"))
+    return verdicts.join(copies, "file_path", "left").join(docs, "file_path", "left").select(
+        below(folder, "path").alias("path"), "error", "title", "file_type", "file_path", "copy_sha256", "documents"
+    )
+
+
 @query
 def sitemap_locs(spark, sf):
     entry = "'<url><loc>' || {0} || '</loc><lastmod>2020</lastmod></url>'"

@@ -151,6 +151,29 @@ def test_uploads_from_files(spark, tmp_path):
     assert {r.content for r in uploads.to_documents(files).collect()} >= {vocab.PDF_ERROR_TEXT}
 
 
+def test_upload_stream_keeps_copies_and_names_empty_files(spark, tmp_path):
+    folder, target, kept, checkpoint = (str(tmp_path / n) for n in ("in", "out", "kept", "checkpoint"))
+    body = page("word " * 30).encode()
+    rows = [("/1/A.html", body), ("/2/b c.html", body), ("/3/x.pdf", b"MZ"), ("/4/e.html", b""), ("/5/n.txt", b""), (None, b"x"), ("/6/n.pdf", None), ("/8/_d.html", body)]
+    files = spark.createDataFrame([(p, bytearray(c) if c is not None else None) for p, c in rows], "path string, content binary")
+    assert uploads.write_files(files, folder).count() == 6
+    (tmp_path / "in" / "1" / ("." + "0a" * 16)).write_bytes(b"half")
+
+    def run():
+        uploads.start_uploads(uploads.upload_stream(spark, folder, 1), target, kept, checkpoint).awaitTermination()
+        listed = uploads.listing(spark.createDataFrame([(folder,), (folder + "-none",), (None,)], "folder string"))
+        return {r.path.rsplit("/", 1)[1]: r.error for r in uploads.verdicts(spark, target, listed).collect()}
+
+    expected = {"A.html": "", "b c.html": "", "x.pdf": "invalid PDF file", "e.html": "invalid file size", "n.txt": "unsupported file type", "_d.html": uploads.HIDDEN_NAME}
+    assert run() == expected
+    copies = list((tmp_path / "kept").rglob("*.html"))
+    assert len(copies) == 1 and copies[0].read_bytes() == body and not list((tmp_path / "kept").rglob(".[0-9a-f]*[0-9a-f]"))
+    assert {r.title for r in read_segments(spark, f"{target}/segments").collect()} == {"A", "b c"}
+    more = spark.createDataFrame([("/7/late.htm", bytearray(b"<p>" + body))], "path string, content binary")
+    assert uploads.write_files(more, folder).count() == 1
+    assert run() == expected | {"late.htm": ""}
+
+
 def test_config_file(spark, tmp_path):
     missing = readers.read_config(spark, str(tmp_path / "none.json")).first()
     assert (missing.max_pages, missing.max_depth, missing.delay_ms, missing.parallelism) == (100, 4, 500, 5)
