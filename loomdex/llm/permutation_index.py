@@ -1,12 +1,14 @@
 """Approximate nearest neighbours by a permutation index.
 
-Pivots are a bounded sample of the vectors. Every vector is represented by its pivots in order of
-nearness and posted in each pivot's list with the place the pivot has in that order. A query adds up, list
-by list, how far its own places are from the posted ones (Spearman's footrule), ranks all posted vectors
-by that sum, and compares the best share of them exactly.
+Pivots are a bounded sample of the vectors. Every vector is represented by its `posted` nearest pivots in
+order of nearness, found once, and posted in the lists of these only, with the place the pivot has in that
+order. A query reads the lists of its own `read` nearest pivots and adds up how far its places are from the
+posted ones (Spearman's footrule; a pivot that a vector does not name counts as the place after its last).
+Vectors are ranked by that sum, those found in none of these lists last, and the best share of them is
+compared exactly.
 
 Equal vectors are one entry of the index; it names the smallest ids that share it, as many as an answer
-can hold. The index is built block by block in tasks; blocks of queries meet blocks of the index, and each
+can hold. Lists are built block by block in tasks; blocks of queries meet blocks of the index, and each
 such pair hands on its nearest only. `share` of a block is reranked, at least `least_reranked` entries.
 
 Defined cases: vectors that are null, empty, all zero, of another length than the commonest, or that hold
@@ -22,15 +24,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, ShortType, StructField, StructType
 
 from loomdex.llm.common import keep
 
-PIVOTS = 128
-SHARE = 0.2
+PIVOTS = 512
+#: Pivots that a vector is posted under, and lists that a query reads.
+POSTED = 192
+READ = 48
+SHARE = 0.15
 LEAST_RERANKED = 400
 #: Different vectors in a block of the index, and queries in a block of queries.
 INDEX_BLOCK = 8192
 QUERY_BLOCK = 8192
+#: Vectors whose distances to all pivots are held at once.
+ROWS_AT_ONCE = 2048
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -52,18 +60,58 @@ def entries(rows: DataFrame, ids: int) -> DataFrame:
     return few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
 
-def places_of_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """[pivot, vector]: the place of the pivot in the vector's order of nearness; ties by pivot number."""
-    squares = (pivots**2).sum(axis=1)[None, :] - 2 * vectors @ pivots.T
-    order = np.argsort(squares, axis=1, kind="stable")
-    places = np.empty(order.shape, np.int16)
-    np.put_along_axis(places, order, np.arange(order.shape[1], dtype=np.int16)[None, :], axis=1)
-    return np.ascontiguousarray(places.T)
+def pivot_orders(vectors: np.ndarray, pivots: np.ndarray, posted: int) -> np.ndarray:
+    """[vector, place]: the nearest pivots of every vector, nearest first; ties by pivot number."""
+    distances = (pivots**2).sum(axis=1)[None, :] - 2 * vectors @ pivots.T
+    return np.argsort(distances, axis=1, kind="stable")[:, :posted].astype(np.int16)
+
+
+class Lists:
+    """The pivots' inverted files over a block of pivot orders."""
+
+    def __init__(self, orders: np.ndarray, pivots: int):
+        self.vectors, self.posted = orders.shape
+        by_pivot = np.argsort(orders.ravel(), kind="stable")
+        self.starts = np.searchsorted(orders.ravel()[by_pivot], np.arange(pivots + 1))
+        self.vector = (by_pivot // self.posted).astype(np.int32)
+        self.place = (by_pivot % self.posted).astype(np.int32)
+
+    def footrule(self, own: np.ndarray) -> np.ndarray:
+        """Of every vector, over the pivots of a query; the greatest number for vectors in none of their lists."""
+        sums = np.full(self.vectors, sum(self.posted - place for place in range(len(own))), np.int64)
+        found = np.zeros(self.vectors, bool)
+        for place, pivot in enumerate(own):
+            entries = slice(self.starts[pivot], self.starts[pivot + 1])
+            vector = self.vector[entries]  # each at most once
+            sums[vector] += np.abs(self.place[entries] - place) - (self.posted - place)
+            found[vector] = True
+        sums[~found] = np.iinfo(np.int64).max
+        return sums
+
+
+def with_pivots(rows: DataFrame, centres: np.ndarray, posted: int) -> DataFrame:
+    """`rows` (v, ...) with `pivots`, the nearest ones in order."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                orders = pivot_orders(matrix(batch["v"]), centres, posted)
+                ends = pa.array(np.arange(len(orders) + 1) * orders.shape[1], pa.int32())
+                yield batch.append_column("pivots", pa.ListArray.from_arrays(ends, pa.array(orders.ravel())))
+
+    return rows.mapInArrow(add, StructType([*rows.schema.fields, StructField("pivots", ArrayType(ShortType()))]))
+
+
+def matrix(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as rows."""
+    whole = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return whole.flatten().to_numpy(zero_copy_only=False).reshape(len(whole), -1)
 
 
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", embedding: str = "embedding",
-    pivots: int = PIVOTS, share: float = SHARE, least_reranked: int = LEAST_RERANKED,
+    pivots: int = PIVOTS, posted: int = POSTED, read: int = READ, share: float = SHARE, least_reranked: int = LEAST_RERANKED,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for each row of `queries`, by Euclidean distance."""
     index = keep(entries(usable(vectors, vec_id, embedding), k + 1))
@@ -77,29 +125,24 @@ def nearest(
     # Vectors asked about by several ids are searched once.
     wanted = entries(asked, 1).select("v", F.col("ids")[0].alias("query_key"))
     index_blocks, query_blocks = -(-total // INDEX_BLOCK), -(-wanted.count() // QUERY_BLOCK)
-    posted = index.withColumn("i", F.pmod(F.xxhash64("v"), F.lit(index_blocks))).withColumn(
+    entered = with_pivots(index, centres, posted).withColumn("i", F.pmod(F.xxhash64("v"), F.lit(index_blocks))).withColumn(
         "q", F.explode(F.sequence(F.lit(0), F.lit(max(1, query_blocks) - 1)))
-    ).select("i", "q", "v", "ids", F.lit(None).cast("bigint").alias("query_key"))
-    probes = wanted.withColumn("q", F.pmod(F.xxhash64("v", F.lit(1)), F.lit(max(1, query_blocks)))).withColumn(
+    ).select("i", "q", "v", "pivots", "ids", F.lit(None).cast("bigint").alias("query_key"))
+    probes = with_pivots(wanted, centres, posted).withColumn("q", F.pmod(F.xxhash64("v", F.lit(1)), F.lit(max(1, query_blocks)))).withColumn(
         "i", F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1)))
-    ).select("i", "q", "v", F.array().cast("array<bigint>").alias("ids"), "query_key")
+    ).select("i", "q", "v", "pivots", F.array().cast("array<bigint>").alias("ids"), "query_key")
 
     def search(block: pa.Table) -> pa.Table:
         asks = np.asarray(block["query_key"].is_valid())
-        flat = block["v"].combine_chunks().flatten().to_numpy()
-        everything = flat.reshape(len(asks), -1)
+        everything, orders = matrix(block["v"]), matrix(block["pivots"])
         keys = block["query_key"].filter(pa.array(asks)).to_numpy()
         held, ids = everything[~asks], block["ids"].filter(pa.array(~asks)).to_pylist()
         out: tuple[list, list, list] = ([], [], [])
         if len(held):
-            lists = places_of_pivots(held, centres)
+            lists = Lists(orders[~asks], len(centres))
             reranked = min(len(held), max(least_reranked, int(np.ceil(share * len(held)))))
-            for key, query in zip(keys, everything[asks]):
-                own = places_of_pivots(query[None, :], centres)[:, 0]
-                footrule = np.zeros(len(held), np.int32)
-                for postings, place in zip(lists, own):
-                    footrule += np.abs(postings - place)
-                best = np.argpartition(footrule, reranked - 1)[:reranked]
+            for key, query, own in zip(keys, everything[asks], orders[asks]):
+                best = np.argpartition(lists.footrule(own[:read]), reranked - 1)[:reranked]
                 distance = np.sqrt(((held[best] - query) ** 2).sum(axis=1))
                 # k + 1 entries: one of them may be the query itself. Ties at the edge stay in.
                 edge = np.partition(distance, min(k, reranked - 1))[min(k, reranked - 1)]
@@ -110,7 +153,7 @@ def nearest(
                     out[2].append(d)
         return pa.table({"query_key": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
 
-    found = posted.unionByName(probes).groupBy("i", "q").applyInArrow(search, "query_key bigint, vec_id bigint, score double")
+    found = entered.unionByName(probes).groupBy("i", "q").applyInArrow(search, "query_key bigint, vec_id bigint, score double")
     top = Window.partitionBy("query_key").orderBy("score", "vec_id")
     best = found.withColumn("nth", F.row_number().over(top)).filter(F.col("nth") <= k + 1).drop("nth")
     # Back to every id that asks for the vector, without itself.

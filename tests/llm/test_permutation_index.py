@@ -43,6 +43,27 @@ def test_recall_on_clusters(spark, monkeypatch):
     assert len(got) == 250 and len(got & want) / len(want) >= 0.9
 
 
+def test_footrule_of_short_lists():
+    rng = np.random.default_rng(3)
+    centres, held = rng.normal(size=(40, 5)), rng.normal(size=(200, 5))
+    orders = pi.pivot_orders(held, centres, 6)
+    lists = pi.Lists(orders, 40)
+    assert len(lists.vector) == 200 * 6  # a vector is posted under its nearest pivots only
+    unread = 0
+    for query in rng.normal(size=(20, 5)):
+        own = pi.pivot_orders(query[None, :], centres, 6)[0][:3]
+        got = lists.footrule(own)
+        for order, footrule in zip(orders.tolist(), got):
+            if set(own) & set(order):
+                assert footrule == sum(abs((order.index(p) if p in order else 6) - place) for place, p in enumerate(own))
+            else:
+                assert footrule == np.iinfo(np.int64).max
+                unread += 1
+    assert unread > 1000  # most vectors are not met at all
+    near = pi.pivot_orders(centres[:1], centres, 40)[0]
+    assert near[0] == 0 and sorted(near) == list(range(40))
+
+
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (None, [1.0, 1.0]), (6, []), (7, [1.0, 2.0, 3.0]),
