@@ -32,7 +32,7 @@ PIVOTS = 512
 #: Pivots that a vector is posted under, and lists that a query reads.
 POSTED = 192
 READ = 48
-SHARE = 0.15
+SHARE = 0.2
 LEAST_RERANKED = 400
 #: Different vectors in a block of the index, and queries in a block of queries.
 INDEX_BLOCK = 8192
