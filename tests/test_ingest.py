@@ -151,6 +151,20 @@ def test_uploads_from_files(spark, tmp_path):
     assert {r.content for r in uploads.to_documents(files).collect()} >= {vocab.PDF_ERROR_TEXT}
 
 
+def test_pdf_signature_leads_the_content(spark):
+    """Bytes that start with %PDF- can start with no other type's signature, so the prefix decides the sniffed type."""
+    contents = {
+        b"%PDF-1.4 x": "", b"%PDF-": "", b"%PDF-<html><body><p>": "", b"%PDF-\x00\xff\xd8\xff": "",
+        b"\xef\xbb\xbf%PDF-1.4": "invalid PDF file", b" %PDF-1.4": "invalid PDF file", b"<html>%PDF-1.4": "invalid PDF file",
+        b"<?xml %PDF-1.4": "invalid PDF file", b"%!PS-Adobe-%PDF-1.4": "invalid PDF file", b"PK\x03\x04%PDF-": "invalid PDF file",
+        b"%PDF": "invalid PDF file", b"%pdf-1.4": "invalid PDF file",
+    }
+    rows = [(f"/in/{n}.pdf", len(c), bytearray(c)) for n, c in enumerate(contents)]
+    files = spark.createDataFrame(rows, "path string, length bigint, content binary")
+    got = {int(r.title): r.error for r in uploads.validate(files).collect()}
+    assert [got[n] for n in range(len(rows))] == list(contents.values())
+
+
 def test_upload_stream_keeps_copies_and_names_empty_files(spark, tmp_path):
     folder, target, kept, checkpoint = (str(tmp_path / n) for n in ("in", "out", "kept", "checkpoint"))
     body = page("word " * 30).encode()
