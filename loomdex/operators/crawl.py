@@ -122,10 +122,14 @@ def entry_points(
 
 @dataclass(frozen=True)
 class Crawled:
-    """What a crawl saw: (url, depth) of visited pages, and the documents kept of them, with their depth."""
+    """What a crawl saw: (url, depth) of visited pages, and the documents kept of them, with their depth.
+
+    `reached(url, depth)` names every address the crawl came to, also those without a row in the page table.
+    """
 
     visited: DataFrame
     documents: DataFrame
+    reached: DataFrame
 
 
 def _pages_at(frontier: DataFrame, pages: DataFrame) -> DataFrame:
@@ -146,9 +150,10 @@ def crawl(
     their URLs up to the one that fills the cap, and no link is followed any more.
     """
     newest = cut_lineage(entry_points(listed, host_ips, allowed, sitemaps))
-    reader, rounds = ingest.PageReader(), []
+    reader, rounds, levels = ingest.PageReader(), [], []
     seen, kept = newest, 0
     for depth in range(1, max_depth + 1):
+        levels.append(newest.select("url", F.lit(depth).alias("depth")))
         marked = newest.withColumn("known", F.lit(False))
         if known is not None:
             there = known.select(F.col("doc_key").alias("url"), F.lit(True).alias("there")).distinct()
@@ -171,7 +176,8 @@ def crawl(
         if newest.isEmpty():
             break
     every = reduce(DataFrame.unionByName, rounds)
-    return Crawled(every.select("url", "depth"), every.filter("document is not null").select("document.*", "depth"))
+    documents = every.filter("document is not null").select("document.*", "depth")
+    return Crawled(every.select("url", "depth"), documents, reduce(DataFrame.unionByName, levels))
 
 
 def _up_to_cap(looked: DataFrame, here: DataFrame, left: int) -> DataFrame:

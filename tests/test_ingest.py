@@ -48,6 +48,16 @@ def test_crawl_respects_depth_safety_and_cycles(spark):
     assert got == {"http://a.org/1": 1, "http://a.org/2": 2, "http://a.org/3?action=edit": 3, "http://a.org/4": 4}
 
 
+def test_crawl_reaches_addresses_without_a_page(spark):
+    html = '<a href="/gone">x</a><a href="/pic.jpg">x</a><a href="http://evil.org/">x</a>'
+    pages = spark.createDataFrame([(1, "http://a.org/1", html)], readers.PAGE_SCHEMA)
+    ips = spark.createDataFrame([("a.org", "8.8.8.8"), ("evil.org", "10.0.0.1")], "host string, ip string")
+    seeds = spark.createDataFrame([("http://a.org/1",), ("http://a.org/nowhere",)], "url string")
+    done = crawl.crawl(seeds, pages, ips, F.expr("cast(array() as array<string>)"), 3)
+    assert {r.url: r.depth for r in done.reached.collect()} == {"http://a.org/1": 1, "http://a.org/nowhere": 1, "http://a.org/gone": 2}
+    assert [r.url for r in done.visited.collect()] == ["http://a.org/1"]
+
+
 LONG = "<p>" + "some words of text " * 20 + "</p>"
 
 
