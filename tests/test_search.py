@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomdex.functions import vocab
 from loomdex.operators import index as ix
-from loomdex.operators import response, search, suggest
+from loomdex.operators import response, search, suggest, vectors
 from loomdex.session import cut_lineage, fresh_dir, work_dir
 from loomdex.sources import store
 from loomdex.sources.store import Index, append_segment, merge_index, open_index, read_segments, update_index, write_index
@@ -266,3 +266,22 @@ def test_work_dir_reads_the_session(spark):
                 return {"spark.checkpoint.dir": "hdfs://shared/ck/"}[key]
 
     assert work_dir(Shared()) == "hdfs://shared/ck"
+
+
+def test_term_vectors_by_batch_equal_the_column_form(spark):
+    long = " ".join(f"слово{i % 7} word{i} Ⱥ𝒳{i % 3}" for i in range(700))
+    stems = "нежнейшей красивейшему бегавшись радость глупости длинный ходившими ёлки моются смеялась пить вышивши ю а ые ость данность"
+    texts = [None, "", " ...", "и в на", "Кошки КОШКА, кошка and Cats", "a\u0001b İΣ Ça ét", stems, long, "漢字かな カタカナ 12,5 v1.2"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 40)], "i int, t string").repartition(3)
+    made = vectors.term_vectors(df, {"t": F.col("t")}).withColumn("v", ix.term_vector(F.col("t")))
+    assert made.filter(~F.col("t_terms").eqNullSafe(F.col("v"))).select("t").distinct().collect() == []
+    assert made.filter("t_terms is not null").count() == 40 * 5
+
+
+def test_document_buckets_are_dealt_over_many_tasks(spark, tmp_path, monkeypatch):
+    rows = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("doc_key"), F.lit(0).alias("b"))
+    monkeypatch.setattr(store, "term_vectors", lambda df, fields: df.withColumn("part", F.spark_partition_id()))
+    bucketed = rows.withColumn("doc_bucket", store.term_bucket(F.col("doc_key"), 16))
+    store._write_bucketed(bucketed, str(tmp_path / "t"), "doc_bucket", ("doc_key",), analysed={"t": F.col("doc_key")})
+    shared = spark.read.parquet(str(tmp_path / "t")).groupBy("doc_bucket").agg(F.count_distinct("part").alias("n"))
+    assert shared.agg(F.min("n")).first()[0] > 1
