@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from loomdex.functions import vocab
+from loomdex.plans.queries import QUERIES
 from loomdex.operators import crawl, index as ix, ingest
 from loomdex.session import fresh_dir
 from loomdex.sources import readers, uploads
@@ -284,3 +285,9 @@ def test_pages_are_cleaned_once_and_after_the_known_ones_are_gone(spark):
     above, below = plan.split("Join LeftAnti")
     assert "<script" in above and "Generate explode" in above
     assert "<script" not in below
+
+
+def test_addresses_are_parsed_on_every_core(spark, tmp_path):
+    spark.range(50).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    rows = QUERIES["ip_public"](spark, str(tmp_path))
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1 and rows.count() == 50 * 23
