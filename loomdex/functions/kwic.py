@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from operator import methodcaller
+from string import ascii_letters
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loomdex.functions import vocab
-from loomdex.functions.arrays import let, pieces, spans
+from loomdex.functions.arrays import let, pieces
 from loomdex.functions.text import fold_case, html_escape
 
-WORD = "(?iu)[а-яёa-z]+"
+# Letters of words in any case: what `(?iu)[а-яёa-z]` matches.
+LETTERS = frozenset("абвгдежзийклмнопрстуфхцчшщъыьэюяёАБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯЁ" + ascii_letters + "ıİſKᲀᲁᲂᲃᲄᲅᲆ")
+WHOLE_WORD = re.compile(f"[{''.join(sorted(LETTERS))}]+")
 REACH = 150
 PLAIN = 200
 ENDING = r"(?s)^(.{3,}?)(?:" + "|".join(vocab.LIGHT_ENDINGS) + r")\z"
+FIRST_FOUND = pa.struct([("at", pa.int32()), ("matched", pa.string())])
+FOUND_EACH = pa.list_(pa.struct([("word", pa.string()), ("at", pa.int32()), ("matched", pa.string())]))
 
 
 def query_words(q: Column) -> Column:
@@ -27,62 +37,70 @@ def light_stem(word: Column) -> Column:
     return F.regexp_replace(fold_case(word), ENDING, "$1")
 
 
-def text_words(text: Column) -> Column:
-    """array<struct<start,token,folded,stem>> of the words of a text."""
-    return F.transform(spans(text, WORD, F.length), lambda s: F.struct(
-        s["start"].alias("start"), s["token"].alias("token"),
-        fold_case(s["token"]).alias("folded"), light_stem(s["token"]).alias("stem"),
-    ))
-
+def _place(text: str, low: str, word: str, folded: str, stem: str) -> tuple[int, str]:
+    """Character offset (-1 when absent) and matched word: the word itself, else the first word of the text with its stem.
 
-def direct_hit(folded_text: Column, word: Column) -> Column:
-    at = F.instr(folded_text, fold_case(word)) - 1
-    return F.struct(at.cast("int").alias("at"), F.when(at >= 0, word).otherwise("").alias("matched"))
+    A light stem is the beginning of its word, so a word of the text with that stem, or one that starts with it, is one
+    where the stem stands at its start.
+    """
+    at = low.find(folded)
+    if at >= 0:
+        return at, word
+    at = low.find(stem)
+    while at >= 0:
+        if at == 0 or text[at - 1] not in LETTERS:
+            token = WHOLE_WORD.match(text, at)
+            if token and token.end() - at >= len(stem):
+                return at, token[0]
+        at = low.find(stem, at + 1)
+    return -1, ""
+
+
+def _places(text: str | None, low: str | None, asked: list | None) -> Iterator[tuple[int, str]]:
+    for w in asked:
+        known = text is not None and w["word"] is not None
+        yield _place(text, low, w["word"], w["folded"], w["stem"]) if known else (-1, "")
+
+
+def _given(text: Column, found_words: Column) -> tuple[Column, Column, Column]:
+    """A text, the same in lower case, and the query words with their light stems."""
+    whole = F.make_valid_utf8(text)
+    return whole, fold_case(whole), F.transform(
+        found_words, lambda w: F.struct(w.alias("word"), fold_case(w).alias("folded"), light_stem(w).alias("stem"))
+    )
 
 
-def find(folded_text: Column, found_tokens: Column, word: Column) -> Column:
-    """struct<at, matched>: character offset (-1 when absent) and the matched word."""
+def _rows(*columns: pa.Array) -> Iterator[tuple]:
+    """Rows of Arrow columns as Python values, one at a time: the texts of a batch are not decoded at once."""
+    return zip(*(map(methodcaller("as_py"), c) for c in columns))
 
-    def by_stem(stem: Column) -> Column:
-        hit = F.get(F.filter(
-            found_tokens, lambda s: (s["stem"] == stem) | F.startswith(s["folded"], stem)
-        ), F.lit(0))
-        return let(hit, lambda h: F.struct(
-            F.coalesce(h["start"], F.lit(-1)).cast("int").alias("at"),
-            F.coalesce(h["token"], F.lit("")).alias("matched"),
-        ))
 
-    return let(direct_hit(folded_text, word), lambda d: F.when(d["at"] >= 0, d).otherwise(
-        let(light_stem(word), by_stem)
-    ))
+def find_each(text: Column, found_words: Column) -> Column:
+    """array<struct<word,at,matched>> for every query word, by Arrow batches."""
 
+    def found(texts: pa.Array, lows: pa.Array, asked: pa.Array) -> pa.Array:
+        out = [
+            None if words is None else [
+                {"word": w["word"], "at": at, "matched": matched} for w, (at, matched) in zip(words, _places(t, low, words))
+            ]
+            for t, low, words in _rows(texts, lows, asked)
+        ]
+        return pa.array(out, FOUND_EACH)
 
-def find_each(text: Column, found_words: Column) -> Column:
-    """array<struct<word,at,matched>> for every query word; the text is tokenized once."""
-    return let(fold_case(text), lambda low: let(text_words(text), lambda tokens: F.transform(
-        found_words, lambda w: let(find(low, tokens, w), lambda f: F.struct(
-            w.alias("word"), f["at"].alias("at"), f["matched"].alias("matched")
-        ))
-    )))
+    return F.arrow_udf(found, "array<struct<word:string,at:int,matched:string>>")(*_given(text, found_words))
 
 
 def first_found(text: Column, found_words: Column) -> Column:
-    """Location of the first query word that occurs at all.
+    """struct<at,matched>: location of the first query word that occurs at all, by Arrow batches."""
 
-    The text is tokenized only when the first word is not found as it is.
-    """
-    none = F.struct(F.lit(-1).alias("at"), F.lit("").alias("matched"))
-
-    def search(low: Column) -> Column:
-        first = F.get(found_words, F.lit(0))
-        by_order = let(text_words(text), lambda tokens: F.aggregate(
-            found_words, none, lambda acc, w: F.when(acc["at"] >= 0, acc).otherwise(find(low, tokens, w))
-        ))
-        return F.when(F.size(found_words) == 0, none).when(
-            F.instr(low, first) > 0, direct_hit(low, first)
-        ).otherwise(by_order)
-
-    return let(fold_case(text), search)
+    def found(texts: pa.Array, lows: pa.Array, asked: pa.Array) -> pa.Array:
+        out = []
+        for t, low, words in _rows(texts, lows, asked):
+            at, matched = next((p for p in _places(t, low, words or []) if p[0] >= 0), (-1, ""))
+            out.append(None if words is None else {"at": at, "matched": matched})
+        return pa.array(out, FIRST_FOUND)
+
+    return F.arrow_udf(found, "struct<at:int,matched:string>")(*_given(text, found_words))
 
 
 def excerpt(text: Column, found_words: Column, reach: int = REACH) -> Column:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from loomdex.functions import analysis, arrays, html, kwic, text, urls
 from loomdex.functions.stemmer import stem_ru
+from loomdex.operators import vectors
 
 T = F.col("t")
 
@@ -172,3 +173,39 @@ def test_excerpt(evaluate):
     assert out.startswith("...слово") and out.endswith("слово...") and "цель найдена" in out
     assert evaluate(kwic.excerpt(T, F.array(F.lit("нету"))), t="б" * 201) == "б" * 200 + "..."
     assert evaluate(kwic.highlight(T, words), t="<цель>") == "&lt;<strong>цель</strong>&gt;"
+
+
+def test_words_are_found_by_stem_at_word_starts(spark, evaluate):
+    body = "ab1 Ёлка\u0001поДОМ x-ДОМУ дом 7дома İя"
+    given = ["домами", "дома", "ab1ами", "елками", "лкaми", "ab1", "поды", "нету"]
+    found = evaluate(kwic.find_each(T, F.array(*map(F.lit, given))), t=body)
+    assert [(f.at, f.matched) for f in found] == [
+        (17, "ДОМУ"), (27, "дома"), (-1, ""), (-1, ""), (-1, ""), (0, "ab1"), (9, "поДОМ"), (-1, ""),
+    ]
+    assert [(f.at, f.matched) for f in evaluate(kwic.find_each(T, F.array(F.lit("ёлками"), F.lit("i"))), t=body)] == [(4, "Ёлка"), (32, "i")]
+    none = spark.createDataFrame([(None,)], "t string").select(kwic.find_each(T, F.array(F.lit("дом"))).alias("r")).first().r
+    assert [(f.at, f.matched) for f in none] == [(-1, "")]
+
+
+def test_letters_of_words_are_those_of_the_pattern(spark):
+    rows = spark.range(0x110000).filter("id not between 55296 and 57343 and id > 0")
+    utf8 = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    found = {r.c for r in rows.select(utf8.alias("c")).filter(F.col("c").rlike("(?iu)[а-яёa-z]")).collect()}
+    assert found == kwic.LETTERS
+
+
+def test_query_words_are_found_in_arrow_batches(spark):
+    """No column expression walks through the words of a text for every query word."""
+    plan = spark.createDataFrame([("a",)], "t string").select(kwic.find_each(T, kwic.query_words(T)), kwic.excerpt(T, F.array(T)))
+    assert str(plan._jdf.queryExecution().executedPlan()).count("ArrowEvalPython") >= 1
+
+
+def test_token_rows_and_index_terms_are_those_of_the_column_forms(spark):
+    given = ["Привет, МИР! it's a.b", None, "", " ,. ", "İΣ\u0001ёлка и 3,14 中文 データ2", "важнейшие\u0301 x" * 300]
+    docs = spark.createDataFrame([(i, v) for i, v in enumerate(given)], "i bigint, t string")
+    spans = docs.select("i", F.explode(analysis.token_spans(T)).alias("s")).select("i", "s.*")
+    got = vectors.token_rows(docs, T, "i")
+    assert got.dtypes == [("i", "bigint"), ("pos", "bigint"), ("start", "bigint"), ("end", "bigint"), ("token", "string")]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, spans.collect()))
+    terms = docs.select("i", F.array_join(analysis.analyze(T), " ").alias("terms"))
+    assert sorted(map(tuple, vectors.index_terms(docs, T, "i").collect())) == sorted(map(tuple, terms.collect()))
