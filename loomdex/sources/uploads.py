@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyarrow import fs
@@ -19,6 +20,8 @@ from loomdex.sources.store import append_segment
 
 PDF_MAGIC = "%PDF-"
 HIDDEN_NAME = "hidden file name"
+# Tasks for each core that look files up.
+LOOKUP_WAVES = 4
 
 
 def base_name(path: Column) -> Column:
@@ -164,7 +167,23 @@ def unread_files(listed: DataFrame, read: DataFrame) -> DataFrame:
     })
 
 
-def upload_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+@contextmanager
+def few_lookups(spark: SparkSession) -> Iterator[None]:
+    """While a stream over very many files is made and runs, they are looked up in some tasks for each core.
+
+    By default every folder and file gets a task of its own, at each look and in each batch.
+    """
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, LOOKUP_WAVES * spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def upload_stream(spark: SparkSession, folder: str, files_per_batch: int = 20_000) -> DataFrame:
+    """Files of a folder as a stream. A batch costs some seconds whatever it holds; its files are dealt to tasks by size."""
     reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true")
     return reader.option("maxFilesPerTrigger", files_per_batch).load(folder).select("path", "length", "content")
 

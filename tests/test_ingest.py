@@ -1,5 +1,6 @@
 """Sources, crawl and streaming."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from loomdex.functions import vocab
@@ -176,6 +177,16 @@ def test_pdf_signature_leads_the_content(spark):
     assert [got[n] for n in range(len(rows))] == list(contents.values())
 
 
+def test_files_of_a_stream_are_looked_up_in_few_tasks(spark):
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    with pytest.raises(ValueError):
+        with uploads.few_lookups(spark):
+            assert int(spark.conf.get(setting)) == uploads.LOOKUP_WAVES * spark.sparkContext.defaultParallelism < int(before)
+            raise ValueError
+    assert spark.conf.get(setting) == before
+
+
 def test_upload_stream_keeps_copies_and_names_empty_files(spark, tmp_path):
     folder, target, kept, checkpoint = (str(tmp_path / n) for n in ("in", "out", "kept", "checkpoint"))
     body = page("word " * 30).encode()
