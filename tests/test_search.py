@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomdex.functions import vocab
 from loomdex.operators import index as ix
-from loomdex.operators import response, search, suggest, vectors
+from loomdex.operators import response, scoring, search, suggest, vectors
 from loomdex.session import cut_lineage, fresh_dir, work_dir
 from loomdex.sources import store
 from loomdex.sources.store import Index, append_segment, merge_index, open_index, read_segments, update_index, write_index
@@ -285,3 +285,47 @@ def test_document_buckets_are_dealt_over_many_tasks(spark, tmp_path, monkeypatch
     store._write_bucketed(bucketed, str(tmp_path / "t"), "doc_bucket", ("doc_key",), analysed={"t": F.col("doc_key")})
     shared = spark.read.parquet(str(tmp_path / "t")).groupBy("doc_bucket").agg(F.count_distinct("part").alias("n"))
     assert shared.agg(F.min("n")).first()[0] > 1
+
+
+def test_matches_of_a_stored_index_are_not_shuffled(spark, data):
+    docs, queries, _ = data
+    home = fresh_dir(spark, "index")
+    write_index(docs, home)
+    index = open_index(spark, home)
+    for scored in (search.scores(index, queries), search.scores_by_field(index, queries, fields=("title",))):
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(doc_key" in plan and "hashpartitioning(query_id" not in plan
+
+
+def test_scores_by_batch_equal_the_joined_ones(spark, monkeypatch):
+    rng = random.Random(11)
+    # One document without a key; several postings batches, several parts of a batch.
+    post = spark.createDataFrame(
+        [(f"k{d}" if d else None, f, t, rng.randint(1, 4), 9) for d in range(300) for f in ("title", "content") for t in "abcdef" if rng.random() < 0.5],
+        "doc_key string, field string, term string, tf bigint, n_tokens bigint",
+    )
+    # A repeated query number with two lengths, a number that is null, a term without postings.
+    weights = spark.createDataFrame(
+        [(q, f, t, r, n, w) for q, t, r, n, w in (
+            (1, "a", 1, 3, 0.5), (1, "b", 2, 3, 0.25), (2, "a", 1, 1, 1.5), (2, "c", 1, 2, 0.75), (None, "d", 1, 1, 1.0), (7, "z", 1, 1, 2.0), (8, "e", 1, 4, 0.1),
+        ) for f in ("title", "content")], "query_id bigint, field string, term string, reps bigint, n_terms bigint, weight double",
+    )
+
+    def rows(df):
+        return sorted(((r.asDict() | {"score": round(r.score, 8)}) for r in df.collect()), key=str)
+
+    found = search.match(post, weights, True)
+    index = Index(docs=post, post=post)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        for matches in (1, 40, 1 << 20):
+            monkeypatch.setattr(scoring, "MATCHES", matches)
+            assert rows(scoring.by_field(post, weights, ("title", "content"))) == rows(search.field_scores(found))
+            joined = rows(search.combined_scores(found))
+            assert rows(search.rounded_scores(index, post, weights, True)) == joined and joined
+            best = rows(search.ranked(search.rounded_scores(index, post, weights, True, best=3), 3))
+            assert best == rows(search.ranked(search.combined_scores(found), 3))
+        none = post.limit(0)
+        assert search.rounded_scores(index, none, weights, True).count() == scoring.by_field(post, weights.limit(0), ("title", "content")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
