@@ -229,6 +229,19 @@ def vector_ranges(vector: Column, terms: Column) -> Column:
     return F.coalesce(F.array_sort(places), none)
 
 
+def stored_ranges(vector: Column, terms: Column) -> Column:
+    """`vector_ranges` of a vector in the stored layout."""
+    listed = F.arrays_zip(vector["term"].alias("term"), vector["tf"].alias("tf"), vector["at"].alias("at"))
+    wanted = F.filter(listed, lambda t: F.array_contains(terms, t["term"]))
+
+    def places(t: Column) -> Column:
+        start, end = (F.slice(vector[c], t["at"] + 1, t["tf"].cast("int")) for c in ("first", "last"))
+        return F.zip_with(start, end, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+
+    none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    return F.coalesce(F.array_sort(F.flatten(F.transform(wanted, places))), none)
+
+
 def window_ranges(found: Column, best: Column, win: Column) -> Column:
     """Ranges inside the window plus the chosen occurrence, ordered by start, longer first."""
     inside = F.filter(found, lambda r: (r["end"] > win["start"]) & (r["start"] < win["end"]))

@@ -329,3 +329,36 @@ def test_scores_by_batch_equal_the_joined_ones(spark, monkeypatch):
         assert search.rounded_scores(index, none, weights, True).count() == scoring.by_field(post, weights.limit(0), ("title", "content")).count() == 0
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_stored_layouts_hold_the_same_terms_places_and_postings(spark, monkeypatch):
+    from loomdex.functions import snippet
+
+    texts = [None, "", " ...", "и в на", "Кошки КОШКА, кошка and Cats", "a\u0001b İΣ Ça ét", "дуб мост дуб zug 漢字 12,5", "zug"]
+    df = spark.createDataFrame([(f"k{i}" if i else None, texts[i % 8], texts[i * 3 % 8]) for i in range(64)], "doc_key string, title string, content string").repartition(2)
+    fields = ix.field_columns()
+    flat = vectors.stored_vectors(df, fields)
+    terms = F.array(*(F.lit(t) for t in ("дуб", "zug", "кошк", "12,5")))
+    places = flat.select("doc_key", snippet.stored_ranges(F.col("content_terms"), terms).alias("p"))
+    nested = vectors.term_vectors(df, fields).select("doc_key", snippet.vector_ranges(F.col("content_terms"), terms).alias("p"))
+    assert sorted(places.collect(), key=str) == sorted(nested.collect(), key=str) and places.filter("size(p) > 1").count()
+    flat = flat.localCheckpoint()
+    expected = sorted(ix.vector_postings(flat).select("field", "term", "doc_key", "n_tokens", "tf").collect(), key=str)
+    for size in (1, 20, 1 << 20):  # postings put in order at a time
+        monkeypatch.setattr(vectors, "POSTINGS", size)
+        blocks = vectors.posting_blocks(flat, list(ix.FIELDS), "all").localCheckpoint()
+        rows = store.postings_in(blocks.withColumn("gen", F.lit(0))).select("field", "term", "doc_key", "n_tokens", "tf").collect()
+        assert sorted(rows, key=str) == expected and len(expected) > 64
+    assert blocks.count() < len(expected) / 4 and vectors.posting_blocks(flat.limit(0), list(ix.FIELDS), "all").count() == 0
+
+
+def test_totals_join_without_a_shuffle_of_the_hits(spark):
+    scored = spark.range(400).selectExpr("id % 4 as query_id", "cast(id as string) as doc_key", "cast(id as double) as score")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = search.with_totals(scored, spark.createDataFrame([(0, "a")], "query_id bigint, q string"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {(r.query_id, r.total, r.max_score) for r in joined.collect()} == {(q, 100, 396.0 + q) for q in range(4)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
