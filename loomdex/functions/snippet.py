@@ -230,16 +230,19 @@ def vector_ranges(vector: Column, terms: Column) -> Column:
 
 
 def stored_ranges(vector: Column, terms: Column) -> Column:
-    """`vector_ranges` of a vector in the stored layout."""
-    listed = F.arrays_zip(vector["term"].alias("term"), vector["tf"].alias("tf"), vector["at"].alias("at"))
-    wanted = F.filter(listed, lambda t: F.array_contains(terms, t["term"]))
-
-    def places(t: Column) -> Column:
-        start, end = (F.slice(vector[c], t["at"] + 1, t["tf"].cast("int")) for c in ("first", "last"))
-        return F.zip_with(start, end, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
-
+    """`vector_ranges` of a vector in the stored layout, whose places are steps from one to the next."""
+    gaps = F.zip_with(vector["start"], vector["first"], lambda a, b: a + b)
+    sizes = F.zip_with(vector["end"], vector["last"], lambda a, b: a + b)
+    steps = let(F.struct(gaps.alias("gap"), sizes.alias("size")), lambda s: F.struct(
+        running_sum(F.zip_with(s["gap"], s["size"], lambda a, b: a + b)).alias("ends"), s["size"].alias("size"),
+        F.transform(vector["term"], lambda t: F.array_contains(terms, t)).alias("wanted"),
+    ))
+    places = let(steps, lambda s: F.transform(
+        F.filter(F.sequence(F.lit(0), F.size(vector["of"]) - 1), lambda i: F.get(s["wanted"], F.get(vector["of"], i))),
+        lambda i: F.struct((F.get(s["ends"], i) - F.get(s["size"], i)).alias("start"), F.get(s["ends"], i).alias("end")),
+    ))
     none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
-    return F.coalesce(F.array_sort(F.flatten(F.transform(wanted, places))), none)
+    return F.when(vector.isNull(), none).otherwise(places)
 
 
 def window_ranges(found: Column, best: Column, win: Column) -> Column:

@@ -362,3 +362,86 @@ def test_totals_join_without_a_shuffle_of_the_hits(spark):
         assert {(r.query_id, r.total, r.max_score) for r in joined.collect()} == {(q, 100, 396.0 + q) for q in range(4)}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def spark_files(spark):
+    """Names of the shuffle files that the session holds."""
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {kept.apply(i).getName() for i in range(kept.size()) if kept.apply(i).getName().startswith("shuffle_")}
+
+
+def test_index_build_leaves_no_shuffle_files_and_a_small_index(spark, tmp_path):
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(words[min(int(rng.paretovariate(0.6)), 2999)] for _ in range(rng.randint(200, 600))) for _ in range(300)]
+    docs = spark.createDataFrame(
+        [(f"https://docs.example.org/{i}", "", t[:30], t, "", "", "", 0) for i, t in enumerate(texts)],
+        "doc_key string, url string, title string, content string, file_path string, file_type string, content_hash string, seq bigint",
+    ).localCheckpoint()
+    before = spark_files(spark)
+    write_index(docs, str(tmp_path / "index"), buckets=4)
+    assert not spark_files(spark) - before
+    size = sum(f.stat().st_size for f in (tmp_path / "index").rglob("*.parquet"))
+    assert size < 1.5 * sum(map(len, texts))
+
+
+def test_postings_are_not_shuffled_to_be_stored(spark, data, monkeypatch, tmp_path):
+    docs, queries, expected = data
+    plans, write = {}, store._write
+    monkeypatch.setattr(store, "_write", lambda rows, path, bucket, *mode: (plans.update({bucket: rows._jdf.queryExecution().executedPlan().toString()}), write(rows, path, bucket, *mode)))
+    for buckets in (3, 16, 100):  # the last one is too many for a file of each writer in each bucket
+        home = str(tmp_path / f"index{buckets}")
+        write_index(docs, home, buckets)
+        assert ("Exchange" in plans["term_bucket"]) == (buckets == 100) == ("Exchange" in plans["key_bucket"])
+        index = open_index(spark, home)
+        assert as_dict(search.scores(index, queries)) == pytest.approx(expected)
+        stored_in = index.post.select("term_bucket", F.explode("term").alias("t")).filter(F.col("term_bucket") != store.posting_bucket(F.col("t"), buckets))
+        assert stored_in.count() == 0 and index.post.count() > 0
+
+
+def test_joined_search_of_a_stored_index(spark, data, monkeypatch):
+    docs, queries, expected = data
+    home = fresh_dir(spark, "index")
+    write_index(docs, home)
+    assert {(r.query_id, r.doc_key) for r in search.matches(open_index(spark, home), queries).collect()} == set(expected)
+    monkeypatch.setattr(search, "fits_broadcast", lambda *a: False)
+    assert as_dict(search.scores(open_index(spark, home), queries)) == pytest.approx(expected)
+
+
+def test_matched_postings_are_shuffled_as_lists(spark, data):
+    docs, queries, _ = data
+    home = fresh_dir(spark, "index")
+    write_index(docs.withColumn("content", F.lit("дуб мост рок zug")), home, buckets=1)
+    index = open_index(spark, home)
+    post, weights, small = search._found(index, queries.filter("query_id <= 2"), None)
+    rows = scoring._dealt(post, scoring.Weights(weights.toArrow(), ("title", "content"), False), index.live).collect()
+    # A row for a field of a document, not for a posting.
+    assert len(rows) == len({(r.doc_key, r.n_tokens, *r.code) for r in rows}) <= 2 * 60
+    assert max(len(r.code) for r in rows) == 3 and all(len(r.code) == len(r.tf) for r in rows)
+
+
+def test_only_keys_written_again_are_shuffled_with_their_rows(spark, monkeypatch):
+    rows = [("a", 1, "old"), ("a", 3, "new"), ("b", 1, "one"), (None, 1, "x"), (None, 2, "y"), ("c", None, "none")]
+    docs = spark.createDataFrame(rows, "doc_key string, seq bigint, text string")
+    expected = [("a", 3, "new"), ("b", 1, "one"), ("c", None, "none"), (None, 2, "y")]
+
+    def of(df):
+        return sorted((tuple(r) for r in df.collect()), key=str)
+
+    assert of(ix.newest(docs)) == of(ix.latest(docs)) == sorted(expected, key=str)
+    assert "Exchange hashpartitioning" not in ix.newest(docs.filter("seq = 1"))._jdf.queryExecution().executedPlan().toString()
+    assert of(ix.newest(docs.limit(0))) == []
+    monkeypatch.setattr(ix, "fits_broadcast", lambda *a: False)
+    assert of(ix.newest(docs)) == sorted(expected, key=str)
+
+
+def test_stored_places_count_from_one_another(spark):
+    texts = ["дуб é́ мост, дуб", "", None, "и the zug"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.t_terms for r in vectors.stored_vectors(df, {"t": F.col("t")}).collect()}
+    assert got[1] is None and got[2] is None
+    v = got[0]
+    assert v.term == ["é́", "дуб", "мост"] and v.tf == [1, 2, 1] and v.of == [1, 0, 2, 1]
+    assert v.pos == [1, 1, 1, 1] and v.start == [0, 1, 1, 2] and v.end == [6, 4, 8, 6]
+    assert v["first"] == [0, 0, 0, 0] and v["last"] == [-3, -2, -4, -3]
+    assert got[3].pos == [2, 1] and got[3].start == [3, 1]  # the stop word in front counts
