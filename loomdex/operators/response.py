@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomdex.operators import search
 from loomdex.operators.suggest import suggest
-from loomdex.session import cut_lineage
+from loomdex.session import cut_lineage, stored
 from loomdex.sources.store import Index
 
 
@@ -20,8 +20,9 @@ def respond(index: Index, queries: DataFrame, stop: list[str] | None = None) ->
 
     Suggestions are computed only for queries whose page is empty.
     """
-    # Pages, totals and the unanswered queries all read the scores: computed once, then kept.
-    scored = cut_lineage(search.scores(index, queries, stop))
+    # Pages, totals and the unanswered queries all read the scores: computed once, then kept as a table. Scores of a
+    # document lie together there, so its key takes little disk.
+    scored = stored(search.scores(index, queries, stop), "scores")
     rows = search.results(index, queries, scored, stop)
     hit = F.struct(
         "rank", F.lit(0).alias("id"), _blank_to_null("url").alias("url"), "title",

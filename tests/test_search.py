@@ -445,3 +445,43 @@ def test_stored_places_count_from_one_another(spark):
     assert v.pos == [1, 1, 1, 1] and v.start == [0, 1, 1, 2] and v.end == [6, 4, 8, 6]
     assert v["first"] == [0, 0, 0, 0] and v["last"] == [-3, -2, -4, -3]
     assert got[3].pos == [2, 1] and got[3].start == [3, 1]  # the stop word in front counts
+
+
+def test_pages_shuffle_hits_of_the_asked_depth_only(spark, monkeypatch):
+    scored = spark.range(6000).selectExpr("id % 3 as query_id", "cast(id as string) as doc_key", "cast(id % 50 as double) as score").localCheckpoint()
+    asked = spark.createDataFrame([(0, 2, 5), (1, 1, 4), (2, 30, 40)], "query_id bigint, page bigint, size bigint")
+    seen, ranked = [], search.ranked
+    monkeypatch.setattr(search, "ranked", lambda rows, depth: (seen.append((rows.select("query_id").distinct().count(), depth)), ranked(rows, depth))[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = search.pages(scored, asked)
+        assert seen == [(2, 10)]
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan  # hits meet the few requests and bands without a shuffle
+        rows = hits.collect()
+        monkeypatch.setattr(search, "fits_broadcast", lambda *a: False)
+        assert sorted(search.pages(scored, asked).select(hits.columns).collect()) == sorted(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    order = sorted(range(6000), key=lambda i: (-(i % 50), str(i)))
+    for q, page, size in ((0, 2, 5), (1, 1, 4), (2, 30, 40)):
+        mine = [str(i) for i in order if i % 3 == q][(page - 1) * size:page * size]
+        assert [r.doc_key for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == q] == mine
+
+
+def test_pages_without_a_shallow_request(spark):
+    scored = spark.range(30).selectExpr("0L as query_id", "cast(id as string) as doc_key", "cast(id as double) as score")
+    asked = spark.createDataFrame([(0, 900, 50)], "query_id bigint, page bigint, size bigint")
+    assert search.pages(scored, asked).count() == search.pages(scored, asked.limit(0)).count() == 0
+
+
+def test_scores_of_a_response_are_kept_as_a_compact_table(spark, data, monkeypatch):
+    docs, queries, expected = data
+    home = fresh_dir(spark, "index")
+    write_index(docs, home)
+    kept, stored = {}, response.stored
+    monkeypatch.setattr(response, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    rows = {r.query_id: r for r in response.respond(open_index(spark, home), queries).collect()}
+    assert len(rows) == 6 and rows[1].total == sum(k[0] == 1 for k in expected) and rows[6].results == []
+    assert as_dict(kept["scores"]) == pytest.approx(expected)
+    assert "Scan parquet" in kept["scores"]._jdf.queryExecution().executedPlan().toString()
