@@ -80,9 +80,8 @@ def candidates(text: Column, query: Column, stop: list[str] | None = None) -> Co
             k = F.length(w)
             # A zero-width split cuts in front of every occurrence, overlapping ones included.
             cuts = F.split(f, F.concat(F.lit(r"(?=\Q"), F.replace(w, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)")))
-            starts = let(cuts, lambda c: F.transform(
-                running_sum(F.transform(c, lambda p: F.length(p))), lambda e, j: e - F.length(F.get(c, j))
-            ))
+            # The scan is short, so what lies before a piece is put together instead of added up in many nested steps.
+            starts = let(cuts, lambda c: F.transform(c, lambda p, j: F.length(F.array_join(F.slice(c, F.lit(1), j), ""))))
             hits = F.filter(starts, lambda i: (i > 0) | F.startswith(f, w))
             placed = F.transform(hits, lambda i: F.struct(
                 i.alias("i"),
